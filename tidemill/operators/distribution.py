@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.aggregates import present
+from tidemill.operators.joins import few_rows, join_group_values, salted_join
+from tidemill.session import written
 
 QUARTILES = (0.25, 0.5, 0.75)
 ACCURACY = 20_000  # rank error of the sketch is 1/ACCURACY of the group
@@ -20,7 +22,8 @@ def unpivoted(df: DataFrame, columns: Sequence[str], label: str = "column_name",
     return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), label, value)
 
 
-def quantile_parts(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> tuple[DataFrame, DataFrame]:
+def quantile_parts(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
+                   ) -> tuple[DataFrame, DataFrame]:
     """(group summary, ranked candidate values) for exact quantiles.
 
     A mergeable sketch brackets each quantile between two values. The second pass turns every row into its zone
@@ -30,7 +33,7 @@ def quantile_parts(df: DataFrame, keys: Sequence[str], value: str, probs: Sequen
     known = df.select(*keys, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
     low = F.array(*[F.lit(max(p - MARGIN, 0.0)) for p in probs])
     high = F.array(*[F.lit(min(p + MARGIN, 1.0)) for p in probs])
-    summary = known.groupBy(*keys).agg(
+    sketched = known.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.min("v").alias("lowest"),
         F.max("v").alias("highest"),
@@ -40,12 +43,18 @@ def quantile_parts(df: DataFrame, keys: Sequence[str], value: str, probs: Sequen
         F.percentile_approx("v", high, ACCURACY).alias("high_marks"),
     )
     small = F.col("n") <= SMALL_GROUP
-    marks = summary.select(
-        *keys,
-        F.when(small, F.array_repeat(F.col("lowest"), len(probs))).otherwise(F.col("low_marks")).alias("low_marks"),
-        F.when(small, F.array_repeat(F.col("highest"), len(probs))).otherwise(F.col("high_marks")).alias("high_marks"),
-    )
-    marked = known.join(marks, list(keys)) if keys else known.crossJoin(F.broadcast(marks))  # one row of marks
+    ends = {"low_marks": "lowest", "high_marks": "highest"}
+    summary = written(sketched.withColumns({
+        mark: F.when(small, F.array_repeat(F.col(end), len(probs))).otherwise(F.col(mark))
+        for mark, end in ends.items()
+    }), "groups")
+    marks = summary.select(*keys, *ends)
+    if few_rows(marks):
+        marked = known.withColumn("m", F.lit(1)).join(F.broadcast(marks), list(keys))
+    else:
+        # Equal values are counted before they travel, then a hot group is spread by value.
+        distinct = known.groupBy(*keys, "v").agg(F.count("*").alias("m"))
+        marked = salted_join(distinct, marks, keys, "inner", ["v"])
     zone, inside = F.lit(0), F.lit(False)
     for i in range(len(probs)):
         above_low = F.col("v") >= F.col("low_marks")[i]
@@ -53,36 +62,33 @@ def quantile_parts(df: DataFrame, keys: Sequence[str], value: str, probs: Sequen
         zone = zone + above_low.cast("int") + above_high.cast("int")
         inside = inside | (above_low & ~above_high)
     counts = (
-        marked.select(*keys, zone.alias("zone"), F.when(inside, F.col("v")).alias("kept"))
+        marked.select(*keys, "m", zone.alias("zone"), F.when(inside, F.col("v")).alias("kept"))
         .groupBy(*keys, "zone", "kept")
-        .agg(F.count("*").alias("m"))
+        .agg(F.sum("m").alias("m"))
     )
     upto = Window.partitionBy(*keys).orderBy("zone", "kept").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumn("last_rank", F.sum("m").over(upto)).filter(F.col("kept").isNotNull())
-    return summary.drop("low_marks", "high_marks"), ranked
+    return summary.drop(*ends), ranked
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float] = QUARTILES,
                     names: Sequence[str] = ("q1", "median", "q3")) -> DataFrame:
     """Group size, mean, deviation, ends and linearly interpolated quantiles per key."""
+    keys = list(keys)
     summary, ranked = quantile_parts(df, keys, value, probs)
-    sized = ranked.join(summary.select(*keys, "n"), list(keys)) if keys else ranked.withColumn(
-        "n", summary.select("n").scalar()
-    )
+    sized = ranked.join(summary.select(*keys, "n"), keys)
     picks = []
     for p, name in zip(probs, names):
         place = F.col("n").cast("double") * p - p  # p * (n - 1)
         # First value whose last rank passes the wanted zero-based rank.
         picks.append(F.min(F.when(F.col("last_rank") > F.floor(place), F.col("kept"))).alias(f"{name}_low"))
         picks.append(F.min(F.when(F.col("last_rank") > F.ceil(place), F.col("kept"))).alias(f"{name}_high"))
-        picks.append(F.first(place - F.floor(place)).alias(f"{name}_part"))
+        picks.append(F.max(place - F.floor(place)).alias(f"{name}_part"))
     picked = sized.groupBy(*keys).agg(*picks)
     blended = [
         (F.col(f"{n}_low") + (F.col(f"{n}_high") - F.col(f"{n}_low")) * F.col(f"{n}_part")).alias(n) for n in names
     ]
-    if keys:
-        return summary.join(picked, list(keys)).select(*keys, "n", "mean", "std", "lowest", "highest", *blended)
-    return summary.crossJoin(picked).select("n", "mean", "std", "lowest", "highest", *blended)  # one row each
+    return summary.join(picked, keys).select(*keys, "n", "mean", "std", "lowest", "highest", *blended)
 
 
 def column_profile(df: DataFrame, columns: Sequence[str], places: int = 4) -> DataFrame:
@@ -117,26 +123,33 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], places: int = 2) -
 
 def box_plot(df: DataFrame, keys: Sequence[str], value: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends within ``reach`` interquartile ranges and the number of outliers per key."""
-    grouped = present(df, *keys)
-    fences = exact_quantiles(grouped, keys, value).select(
-        *keys, "n", "q1", "median", "q3",
-        (F.col("q1") - reach * (F.col("q3") - F.col("q1"))).alias("low_fence"),
-        (F.col("q3") + reach * (F.col("q3") - F.col("q1"))).alias("high_fence"),
+    keys = list(keys)
+    grouped = present(df, *keys).select(*keys, F.col(value).cast("double").alias("v"))
+    fences = box_fences(grouped, keys, "v", reach)
+    # Equal values of a group are counted before the fences join.
+    distinct = grouped.groupBy(*keys, "v").agg(F.count("v").alias("m"))
+    within = F.col("v").between(F.col("low_fence"), F.col("high_fence"))
+    whiskers = join_group_values(distinct, fences.select(*keys, "low_fence", "high_fence"), keys).groupBy(*keys).agg(
+        F.min(F.when(within, F.col("v"))).alias("low_whisker"),
+        F.max(F.when(within, F.col("v"))).alias("high_whisker"),
+        F.coalesce(F.sum(F.when(~within, F.col("m"))), F.lit(0)).alias("n_outliers"),
     )
-    v = F.col(value).cast("double")
-    within = v.between(F.col("low_fence"), F.col("high_fence"))
-    ends = grouped.join(fences.select(*keys, "low_fence", "high_fence"), list(keys)).groupBy(*keys).agg(
-        F.min(F.when(within, v)).alias("low_whisker"),
-        F.max(F.when(within, v)).alias("high_whisker"),
-        F.count(F.when(~within, v)).alias("n_outliers"),
+    return fences.drop("low_fence", "high_fence").join(whiskers, keys)
+
+
+def box_fences(df: DataFrame, keys: list[str], value: str, reach: float) -> DataFrame:
+    spread = reach * (F.col("q3") - F.col("q1"))
+    fences = exact_quantiles(df, keys, value).select(
+        *keys, "n", "q1", "median", "q3", (F.col("q1") - spread).alias("low_fence"),
+        (F.col("q3") + spread).alias("high_fence"),
     )
-    return fences.drop("low_fence", "high_fence").join(ends, list(keys))
+    return written(fences, "fences")
 
 
 def box_plot_outliers(df: DataFrame, keys: Sequence[str], value: str, reach: float = 1.5) -> DataFrame:
-    """The rows outside the whiskers."""
+    """The rows outside the fences."""
+    keys = list(keys)
     grouped = present(df, *keys)
-    quartiles = exact_quantiles(grouped, keys, value).select(*keys, "q1", "q3")
-    spread = (F.col("q3") - F.col("q1")) * reach
-    outside = ~F.col(value).cast("double").between(F.col("q1") - spread, F.col("q3") + spread)
-    return grouped.join(quartiles, list(keys)).filter(outside).drop("q1", "q3")
+    fences = box_fences(grouped, keys, value, reach).select(*keys, "low_fence", "high_fence")
+    outside = ~F.col(value).cast("double").between(F.col("low_fence"), F.col("high_fence"))
+    return join_group_values(grouped, fences, keys).filter(outside).drop("low_fence", "high_fence")

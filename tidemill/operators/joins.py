@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 8
+BROADCAST_ROWS = 200_000
 
 
 def left_lookup(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], null_safe: bool = False
@@ -46,6 +47,18 @@ def salted_join(facts: DataFrame, dimension: DataFrame, keys: Sequence[str], how
     return salted.join(repeated, [*keys, "salt"], how).drop("salt")
 
 
+def few_rows(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether a written table is short enough to broadcast; counts at most ``limit`` rows past the check."""
+    return table.limit(limit + 1).count() <= limit
+
+
+def join_group_values(rows: DataFrame, per_group: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Attaches one written row per group to every row of the group: broadcast when short, salted otherwise."""
+    if few_rows(per_group):
+        return rows.join(F.broadcast(per_group), list(keys))
+    return salted_join(rows, per_group, keys, "inner", rows.columns)
+
+
 def lookup_or_default(df: DataFrame, dimension: DataFrame, key: str, defaults: Mapping[str, Column],
                       spread: Sequence[str]) -> DataFrame:
     """Dimension values for every row, the default where the key is unknown."""
@@ -54,17 +67,24 @@ def lookup_or_default(df: DataFrame, dimension: DataFrame, key: str, defaults: M
 
 
 def interval_lookup(points: DataFrame, intervals: DataFrame, keys: Sequence[str], point: str, start: str, end: str,
-                    width: int) -> DataFrame:
-    """Inner join of points to the half-open intervals ``[start, end)`` that hold them.
+                    width: int, how: str = "inner") -> DataFrame:
+    """Joins points to the half-open intervals ``[start, end)`` that hold them.
 
     Both sides are cut into cells of ``width`` and joined on the cell, so a point meets only the intervals
     that reach into its own cell and never all intervals of its key. Choose ``width`` near the usual interval
-    length: a longer interval is listed once per cell it touches.
+    length: a longer interval is listed once per cell it touches. ``how='left'`` keeps points outside all
+    intervals.
     """
-    cell_of = lambda c: F.floor(F.col(c) / width)
-    by_cell = intervals.filter(F.col(end) > F.col(start)).withColumn(
-        "cell", F.explode(F.sequence(cell_of(start), F.floor((F.col(end) - 1) / width)))
+    def cell_of(position: Column) -> Column:
+        return F.floor(position / width)
+
+    listed = intervals.filter(F.col(end) > F.col(start)).select(
+        *[F.col(k).alias(f"interval_{k}") for k in keys],
+        *[c for c in intervals.columns if c not in keys],
+        F.explode(F.sequence(cell_of(F.col(start)), cell_of(F.col(end) - 1))).alias("interval_cell"),
     )
-    placed = points.withColumn("cell", cell_of(point))
-    joined = placed.join(by_cell, [*keys, "cell"], "inner")
-    return joined.filter((F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))).drop("cell")
+    placed = points.withColumn("cell", cell_of(F.col(point)))
+    held = (F.col("cell") == F.col("interval_cell")) & (F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))
+    for k in keys:
+        held = held & (F.col(k) == F.col(f"interval_{k}"))
+    return placed.join(listed, held, how).drop("cell", "interval_cell", *[f"interval_{k}" for k in keys])
