@@ -15,6 +15,15 @@ def present(df: DataFrame, *keys: str) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
+def money_sum(name: str) -> Column:
+    """Sum of a money column in exact decimals, so that it does not depend on the order of the rows."""
+    return F.sum(F.col(name).cast("decimal(18,2)")).cast("double")
+
+
+def money_mean(name: str) -> Column:
+    return F.try_divide(money_sum(name), F.count(F.col(name)))
+
+
 def total_and_peak(df: DataFrame, flow: str, level: str) -> DataFrame:
     return df.agg(F.sum(flow).alias(f"total_{flow}"), F.max(level).alias(f"max_{level}"))
 

@@ -148,9 +148,9 @@ TABLE_FUNCTIONS = {
     "sku_overview": (
         "sku STRING",
         "skuCode STRING, skuName STRING, totalQty BIGINT, totalOccupied BIGINT, availableQty BIGINT",
-        """SELECT sku, coalesce(min(skuName), sku), coalesce(sum(qty), 0), coalesce(sum(occupied), 0),
-                  coalesce(sum(qty - occupied), 0)
-           FROM {overview} WHERE skuCode = sku OR skuName = sku""",
+        """SELECT sku, coalesce(name, sku), coalesce(total, 0), coalesce(taken, 0), coalesce(total - taken, 0)
+           FROM (SELECT min(skuName) AS name, sum(qty) AS total, sum(occupied) AS taken
+                 FROM {overview} WHERE skuCode = sku OR skuName = sku)""",
     ),
     "sku_bins": (
         "sku STRING, bin STRING DEFAULT NULL",

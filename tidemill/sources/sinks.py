@@ -58,7 +58,7 @@ def parallel_lists_json(df: DataFrame, order: str, columns: dict[str, str]) -> D
     """
     row = F.struct(F.col(order).alias("order_key"), *[F.col(c).alias(c) for c in columns.values()])
     sorted_rows = df.agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    lists = [F.transform("rows", lambda r, c=c: r[c]).alias(name) for name, c in columns.items()]
+    lists = [F.col("rows").getField(c).alias(name) for name, c in columns.items()]
     return sorted_rows.select(F.to_json(F.struct(*lists)).alias("payload"))
 
 
