@@ -96,16 +96,18 @@ def pad_tokens(tokens: Column, length: int, padding: str = "<PAD>") -> Column:
 
 
 def ngrams(tokens: Column, low: int, high: int | None = None) -> Column:
-    """All runs of ``low`` to ``high`` tokens joined by a space, repeats kept."""
-    def runs(n: int) -> Column:
-        if n == 1:
-            return tokens
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-        joined = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
-        return F.coalesce(joined, F.array().cast("array<string>"))
+    """All runs of ``low`` to ``high`` tokens joined by a space, repeats kept.
 
-    parts = [runs(n) for n in range(low, (high or low) + 1)]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+    Each list is the list before it zipped with the tokens moved on by one, so the work is linear in the text.
+    Pass a plain column: an expression would be evaluated once per use.
+    """
+    by_length = [tokens]
+    for n in range(2, (high or low) + 1):
+        moved = F.slice(tokens, n, F.greatest(F.size(tokens), F.lit(0)))
+        pairs = F.zip_with(by_length[-1], moved, lambda run, word: F.concat(run, F.lit(" "), word))
+        by_length.append(F.filter(pairs, lambda run: run.isNotNull()))
+    kept = by_length[low - 1:]
+    return kept[0] if len(kept) == 1 else F.concat(*kept)
 
 
 def content_words(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
@@ -114,5 +116,8 @@ def content_words(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS)
 
 
 def url_quote(text: Column) -> Column:
-    """Percent encoding with %20 for a blank and the slash left as it is."""
-    return F.replace(F.replace(F.url_encode(text), F.lit("+"), F.lit("%20")), F.lit("%2F"), F.lit("/"))
+    """Percent encoding that leaves letters, digits, ``_.-~`` and the slash as they are."""
+    quoted = F.url_encode(text)
+    for form, path in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        quoted = F.replace(quoted, F.lit(form), F.lit(path))
+    return quoted

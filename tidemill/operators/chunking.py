@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.splitting import CHUNK_OVERLAP, CHUNK_SIZE, SEPARATORS, chunks_of
+from tidemill.operators.frames import numbered_entries
 from tidemill.operators.joins import interval_lookup
 
 
@@ -22,7 +23,7 @@ def recursive_chunks(df: DataFrame, key: str, text: str = "text", size: int = CH
         return texts.map(lambda t: chunks_of(t, size, overlap, separators))
 
     parts = df.select(key, split(F.col(text)).alias("chunks"))
-    return parts.select(key, F.posexplode("chunks").alias("chunk_no", "chunk")).select(
+    return numbered_entries(parts, "chunks", "chunk_no", "chunk", key).select(
         key, "chunk_no", "chunk.start", "chunk.text"
     )
 

@@ -73,6 +73,20 @@ def fill_with_mean(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), mean))
 
 
+def entries(df: DataFrame, array: str | Column, name: str, *keep: str) -> DataFrame:
+    """One row per entry of an array, null entries left out.
+
+    A plain explode makes the optimizer test the array's size first, which computes a derived array once more
+    for the test; the outer form with a null test after it does not.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
+def numbered_entries(df: DataFrame, array: str | Column, position: str, name: str, *keep: str) -> DataFrame:
+    """One row per entry of an array with its position."""
+    return df.select(*keep, F.posexplode_outer(array).alias(position, name)).filter(F.col(position).isNotNull())
+
+
 def append_partial(df: DataFrame, extra: DataFrame) -> DataFrame:
     """Appends rows that lack some columns; those become null."""
     return df.unionByName(extra, allowMissingColumns=True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import strip_blank_lines
+from tidemill.operators.frames import numbered_entries
 
 
 def base_name(path: Column) -> Column:
@@ -101,6 +102,5 @@ def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "ISO-8
 
 def page_lines(pages: DataFrame, page: str = "page", text: str = "text", keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per line of page text, each carrying the number of its page; empty pages give no line."""
-    return pages.filter(F.length(text) > 0).select(
-        *keys, page, F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line")
-    )
+    filled = pages.filter(F.length(text) > 0)
+    return numbered_entries(filled, F.split(F.col(text), "\n", -1), "line_no", "line", *keys, page)
