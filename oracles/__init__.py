@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-DOMAINS = ("epidemic", "occupancy", "insurance", "tickets", "stock", "corpus")
+DOMAINS = ("epidemic", "occupancy", "insurance", "tickets", "stock", "corpus", "encoding", "retrieval", "park", "payloads")
 
 
 def all_oracles() -> dict[str, str]:
