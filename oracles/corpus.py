@@ -96,6 +96,7 @@ ORACLES = {
         k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, doc_id)::INT AS rank FROM s)
         SELECT query_id, doc_id, round(cosine, 6) AS cosine, rank FROM k WHERE rank <= 10""",
     "bm25_search": f"WITH {bm25('documents', 'doc_id')} {best('doc_id', 10)}",
+    "bm25_search_join": f"WITH {bm25('documents', 'doc_id')} {best('doc_id', 10)}",
     "rerank_candidates": f"""WITH {bm25('documents', 'doc_id')}, c AS ({best('doc_id', 20)}),
         r AS (SELECT item_id, doc_id, list_distinct(regexp_extract_all(lower(benchmark.text), '{WORD}')) AS a, d.t AS t
               FROM c JOIN benchmark USING (item_id) JOIN d USING (doc_id)),

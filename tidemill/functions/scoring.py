@@ -1,0 +1,64 @@
+"""Scoring of sparse document rows against a small query matrix; a helper of the lexical search."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+STEP = 2_000_000  # products held at once
+PLACES = 6
+
+
+def document_scores(index: np.ndarray, gain: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """(documents, queries) sums of gain times query weight over the entries of each document."""
+    n_docs, n_queries = len(starts), weights.shape[1]
+    ends = np.append(starts[1:], len(index))
+    scores = np.empty((n_docs, n_queries))
+    first = 0
+    while first < n_docs:
+        # As many documents as fit a step, but at least one.
+        last = int(np.searchsorted(ends, starts[first] + max(STEP // n_queries, 1), side="right"))
+        last = min(max(last, first + 1), n_docs)
+        a, b = starts[first], ends[last - 1]
+        products = gain[a:b, None] * weights[index[a:b]]
+        scores[first:last] = np.add.reduceat(products, starts[first:last] - a, axis=0)
+        first = last
+    return scores
+
+
+def best_rows(ids: np.ndarray, scores: np.ndarray, query_ids: np.ndarray, k: int) -> pa.RecordBatch:
+    """The k best scored documents of every query, ties by id; documents that share no word are left out."""
+    parts = []
+    for q, query_id in enumerate(query_ids):
+        column = scores[:, q]
+        found = np.flatnonzero(column > 0)
+        rounded = np.round(column[found], PLACES)
+        if len(found) > k:
+            keep = rounded >= np.partition(rounded, -k)[-k]
+            found, rounded = found[keep], rounded[keep]
+        order = np.lexsort((ids[found], -rounded))[:k]
+        parts.append((np.full(len(order), query_id), ids[found][order], rounded[order]))
+    columns = [np.concatenate([p[i] for p in parts]) for i in range(3)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())],
+        names=["query_id", "id", "score"],
+    )
+
+
+def score_batches(batches: Iterator[pa.RecordBatch], terms: list[str], query_ids: np.ndarray, weights: np.ndarray,
+                  k: int) -> Iterator[pa.RecordBatch]:
+    """Batches of (id, terms, gains) to the k best documents per query and batch."""
+    known = pa.array(terms, pa.string())
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch]).combine_chunks()
+        words, gains = rows["terms"].combine_chunks(), rows["gains"].combine_chunks()
+        index = pc.index_in(words.flatten(), known).to_numpy(zero_copy_only=False).astype("int64")
+        sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype("int64")
+        scores = document_scores(index, gains.flatten().to_numpy(zero_copy_only=False), starts, weights)
+        yield best_rows(rows["id"].to_numpy(), scores, query_ids, k)

@@ -65,7 +65,11 @@ def clean_labelled_line(text: Column) -> Column:
 
 
 def character_tokens(text: Column, stop_words: Sequence[str] = SEGMENT_STOP_WORDS) -> Column:
-    return remove_stop_words(F.split(clean_labelled_line(text), " "), stop_words)
+    """The Chinese characters of a text. A text without any gives one empty token, unless that is a stop word."""
+    found = F.regexp_extract_all(text, F.lit("[一-鿿]"), F.lit(0))
+    if "" not in stop_words:
+        found = F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("")))
+    return remove_stop_words(found, stop_words)
 
 
 def word_tokens(text: Column, pattern: str = WORD_PATTERN, lower: bool = True) -> Column:

@@ -13,7 +13,7 @@ from tidemill.operators.joins import few_rows, join_group_values, salted_join
 from tidemill.session import written
 
 QUARTILES = (0.25, 0.5, 0.75)
-ACCURACY = 20_000  # rank error of the sketch is 1/ACCURACY of the group
+ACCURACY = 10_000  # rank error of the sketch is 1/ACCURACY of the group
 MARGIN = 3 / ACCURACY
 SMALL_GROUP = 100_000  # groups up to this size are ranked whole
 
@@ -31,23 +31,21 @@ def quantile_parts(df: DataFrame, keys: Sequence[str], value: str, probs: Sequen
     counts per group plus the values near the quantiles, and no group is ever ranked whole unless it is small.
     """
     known = df.select(*keys, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    low = F.array(*[F.lit(max(p - MARGIN, 0.0)) for p in probs])
-    high = F.array(*[F.lit(min(p + MARGIN, 1.0)) for p in probs])
+    lows, highs = [max(p - MARGIN, 0.0) for p in probs], [min(p + MARGIN, 1.0) for p in probs]
     sketched = known.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.min("v").alias("lowest"),
         F.max("v").alias("highest"),
         F.avg("v").alias("mean"),
         F.stddev_samp("v").alias("std"),
-        F.percentile_approx("v", low, ACCURACY).alias("low_marks"),
-        F.percentile_approx("v", high, ACCURACY).alias("high_marks"),
+        F.percentile_approx("v", F.array(*map(F.lit, lows + highs)), ACCURACY).alias("marks"),
     )
     small = F.col("n") <= SMALL_GROUP
-    ends = {"low_marks": "lowest", "high_marks": "highest"}
+    ends = {"low_marks": ("lowest", 1), "high_marks": ("highest", len(probs) + 1)}
     summary = written(sketched.withColumns({
-        mark: F.when(small, F.array_repeat(F.col(end), len(probs))).otherwise(F.col(mark))
-        for mark, end in ends.items()
-    }), "groups")
+        mark: F.when(small, F.array_repeat(F.col(end), len(probs))).otherwise(F.slice("marks", start, len(probs)))
+        for mark, (end, start) in ends.items()
+    }).drop("marks"), "groups")
     marks = summary.select(*keys, *ends)
     if few_rows(marks):
         marked = known.withColumn("m", F.lit(1)).join(F.broadcast(marks), list(keys))
@@ -98,7 +96,7 @@ def column_profile(df: DataFrame, columns: Sequence[str], places: int = 4) -> Da
     stats = exact_quantiles(long, ["column_name"], "value")
     rounded = [F.round(F.col(c), places).alias(c) for c in ("mean", "std", "lowest", "q1", "median", "q3", "highest")]
     # Columns without a single value still get a row.
-    names = long.select("column_name").distinct()
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
     return names.join(stats, "column_name", "left").select(
         "column_name",
         F.coalesce("n", F.lit(0)).alias("n_values"),

@@ -87,6 +87,12 @@ def numbered_entries(df: DataFrame, array: str | Column, position: str, name: st
     return df.select(*keep, F.posexplode_outer(array).alias(position, name)).filter(F.col(position).isNotNull())
 
 
+def by_key(df: DataFrame, key: str, *columns: str) -> DataFrame:
+    """The columns partitioned by key. Whatever is then taken apart and grouped by key again, alone or with
+    other columns, stays in its partition: the short rows travel instead of the many rows made from them."""
+    return df.select(key, *columns).repartition(F.col(key))
+
+
 def append_partial(df: DataFrame, extra: DataFrame) -> DataFrame:
     """Appends rows that lack some columns; those become null."""
     return df.unionByName(extra, allowMissingColumns=True)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import text as tx
 from tidemill.operators import chunking, corpus
+from tidemill.operators.frames import by_key
 from tidemill.operators.windows import top_k
 from tidemill.sources.tables import table
 
@@ -49,8 +50,9 @@ def keep_cjk(spark, folder):
 
 def char_tokens(spark, folder):
     tokens = tx.segment(chinese_text(), "char", tx.SEGMENT_STOP_WORDS)
-    return documents(spark, folder).select("doc_id", F.size(tokens).alias("n_tokens"),
-                                           F.array_join(tokens, " ").alias("tokens"))
+    return documents(spark, folder).select("doc_id", tokens.alias("tokens")).select(
+        "doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens")
+    )
 
 
 def top_ngrams(spark, folder):
@@ -61,35 +63,41 @@ def top_words(spark, folder):
     return corpus.top_ngrams(documents(spark, folder), "text", 1, 20)
 
 
-def cleaned(spark, folder):
-    return clean_text(spark, folder).withColumnRenamed("clean", "text")
+def cleaned(rows):
+    """Cleaned texts, partitioned by document before the cleaning."""
+    return by_key(rows, "doc_id", "text").select("doc_id", tx.clean_english(F.col("text")).alias("text"))
 
 
 def tfidf_weights(spark, folder):
-    weights = corpus.tfidf(cleaned(spark, folder), "doc_id", "text")
+    rows = cleaned(documents(spark, folder))
+    weights = corpus.tfidf(rows, "doc_id", "text", corpus.fit_terms(rows, "text"))
     return weights.withColumn("weight", F.round("weight", 6))
 
 
 def similar_documents(spark, folder):
     """The ten documents most like the first document of every source."""
     rows = table(spark, folder, "documents")
-    first = corpus.first_of_each_name(rows, "source", "doc_id")
-    best = corpus.similar_documents(corpus.tfidf(cleaned(spark, folder), "doc_id", "text"), first, "doc_id", 10)
+    first = rows.join(corpus.first_of_each_name(rows, "source", "doc_id"), "doc_id", "left_semi")
+    terms = corpus.fit_terms(cleaned(rows), "text")
+    weights, asked = (corpus.tfidf(cleaned(part), "doc_id", "text", terms) for part in (rows, first))
+    best = corpus.similar_documents(weights, asked, "doc_id", 10)
     return best.select("query_id", "doc_id", F.round("cosine", 6).alias("cosine"), "rank")
 
 
-def bm25_scores(spark, folder):
-    return corpus.bm25(table(spark, folder, "benchmark"), documents(spark, folder), "item_id", "doc_id")
+def bm25_search(spark, folder):
+    return corpus.bm25(table(spark, folder, "benchmark"), documents(spark, folder), "item_id", "doc_id", 10)
 
 
-def bm25_search(spark, folder):
-    return corpus.best_matches(bm25_scores(spark, folder), "item_id", "doc_id", 10)
+def bm25_search_join(spark, folder):
+    """The same search by joining words, as for a query set too large to send to every task."""
+    return corpus.bm25(table(spark, folder, "benchmark"), documents(spark, folder), "item_id", "doc_id", 10,
+                       max_values=0)
 
 
 def rerank_candidates(spark, folder):
-    candidates = corpus.best_matches(bm25_scores(spark, folder), "item_id", "doc_id", 20)
-    return corpus.rerank(candidates, table(spark, folder, "benchmark"), documents(spark, folder), "item_id", "doc_id",
-                         5)
+    questions, rows = table(spark, folder, "benchmark"), documents(spark, folder)
+    candidates = corpus.bm25(questions, rows, "item_id", "doc_id", 20)
+    return corpus.rerank(candidates, questions, rows, "item_id", "doc_id", 5)
 
 
 def fixed_stride_chunks(spark, folder):
@@ -121,8 +129,7 @@ def chunk_ids(chunks):
 def retrieved_chunks(spark, folder):
     """The two best chunks for every question, with text length and page."""
     chunks = chunk_ids(fixed_stride_chunks(spark, folder))
-    scores = corpus.bm25(table(spark, folder, "benchmark"), chunks, "item_id", "chunk_id")
-    best = corpus.best_matches(scores, "item_id", "chunk_id", 2)
+    best = corpus.bm25(table(spark, folder, "benchmark"), chunks, "item_id", "chunk_id", 2)
     listed = chunking.chunk_listing(best, chunks, "chunk_id")
     paged = chunking.attribute_pages(listed, spans(spark, folder), "doc_id")
     return paged.select("item_id", "rank", "chunk_id", "doc_id", "page", F.length("text").alias("n_chars"))
@@ -150,6 +157,7 @@ QUERIES = {
     "tfidf_weights": tfidf_weights,
     "similar_documents": similar_documents,
     "bm25_search": bm25_search,
+    "bm25_search_join": bm25_search_join,
     "rerank_candidates": rerank_candidates,
     "fixed_stride_chunks": fixed_stride_chunks,
     "recursive_chunks": recursive_chunks,

@@ -11,6 +11,7 @@ from tidemill.functions.text import word_tokens
 from tidemill.functions.values import decode_label, encode_label, hash_order, in_fraction, one_hot
 from tidemill.operators import vocabulary as voc
 from tidemill.operators import windows
+from tidemill.operators.frames import by_key
 from tidemill.operators.models import train_word_vectors
 from tidemill.operators.vectors import nearest_or_unknown
 from tidemill.session import scratch_path, written
@@ -75,7 +76,8 @@ def cyclic_batches(spark, folder):
 
 
 def tokens(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", "lang", word_tokens(F.col("text")).alias("tokens"))
+    rows = by_key(table(spark, folder, "documents"), "doc_id", "lang", "text")
+    return rows.select("doc_id", "lang", word_tokens(F.col("text")).alias("tokens"))
 
 
 def words(spark, folder):

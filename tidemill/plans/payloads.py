@@ -89,7 +89,7 @@ def parsed_documents(spark, folder):
         F.size(F.split(line, " ")).alias("token"),
         F.when(F.contains(line, F.lit("|")), F.concat(F.lit("|"), F.trim(line))).alias("table"), i.alias("i"),
     ))
-    rows = table(spark, folder, "documents").select("doc_id", lines.alias("lines"))
+    rows = frames.by_key(table(spark, folder, "documents"), "doc_id", "text").select("doc_id", lines.alias("lines"))
     numbers = F.sequence(F.lit(0), F.floor((F.size("lines") - 1) / 5).cast("int"))
     pages = F.transform(numbers, lambda p: F.struct(
         (p + 1).alias("page_num"), F.slice(F.col("lines"), p * 5 + 1, F.lit(5)).alias("content")))
@@ -115,8 +115,8 @@ def url_quoted(spark, folder):
 
 def catalog_snapshot(spark, folder):
     """Rows and missing values of every column of every table."""
-    profile = tables.catalog_profile({name: table(spark, folder, name) for name in schemas.TABLES})
-    return profile.select("table_name", "column_name", "n_rows", "n_null", "null_rate")
+    named = {name: table(spark, folder, name) for name in schemas.TABLES}
+    return tables.catalog_profile(named, cardinality=False).drop("data_type")
 
 
 def catalog_cardinality(spark, folder):

@@ -58,40 +58,24 @@ def jdbc_scan(
     )
 
 
-def profile_table(df: DataFrame, name: str) -> DataFrame:
-    """Rows, null rate and approximate cardinality of every column, from a single pass over the table."""
-    fields = df.schema.fields
-    measures = [F.count("*").alias("n_rows")]
-    for i, field in enumerate(fields):
-        measures.append(F.count(F.col(field.name)).alias(f"filled_{i}"))
-        measures.append(F.approx_count_distinct(F.col(field.name)).alias(f"distinct_{i}"))
-    entries = [
-        F.struct(
-            F.lit(field.name).alias("column_name"),
-            F.lit(field.dataType.simpleString()).alias("data_type"),
-            (F.col("n_rows") - F.col(f"filled_{i}")).alias("n_null"),
-            F.col(f"distinct_{i}").alias("approx_distinct"),
-        )
-        for i, field in enumerate(fields)
-    ]
-    return (
-        df.agg(*measures)
-        .select("n_rows", F.explode(F.array(*entries)).alias("entry"))
-        .select(
-            F.lit(name).alias("table_name"),
-            "entry.column_name",
-            "entry.data_type",
-            "n_rows",
-            "entry.n_null",
-            F.coalesce(F.round(F.try_divide("entry.n_null", "n_rows"), 6), F.lit(0.0)).alias("null_rate"),
-            "entry.approx_distinct",
-        )
-    )
-
-
-def catalog_profile(frames: dict[str, DataFrame]) -> DataFrame:
+def profile_table(df: DataFrame, name: str, cardinality: bool = True) -> DataFrame:
+    """Rows, null rate and, if asked, approximate cardinality of every column, from one pass over the table."""
+    fields = list(enumerate(df.schema.fields))
+    measures = [f"count(`{f.name}`) AS filled_{i}" for i, f in fields]
+    rows = [f"'{f.name}', '{f.dataType.simpleString()}', n_rows - filled_{i}" for i, f in fields]
+    names = "column_name, data_type, n_null"
+    if cardinality:
+        measures += [f"approx_count_distinct(`{f.name}`) AS distinct_{i}" for i, f in fields]
+        rows = [f"{row}, distinct_{i}" for i, row in enumerate(rows)]
+        names += ", approx_distinct"
+    counted = df.agg(F.count("*").alias("n_rows"), *map(F.expr, measures))
+    return counted.selectExpr(f"'{name}' AS table_name", "n_rows", f"stack({len(fields)}, {', '.join(rows)}) AS ({names})"
+                              ).withColumn("null_rate", F.expr("coalesce(round(try_divide(n_null, n_rows), 6), 0D)"))
+
+
+def catalog_profile(frames: dict[str, DataFrame], cardinality: bool = True) -> DataFrame:
     """The profile of many tables as one long frame."""
-    return reduce(DataFrame.unionByName, [profile_table(df, name) for name, df in frames.items()])
+    return reduce(DataFrame.unionByName, [profile_table(df, name, cardinality) for name, df in frames.items()])
 
 
 def catalog_frames(spark: SparkSession) -> dict[str, DataFrame]:
