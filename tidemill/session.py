@@ -28,17 +28,17 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can read, named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster such a folder would exist on one
-    machine alone, so an unset value is an error there.
+    Where that is unset, the checkpoint folder of the context serves. Only a local session may make one of its
+    own: on a cluster a temporary folder would exist on one machine alone, so a missing setting is an error.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemill-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemill-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -38,7 +38,7 @@ def parse_payloads(df: DataFrame, column: str = "payload", schema: str = PAYLOAD
 
 def read_parsed_documents(spark: SparkSession, path: str) -> DataFrame:
     """Files holding one JSON list of pages each."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(
         F.col("_metadata.file_path").alias("path"), F.from_json("value", schemas.PARSED_DOCUMENT).alias("pages")
     )
@@ -67,7 +67,7 @@ def page_profile(blocks: DataFrame, keys: tuple[str, ...] = ("path",)) -> DataFr
 
 def read_chunked_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per chunk of files that hold a document with its chunk list."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     parsed = raw.select(F.from_json("value", schemas.CHUNKED_DOCUMENT).alias("doc"))
     return parsed.select("doc.url", "doc.title", F.explode("doc.raw").alias("chunk")).select(
         "url", "title", "chunk.content", F.col("chunk.metadata.chunk_id").alias("chunk_id"), "chunk.token"
