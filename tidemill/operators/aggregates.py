@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.frames import numeric_columns, text_columns
+from tidemill.session import written
 
 
 def present(df: DataFrame, *keys: str) -> DataFrame:
@@ -141,22 +142,29 @@ def fold_small_shares(df: DataFrame, label: str, value: str, threshold: float, o
 
 
 def kpi_summary(daily: DataFrame, date: str, flow: str, level: str, last: int = 30) -> DataFrame:
-    """Total, latest level and daily mean over all days and over the last ``last`` days of a daily frame."""
-    recent = daily.orderBy(F.desc(date)).limit(last).agg(
-        F.sum(flow).alias("last_total"), F.bround(F.avg(flow), 1).alias("last_daily_mean"),
-        F.count("*").alias("last_days"),
-    )
-    whole = daily.agg(
+    """Total, latest level and daily mean over all days and over the last ``last`` days of a daily frame.
+
+    The daily frame is numbered by one ordered window (its rows are bounded by the calendar), so that both
+    spans come from a single pass over the data behind it.
+    """
+    numbered = daily.withColumn("back", F.row_number().over(Window.orderBy(F.desc(date))))
+    recent = F.when(F.col("back") <= last, F.col(flow))
+    return numbered.agg(
         F.sum(flow).alias("total"), F.max_by(level, date).alias("latest_level"),
         F.bround(F.avg(flow), 1).alias("daily_mean"), F.count("*").alias("n_days"),
+        F.sum(recent).alias("last_total"), F.bround(F.avg(recent), 1).alias("last_daily_mean"),
+        F.count(F.when(F.col("back") <= last, 1)).alias("last_days"),
     )
-    return whole.withColumns({c: recent.select(c).scalar() for c in recent.columns})
 
 
 def with_extremes(df: DataFrame, measure: str) -> DataFrame:
-    """Marks the rows of an aggregated frame that hold the highest and the lowest measure, ties included."""
-    highest, lowest = df.select(F.max(measure)).scalar(), df.select(F.min(measure)).scalar()
-    return df.withColumns({"is_highest": F.col(measure) == highest, "is_lowest": F.col(measure) == lowest})
+    """Marks the rows of an aggregated frame that hold the highest and the lowest measure, ties included.
+
+    The frame is written once, as its rows and its two ends are read separately.
+    """
+    kept = written(df, "extremes")
+    highest, lowest = kept.select(F.max(measure)).scalar(), kept.select(F.min(measure)).scalar()
+    return kept.withColumns({"is_highest": F.col(measure) == highest, "is_lowest": F.col(measure) == lowest})
 
 
 def rank_by(df: DataFrame, measure: str, name: str = "rank") -> DataFrame:

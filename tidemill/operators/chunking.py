@@ -34,21 +34,23 @@ def stride_chunks(df: DataFrame, key: str, text: str = "text", size: int = CHUNK
     step = size - overlap
     length = F.length(text)
     last = F.greatest(F.ceil((length - size) / step), F.lit(0)).cast("int")
-    numbered = df.filter(length > 0).select(key, text, F.explode(F.sequence(F.lit(0), last)).alias("chunk_no"))
-    start = F.col("chunk_no") * step
-    return numbered.select(key, "chunk_no", start.alias("start"), F.substring(F.col(text), start + 1, F.lit(size))
-                           .alias("text"))
+    # The pieces are cut inside the row, so the whole text is not repeated for each of them.
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
+        (i * step).alias("start"), F.substring(F.col(text), i * step + 1, F.lit(size)).alias("text")))
+    cut = df.filter(length > 0).select(key, pieces.alias("pieces"))
+    return numbered_entries(cut, "pieces", "chunk_no", "piece", key).select(key, "chunk_no", "piece.start", "piece.text")
 
 
 def pages_of_lines(df: DataFrame, key: str, text: str, lines_per_page: int) -> DataFrame:
     """(key, page, text): a text laid out as pages of a fixed number of lines, pages counted from 1."""
-    lines = F.split(F.col(text), "\n", -1)
-    n_pages = F.ceil(F.size("lines") / lines_per_page).cast("int")
-    numbered = df.select(key, lines.alias("lines")).select(
-        key, "lines", F.explode(F.sequence(F.lit(1), n_pages)).alias("page")
+    lines = df.select(key, F.split(F.col(text), "\n", -1).alias("lines"))
+    last = F.ceil(F.size("lines") / lines_per_page).cast("int") - 1
+    pages = F.transform(F.sequence(F.lit(0), last), lambda p: F.array_join(
+        F.slice(F.col("lines"), p * lines_per_page + 1, F.lit(lines_per_page)), "\n"))
+    laid = lines.select(key, pages.alias("pages"))
+    return numbered_entries(laid, "pages", "place", "text", key).select(
+        key, (F.col("place") + 1).alias("page"), "text"
     )
-    own = F.slice("lines", (F.col("page") - 1) * lines_per_page + 1, F.lit(lines_per_page))
-    return numbered.select(key, "page", F.array_join(own, "\n").alias("text"))
 
 
 def page_spans(pages: DataFrame, key: str, page: str = "page", text: str = "text") -> DataFrame:

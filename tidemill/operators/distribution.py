@@ -22,6 +22,18 @@ def unpivoted(df: DataFrame, columns: Sequence[str], label: str = "column_name",
     return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), label, value)
 
 
+def counted_with_groups(values: DataFrame, per_group: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values (keys, v) with their multiplicity ``m`` and the written row of their group.
+
+    Few groups are broadcast to the rows as they are. Otherwise equal values are counted before they travel and
+    a hot group is spread by value.
+    """
+    if few_rows(per_group):
+        return values.withColumn("m", F.lit(1).cast("bigint")).join(F.broadcast(per_group), list(keys))
+    distinct = values.groupBy(*keys, "v").agg(F.count("*").alias("m"))
+    return salted_join(distinct, per_group, keys, "inner", ["v"])
+
+
 def quantile_parts(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
                    ) -> tuple[DataFrame, DataFrame]:
     """(group summary, ranked candidate values) for exact quantiles.
@@ -46,13 +58,7 @@ def quantile_parts(df: DataFrame, keys: Sequence[str], value: str, probs: Sequen
         mark: F.when(small, F.array_repeat(F.col(end), len(probs))).otherwise(F.slice("marks", start, len(probs)))
         for mark, (end, start) in ends.items()
     }).drop("marks"), "groups")
-    marks = summary.select(*keys, *ends)
-    if few_rows(marks):
-        marked = known.withColumn("m", F.lit(1)).join(F.broadcast(marks), list(keys))
-    else:
-        # Equal values are counted before they travel, then a hot group is spread by value.
-        distinct = known.groupBy(*keys, "v").agg(F.count("*").alias("m"))
-        marked = salted_join(distinct, marks, keys, "inner", ["v"])
+    marked = counted_with_groups(known, summary.select(*keys, *ends), keys)
     zone, inside = F.lit(0), F.lit(False)
     for i in range(len(probs)):
         above_low = F.col("v") >= F.col("low_marks")[i]
@@ -124,10 +130,9 @@ def box_plot(df: DataFrame, keys: Sequence[str], value: str, reach: float = 1.5)
     keys = list(keys)
     grouped = present(df, *keys).select(*keys, F.col(value).cast("double").alias("v"))
     fences = box_fences(grouped, keys, "v", reach)
-    # Equal values of a group are counted before the fences join.
-    distinct = grouped.groupBy(*keys, "v").agg(F.count("v").alias("m"))
+    ends = fences.select(*keys, "low_fence", "high_fence")
     within = F.col("v").between(F.col("low_fence"), F.col("high_fence"))
-    whiskers = join_group_values(distinct, fences.select(*keys, "low_fence", "high_fence"), keys).groupBy(*keys).agg(
+    whiskers = counted_with_groups(grouped.filter(F.col("v").isNotNull()), ends, keys).groupBy(*keys).agg(
         F.min(F.when(within, F.col("v"))).alias("low_whisker"),
         F.max(F.when(within, F.col("v"))).alias("high_whisker"),
         F.coalesce(F.sum(F.when(~within, F.col("m"))), F.lit(0)).alias("n_outliers"),

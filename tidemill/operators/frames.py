@@ -93,6 +93,13 @@ def by_key(df: DataFrame, key: str, *columns: str) -> DataFrame:
     return df.select(key, *columns).repartition(F.col(key))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Shares a table that comes in fewer splits than there are cores among all cores, for work that is heavy
+    per row. A large table has more splits than cores and passes through without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def append_partial(df: DataFrame, extra: DataFrame) -> DataFrame:
     """Appends rows that lack some columns; those become null."""
     return df.unionByName(extra, allowMissingColumns=True)

@@ -81,13 +81,11 @@ def requested_availability(requested: DataFrame, stock: DataFrame, on_missing: s
     """
     asked = requested.select(F.col("sku").alias("asked")).distinct()
     per_article = availability(stock, qualities)
-    # An article answers to its code and to its name; stock is summed per article before the join.
+    # An article answers to its code and to its name; stock is added up per answer before the join.
     aliases = per_article.withColumn("asked", F.explode(F.array_distinct(F.array("skuCode", "skuName"))))
-    found = (
-        asked.join(aliases, "asked")
-        .groupBy("asked")
-        .agg(F.min("skuName").alias("skuName"), F.sum("totalQty").alias("totalQty"),
-             F.sum("totalOccupied").alias("totalOccupied"), F.sum("availableQty").alias("availableQty"))
+    found = aliases.groupBy("asked").agg(
+        F.min("skuName").alias("skuName"), F.sum("totalQty").alias("totalQty"),
+        F.sum("totalOccupied").alias("totalOccupied"), F.sum("availableQty").alias("availableQty"),
     )
     answer = asked.join(found, "asked", "left").withColumnRenamed("asked", "skuCode")
     if on_missing == "status":
@@ -103,22 +101,22 @@ def bin_status(requests: DataFrame, physical: DataFrame) -> DataFrame:
 
     A request without a bin matches every bin of the article.
     """
-    per_bin = physical.groupBy("skuCode", "binCode").agg(
-        F.count("*").alias("n_rows"), F.sum("qty").alias("qty"), F.sum("occupied").alias("occupied")
+    sums = [F.count("*").alias("n_rows"), F.sum("qty").alias("qty"), F.sum("occupied").alias("occupied")]
+    per_bin = physical.groupBy(F.col("skuCode").alias("sku"), F.col("binCode").alias("bin")).agg(*sums)
+    per_sku = per_bin.groupBy("sku").agg(
+        F.sum("n_rows").alias("all_rows"), F.sum("qty").alias("all_qty"), F.sum("occupied").alias("all_occupied")
     )
-    known = per_bin.select(F.col("skuCode").alias("sku"), "binCode", F.col("n_rows").alias("k"),
-                           F.col("qty").alias("q"), F.col("occupied").alias("o"))
-    asked = requests.select("sku", "bin").distinct()
-    hit = F.col("bin").isNull() | (F.col("bin") == F.col("binCode"))
-    return (
-        asked.join(known, "sku", "left")
-        .groupBy("sku", "bin")
-        .agg(F.count("binCode").alias("n_bins"), F.sum(F.when(hit, F.col("k"))).alias("n_rows"),
-             F.sum(F.when(hit, F.col("q"))).alias("qty"), F.sum(F.when(hit, F.col("o"))).alias("occupied"))
-        .withColumn("status", F.when(F.col("n_bins") == 0, "NO_SKU").when(F.col("n_rows").isNull(), "NO_BIN")
-                    .otherwise("FOUND"))
-        .select("sku", "bin", "status", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "qty", "occupied",
-                (F.col("qty") - F.col("occupied")).alias("available"))
+    # One row per article and one per bin: a request never meets the other bins of its article.
+    answered = requests.select("sku", "bin").distinct().join(per_sku, "sku", "left").join(per_bin, ["sku", "bin"], "left")
+    whole = F.col("bin").isNull()
+    chosen = {c: F.when(whole, F.col(f"all_{part}")).otherwise(F.col(c))
+              for c, part in (("n_rows", "rows"), ("qty", "qty"), ("occupied", "occupied"))}
+    return answered.withColumns(chosen).select(
+        "sku", "bin",
+        F.when(F.col("all_rows").isNull(), "NO_SKU").when(F.col("n_rows").isNull(), "NO_BIN").otherwise("FOUND")
+        .alias("status"),
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "qty", "occupied",
+        (F.col("qty") - F.col("occupied")).alias("available"),
     )
 
 

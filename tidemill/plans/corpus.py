@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import text as tx
 from tidemill.operators import chunking, corpus
-from tidemill.operators.frames import by_key
+from tidemill.operators.frames import by_key, spread
 from tidemill.operators.windows import top_k
 from tidemill.sources.tables import table
 
@@ -19,22 +19,26 @@ def documents(spark, folder):
     return table(spark, folder, "documents").select("doc_id", "text")
 
 
+def shared_documents(spark, folder):
+    return spread(documents(spark, folder))
+
+
 def clean_text(spark, folder):
-    return documents(spark, folder).select("doc_id", tx.clean_english(F.col("text")).alias("clean"))
+    return shared_documents(spark, folder).select("doc_id", tx.clean_english(F.col("text")).alias("clean"))
 
 
 def clean_lines(spark, folder):
-    return documents(spark, folder).select("doc_id", tx.strip_blank_lines(F.col("text")).alias("content"))
+    return shared_documents(spark, folder).select("doc_id", tx.strip_blank_lines(F.col("text")).alias("content"))
 
 
 def stopword_filter(spark, folder):
-    return documents(spark, folder).select(
+    return shared_documents(spark, folder).select(
         "doc_id", F.array_join(tx.content_words(F.col("text")), " ").alias("words")
     )
 
 
 def pad_tokens(spark, folder):
-    return documents(spark, folder).select(
+    return shared_documents(spark, folder).select(
         "doc_id", F.array_join(tx.pad_tokens(tx.segment(F.col("text")), 190), " ").alias("padded")
     )
 
@@ -45,32 +49,36 @@ def chinese_text():
 
 
 def keep_cjk(spark, folder):
-    return documents(spark, folder).select("doc_id", tx.keep_cjk(chinese_text()).alias("cjk"))
+    return shared_documents(spark, folder).select("doc_id", tx.keep_cjk(chinese_text()).alias("cjk"))
 
 
 def char_tokens(spark, folder):
     tokens = tx.segment(chinese_text(), "char", tx.SEGMENT_STOP_WORDS)
-    return documents(spark, folder).select("doc_id", tokens.alias("tokens")).select(
+    return shared_documents(spark, folder).select("doc_id", tokens.alias("tokens")).select(
         "doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens")
     )
 
 
 def top_ngrams(spark, folder):
-    return corpus.top_ngrams(documents(spark, folder), "text", 3, 20)
+    return corpus.top_ngrams(shared_documents(spark, folder), "text", 3, 20)
 
 
 def top_words(spark, folder):
-    return corpus.top_ngrams(documents(spark, folder), "text", 1, 20)
+    return corpus.top_ngrams(shared_documents(spark, folder), "text", 1, 20)
 
 
 def cleaned(rows):
-    """Cleaned texts, partitioned by document before the cleaning."""
-    return by_key(rows, "doc_id", "text").select("doc_id", tx.clean_english(F.col("text")).alias("text"))
+    return rows.select("doc_id", tx.clean_english(F.col("text")).alias("text"))
+
+
+def document_weights(rows, terms):
+    """Texts are partitioned by document before they are cleaned."""
+    return corpus.tfidf(cleaned(by_key(rows, "doc_id", "text")), "doc_id", "text", terms)
 
 
 def tfidf_weights(spark, folder):
-    rows = cleaned(documents(spark, folder))
-    weights = corpus.tfidf(rows, "doc_id", "text", corpus.fit_terms(rows, "text"))
+    terms = corpus.fit_terms(cleaned(shared_documents(spark, folder)), "text")
+    weights = document_weights(documents(spark, folder), terms)
     return weights.withColumn("weight", F.round("weight", 6))
 
 
@@ -78,9 +86,8 @@ def similar_documents(spark, folder):
     """The ten documents most like the first document of every source."""
     rows = table(spark, folder, "documents")
     first = rows.join(corpus.first_of_each_name(rows, "source", "doc_id"), "doc_id", "left_semi")
-    terms = corpus.fit_terms(cleaned(rows), "text")
-    weights, asked = (corpus.tfidf(cleaned(part), "doc_id", "text", terms) for part in (rows, first))
-    best = corpus.similar_documents(weights, asked, "doc_id", 10)
+    terms = corpus.fit_terms(cleaned(shared_documents(spark, folder)), "text")
+    best = corpus.similar_documents(document_weights(rows, terms), document_weights(first, terms), "doc_id", 10)
     return best.select("query_id", "doc_id", F.round("cosine", 6).alias("cosine"), "rank")
 
 
@@ -105,7 +112,7 @@ def fixed_stride_chunks(spark, folder):
 
 
 def recursive_chunks(spark, folder):
-    return chunking.recursive_chunks(documents(spark, folder), "doc_id")
+    return chunking.recursive_chunks(shared_documents(spark, folder), "doc_id")
 
 
 def spans(spark, folder):

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.text import word_tokens
 from tidemill.functions.values import decode_label, encode_label, hash_order, in_fraction, one_hot
+from tidemill.operators import frames
 from tidemill.operators import vocabulary as voc
 from tidemill.operators import windows
-from tidemill.operators.frames import by_key
 from tidemill.operators.models import train_word_vectors
 from tidemill.operators.vectors import nearest_or_unknown
 from tidemill.session import scratch_path, written
@@ -76,12 +76,14 @@ def cyclic_batches(spark, folder):
 
 
 def tokens(spark, folder):
-    rows = by_key(table(spark, folder, "documents"), "doc_id", "lang", "text")
+    """Texts partitioned by document, so that index rows are gathered where they arise."""
+    rows = frames.by_key(table(spark, folder, "documents"), "doc_id", "lang", "text")
     return rows.select("doc_id", "lang", word_tokens(F.col("text")).alias("tokens"))
 
 
 def words(spark, folder):
-    return voc.build_vocabulary(tokens(spark, folder), "tokens", 2)
+    texts = frames.spread(table(spark, folder, "documents").select("text"))
+    return voc.build_vocabulary(texts.select(word_tokens(F.col("text")).alias("tokens")), "tokens", 2)
 
 
 def vocabulary(spark, folder):

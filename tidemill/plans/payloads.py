@@ -66,7 +66,7 @@ def tool_call_rounds(spark, folder):
     """The round every message belongs to: assistant messages up to and including it."""
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role")
     step = (F.col("role") == "assistant").cast("bigint")
-    return windows.running_total(rows, "conv_id", "turn", step, block=4, name="round_no")
+    return windows.running_total(rows, "conv_id", "turn", step, name="round_no")
 
 
 def row_validation(spark, folder):
@@ -89,7 +89,8 @@ def parsed_documents(spark, folder):
         F.size(F.split(line, " ")).alias("token"),
         F.when(F.contains(line, F.lit("|")), F.concat(F.lit("|"), F.trim(line))).alias("table"), i.alias("i"),
     ))
-    rows = frames.by_key(table(spark, folder, "documents"), "doc_id", "text").select("doc_id", lines.alias("lines"))
+    texts = frames.spread(table(spark, folder, "documents").select("doc_id", "text"))
+    rows = texts.select("doc_id", lines.alias("lines"))
     numbers = F.sequence(F.lit(0), F.floor((F.size("lines") - 1) / 5).cast("int"))
     pages = F.transform(numbers, lambda p: F.struct(
         (p + 1).alias("page_num"), F.slice(F.col("lines"), p * 5 + 1, F.lit(5)).alias("content")))

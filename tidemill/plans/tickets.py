@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.values import whole_number_text
 from tidemill.operators import aggregates as agg
 from tidemill.operators import frames, windows
+from tidemill.session import written
 from tidemill.sources.tables import register_views, sql_scan, table, target_scan
 
 
@@ -72,7 +73,8 @@ def stacked_series_base(spark, folder):
 
 def dynamic_pivot_mean(spark, folder):
     """Months down, the channel and status pairs found in the data across."""
-    wide = agg.dynamic_pivot(channel_months(spark, folder))
+    # Read twice, for the headers and for the cells.
+    wide = agg.dynamic_pivot(written(channel_months(spark, folder), "series"))
     return wide.select("month", *[F.round(c, 6).alias(c) for c in wide.columns[1:]])
 
 
