@@ -191,7 +191,8 @@ NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber
 
 
 def column_profile(spark, folder):
-    return distribution.column_profile(table(spark, folder, "lineitem"), NUMBERS, places=3)
+    numbers = frames.spread(table(spark, folder, "lineitem").select(*NUMBERS))
+    return distribution.column_profile(numbers, NUMBERS, places=3)
 
 
 def correlation_matrix(spark, folder):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import aggregates as agg
 from tidemill.operators import distribution
+from tidemill.operators.frames import spread
 from tidemill.operators.joins import left_lookup
 from tidemill.sources.tables import table
 
@@ -80,9 +81,10 @@ def trend_by_district(spark, folder):
 
 
 def boxplot_stats(spark, folder):
-    rows = table(spark, folder, "lineitem").select(
+    prices = table(spark, folder, "lineitem").select(
         F.col("l_suppkey").alias("hospital_id"), F.col("l_extendedprice").alias("rate")
-    ).join(hospitals(spark, folder), "hospital_id")
+    )
+    rows = spread(prices).join(hospitals(spark, folder), "hospital_id")
     stats = distribution.box_plot(rows, ["hospital_district"], "rate")
     return stats.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
 
