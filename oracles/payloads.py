@@ -59,6 +59,7 @@ ORACLES = {
     "positive_negative": r"""SELECT CASE quality WHEN 1 THEN '0,1' ELSE '1,0' END AS label, count(*) AS n_lines,
         sum(length(regexp_replace(text, '[\r\n]+', ' ', 'g')))::BIGINT AS n_chars
         FROM documents JOIN labels USING (doc_id) GROUP BY 1""",
+    "labelled_corpus": "SELECT 'lang=' || lang AS label, count(*) AS n_docs FROM documents GROUP BY 1",
     "report_lines": """SELECT '- ' || n_name || ': ' || count(*) AS line FROM customer
         JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
     "vector_store": """SELECT (label + 1)::INT AS page, count(*) AS n_chunks, sum(len(embedding))::BIGINT AS n_values,

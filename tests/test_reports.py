@@ -106,6 +106,18 @@ def test_snapshot_fill_and_validation(spark):
     assert sorted(rows(checked), key=str) == [(1, 2.0, "small"), (2, 4.0, None), (2, None, "no_v")]
 
 
+def test_appended_row_lacks_columns(spark):
+    df = spark.createDataFrame([("a", 1, 2.0)], "k string, v int, w double")
+    extra = spark.createDataFrame([("other", 3)], "k string, v int")
+    assert sorted(rows(frames.append_partial(df, extra))) == [("a", 1, 2.0), ("other", 3, None)]
+
+
+def test_column_kinds(spark):
+    df = spark.createDataFrame([("a", 1, 2.0)], "k string, v int, w double")
+    assert frames.numeric_columns(df) == ["v", "w"] and frames.text_columns(df) == ["k"]
+    assert [r["column_name"] for r in frames.describe_columns(df).collect()] == ["k", "v", "w"]
+
+
 def test_empty_input_keeps_the_schema(spark):
     empty = spark.createDataFrame([], "d date, v int")
     assert windows.moving_average(empty, "d", "v").columns == ["d", "v", "moving_avg"]

@@ -168,7 +168,10 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
     assert {r["day"].day: r["n_events"] for r in whole.collect()} == {1: 4, 2: 4, 3: 5, 9: 1}
 
 
-def test_stream_equals_batch(spark, small):
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai"])
+def test_stream_equals_batch(spark, small, zone, request):
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.session.timeZone", "UTC"))
+    spark.conf.set("spark.sql.session.timeZone", zone)
     events = tables.table(spark, small, "events")
     batch = events.groupBy(F.to_date("ts").alias("day")).agg(*daily.totals())
     streamed = daily.stream_daily_totals(spark, small)

@@ -170,6 +170,16 @@ def positive_negative(spark, folder):
     )
 
 
+def labelled_corpus(spark, folder):
+    """Documents written as lines into one folder per language, read back with the folder as label."""
+    path = scratch_path(spark, "corpus")
+    line = F.regexp_replace("text", r"[\r\n]+", " ").alias("value")
+    table(spark, folder, "documents").select("lang", line).write.partitionBy("lang").text(path)
+    corpus = files.read_labelled_lines(spark, path)
+    counts = files.label_counts(corpus)
+    return counts.withColumn("label", F.replace("label", F.lit("lang%3D"), F.lit("lang=")))
+
+
 def report_lines(spark, folder):
     """A text report of rows per nation, written and read back."""
     path = scratch_path(spark, "report")
@@ -214,6 +224,7 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "merged_text": merged_text,
     "positive_negative": positive_negative,
+    "labelled_corpus": labelled_corpus,
     "report_lines": report_lines,
     "vector_store": vector_store,
     "stream_daily_totals": stream_daily_totals,

@@ -73,6 +73,12 @@ def read_labelled_corpus(spark: SparkSession, path: str) -> DataFrame:
     return read_documents(spark, path).withColumn("label", parent_folder(F.col("path")))
 
 
+def read_labelled_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One document per line, labelled with the name of the folder its file lies in."""
+    lines = spark.read.format("text").option("recursiveFileLookup", "true").load(path)
+    return lines.select(parent_folder(F.col("_metadata.file_path")).alias("label"), F.col("value").alias("content"))
+
+
 def label_counts(corpus: DataFrame) -> DataFrame:
     return corpus.groupBy("label").agg(F.count("*").alias("n_docs")).orderBy(F.desc("n_docs"), "label")
 

@@ -19,6 +19,10 @@ def totals() -> list:
     ]
 
 
+def session_zone(spark: SparkSession) -> str:
+    return spark.conf.get("spark.sql.session.timeZone")
+
+
 def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parquet", files_per_trigger: int = 1000
                  ) -> DataFrame:
     return (
@@ -26,7 +30,8 @@ def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parque
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(folder)
-        .withColumn("ts", F.col("ts").cast("timestamp"))
+        # Wall-clock times read as UTC whatever the session's zone, since day windows begin at UTC midnight.
+        .withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), session_zone(spark)))
     )
 
 
@@ -37,11 +42,12 @@ def run_daily_totals(stream: DataFrame, output: str, checkpoint: str, lateness:
     Events that arrive for a closed day are dropped. Started again with the same checkpoint it goes on where it
     stopped.
     """
+    zone = session_zone(stream.sparkSession)
     daily = (
         stream.withWatermark("ts", lateness)
         .groupBy(F.window("ts", "1 day"))
         .agg(*totals())
-        .select(F.to_date("window.start").alias("day"), "n_events", "total_value", "last_event")
+        .select(F.to_date(F.to_utc_timestamp("window.start", zone)).alias("day"), "n_events", "total_value", "last_event")
     )
     query = (
         daily.writeStream.format("parquet")
