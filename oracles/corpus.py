@@ -24,21 +24,22 @@ def words(text: str) -> str:
       lambda w: NOT list_contains({STOP_LIST}, w))"""
 
 
-def runs(tokens: str, n: int) -> str:
-    return f"list_transform(range(1, len({tokens}) - {n - 2}), lambda i: array_to_string({tokens}[i:i + {n - 1}], ' '))"
-
-
-NGRAM = "list_concat(list_concat({0}, {1}), {2})".format(*(runs("t", n) for n in (1, 2, 3)))
-TFIDF = f"""c AS (SELECT doc_id, {CLEAN} AS text FROM documents),
-  w AS (SELECT doc_id, {words("text")} AS t FROM c),
-  g AS (SELECT doc_id, unnest({NGRAM}) AS term FROM w),
+NGRAMS = """e AS (SELECT doc_id, unnest(t) AS a, generate_subscripts(t, 1) AS i FROM w),
+  l AS (SELECT doc_id, a, lead(a) OVER x AS b, lead(a, 2) OVER x AS c FROM e
+        WINDOW x AS (PARTITION BY doc_id ORDER BY i)),
+  g1 AS (SELECT doc_id, a AS term FROM l),
+  g2 AS (SELECT doc_id, a || ' ' || b AS term FROM l WHERE b IS NOT NULL),
+  g3 AS (SELECT doc_id, a || ' ' || b || ' ' || c AS term FROM l WHERE c IS NOT NULL)"""
+TFIDF = f"""d AS (SELECT doc_id, {CLEAN} AS text FROM documents),
+  w AS (SELECT doc_id, {words("text")} AS t FROM d), {NGRAMS},
+  g AS (FROM g1 UNION ALL FROM g2 UNION ALL FROM g3),
   tf AS (SELECT doc_id, term, count(*) AS tf FROM g GROUP BY 1, 2),
   n AS (SELECT count(*) AS n FROM documents),
   df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
   r AS (SELECT doc_id, term, tf * (ln((1 + n)::DOUBLE / (1 + df)) + 1) AS raw
         FROM tf JOIN df USING (term), n WHERE df >= n * 0.01),
-  l AS (SELECT doc_id, sqrt(sum(raw * raw)) AS norm FROM r GROUP BY 1),
-  v AS (SELECT doc_id, term, raw / norm AS weight FROM r JOIN l USING (doc_id))"""
+  z AS (SELECT doc_id, sqrt(sum(raw * raw)) AS norm FROM r GROUP BY 1),
+  v AS (SELECT doc_id, term, raw / norm AS weight FROM r JOIN z USING (doc_id))"""
 
 
 def bm25(documents: str, key: str) -> str:
@@ -84,9 +85,8 @@ ORACLES = {
         'g')) AS cjk FROM documents""",
     "char_tokens": f"""WITH c AS (SELECT doc_id, regexp_extract_all({CJK}, '[一-鿿]') AS t FROM documents)
         SELECT doc_id, len(t)::INT AS n_tokens, array_to_string(t, ' ') AS tokens FROM c""",
-    "top_ngrams": f"""WITH w AS (SELECT {words('text')} AS t FROM documents),
-        g AS (SELECT unnest({runs('t', 3)}) AS ngram FROM w)
-        SELECT ngram, count(*) AS n FROM g GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""",
+    "top_ngrams": f"""WITH w AS (SELECT doc_id, {words('text')} AS t FROM documents), {NGRAMS}
+        SELECT term AS ngram, count(*) AS n FROM g3 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""",
     "top_words": f"""WITH g AS (SELECT unnest({words('text')}) AS ngram FROM documents)
         SELECT ngram, count(*) AS n FROM g GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""",
     "tfidf_weights": f"WITH {TFIDF} SELECT doc_id, term, round(weight, 6) AS weight FROM v",
