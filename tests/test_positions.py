@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions.values import hash_order
 from tidemill.operators import windows
 
 
-def test_ordered_index_equals_sorting(spark):
+@pytest.mark.parametrize("partitions", [None, 7])
+def test_ordered_index_equals_sorting(spark, partitions):
     data = [((i * 7919) % 1000, f"w{i % 13}") for i in range(1000)]
     df = spark.createDataFrame(data, "k int, w string").repartition(5)
-    got = windows.ordered_index(df, F.desc("w"), F.col("k")).collect()
+    got = windows.ordered_index(df, F.desc("w"), F.col("k"), partitions=partitions).collect()
     expected = sorted(data, key=lambda r: (r[1], -r[0]), reverse=True)
     assert [(r["k"], r["w"]) for r in sorted(got, key=lambda r: r["index"])] == expected
     assert sorted(r["index"] for r in got) == list(range(1000))

@@ -58,12 +58,10 @@ def ordered_index(df: DataFrame, *order: str | Column, name: str = "index", part
     partition; the partition sizes (one small row each) then give every partition its offset. The order must
     be unique for the numbering to be repeatable.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    local = F.monotonically_increasing_id()
-    placed = written(
-        df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("placed", local), "ordered"
-    ).withColumns({"part": F.shiftright("placed", 33), "offset_in_part": F.col("placed").bitwiseAND((1 << 33) - 1)})
+    # Without a stated number of partitions Spark joins neighbouring ranges that turn out small.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    numbered = ranged.sortWithinPartitions(*order).withColumn("placed", F.monotonically_increasing_id())
+    placed = written(numbered, "ordered").withColumns({"part": F.shiftright("placed", 33), "offset_in_part": F.col("placed").bitwiseAND((1 << 33) - 1)})
     sizes = placed.groupBy("part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     # One row per partition of the table: a few thousand at most, whatever the table's size.
