@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.session import written
+
 BROADCAST_LIMIT = 200_000  # rows of a written table that may be sent to every task
 
 
@@ -62,3 +64,23 @@ def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
+
+
+def kept_rows(docs: DataFrame, decisions: DataFrame, content_key: Column, id_column: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they were.
+
+    ``decisions`` is a written table with one row per document: doc_id, content_key, kept. Rows are told by both.
+    Where a kept row has twins with its own doc_id and content, one of them stays.
+    """
+    per_row = decisions.groupBy("doc_id", "content_key").agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
+    marks = written(per_row.filter(~F.col("stays") | (F.col("n") > 1)).select(
+        F.col("doc_id").alias("doc_id__"), F.col("content_key").alias("content_key__"), "stays"), "marks")
+    own = {"own_id__": F.col(f"`{id_column}`").cast("long"), "own_key__": content_key}
+    same = F.col("own_id__").eqNullSafe(F.col("doc_id__")) & (F.col("own_key__") == F.col("content_key__"))
+    left = docs.withColumns(own).join(bounded_broadcast(marks.filter(~F.col("stays"))), same, "left_anti")
+    twins = marks.filter("stays")
+    if not twins.isEmpty():
+        twins = bounded_broadcast(twins)
+        once = left.join(twins, same, "left_semi").dropDuplicates(list(own))
+        left = left.join(twins, same, "left_anti").unionByName(once)
+    return left.drop(*own)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import bounded_broadcast, documents_of, identified
+from tidemill.llm.common import bounded_broadcast, documents_of, identified, kept_rows
 from tidemill.session import scratch_path, written
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -112,24 +112,10 @@ def told_apart(named: DataFrame, digest, entry: Column, collided: DataFrame) ->
 
 
 def kept_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they were.
-
-    Rows are told by doc_id and digest. Where the kept row has twins with its own doc_id, one of them stays.
-    """
-    decided = written(deduplicate(docs, id_column, text_column), "dedup")
-    per_row = decided.groupBy("doc_id", "digest").agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
-    marks = written(per_row.filter(~F.col("stays") | (F.col("n") > 1)).select(
-        F.col("doc_id").alias("doc_id__"), F.col("digest").alias("digest__"), "stays"), "dedup-marks")
-    own = {"own_id__": F.col(f"`{id_column}`").cast("long"),
-           "own_digest__": sha256_digest(normalised(F.coalesce(F.col(f"`{text_column}`"), F.lit(""))))}
-    same = F.col("own_id__").eqNullSafe(F.col("doc_id__")) & (F.col("own_digest__") == F.col("digest__"))
-    left = docs.withColumns(own).join(bounded_broadcast(marks.filter(~F.col("stays"))), same, "left_anti")
-    twins = marks.filter("stays")
-    if not twins.isEmpty():
-        twins = bounded_broadcast(twins)
-        once = left.join(twins, same, "left_semi").dropDuplicates(list(own))
-        left = left.join(twins, same, "left_anti").unionByName(once)
-    return left.drop(*own)
+    """The rows of ``docs`` that stay, all columns as they were."""
+    decided = written(deduplicate(docs, id_column, text_column).withColumnRenamed("digest", "content_key"), "dedup")
+    text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
+    return kept_rows(docs, decided, sha256_digest(normalised(text)), id_column)
 
 
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
