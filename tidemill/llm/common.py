@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Cuts record batches so that each holds about ``limit`` bytes of ``column``, one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int, rows: int = 1 << 30
+           ) -> Iterator[pa.RecordBatch]:
+    """Cuts record batches so that each holds about ``limit`` bytes of ``column`` and ``rows`` rows, one at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -55,6 +57,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
         start = 0
         while start < batch.num_rows:
             end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1)
+            end = min(end, start + rows, batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
 
@@ -66,6 +69,61 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse among 64-bit numbers
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+SPACES = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", dtype=np.uint8))
+
+
+@cache
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of ``BASE`` and of its inverse."""
+    steps = np.ones((2, n), dtype=np.uint64)
+    steps[0, 1:], steps[1, 1:] = BASE, INVERSE
+    return tuple(np.multiply.accumulate(steps, axis=1))
+
+
+def prefix_hash(raw: np.ndarray) -> np.ndarray:
+    """Running sums from which ``span_hash`` reads the hash of any span."""
+    terms = (raw.astype(np.uint64) + np.uint64(1)) * powers(room(len(raw)))[0][: len(raw)]
+    return np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(terms, dtype=np.uint64)])
+
+
+def room(n: int) -> int:
+    """The next power of two, so that few tables of powers are made."""
+    return 1 << max(10, int(n).bit_length())
+
+
+def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return mixed((sums[ends] - sums[starts]) * powers(room(len(sums)))[1][starts])
+
+
+def word_spans(raw: np.ndarray, offsets: np.ndarray, block: int
+               ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Words between ASCII white space, block by block: (text number, start, end, 64-bit hash).
+
+    A block ends at the last word that is whole within it, so a word is cut only where it is longer than a block.
+    """
+    start = 0
+    while start < len(raw):
+        part = raw[start: start + block]
+        if start + block < len(raw):
+            gaps = np.flatnonzero(SPACES[part])
+            part = part[: gaps[-1] + 1] if len(gaps) else part
+        stop = start + len(part)
+        blank = SPACES[part]
+        first = ~blank
+        first[1:] &= blank[:-1]
+        edges = offsets[(offsets > start) & (offsets < stop)] - start
+        first[edges] = ~blank[edges]
+        last = ~blank
+        last[:-1] &= blank[1:]
+        last[edges - 1] = ~blank[edges - 1]
+        starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+        hashes = span_hash(prefix_hash(part), starts, ends)
+        yield np.searchsorted(offsets, starts + start, side="right") - 1, starts + start, ends + start, hashes
+        start = stop
+
+
 def kept_rows(docs: DataFrame, decisions: DataFrame, content_key: Column, id_column: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were.
 
