@@ -10,14 +10,20 @@ of the collection costs no more than any other; the copies' rows meet their clas
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import bounded_broadcast, documents_of, identified, kept_rows
 from tidemill.session import scratch_path, written
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = "spark.sql.streaming.stateStore"
+SETTINGS = {
+    f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{STATE}.rocksdb.allowFAllocate": "false",  # no disk is set aside ahead of use, for each of many small stores
+}
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -40,16 +46,24 @@ def add_to_state(spark: SparkSession, seen: str, state: str, files_per_batch: in
     if files_per_batch:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
     held = stream.parquet(seen).groupBy("digest").agg(F.min("entry").alias("first"), F.count("*").alias("n"))
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    query = (
+        held.writeStream.format("noop").outputMode("update").option("checkpointLocation", state)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Keeps stream state in RocksDB for as long as the block runs."""
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     try:
-        query = (
-            held.writeStream.format("noop").outputMode("update").option("checkpointLocation", state)
-            .trigger(availableNow=True).start()
-        )
-        query.awaitTermination()
+        yield
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def held_classes(spark: SparkSession, state: str) -> DataFrame:
@@ -77,8 +91,9 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     named.select(digest(F.col("text")).alias("digest"), entry.alias("entry")).write.parquet(seen)
 
     folder = state or scratch_path(spark, "digest-state")
-    add_to_state(spark, seen, folder, files_per_batch)
-    several = written(held_classes(spark, folder).filter(F.col("n") > 1), "digest-classes")
+    with state_on_disk(spark):
+        add_to_state(spark, seen, folder, files_per_batch)
+        several = written(held_classes(spark, folder).filter(F.col("n") > 1), "digest-classes")
 
     # Full bytes on every hit: equal texts are added up in each task before one copy of each is shuffled.
     hits = bounded_broadcast(several.select("digest"))
