@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("exact_dedup", "fingerprints", "license_scan", "simhash", "byte_bpe", "quality")
+MODULES = ("exact_dedup", "fingerprints", "license_scan", "simhash", "packing", "language_id", "byte_bpe", "quality")
 
 
 def all_queries() -> dict:
