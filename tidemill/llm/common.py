@@ -37,10 +37,10 @@ def bounded_broadcast(table: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFra
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of an Arrow string column end to end, and the n+1 offsets of its values."""
+    """The bytes of an Arrow string or binary column end to end, and the n+1 offsets of its values."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    large = column.cast(pa.large_string())
+    large = column.cast(pa.large_binary())
     offsets = np.frombuffer(large.buffers()[1], dtype=np.int64)[large.offset: large.offset + len(large) + 1]
     data = large.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
