@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("exact_dedup", "fingerprints", "license_scan", "simhash", "packing", "suffix_dedup", "language_id",
-           "byte_bpe", "quality")
+MODULES = ("line_dedup", "exact_dedup", "fingerprints", "license_scan", "simhash", "packing", "suffix_dedup",
+           "language_id", "byte_bpe", "quality")
 
 
 def all_queries() -> dict:
