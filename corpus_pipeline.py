@@ -1,19 +1,54 @@
-"""A training-data pipeline over documents."""
+"""From raw documents to packed training batches.
+
+Stages work on all rows their predecessor kept: poor texts go, then copies, then near copies, then passages that repeat
+in what is left; the last stage deals the remaining texts into batches of nearly equal lengths. Every stage is written
+to the shared folder and read back, so a lost executor never costs more than one stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import exact_dedup
+from tidemill.llm import exact_dedup, packing, quality, simhash, suffix_dedup
 from tidemill.session import written
 
+PASSAGE = 250  # bytes; some fifty words, short of a long sentence that two authors may share
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents the quality score does not reject."""
+    return quality.kept_documents(spark, docs, folder)
+
 
 def without_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The document with the smallest doc_id of all that are equal but for white space."""
     return exact_dedup.kept_documents(docs)
 
 
-STAGES = [("exact dedup", without_copies)]
-ORACLE_SQL = None
+def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group linked by fingerprints at most two bits apart."""
+    return simhash.kept_documents(docs, simhash.SHINGLE)
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, later copies of repeated passages cut out of their texts."""
+    return suffix_dedup.cleaned_documents(docs, PASSAGE)
+
+
+def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Where each piece of each text stands in the batches."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("exact dedup", without_copies),
+    ("SimHash near-dedup", without_near_copies),
+    ("suffix-array dedup", without_repeated_passages),
+    ("packing", packed),
+]
+
+ORACLE_SQL = None  # SQL expresses neither the classifier nor the boundaries of the buckets
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
