@@ -44,7 +44,7 @@ def shapes() -> np.ndarray:
 def run_counts(raw: np.ndarray, offsets: np.ndarray, width: int, seed: int) -> np.ndarray:
     """Counts of hashed runs of ``width`` bytes per text, taken in blocks; no run crosses two texts."""
     counts = np.zeros((len(offsets) - 1) * HALF)
-    cut = np.concatenate([offsets[1:] - i for i in range(1, width)])  # runs that would start here cross a text's end
+    cut = np.unique([offsets[1:] - i for i in range(1, width)])  # runs that would start here cross a text's end
     for start in range(0, len(raw), BLOCK):
         part = raw[start: start + BLOCK + width - 1]
         n = len(part) - width + 1
