@@ -1,4 +1,4 @@
-"""Daily totals kept up to date from a stream of event files."""
+"""Daily totals kept by a stream of event files."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from tidemill.session import scratch_path
 from tidemill.sources import schemas
 
-CLOSED = "day date, n_events bigint, total_value decimal(28,2), last_event bigint"
-
 
 def totals() -> list:
     return [
@@ -19,63 +17,37 @@ def totals() -> list:
     ]
 
 
-def session_zone(spark: SparkSession) -> str:
-    return spark.conf.get("spark.sql.session.timeZone")
-
-
-def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parquet", files_per_trigger: int = 1000
+def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parquet", files_per_trigger: int | None = None
                  ) -> DataFrame:
-    return (
-        spark.readStream.schema(schemas.TABLES["events"])
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
-        # Wall-clock times read as UTC whatever the session's zone, since day windows begin at UTC midnight.
-        .withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), session_zone(spark)))
-    )
+    """All event files of a folder, old and new; ``files_per_trigger`` only cuts the work, never the result."""
+    files = spark.readStream.schema(schemas.TABLES["events"]).option("pathGlobFilter", pattern)
+    return (files.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else files).parquet(folder)
 
 
-def run_daily_totals(stream: DataFrame, output: str, checkpoint: str, lateness: str = "1 day") -> None:
-    """Processes all files present, appends every closed day to ``output`` and stops.
+def run_daily_totals(stream: DataFrame, checkpoint: str) -> None:
+    """Adds all files not seen before to the totals kept in ``checkpoint`` and stops.
 
-    A day closes once events ``lateness`` younger than its end have been seen; its state is then released.
-    Events that arrive for a closed day are dropped. Started again with the same checkpoint it goes on where it
-    stopped.
+    The state is one row per day and never expires, so files may come in any order, days apart, and in any number of
+    micro-batches. Started again with the same checkpoint it goes on where it stopped. There must be a file.
     """
-    zone = session_zone(stream.sparkSession)
-    daily = (
-        stream.withWatermark("ts", lateness)
-        .groupBy(F.window("ts", "1 day"))
-        .agg(*totals())
-        .select(F.to_date(F.to_utc_timestamp("window.start", zone)).alias("day"), "n_events", "total_value", "last_event")
-    )
+    daily = stream.withColumn("day", F.to_date("ts")).groupBy("day").agg(*totals())
     query = (
-        daily.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(output)
+        daily.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    if query.exception():
-        raise query.exception()
-
 
-def with_open_days(closed: DataFrame, events: DataFrame) -> DataFrame:
-    """Closed days from the stream and the days still open from the events themselves.
 
-    Only events after the last closed day are read for the second part.
-    """
-    last = closed.agg(F.max("day").alias("d")).first()["d"]
-    recent = events if last is None else events.filter(F.col("ts") >= F.lit(last).cast("timestamp_ntz")
-                                                       + F.expr("interval 1 day"))
-    still_open = recent.groupBy(F.to_date("ts").alias("day")).agg(*totals())
-    return closed.unionByName(still_open)
+def current_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The totals of all events the stream has met, read from its state."""
+    kept = spark.read.format("statestore").load(checkpoint)
+    return kept.select(
+        F.col("key.day").alias("day"), F.col("value.count").alias("n_events"),
+        F.col("value.sum").alias("total_value"), F.col("value.max").alias("last_event"),
+    )
 
 
 def stream_daily_totals(spark: SparkSession, folder: str) -> DataFrame:
-    output, checkpoint = scratch_path(spark, "daily-out"), scratch_path(spark, "daily-state")
-    run_daily_totals(event_stream(spark, folder), output, checkpoint)
-    closed = spark.read.schema(CLOSED).parquet(output)
-    events = spark.read.schema(schemas.TABLES["events"]).parquet(f"{folder}/events.parquet")
-    return with_open_days(closed, events)
+    checkpoint = scratch_path(spark, "daily-state")
+    run_daily_totals(event_stream(spark, folder), checkpoint)
+    return current_totals(spark, checkpoint)
