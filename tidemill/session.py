@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -56,3 +58,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of the session, so that it need not be installed on every machine.
+
+    Done once per application, also for workers that start later.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in SHIPPED:
+        package = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tidemill-")), "tidemill")
+        context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+        SHIPPED.add(context.applicationId)
