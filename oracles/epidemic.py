@@ -1,6 +1,5 @@
 """SQL for the daily and district reports."""
 
-MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)][:80]
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_suppkey"]
 
 DAILY = """daily AS (
@@ -59,13 +58,11 @@ ORACLES = {
           round(sum(share_pct), 4) AS share_pct, count(*) AS n_members FROM s GROUP BY 1""",
     "risk_value_counts": "SELECT o_orderpriority AS risk, count(*) AS n_rows FROM orders GROUP BY 1",
     "district_risk_counts": f"WITH {DISTRICT} SELECT district, risk, count(*) AS n_rows FROM d GROUP BY 1, 2",
-    "district_risk_pivot": f"""WITH {DISTRICT} SELECT district, count(*) FILTER (risk = 'F') AS "F",
-        count(*) FILTER (risk = 'O') AS "O", count(*) FILTER (risk = 'P') AS "P" FROM d GROUP BY 1""",
+    "district_risk_pivot": f"""WITH {DISTRICT} SELECT * FROM (
+        PIVOT d ON risk USING count(*) GROUP BY district)""",
     "month_district_pivot": f"""WITH {DISTRICT}, m AS (
         SELECT district, strftime(report_date, '%Y-%m') AS month, count(*) AS n FROM d GROUP BY 1, 2)
-        SELECT district, """
-        + ", ".join(f"""sum(n) FILTER (month = '{m}')::BIGINT AS "{m}" """ for m in MONTHS)
-        + " FROM m GROUP BY 1",
+        SELECT * FROM (PIVOT m ON month USING sum(n)::BIGINT GROUP BY district)""",
     "month_totals": f"""WITH {DISTRICT} SELECT strftime(report_date, '%Y-%m') AS month, district,
         sum(value)::DOUBLE AS value FROM d GROUP BY 1, 2""",
     "top_10_days": """SELECT ts::DATE AS report_date, sum(value::DECIMAL(18,2))::DOUBLE AS new_value FROM events

@@ -1,6 +1,5 @@
 """SQL for the occupancy reports."""
 
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 NAMED = """u AS (
   SELECT l_suppkey AS hospital_id, s_name AS hospital_name, r_name AS hospital_district, p_type AS department_name,
          l_shipdate AS timestamp, l_quantity AS occupancy_rate, l_extendedprice AS price
@@ -30,13 +29,11 @@ ORACLES = {
         round_even(stddev_samp(occupancy_rate), 2) AS std_value FROM u GROUP BY 1""",
     "mean_std_by_dept": f"""WITH {NAMED} SELECT department_name, round_even(avg(occupancy_rate), 2) AS mean_value,
         round_even(stddev_samp(occupancy_rate), 2) AS std_value FROM u GROUP BY 1""",
-    "dept_district_pivot": f"WITH {NAMED} SELECT department_name, " + ", ".join(
-        f"""round_even(avg(occupancy_rate) FILTER (hospital_district = '{r}'), 2) AS "{r}" """ for r in REGIONS
-    ) + " FROM u GROUP BY 1",
+    "dept_district_pivot": f"""WITH {NAMED} SELECT * FROM (
+        PIVOT u ON hospital_district USING round_even(avg(occupancy_rate), 2) GROUP BY department_name)""",
     "time_trend": f"WITH {NAMED} SELECT timestamp, round(avg(occupancy_rate), 6) AS mean_rate FROM u GROUP BY 1",
-    "trend_by_district": f"WITH {NAMED} SELECT timestamp, " + ", ".join(
-        f"""round(avg(occupancy_rate) FILTER (hospital_district = '{r}'), 6) AS "{r}" """ for r in REGIONS
-    ) + " FROM u GROUP BY 1",
+    "trend_by_district": f"""WITH {NAMED} SELECT * FROM (
+        PIVOT u ON hospital_district USING round(avg(occupancy_rate), 6) GROUP BY timestamp)""",
     "boxplot_stats": box("hospital_district", "price"),
     "boxplot_by_hospital": box("hospital_id", "occupancy_rate"),
     "boxplot_outliers": """WITH u AS (SELECT *, pow(c_acctbal / 1000, 3) AS size FROM customer), q AS (

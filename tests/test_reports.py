@@ -83,8 +83,17 @@ def test_dynamic_pivot_means_and_gaps(spark):
     got = agg.dynamic_pivot(df).orderBy("m")
     assert got.columns == ["m", "v_x", "v_y"]
     assert rows(got) == [("m1", 3.0, 0.0), ("m2", 0.0, 1.0)]
-    with pytest.raises(ValueError):
-        agg.dynamic_pivot(df, limit=1)
+    assert rows(agg.means_by_header(df).orderBy("m")) == [("m1", "x", 3.0), ("m2", "y", 1.0)]
+
+
+def test_pivots_take_every_header_found(spark):
+    df = spark.createDataFrame([("a", f"{y}-{m:02d}", 1) for y in range(1980, 2040) for m in range(1, 13)] + [("b", "1980-01", 2)],
+                               "k string, month string, v int")
+    got = agg.pivot_table(df, ["k"], "month", agg.F.sum("v"), fill=0)
+    assert len(got.columns) == 1 + 60 * 12
+    assert {r["k"]: (r["1980-01"], r["2039-12"]) for r in got.collect()} == {"a": (1, 1), "b": (2, 0)}
+    wide = agg.dynamic_pivot(spark.createDataFrame([("k", f"h{i}", 1.0) for i in range(600)], "k string, h string, v double"))
+    assert len(wide.columns) == 601
 
 
 def test_stacked_base(spark):
@@ -134,13 +143,12 @@ def quantile(values, p):
     return values[low] + (values[high] - values[low]) * (place - low)
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_quantiles_of_a_hot_group_are_exact(spark, monkeypatch, broadcast):
-    """Brackets instead of whole groups, one group with most rows, one value with a third of them."""
-    monkeypatch.setattr(distribution, "SMALL_GROUP", 50)
-    monkeypatch.setattr(distribution, "ACCURACY", 200)
-    monkeypatch.setattr(distribution, "MARGIN", 3 / 200)
-    monkeypatch.setattr(distribution, "few_rows", lambda table: broadcast)
+@pytest.mark.parametrize("coalesced", ["true", "false"])
+def test_quantiles_of_a_hot_group_are_exact(spark, request, coalesced):
+    """One group with most rows spread over ranges, one value with a third of them."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    request.addfinalizer(lambda: spark.conf.unset(setting))
+    spark.conf.set(setting, coalesced)
     draw = random.Random(7)
     data = [("hot", round(draw.lognormvariate(0, 2), 3) if i % 3 else 1.0) for i in range(6000)]
     data += [("small", float(i)) for i in range(4)] + [("one", 7.0)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,25 +86,25 @@ def month_totals(df: DataFrame, date: str, keys: Sequence[str], value: Column, n
     return present(df, date, *keys).groupBy(month, *keys).agg(value.alias(name))
 
 
-def pivot_table(df: DataFrame, index: Sequence[str], header: str, values: Sequence[object], agg: Column,
-                fill: object | None = None) -> DataFrame:
-    """One column per stated header value, so the schema is known before anything runs."""
-    wide = present(df, *index).groupBy(*index).pivot(header, list(values)).agg(agg)
-    return wide if fill is None else wide.na.fill(fill, [str(v) for v in values])
+def pivot_table(df: DataFrame, index: Sequence[str], header: str, agg: Column, fill: object | None = None,
+                values: Sequence[object] | None = None) -> DataFrame:
+    """One column per header value found, or per stated one where ``values`` names them."""
+    rows = present(df, *index)
+    found = [v for (v,) in header_values(rows, [header])] if values is None else list(values)
+    wide = rows.groupBy(*index).pivot(header, found).agg(agg)
+    return wide if fill is None else wide.na.fill(fill, [str(v) for v in found])
 
 
-def header_values(df: DataFrame, headers: Sequence[str], limit: int = 500) -> list[tuple]:
-    """The distinct header tuples, refused beyond ``limit``: so wide a result belongs in long form."""
-    rows = df.select(*headers).dropna().distinct().orderBy(*headers).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} pivot headers; keep the result in long form")
-    return [tuple(r) for r in rows]
+def header_values(df: DataFrame, headers: Sequence[str]) -> list[tuple]:
+    """The distinct header tuples in order. They become columns, so there are as many as a table can be wide."""
+    return [tuple(r) for r in df.select(*headers).dropna().distinct().orderBy(*headers).collect()]
 
 
-def dynamic_pivot(df: DataFrame, limit: int = 500) -> DataFrame:
+def dynamic_pivot(df: DataFrame) -> DataFrame:
     """First column as index, text columns as headers, mean of every number column, gaps as zero.
 
-    Without a text column beyond the first the frame is returned as it is.
+    Without a text column beyond the first the frame is returned as it is. ``means_by_header`` has the same means in
+    long form, for headers too many to be columns.
     """
     index = df.columns[0]
     headers = [c for c in text_columns(df) if c != index]
@@ -112,7 +112,7 @@ def dynamic_pivot(df: DataFrame, limit: int = 500) -> DataFrame:
     if not headers:
         return df
     cells = []
-    for values in header_values(df, headers, limit):
+    for values in header_values(df, headers):
         here = F.lit(True)
         for name, value in zip(headers, values):
             here = here & (F.col(name) == F.lit(value))
@@ -122,6 +122,14 @@ def dynamic_pivot(df: DataFrame, limit: int = 500) -> DataFrame:
     return present(df, index).groupBy(index).agg(*cells)
 
 
+def means_by_header(df: DataFrame) -> DataFrame:
+    """The mean of every number column per first column and text columns, one row for each combination found."""
+    index = df.columns[0]
+    headers = [c for c in text_columns(df) if c != index]
+    numbers = [c for c in numeric_columns(df) if c != index]
+    return present(df, index, *headers).groupBy(index, *headers).agg(*[F.avg(c).alias(c) for c in numbers])
+
+
 def sum_where(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value).otherwise(F.lit(0)))
 
@@ -170,7 +178,3 @@ def with_extremes(df: DataFrame, measure: str) -> DataFrame:
 def rank_by(df: DataFrame, measure: str, name: str = "rank") -> DataFrame:
     """Ranks with gaps, highest first; for aggregated frames of a few rows."""
     return df.withColumn(name, F.rank().over(Window.orderBy(F.desc(measure))))
-
-
-def weighted_groups(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
-    return present(df, *keys).groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()])

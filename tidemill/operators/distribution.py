@@ -9,90 +9,70 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.aggregates import present
-from tidemill.operators.joins import few_rows, join_group_values, salted_join
 from tidemill.session import written
 
 QUARTILES = (0.25, 0.5, 0.75)
-ACCURACY = 10_000  # rank error of the sketch is 1/ACCURACY of the group
-MARGIN = 3 / ACCURACY
-SMALL_GROUP = 100_000  # groups up to this size are ranked whole
 
 
 def unpivoted(df: DataFrame, columns: Sequence[str], label: str = "column_name", value: str = "value") -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), label, value)
 
 
-def counted_with_groups(values: DataFrame, per_group: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Values (keys, v) with their multiplicity ``m`` and the written row of their group.
+def counted_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, v, m, part), written: every known value with its count, range-partitioned by key and value.
 
-    Few groups are broadcast to the rows as they are. Otherwise equal values are counted before they travel and
-    a hot group is spread by value.
+    Equal values are added up before they travel. ``part`` numbers the ranges in order, so a group of any size lies
+    in neighbouring ranges of bounded size.
     """
-    if few_rows(per_group):
-        return values.withColumn("m", F.lit(1).cast("bigint")).join(F.broadcast(per_group), list(keys))
-    distinct = values.groupBy(*keys, "v").agg(F.count("*").alias("m"))
-    return salted_join(distinct, per_group, keys, "inner", ["v"])
+    known = df.select(*keys, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    counts = known.groupBy(*keys, "v").agg(F.count("*").alias("m"))
+    return written(counts.repartitionByRange(*keys, "v").withColumn("part", F.spark_partition_id()), "values")
 
 
-def quantile_parts(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
-                   ) -> tuple[DataFrame, DataFrame]:
-    """(group summary, ranked candidate values) for exact quantiles.
+def quantiles_of(values: DataFrame, keys: Sequence[str], probs: Sequence[float] = QUARTILES,
+                 names: Sequence[str] = ("q1", "median", "q3")) -> DataFrame:
+    """Group size and linearly interpolated quantiles per key from ``counted_values``.
 
-    A mergeable sketch brackets each quantile between two values. The second pass turns every row into its zone
-    (how many bracket ends lie below it) and keeps the value only inside a bracket, so rows collapse to a few
-    counts per group plus the values near the quantiles, and no group is ever ranked whole unless it is small.
+    The sizes of the ranges, one row per key and range, tell in which ranges the wanted ranks lie; only those are
+    ranked, each for itself.
     """
-    known = df.select(*keys, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    lows, highs = [max(p - MARGIN, 0.0) for p in probs], [min(p + MARGIN, 1.0) for p in probs]
-    sketched = known.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.min("v").alias("lowest"),
-        F.max("v").alias("highest"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.percentile_approx("v", F.array(*map(F.lit, lows + highs)), ACCURACY).alias("marks"),
-    )
-    small = F.col("n") <= SMALL_GROUP
-    ends = {"low_marks": ("lowest", 1), "high_marks": ("highest", len(probs) + 1)}
-    summary = written(sketched.withColumns({
-        mark: F.when(small, F.array_repeat(F.col(end), len(probs))).otherwise(F.slice("marks", start, len(probs)))
-        for mark, (end, start) in ends.items()
-    }).drop("marks"), "groups")
-    marked = counted_with_groups(known, summary.select(*keys, *ends), keys)
-    zone, inside = F.lit(0), F.lit(False)
-    for i in range(len(probs)):
-        above_low = F.col("v") >= F.col("low_marks")[i]
-        above_high = F.col("v") > F.col("high_marks")[i]
-        zone = zone + above_low.cast("int") + above_high.cast("int")
-        inside = inside | (above_low & ~above_high)
-    counts = (
-        marked.select(*keys, "m", zone.alias("zone"), F.when(inside, F.col("v")).alias("kept"))
-        .groupBy(*keys, "zone", "kept")
-        .agg(F.sum("m").alias("m"))
-    )
-    upto = Window.partitionBy(*keys).orderBy("zone", "kept").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("last_rank", F.sum("m").over(upto)).filter(F.col("kept").isNotNull())
-    return summary.drop(*ends), ranked
-
-
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float] = QUARTILES,
-                    names: Sequence[str] = ("q1", "median", "q3")) -> DataFrame:
-    """Group size, mean, deviation, ends and linearly interpolated quantiles per key."""
     keys = list(keys)
-    summary, ranked = quantile_parts(df, keys, value, probs)
-    sized = ranked.join(summary.select(*keys, "n"), keys)
-    picks = []
-    for p, name in zip(probs, names):
-        place = F.col("n").cast("double") * p - p  # p * (n - 1)
+    ranges = values.groupBy(*keys, "part").agg(F.sum("m").alias("in_part"))
+    along = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sized = ranges.withColumns({
+        "start": F.coalesce(F.sum("in_part").over(along), F.lit(0)),
+        "n": F.sum("in_part").over(Window.partitionBy(*keys)),
+    })
+    places = [F.col("n").cast("double") * p - p for p in probs]  # p * (n - 1)
+    wanted = F.lit(False)
+    for place in places:
+        for rank in (F.floor(place), F.ceil(place)):
+            wanted = wanted | ((F.col("start") <= rank) & (rank < F.col("start") + F.col("in_part")))
+    held = values.join(sized.filter(wanted).drop("in_part"), [*keys, "part"])
+    upto = Window.partitionBy(*keys, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = held.withColumn("last_rank", F.col("start") + F.sum("m").over(upto))
+    picks = [F.max("n").alias("n")]
+    for place, name in zip(places, names):
         # First value whose last rank passes the wanted zero-based rank.
-        picks.append(F.min(F.when(F.col("last_rank") > F.floor(place), F.col("kept"))).alias(f"{name}_low"))
-        picks.append(F.min(F.when(F.col("last_rank") > F.ceil(place), F.col("kept"))).alias(f"{name}_high"))
+        picks.append(F.min(F.when(F.col("last_rank") > F.floor(place), F.col("v"))).alias(f"{name}_low"))
+        picks.append(F.min(F.when(F.col("last_rank") > F.ceil(place), F.col("v"))).alias(f"{name}_high"))
         picks.append(F.max(place - F.floor(place)).alias(f"{name}_part"))
-    picked = sized.groupBy(*keys).agg(*picks)
     blended = [
         (F.col(f"{n}_low") + (F.col(f"{n}_high") - F.col(f"{n}_low")) * F.col(f"{n}_part")).alias(n) for n in names
     ]
-    return summary.join(picked, keys).select(*keys, "n", "mean", "std", "lowest", "highest", *blended)
+    return ranked.groupBy(*keys).agg(*picks).select(*keys, "n", *blended)
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float] = QUARTILES,
+                    names: Sequence[str] = ("q1", "median", "q3")) -> DataFrame:
+    """Group size, mean, deviation, ends and linearly interpolated quantiles per key."""
+    keys = list(keys)
+    known = df.select(*keys, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    summary = known.groupBy(*keys).agg(
+        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("lowest"), F.max("v").alias("highest"),
+    )
+    picked = quantiles_of(counted_values(df, keys, value), keys, probs, names)
+    return summary.join(picked, keys).select(*keys, "n", "mean", "std", "lowest", "highest", *names)
 
 
 def column_profile(df: DataFrame, columns: Sequence[str], places: int = 4) -> DataFrame:
@@ -128,11 +108,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], places: int = 2) -
 def box_plot(df: DataFrame, keys: Sequence[str], value: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends within ``reach`` interquartile ranges and the number of outliers per key."""
     keys = list(keys)
-    grouped = present(df, *keys).select(*keys, F.col(value).cast("double").alias("v"))
-    fences = box_fences(grouped, keys, "v", reach)
-    ends = fences.select(*keys, "low_fence", "high_fence")
+    values = counted_values(present(df, *keys), keys, value)
+    fences = box_fences(values, keys, reach)
     within = F.col("v").between(F.col("low_fence"), F.col("high_fence"))
-    whiskers = counted_with_groups(grouped.filter(F.col("v").isNotNull()), ends, keys).groupBy(*keys).agg(
+    whiskers = values.join(fences.select(*keys, "low_fence", "high_fence"), keys).groupBy(*keys).agg(
         F.min(F.when(within, F.col("v"))).alias("low_whisker"),
         F.max(F.when(within, F.col("v"))).alias("high_whisker"),
         F.coalesce(F.sum(F.when(~within, F.col("m"))), F.lit(0)).alias("n_outliers"),
@@ -140,9 +119,9 @@ def box_plot(df: DataFrame, keys: Sequence[str], value: str, reach: float = 1.5)
     return fences.drop("low_fence", "high_fence").join(whiskers, keys)
 
 
-def box_fences(df: DataFrame, keys: list[str], value: str, reach: float) -> DataFrame:
+def box_fences(values: DataFrame, keys: list[str], reach: float) -> DataFrame:
     spread = reach * (F.col("q3") - F.col("q1"))
-    fences = exact_quantiles(df, keys, value).select(
+    fences = quantiles_of(values, keys).select(
         *keys, "n", "q1", "median", "q3", (F.col("q1") - spread).alias("low_fence"),
         (F.col("q3") + spread).alias("high_fence"),
     )
@@ -153,6 +132,6 @@ def box_plot_outliers(df: DataFrame, keys: Sequence[str], value: str, reach: flo
     """The rows outside the fences."""
     keys = list(keys)
     grouped = present(df, *keys)
-    fences = box_fences(grouped, keys, value, reach).select(*keys, "low_fence", "high_fence")
+    fences = box_fences(counted_values(grouped, keys, value), keys, reach).select(*keys, "low_fence", "high_fence")
     outside = ~F.col(value).cast("double").between(F.col("low_fence"), F.col("high_fence"))
-    return join_group_values(grouped, fences, keys).filter(outside).drop("low_fence", "high_fence")
+    return grouped.join(fences, keys).filter(outside).drop("low_fence", "high_fence")

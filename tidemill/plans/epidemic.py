@@ -11,9 +11,6 @@ from tidemill.operators import distribution, frames, windows
 from tidemill.sources.sinks import parallel_lists_json, records_json
 from tidemill.sources.tables import table
 
-MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)][:80]
-STATUSES = ["F", "O", "P"]
-
 
 def money(name: str):
     return F.col(name).cast("decimal(18,2)")
@@ -145,13 +142,13 @@ def district_risk_counts(spark, folder):
 
 
 def district_risk_pivot(spark, folder):
-    return agg.pivot_table(district_days(spark, folder), ["district"], "risk", STATUSES, F.count(F.lit(1)), fill=0)
+    return agg.pivot_table(district_days(spark, folder), ["district"], "risk", F.count(F.lit(1)), fill=0)
 
 
 def month_district_pivot(spark, folder):
     days = district_days(spark, folder)
     monthly = agg.month_totals(days, "report_date", ["district"], F.count("*"), "new_cases")
-    return agg.pivot_table(monthly, ["district"], "month", MONTHS, F.sum("new_cases"))
+    return agg.pivot_table(monthly, ["district"], "month", F.sum("new_cases"))
 
 
 def month_totals(spark, folder):

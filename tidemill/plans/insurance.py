@@ -60,9 +60,10 @@ def ins_new_policies_by_month(spark, folder):
 
 
 def ins_payment_status_mix(spark, folder):
-    mix = agg.pivot_table(policies(spark, folder), ["o_custkey"], "o_orderstatus", ["F", "O", "P"],
-                          F.count(F.lit(1)), fill=0)
-    return mix.withColumn("n_policies", F.col("F") + F.col("O") + F.col("P"))
+    return policies(spark, folder).groupBy("o_custkey").agg(
+        *[F.count_if(F.col("o_orderstatus") == status).alias(status) for status in ("F", "O", "P")],
+        F.count("*").alias("n_policies"),
+    )
 
 
 def ins_short_term(spark, folder):

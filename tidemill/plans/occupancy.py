@@ -10,7 +10,6 @@ from tidemill.operators.frames import spread
 from tidemill.operators.joins import left_lookup
 from tidemill.sources.tables import table
 
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
 def usage(spark, folder):
@@ -66,7 +65,7 @@ def mean_std_by_dept(spark, folder):
 
 
 def dept_district_pivot(spark, folder):
-    return agg.pivot_table(named_usage(spark, folder), ["department_name"], "hospital_district", REGIONS,
+    return agg.pivot_table(named_usage(spark, folder), ["department_name"], "hospital_district",
                            F.bround(F.avg("occupancy_rate"), 2))
 
 
@@ -77,7 +76,7 @@ def time_trend(spark, folder):
 
 def trend_by_district(spark, folder):
     rows = usage(spark, folder).join(hospitals(spark, folder), "hospital_id")
-    return agg.pivot_table(rows, ["timestamp"], "hospital_district", REGIONS, F.round(F.avg("occupancy_rate"), 6))
+    return agg.pivot_table(rows, ["timestamp"], "hospital_district", F.round(F.avg("occupancy_rate"), 6))
 
 
 def boxplot_stats(spark, folder):
@@ -106,11 +105,9 @@ def boxplot_outliers(spark, folder):
 
 def left_join_quarter_score(spark, folder):
     """Every customer with the mean order price of one quarter; customers without orders keep an empty score."""
-    orders = table(spark, folder, "orders")
-    dated = orders.select("o_custkey", "o_totalprice", F.year("o_orderdate").alias("year"),
-                          F.quarter("o_orderdate").alias("quarter"))
+    start, end = (F.lit(d).cast("timestamp_ntz") for d in ("1997-10-01", "1998-01-01"))
     scores = (
-        dated.filter((F.col("year") == 1997) & (F.col("quarter") == 4))
+        table(spark, folder, "orders").filter((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end))
         .groupBy("o_custkey").agg(agg.money_mean("o_totalprice").alias("score"))
         .withColumnsRenamed({"o_custkey": "employee_id"})
     )

@@ -35,7 +35,9 @@ def ticket_weekly_sales(spark, folder):
 
 def visitors_by_province(spark, folder):
     """Customers with an order in one month, by nation."""
-    month = table(spark, folder, "orders").filter(F.date_format("o_orderdate", "yyyy-MM") == "1997-06").select("o_custkey")
+    start, end = (F.lit(d).cast("timestamp_ntz") for d in ("1997-06-01", "1997-07-01"))
+    orders = table(spark, folder, "orders")
+    month = orders.filter((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end)).select("o_custkey")
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("province"))
     return (
