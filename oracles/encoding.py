@@ -39,11 +39,16 @@ ORACLES = {
     "word_index_matrix": f"WITH {TOKENS} " + index_rows("coalesce(index, 0)::VARCHAR", "'0'", "idx"),
     "index_to_word": f"WITH {TOKENS}, z AS (SELECT word AS first FROM v WHERE index = 0) "
         + index_rows("CASE WHEN index IS NULL THEN (SELECT first FROM z) ELSE word END", "(SELECT first FROM z)", "words"),
-    "matrix_roundtrip": f"""WITH {SPLIT} SELECT split, index // 128 AS batch_id, count(*) AS n_rows FROM p
-        GROUP BY ROLLUP (split, batch_id)""",
+    "matrix_roundtrip": f"WITH {TOKENS}, {SPLIT.replace('AS index', 'AS place').replace('index <', 'place <')}, x AS ("
+        + index_rows("coalesce(index, 0)::VARCHAR", "'0'", "idx")
+        + f"""), k AS (SELECT split, place // 128 AS batch_id, ({CODE})::VARCHAR || ':' || idx AS row
+        FROM p JOIN x USING (doc_id) JOIN documents USING (doc_id))
+        SELECT split, batch_id, count(*) AS n_rows, sum(('0x' || substr(md5(row), 1, 8))::BIGINT)::BIGINT AS content
+        FROM k GROUP BY ROLLUP (split, batch_id)""",
     "token_batches": f"""WITH b AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 128 AS batch_id,
         array_to_string(regexp_extract_all(lower(text), '{WORD}'), ' ') AS value FROM documents)
-        SELECT batch_id, count(*) AS n_docs, sum(length(value))::BIGINT AS n_chars FROM b GROUP BY 1""",
+        SELECT batch_id, count(*) AS n_docs, sum(length(value))::BIGINT AS n_chars,
+          sum(('0x' || substr(md5(value), 1, 8))::BIGINT)::BIGINT AS content FROM b GROUP BY 1""",
     "vector_lookup": """SELECT event_id, user_id * 4 AS vec_id, embedding IS NOT NULL AS known,
         round(coalesce(embedding[1]::DOUBLE, 0), 6) AS v0, round(coalesce(embedding[64]::DOUBLE, 0), 6) AS v63,
         64::INT AS dimension FROM events LEFT JOIN embeddings ON vec_id = user_id * 4""",

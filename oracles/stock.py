@@ -17,6 +17,8 @@ ORACLES = {
           AND regexp_matches(areaCode, '(?i)brand#1')""",
     "inventory_search_all_fields": f"""WITH {PHYSICAL} SELECT * FROM p WHERE skuName ILIKE '%anvil%'
         AND quality = 'GENIUNE' AND binCode = 'L-7' AND areaName ILIKE '%economy%' AND productionNo = 'D1'""",
+    "inventory_search_made": f"""WITH {PHYSICAL} SELECT * FROM p WHERE skuName ILIKE '%anvil%'
+        AND produceDate = '1997-03-24'""",
     "sku_availability": f"""WITH {OVERVIEW}, t AS (
         SELECT skuCode, min(skuName) AS skuName, sum(qty)::BIGINT AS q, sum(occupied)::BIGINT AS c FROM o GROUP BY 1)
         SELECT 'SKU' || p_partkey AS skuCode, coalesce(skuName, 'SKU' || p_partkey) AS skuName,
@@ -28,7 +30,7 @@ ORACLES = {
         SELECT w.skuCode, skuName, q AS totalQty, c AS totalOccupied, q - c AS availableQty,
           CASE WHEN skuName IS NULL THEN 'NO_SKU' ELSE 'FOUND' END AS status
         FROM w LEFT JOIN t USING (skuCode)""",
-    "sku_not_found": f"""WITH {PHYSICAL}, w AS (SELECT 'SKU' || o_custkey AS skuCode FROM orders)
+    "sku_not_found": f"""WITH {PHYSICAL}, w AS (SELECT 'SKU' || (o_custkey * 2) AS skuCode FROM orders)
         SELECT skuCode, count(*) AS n_rows FROM w WHERE skuCode NOT IN (SELECT skuCode FROM p) GROUP BY 1""",
     "sku_bin_status": f"""WITH {PHYSICAL}, w AS (
         SELECT 'SKU' || c_custkey AS sku, CASE WHEN c_nationkey > 5 THEN 'L-' || c_nationkey END AS bin FROM customer),

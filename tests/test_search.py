@@ -10,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions.splitting import chunks_of
-from tidemill.operators import chunking, corpus, vectors
-from tidemill.operators.frames import by_key
+from tidemill.functions.text import word_tokens
+from tidemill.operators import chunking, corpus, vectors, vocabulary
+from tidemill.operators.frames import spread
 
 WORDS = [f"w{i:02d}" for i in range(30)]
 
@@ -52,7 +53,7 @@ def brute_tfidf(texts, share):
 
 
 def test_tfidf_and_neighbours(documents, texts):
-    rows = by_key(documents, "d", "text")
+    rows = documents
     weights = corpus.tfidf(rows, "d", "text", corpus.fit_terms(rows, "text", min_share=0.05))
     expected = brute_tfidf(texts, 0.05)
     got = {(r["d"], r["term"]): r["weight"] for r in weights.collect()}
@@ -92,26 +93,40 @@ def brute_bm25(queries, texts, k):
     return out
 
 
-@pytest.mark.parametrize("max_values", [corpus.MAX_QUERY_VALUES, 0])
-def test_bm25_both_ways(spark, documents, texts, max_values):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_bm25_with_and_without_broadcast(spark, request, documents, texts, threshold):
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    request.addfinalizer(lambda: spark.conf.unset(setting))
+    spark.conf.set(setting, threshold)
     asked = [(1, "w01 w02 w02"), (2, "w29 the"), (3, "unheard")]
     queries = spark.createDataFrame(asked, "q bigint, text string")
-    got = corpus.bm25(queries, documents, "q", "d", 5, max_values=max_values).collect()
+    got = corpus.bm25(queries, documents, "q", "d", 5).collect()
     for q, expected in brute_bm25(asked, texts, 5).items():
         assert [r["d"] for r in sorted(got, key=lambda r: r["rank"]) if r["q"] == q] == expected
 
 
-def test_matrix_scores_in_small_steps(monkeypatch):
-    from tidemill.functions import scoring
-
-    monkeypatch.setattr(scoring, "STEP", 6)
-    draw = np.random.default_rng(1)
-    sizes = [3, 1, 7, 2]
-    index, gain = draw.integers(0, 5, sum(sizes)), draw.random(sum(sizes))
-    weights = draw.random((5, 2))
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    expected = [(gain[s:s + n, None] * weights[index[s:s + n]]).sum(axis=0) for s, n in zip(starts, sizes)]
-    assert np.allclose(scoring.document_scores(index, gain, starts, weights), expected)
+def test_texts_are_not_shuffled(spark, tmp_path, texts):
+    """Tables of many splits are read where they lie: no exchange carries the text column."""
+    path = str(tmp_path / "docs")
+    rows = spark.createDataFrame([(d, t, "en") for d, t in texts], "doc_id bigint, text string, lang string")
+    rows.repartition(40).write.parquet(path)
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # one split per file
+    try:
+        read = spark.read.schema("doc_id bigint, text string, lang string").parquet(path)
+        assert spread(read).rdd.getNumPartitions() == read.rdd.getNumPartitions() > 8
+        counted = corpus.with_terms(spread(read), "text", 1, 3, "doc_id")
+        terms = corpus.fit_terms(spread(read), "text")
+        tokens = read.select("doc_id", word_tokens(F.col("text")).alias("tokens"))
+        words = vocabulary.build_vocabulary(tokens, "tokens")
+        plans = [counted, terms, vocabulary.index_matrix(tokens, "doc_id", "tokens", words, 10)]
+        asked = spark.createDataFrame([(1, "w01")], "q bigint, text string")
+        corpus.bm25(asked, read, "q", "doc_id", 2).collect()
+        for plan in plans:
+            text = plan._jdf.queryExecution().executedPlan().toString()
+            for line in text.splitlines():
+                assert "Exchange" not in line or "text#" not in line
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_rerank_with_a_scorer_of_ones_own(spark):
@@ -129,7 +144,7 @@ def test_rerank_with_a_scorer_of_ones_own(spark):
 
 
 @pytest.mark.parametrize("metric", ["l2", "cosine"])
-@pytest.mark.parametrize("max_values", [10_000, 0])
+@pytest.mark.parametrize("max_values", [10_000, 9])
 def test_nearest_equals_brute_force(spark, metric, max_values):
     draw = np.random.default_rng(5)
     points = draw.normal(size=(300, 8))

@@ -112,13 +112,22 @@ def test_left_lookup_fans_out_and_matches_nulls_on_request(spark):
     assert (None, "n") in safe
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
-    facts = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)], "k int, n int")
-    dimension = spark.createDataFrame([(i, f"v{i}") for i in range(0, 300, 2)] + [(1, "hot")], "k int, v string")
-    plain = facts.join(dimension, "k", how)
-    salted = joins.salted_join(facts, dimension, ["k"], how, ["n"])
-    assert sorted(map(str, plain.collect())) == sorted(map(str, salted.select(*plain.columns).collect()))
+def test_a_hot_article_is_split_by_the_adaptive_join(spark, request):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    request.addfinalizer(lambda: [spark.conf.set(k, v) if v else spark.conf.unset(k) for k, v in before.items()])
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    hot = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id")))
+    lines = spark.range(0, 200_000, 1, 16).select(F.xxhash64("id").alias("order_id"), hot.alias("sku"), F.lit(1).alias("qty"))
+    free = spark.range(1, 200_000, 2).select(F.concat(F.lit("s"), F.col("id")).alias("skuCode"), F.lit(5).alias("availableQty"))
+    joined = inventory.order_lines_status(lines, free).select("line_ok", F.spark_partition_id().alias("task")).toPandas()
+    assert len(joined) == 200_000 and joined["line_ok"].sum() == 100_000
+    assert joined["task"].value_counts().max() < 30_000
 
 
 def test_interval_lookup_equals_brute_force(spark):

@@ -95,7 +95,7 @@ def test_vocabulary_and_index_rows(spark, tokens):
 def test_unknown_key_has_a_zero_vector(spark):
     keys = spark.createDataFrame([(1,), (2,)], "k int")
     vectors = spark.createDataFrame([(1, [1.0, 2.0])], "k int, v array<float>")
-    got = {r["k"]: (r["v"], r["known"]) for r in voc.vectors_of_keys(keys, vectors, "k", "v", 2, ["k"]).collect()}
+    got = {r["k"]: (r["v"], r["known"]) for r in voc.vectors_of_keys(keys, vectors, "k", "v", 2).collect()}
     assert got == {1: ([1.0, 2.0], True), 2: ([0.0, 0.0], False)}
 
 

@@ -49,10 +49,6 @@ def day_text(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM-dd")
 
 
-def month_text(date: Column) -> Column:
-    return F.date_format(date, "yyyy-MM")
-
-
 def ratio_percent(part: Column, whole: Column) -> Column:
     """Part of whole in percent; null when the whole is zero."""
     return F.try_divide(part, whole) * 100

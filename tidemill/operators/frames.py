@@ -41,11 +41,6 @@ def all_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
 
-def match_equal(df: DataFrame, **values: object) -> DataFrame:
-    """Rows that equal every given value."""
-    return df.filter(all_of([F.col(c) == F.lit(v) for c, v in values.items()]))
-
-
 def contains_text(column: Column, needle: str, literal: bool = False) -> Column:
     """Case-blind search; the needle is a regular expression unless ``literal``; null never matches."""
     hit = F.contains(F.lower(column), F.lit(needle.lower())) if literal else column.rlike("(?i)" + needle)
@@ -87,17 +82,15 @@ def numbered_entries(df: DataFrame, array: str | Column, position: str, name: st
     return df.select(*keep, F.posexplode_outer(array).alias(position, name)).filter(F.col(position).isNotNull())
 
 
-def by_key(df: DataFrame, key: str, *columns: str) -> DataFrame:
-    """The columns partitioned by key. Whatever is then taken apart and grouped by key again, alone or with
-    other columns, stays in its partition: the short rows travel instead of the many rows made from them."""
-    return df.select(key, *columns).repartition(F.col(key))
+FEW_SPLITS = 32  # a few gigabytes at the usual split size
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Shares a table that comes in fewer splits than there are cores among all cores, for work that is heavy
-    per row. A large table has more splits than cores and passes through without a shuffle."""
+    """Shares a small table, of at most ``FEW_SPLITS`` splits and fewer than there are cores, among the cores, for work
+    that is heavy per row. Larger tables pass through without a shuffle, on a cluster of any size."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(min(cores, 4 * FEW_SPLITS)) if splits < min(cores, FEW_SPLITS) else df
 
 
 def append_partial(df: DataFrame, extra: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.values import QUALITY_CODES
 from tidemill.operators.frames import all_of, contains_text
-from tidemill.operators.joins import salted_join
 
 
 def overview(physical: DataFrame) -> DataFrame:
@@ -99,9 +98,11 @@ def requested_availability(requested: DataFrame, stock: DataFrame, on_missing: s
 def bin_status(requests: DataFrame, physical: DataFrame) -> DataFrame:
     """``FOUND``, ``NO_SKU`` or ``NO_BIN`` and the matching bin rows for (sku, bin) requests.
 
-    A request without a bin matches every bin of the article.
+    A request without a bin matches every bin of the article. Stock that is already added up says in ``n_rows`` how many
+    rows each of its rows stands for.
     """
-    sums = [F.count("*").alias("n_rows"), F.sum("qty").alias("qty"), F.sum("occupied").alias("occupied")]
+    n_rows = F.sum("n_rows") if "n_rows" in physical.columns else F.count("*")
+    sums = [n_rows.alias("n_rows"), F.sum("qty").alias("qty"), F.sum("occupied").alias("occupied")]
     per_bin = physical.groupBy(F.col("skuCode").alias("sku"), F.col("binCode").alias("bin")).agg(*sums)
     per_sku = per_bin.groupBy("sku").agg(
         F.sum("n_rows").alias("all_rows"), F.sum("qty").alias("all_qty"), F.sum("occupied").alias("all_occupied")
@@ -123,7 +124,7 @@ def bin_status(requests: DataFrame, physical: DataFrame) -> DataFrame:
 def order_lines_status(lines: DataFrame, available: DataFrame) -> DataFrame:
     """Every order line with the free quantity of its article, zero for an unknown one."""
     free = available.select(F.col("skuCode").alias("sku"), "availableQty")
-    joined = salted_join(lines, free, ["sku"], "left", ["order_id"])
+    joined = lines.join(free, "sku", "left")
     known = F.coalesce("availableQty", F.lit(0))
     return joined.withColumn("availableQty", known).withColumn("line_ok", known >= F.col("qty"))
 

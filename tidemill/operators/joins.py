@@ -1,4 +1,8 @@
-"""Joins: lookups, missing keys, skew-proof lookups and interval lookups."""
+"""Joins: lookups, missing keys and interval lookups.
+
+Joins on keys that may be hot are plain equality joins: the adaptive skew join splits a key's rows by what was counted
+in the shuffle, without repeating the rows of cold keys.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 8
-BROADCAST_ROWS = 200_000
-
-
 def left_lookup(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], null_safe: bool = False
                 ) -> DataFrame:
     """Left join to the projected right side. Repeated right keys repeat the left row.
@@ -32,33 +32,6 @@ def unmatched_report(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame
     return unknown_keys(counts, dimension, key)
 
 
-def salted_join(facts: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str, spread: Sequence[str],
-                salts: int = SALTS) -> DataFrame:
-    """Equality join whose hot keys are spread over ``salts`` groups.
-
-    Every fact row draws its salt from the ``spread`` columns, which must differ between rows of one key; the
-    dimension is repeated once per salt. When the dimension is small the optimizer broadcasts it and the salt
-    costs next to nothing; when it is not, no single task receives a whole hot key.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError("the salted side must be the preserved one")
-    salted = facts.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    repeated = dimension.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, "salt"], how).drop("salt")
-
-
-def few_rows(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a written table is short enough to broadcast; counts at most ``limit`` rows past the check."""
-    return table.limit(limit + 1).count() <= limit
-
-
-def join_group_values(rows: DataFrame, per_group: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attaches one written row per group to every row of the group: broadcast when short, salted otherwise."""
-    if few_rows(per_group):
-        return rows.join(F.broadcast(per_group), list(keys))
-    return salted_join(rows, per_group, keys, "inner", rows.columns)
-
-
 def interval_lookup(points: DataFrame, intervals: DataFrame, keys: Sequence[str], point: str, start: str, end: str,
                     width: int, how: str = "inner") -> DataFrame:
     """Joins points to the half-open intervals ``[start, end)`` that hold them.

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import text as tx
 from tidemill.operators import chunking, corpus
-from tidemill.operators.frames import by_key, spread
+from tidemill.operators.frames import spread
 from tidemill.operators.windows import top_k
+from tidemill.session import written
 from tidemill.sources.tables import table
 
 LETTERS, CHARACTERS = "abcdefghij", "甲乙丙丁戊己庚辛壬癸"
@@ -71,39 +72,41 @@ def cleaned(rows):
     return rows.select("doc_id", tx.clean_english(F.col("text")).alias("text"))
 
 
-def document_weights(rows, terms):
-    """Texts are partitioned by document before they are cleaned."""
-    return corpus.tfidf(cleaned(by_key(rows, "doc_id", "text")), "doc_id", "text", terms)
+def document_weights(spark, folder):
+    texts = cleaned(shared_documents(spark, folder))
+    return corpus.tfidf(texts, "doc_id", "text", corpus.fit_terms(texts, "text"))
 
 
 def tfidf_weights(spark, folder):
-    terms = corpus.fit_terms(cleaned(shared_documents(spark, folder)), "text")
-    weights = document_weights(documents(spark, folder), terms)
-    return weights.withColumn("weight", F.round("weight", 6))
+    return document_weights(spark, folder).withColumn("weight", F.round("weight", 6))
 
 
 def similar_documents(spark, folder):
     """The ten documents most like the first document of every source."""
-    rows = table(spark, folder, "documents")
-    first = rows.join(corpus.first_of_each_name(rows, "source", "doc_id"), "doc_id", "left_semi")
-    terms = corpus.fit_terms(cleaned(shared_documents(spark, folder)), "text")
-    best = corpus.similar_documents(document_weights(rows, terms), document_weights(first, terms), "doc_id", 10)
+    weights = document_weights(spark, folder)
+    first = corpus.first_of_each_name(table(spark, folder, "documents"), "source", "doc_id").select("doc_id")
+    best = corpus.similar_documents(weights, weights.join(first, "doc_id", "left_semi"), "doc_id", 10)
     return best.select("query_id", "doc_id", F.round("cosine", 6).alias("cosine"), "rank")
 
 
 def bm25_search(spark, folder):
-    return corpus.bm25(table(spark, folder, "benchmark"), documents(spark, folder), "item_id", "doc_id", 10)
+    return corpus.bm25(table(spark, folder, "benchmark"), shared_documents(spark, folder), "item_id", "doc_id", 10)
 
 
 def bm25_search_join(spark, folder):
-    """The same search by joining words, as for a query set too large to send to every task."""
-    return corpus.bm25(table(spark, folder, "benchmark"), documents(spark, folder), "item_id", "doc_id", 10,
-                       max_values=0)
+    """The same search with the broadcast of the asked words and their weights left out, as for very many queries."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, -1)
+    try:
+        return written(bm25_search(spark, folder), "searched")
+    finally:
+        spark.conf.set(setting, before)
 
 
 def rerank_candidates(spark, folder):
     questions, rows = table(spark, folder, "benchmark"), documents(spark, folder)
-    candidates = corpus.bm25(questions, rows, "item_id", "doc_id", 20)
+    candidates = corpus.bm25(questions, spread(rows), "item_id", "doc_id", 20)
     return corpus.rerank(candidates, questions, rows, "item_id", "doc_id", 5)
 
 
@@ -136,7 +139,7 @@ def chunk_ids(chunks):
 def retrieved_chunks(spark, folder):
     """The two best chunks for every question, with text length and page."""
     chunks = chunk_ids(fixed_stride_chunks(spark, folder))
-    best = corpus.bm25(table(spark, folder, "benchmark"), chunks, "item_id", "chunk_id", 2)
+    best = corpus.bm25(table(spark, folder, "benchmark"), spread(chunks), "item_id", "chunk_id", 2)
     listed = chunking.chunk_listing(best, chunks, "chunk_id")
     paged = chunking.attribute_pages(listed, spans(spark, folder), "doc_id")
     return paged.select("item_id", "rank", "chunk_id", "doc_id", "page", F.length("text").alias("n_chars"))

@@ -76,8 +76,7 @@ def cyclic_batches(spark, folder):
 
 
 def tokens(spark, folder):
-    """Texts partitioned by document, so that index rows are gathered where they arise."""
-    rows = frames.by_key(table(spark, folder, "documents"), "doc_id", "lang", "text")
+    rows = frames.spread(table(spark, folder, "documents").select("doc_id", "lang", "text"))
     return rows.select("doc_id", "lang", word_tokens(F.col("text")).alias("tokens"))
 
 
@@ -94,6 +93,11 @@ def matrix(spark, folder, vocabulary_table):
     return voc.index_matrix(tokens(spark, folder), "doc_id", "tokens", vocabulary_table, LENGTH)
 
 
+def text_sum(text):
+    """A number that stands for a text; added up, for the contents of a file."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
 def as_text(column):
     return F.array_join(F.transform(column, lambda x: x.cast("string")), " ")
 
@@ -120,23 +124,26 @@ def matrix_roundtrip(spark, folder):
     placed = sided.withColumn("batch_id", F.expr(f"index div {BATCH}")).select("doc_id", "split", "batch_id")
     sinks.write_matrix(labelled_matrix(spark, folder).join(placed, "doc_id"), path)
     stored = spark.read.schema("doc_id bigint, label int, idx array<int>, split string, batch_id bigint").parquet(path)
-    return voc.matrix_sizes(stored.filter(F.size("idx") == LENGTH), "split", "batch_id")
+    content = F.sum(text_sum(F.concat_ws(":", "label", as_text("idx")))).alias("content")
+    return voc.matrix_sizes(stored.filter(F.size("idx") == LENGTH), "split", "batch_id", measures=[content])
 
 
 def token_batches(spark, folder):
     """Space-joined tokens written as one text folder per batch of documents; lines and characters read back."""
     path = scratch_path(spark, "tokens")
-    batched = windows.batch_ids(table(spark, folder, "documents").select("doc_id", "text"), ["doc_id"], BATCH)
-    rows = batched.select("batch_id", word_tokens(F.col("text")).alias("tokens"))
+    texts = table(spark, folder, "documents").select("doc_id", "text")
+    batched = windows.batch_ids(texts.select("doc_id"), ["doc_id"], BATCH).select("doc_id", "batch_id")
+    rows = frames.spread(texts).join(batched, "doc_id").select("batch_id", word_tokens(F.col("text")).alias("tokens"))
     sinks.write_token_batches(rows, "tokens", "batch_id", path)
     stored = spark.read.schema("value string, batch_id bigint").text(path)
-    return stored.groupBy("batch_id").agg(F.count("*").alias("n_docs"), F.sum(F.length("value")).alias("n_chars"))
+    return stored.groupBy("batch_id").agg(F.count("*").alias("n_docs"), F.sum(F.length("value")).alias("n_chars"),
+                                          F.sum(text_sum(F.col("value"))).alias("content"))
 
 
 def vector_lookup(spark, folder):
     """The vector behind every event's user number, zeros for users without one."""
     keyed = table(spark, folder, "events").select("event_id", (F.col("user_id") * 4).alias("vec_id"))
-    found = voc.vectors_of_keys(keyed, table(spark, folder, "embeddings"), "vec_id", "embedding", 64, ["event_id"])
+    found = voc.vectors_of_keys(keyed, table(spark, folder, "embeddings"), "vec_id", "embedding", 64)
     return found.select("event_id", "vec_id", "known", F.round(F.col("embedding")[0].cast("double"), 6).alias("v0"),
                         F.round(F.col("embedding")[63].cast("double"), 6).alias("v63"),
                         F.size("embedding").alias("dimension"))

@@ -30,8 +30,8 @@ def vector_topk_l2(spark, folder):
 
 
 def vector_topk_blocks(spark, folder):
-    """The same search by blocks, as for a query set too large to send to every task."""
-    best = vec.nearest(embeddings(spark, folder), label_queries(spark, folder), 2, max_values=0)
+    """The same search in blocks of a few queries, as for a query set too large to be sent to every task at once."""
+    best = vec.nearest(embeddings(spark, folder), label_queries(spark, folder), 2, max_values=256)
     return best.select("query_id", "id", F.round("score", 6).alias("distance"), "rank")
 
 

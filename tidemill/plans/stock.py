@@ -14,6 +14,22 @@ def quality_of(flag):
     return F.when(flag == "A", "合格").when(flag == "N", "残次").otherwise("待检")
 
 
+def named_stock(spark, folder, *keys):
+    """Stock added up per article, quality and further keys of the lines, by the keys as stored; the article's name and
+    codes are joined to the sums."""
+    qty = F.col("l_quantity").cast("bigint")
+    lines = table(spark, folder, "lineitem").select("l_partkey", "l_returnflag", "l_linestatus", "l_quantity", *keys)
+    sums = lines.groupBy("l_partkey", "l_returnflag", *keys).agg(
+        F.count("*").alias("n_rows"), F.sum(qty).alias("qty"),
+        F.sum(F.when(F.col("l_linestatus") == "O", qty).otherwise(F.lit(0))).alias("occupied"),
+    )
+    parts = table(spark, folder, "part").select("p_partkey", F.col("p_name").alias("skuName"))
+    return sums.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.concat(F.lit("SKU"), F.col("l_partkey").cast("string")).alias("skuCode"), "skuName",
+        normalize_quality(quality_of(F.col("l_returnflag"))).alias("quality"), *keys, "n_rows", "qty", "occupied",
+    )
+
+
 def physical(spark, folder):
     """Stock per line: the article by part, the bin by supplier, open lines count as occupied."""
     parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_type")
@@ -36,7 +52,7 @@ def physical(spark, folder):
 
 
 def inventory_overview(spark, folder):
-    return inventory.overview(physical(spark, folder))
+    return inventory.overview(named_stock(spark, folder))
 
 
 def inventory_search(spark, folder):
@@ -53,6 +69,11 @@ def inventory_search_all_fields(spark, folder):
                             production_no="D1")
 
 
+def inventory_search_made(spark, folder):
+    """Stock made on one day."""
+    return inventory.search(physical(spark, folder), sku="anvil", produce_date="1997-03-24")
+
+
 def sku_availability(spark, folder):
     """Every article of the part table, stocked or not."""
     wanted = table(spark, folder, "part").select(F.concat(F.lit("SKU"), F.col("p_partkey").cast("string")).alias("sku"))
@@ -69,7 +90,7 @@ def sku_availability_status(spark, folder):
 
 def sku_not_found(spark, folder):
     wanted = table(spark, folder, "orders").select(
-        F.concat(F.lit("SKU"), F.col("o_custkey").cast("string")).alias("skuCode")
+        F.concat(F.lit("SKU"), (F.col("o_custkey") * 2).cast("string")).alias("skuCode")
     )
     return unmatched_report(wanted, inventory_overview(spark, folder).select("skuCode").distinct(), "skuCode")
 
@@ -80,7 +101,8 @@ def sku_bin_status(spark, folder):
                     F.when(F.col("c_nationkey") > 5, F.concat(F.lit(" L-"), F.col("c_nationkey").cast("string")))
                     .otherwise(F.lit("")))
     asked = table(spark, folder, "customer").select(split_sku_argument(text).alias("a")).select("a.sku", "a.bin")
-    return inventory.bin_status(asked, physical(spark, folder))
+    stock = named_stock(spark, folder, "l_suppkey")
+    return inventory.bin_status(asked, stock.withColumn("binCode", F.concat(F.lit("L-"), F.col("l_suppkey").cast("string"))))
 
 
 def order_lines(spark, folder):
@@ -113,6 +135,7 @@ QUERIES = {
     "inventory_overview": inventory_overview,
     "inventory_search": inventory_search,
     "inventory_search_all_fields": inventory_search_all_fields,
+    "inventory_search_made": inventory_search_made,
     "sku_availability": sku_availability,
     "sku_availability_status": sku_availability_status,
     "sku_not_found": sku_not_found,
