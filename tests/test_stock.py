@@ -125,7 +125,7 @@ def test_a_hot_article_is_split_by_the_adaptive_join(spark, request):
     hot = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id")))
     lines = spark.range(0, 200_000, 1, 16).select(F.xxhash64("id").alias("order_id"), hot.alias("sku"), F.lit(1).alias("qty"))
     free = spark.range(1, 200_000, 2).select(F.concat(F.lit("s"), F.col("id")).alias("skuCode"), F.lit(5).alias("availableQty"))
-    joined = inventory.order_lines_status(lines, free).select("line_ok", F.spark_partition_id().alias("task")).toPandas()
+    joined = inventory.order_lines_status(lines, free).select("order_id", "line_ok", F.spark_partition_id().alias("task")).toPandas()
     assert len(joined) == 200_000 and joined["line_ok"].sum() == 100_000
     assert joined["task"].value_counts().max() < 30_000
 
