@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -39,7 +40,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemill-"))
+    own = tempfile.mkdtemp(prefix="tidemill-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    context.setCheckpointDir(own)
     return context.getCheckpointDir().rstrip("/")
 
 
