@@ -83,6 +83,12 @@ ORACLES = {
         AS padded FROM documents""",
     "keep_cjk": rf"""SELECT doc_id, trim(regexp_replace(regexp_replace({CJK}, '[^一-鿿]', ' ', 'g'), '\s{{2,}}', ' ',
         'g')) AS cjk FROM documents""",
+    "labelled_line_cleaning": f"""SELECT doc_id, array_to_string(regexp_extract_all({CJK}, '[一-鿿]'), ' ') AS cjk
+        FROM documents""",
+    "page_line_numbers": f"""WITH {PAGES}, f AS (SELECT doc_id, page FROM li JOIN (SELECT *, ((i - 1) // 5 + 1)::INT AS page
+          FROM li) USING (doc_id, i) GROUP BY 1, 2 HAVING sum(length(li.line) + 1) > 1)
+        SELECT doc_id, page, ((i - 1) % 5)::INT AS line_no, length(line)::INT AS n_chars
+        FROM (SELECT *, ((i - 1) // 5 + 1)::INT AS page FROM li) JOIN f USING (doc_id, page)""",
     "char_tokens": f"""WITH c AS (SELECT doc_id, regexp_extract_all({CJK}, '[一-鿿]') AS t FROM documents)
         SELECT doc_id, len(t)::INT AS n_tokens, array_to_string(t, ' ') AS tokens FROM c""",
     "top_ngrams": f"""WITH w AS (SELECT doc_id, {words('text')} AS t FROM documents), {NGRAMS}

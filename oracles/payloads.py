@@ -51,8 +51,14 @@ ORACLES = {
         for i, c in enumerate(COLUMNS["lineitem"].split())
     ),
     "sheet_counts": "SELECT 'orders' AS sheet, count(*) AS n_rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem",
-    "file_listing": "SELECT unnest([" + ", ".join(f"'{t}.parquet'" for t in COLUMNS) + "]) AS file_name, 'parquet' AS suffix",
-    "file_count": f"SELECT {len(COLUMNS)}::BIGINT AS n_files",
+    "file_listing": "SELECT DISTINCT 'lang=' || lang AS folder, 'parquet' AS suffix FROM documents",
+    "file_count": "SELECT count(DISTINCT lang) AS n_files FROM documents",
+    "sheet_roundtrip": """SELECT 'customer' AS sheet, count(*) AS n_rows FROM customer
+        UNION ALL SELECT 'supplier', count(*) FROM supplier""",
+    "partial_append": """SELECT c_name AS name, c_nationkey AS nation, c_mktsegment AS segment FROM customer
+        UNION ALL SELECT s_name, s_nationkey, NULL FROM supplier""",
+    "latin1_roundtrip": r"""SELECT doc_id, regexp_replace(substring(text, 1, 60), '[ \t\r\n]', '_', 'g') AS begin
+        FROM documents""",
     "csv_roundtrip": "SELECT * FROM customer",
     "merged_text": r"""SELECT count(*) AS n_lines, sum(length(regexp_replace(regexp_replace(regexp_replace(text, '(.|\n)',
         '\1 ', 'g'), '[\r\n]+', ' ', 'g'), '\s+$', '')))::BIGINT AS n_chars FROM conversations""",
@@ -67,3 +73,5 @@ ORACLES = {
     "stream_daily_totals": """SELECT ts::DATE AS day, count(*) AS n_events, sum(value::DECIMAL(18,2))::DOUBLE
         AS total_value, max(event_id) AS last_event FROM events GROUP BY 1""",
 }
+
+ORACLES["session_catalog"] = ORACLES["catalog_snapshot"]

@@ -9,6 +9,7 @@ from tidemill.operators import chunking, corpus
 from tidemill.operators.frames import spread
 from tidemill.operators.windows import top_k
 from tidemill.session import written
+from tidemill.sources import files
 from tidemill.sources.tables import table
 
 LETTERS, CHARACTERS = "abcdefghij", "甲乙丙丁戊己庚辛壬癸"
@@ -53,6 +54,16 @@ def keep_cjk(spark, folder):
     return shared_documents(spark, folder).select("doc_id", tx.keep_cjk(chinese_text()).alias("cjk"))
 
 
+def labelled_line_cleaning(spark, folder):
+    return shared_documents(spark, folder).select("doc_id", tx.clean_labelled_line(chinese_text()).alias("cjk"))
+
+
+def page_line_numbers(spark, folder):
+    """Every line of every page with its place and length."""
+    pages = chunking.pages_of_lines(documents(spark, folder), "doc_id", "text", LINES_PER_PAGE)
+    return files.page_lines(pages, keys=("doc_id",)).select("doc_id", "page", "line_no", F.length("line").alias("n_chars"))
+
+
 def char_tokens(spark, folder):
     tokens = tx.segment(chinese_text(), "char", tx.SEGMENT_STOP_WORDS)
     return shared_documents(spark, folder).select("doc_id", tokens.alias("tokens")).select(
@@ -161,6 +172,8 @@ QUERIES = {
     "stopword_filter": stopword_filter,
     "pad_tokens": pad_tokens,
     "keep_cjk": keep_cjk,
+    "labelled_line_cleaning": labelled_line_cleaning,
+    "page_line_numbers": page_line_numbers,
     "char_tokens": char_tokens,
     "top_ngrams": top_ngrams,
     "top_words": top_words,

@@ -133,13 +133,51 @@ def sheet_counts(spark, folder):
     return tables.sheet_row_counts(tables.sheets(spark, paths))
 
 
+def landed_by_language(spark, folder):
+    """Document ids landed as one file per language."""
+    path = scratch_path(spark, "landed")
+    rows = table(spark, folder, "documents").select("doc_id", "lang")
+    rows.repartition("lang").write.partitionBy("lang").parquet(path)
+    return path
+
+
 def file_listing(spark, folder):
-    listed = files.list_files(spark, folder, "*.parquet")
-    return listed.select("file_name", "suffix")
+    listed = files.list_files(spark, landed_by_language(spark, folder), "*.parquet")
+    return listed.select(files.parent_folder(F.col("path")).alias("folder"), "suffix").distinct()
 
 
 def file_count(spark, folder):
-    return files.count_files(spark, folder, "parquet", recursive=False)
+    return files.count_files(spark, landed_by_language(spark, folder), "parquet")
+
+
+def session_catalog(spark, folder):
+    """The profile of the tables a session can name, found through its catalog."""
+    prefix = "catalog_"
+    tables.register_views(spark, folder, prefix=prefix)
+    found = {n.removeprefix(prefix): df for n, df in tables.catalog_frames(spark).items() if n.startswith(prefix)}
+    return tables.catalog_profile(found, cardinality=False).drop("data_type")
+
+
+def sheet_roundtrip(spark, folder):
+    """Two tables written as sheets, read back and counted."""
+    path, names = scratch_path(spark, "sheets"), ("customer", "supplier")
+    sinks.write_sheets({n: table(spark, folder, n) for n in names}, path)
+    return tables.sheet_row_counts(tables.sheets(spark, {n: (f"{path}/{n}", schemas.TABLES[n]) for n in names}))
+
+
+def partial_append(spark, folder):
+    """Suppliers appended to customers; they have no market segment."""
+    customers = table(spark, folder, "customer").selectExpr("c_name AS name", "c_nationkey AS nation", "c_mktsegment AS segment")
+    return frames.append_partial(customers, table(spark, folder, "supplier").selectExpr("s_name AS name", "s_nationkey AS nation"))
+
+
+def latin1_roundtrip(spark, folder):
+    """The beginnings of texts written as CSV in ISO-8859-1 and read back."""
+    path = scratch_path(spark, "latin1")
+    begin = F.translate(F.substring("text", 1, 60), " \t\r\n", "____").alias("begin")
+    rows = table(spark, folder, "documents").select("doc_id", begin)
+    rows.write.option("header", "true").option("encoding", "ISO-8859-1").csv(path)
+    return files.read_csv(spark, path, "doc_id bigint, begin string")
 
 
 def csv_roundtrip(spark, folder):
@@ -222,6 +260,10 @@ QUERIES = {
     "file_listing": file_listing,
     "file_count": file_count,
     "csv_roundtrip": csv_roundtrip,
+    "session_catalog": session_catalog,
+    "sheet_roundtrip": sheet_roundtrip,
+    "partial_append": partial_append,
+    "latin1_roundtrip": latin1_roundtrip,
     "merged_text": merged_text,
     "positive_negative": positive_negative,
     "labelled_corpus": labelled_corpus,
