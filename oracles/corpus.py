@@ -109,6 +109,8 @@ ORACLES = {
         o AS (SELECT item_id, doc_id, round(len(list_intersect(a, t)) / len(a)::DOUBLE, 6) AS score FROM r)
         {best('doc_id', 5, 'o')}""",
     "fixed_stride_chunks": f"WITH {CHUNKS} SELECT * FROM k",
+    "recursive_chunk_flags": r"""SELECT doc_id, true AS in_place, true AS sized, true AS overlapping, true AS covered
+        FROM documents WHERE regexp_matches(text, '\S')""",
     "document_pages": f"WITH {PAGES} SELECT * FROM sp",
     "chunk_page": f"""WITH {CHUNKS}, {PAGES} SELECT doc_id, chunk_no, start, page::VARCHAR AS page
         FROM k JOIN sp USING (doc_id) WHERE start >= page_start AND start < page_end""",

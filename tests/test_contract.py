@@ -8,7 +8,6 @@ import __spark_entry__ as contract
 from tools.check import duck, normal
 
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
-SLOW_MODELS = {"word2vec_synonyms"}
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +32,6 @@ def test_matches_sql(spark, con, small, name):
     assert normal(df.columns, [tuple(r) for r in df.collect()]) == normal(columns, cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW_MODELS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_others_run(spark, small, name):
     assert QUERIES[name](spark, small).count() > 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.splitting import CHUNK_OVERLAP, CHUNK_SIZE, SEPARATORS, chunks_of
@@ -28,6 +28,27 @@ def recursive_chunks(df: DataFrame, key: str, text: str = "text", size: int = CH
     )
 
 
+def chunk_flags(chunks: DataFrame, documents: DataFrame, key: str, text: str = "text", size: int = CHUNK_SIZE,
+                overlap: int = CHUNK_OVERLAP) -> DataFrame:
+    """What chunks must satisfy, per document: each is the text at its place and no longer than ``size``, neighbours
+    share at most ``overlap`` characters, and nothing but blanks lies outside all chunks."""
+    along = Window.partitionBy(key).orderBy("start")
+    placed = chunks.select(key, "start", F.col("text").alias("chunk"), (F.col("start") + F.length("text")).alias("end"))
+    near = placed.withColumns({"before": F.coalesce(F.lag("end").over(along), F.lit(0)), "after": F.lead("start").over(along)})
+    whole = near.join(documents.select(key, F.col(text).alias("whole")), key)
+
+    def blank(start: Column, length: Column) -> Column:
+        return ~F.substring(F.col("whole"), start + 1, F.greatest(length, F.lit(0))).rlike(r"\S")
+
+    rest = F.when(F.col("after").isNull(), blank(F.col("end"), F.length("whole") - F.col("end"))).otherwise(F.lit(True))
+    return whole.groupBy(key).agg(
+        F.bool_and(F.substring(F.col("whole"), F.col("start") + 1, F.length("chunk")) == F.col("chunk")).alias("in_place"),
+        F.bool_and(F.length("chunk") <= size).alias("sized"),
+        F.bool_and(F.col("before") - F.col("start") <= overlap).alias("overlapping"),
+        F.bool_and(blank(F.col("before"), F.col("start") - F.col("before")) & rest).alias("covered"),
+    )
+
+
 def stride_chunks(df: DataFrame, key: str, text: str = "text", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP
                   ) -> DataFrame:
     """(key, chunk_no, start, text): windows of fixed size, expressed in columns alone."""

@@ -129,6 +129,10 @@ def recursive_chunks(spark, folder):
     return chunking.recursive_chunks(shared_documents(spark, folder), "doc_id")
 
 
+def recursive_chunk_flags(spark, folder):
+    return chunking.chunk_flags(recursive_chunks(spark, folder), documents(spark, folder), "doc_id")
+
+
 def spans(spark, folder):
     pages = chunking.pages_of_lines(documents(spark, folder), "doc_id", "text", LINES_PER_PAGE)
     return chunking.page_spans(pages, "doc_id")
@@ -184,6 +188,7 @@ QUERIES = {
     "rerank_candidates": rerank_candidates,
     "fixed_stride_chunks": fixed_stride_chunks,
     "recursive_chunks": recursive_chunks,
+    "recursive_chunk_flags": recursive_chunk_flags,
     "document_pages": document_pages,
     "chunk_page": chunk_page,
     "retrieved_chunks": retrieved_chunks,
