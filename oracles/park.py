@@ -9,6 +9,32 @@ DAYS = """d AS (SELECT ts::DATE AS date, count(*) AS total_attendance,
     sum(value::DECIMAL(18,2))::DOUBLE / count(*) AS rev_per_cap,
     CASE WHEN dayofweek(any_value(ts::DATE)) IN (0, 6) THEN 2 ELSE 0 END AS marquee_event FROM events GROUP BY 1)"""
 
+DRIVERS = ("ap_attendance", "date_diff", "promotional_ticket_attendance", "ticket_attendance")
+
+
+def fitted() -> str:
+    """CTEs ending in b(feature, value): the least squares coefficients of revenue on all drivers.
+
+    For each driver the others are taken out of it and of revenue one after the other; what is left of revenue, divided
+    by what is left of the driver, is the coefficient.
+    """
+    parts = [DAYS, """e AS (SELECT *, datediff('day', DATE '2023-01-01', date) AS date_diff FROM d
+        WHERE marquee_event = 0)"""]
+    for f, driver in enumerate(DRIVERS):
+        others = [x for x in DRIVERS if x != driver]
+        columns = [*others, driver, "total_fb_revenue"]
+        parts.append(f"f{f}_0 AS (SELECT " + ", ".join(f"{c} - avg({c}) OVER () AS {c}" for c in columns) + " FROM e)")
+        for i, out in enumerate(others):
+            columns = columns[1:]
+            left = ", ".join(f"{c} - {out} * sum({c} * {out}) OVER () / sum({out} * {out}) OVER () AS {c}" for c in columns)
+            parts.append(f"f{f}_{i + 1} AS (SELECT {left} FROM f{f}_{i})")
+    solved = " UNION ALL ".join(
+        f"SELECT '{driver}' AS feature, sum(total_fb_revenue * {driver}) / sum({driver} * {driver}) AS value FROM f{f}_{len(DRIVERS) - 1}"
+        for f, driver in enumerate(DRIVERS)
+    )
+    return ", ".join([*parts, f"b AS ({solved})"])
+
+
 ORACLES = {
     "park_days_of_event": f"""WITH {DAYS} SELECT date, ap_attendance, ticket_attendance, promotional_ticket_attendance,
         total_fb_revenue FROM d WHERE marquee_event = 2""",
@@ -19,7 +45,18 @@ ORACLES = {
         datediff('day', DATE '2023-01-01', date)::INT AS date_diff FROM d""",
     "ols_slope": f"""WITH {DAYS} SELECT marquee_event, round(regr_slope(total_fb_revenue, total_attendance), 4) AS slope,
         round(regr_intercept(total_fb_revenue, total_attendance), 4) AS intercept, count(*) AS n_rows FROM d GROUP BY 1""",
-    "geo_lookup": """SELECT c_nationkey, count(*) AS value, any_value(r_name) AS feature, any_value(r_name) IS NOT NULL
-        AS matched FROM customer LEFT JOIN (SELECT n_nationkey, r_name FROM nation
-          JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'EUROPE') ON c_nationkey = n_nationkey GROUP BY 1""",
+    "ols_drivers": f"WITH {fitted()} SELECT feature, round(value, 3) AS value, round(value / (SELECT max(value) FROM b)"
+        " * 100, 3) AS relative FROM b",
+    "ols_drivers_of_type": f"""WITH {fitted()} SELECT feature, round(value, 3) AS value FROM b
+        WHERE feature IN ('ap_attendance', 'date_diff')""",
+    "ols_important": f"""WITH {fitted()}, r AS (SELECT feature, round(value, 3) AS value,
+          round(value / (SELECT max(value) FROM b) * 100, 3) AS relative FROM b)
+        SELECT * FROM r WHERE relative > 10""",
+    "ols_conclusion": f"""WITH {fitted()} SELECT '餐饮消费主要随这些因素上升：'
+          || string_agg(feature, ', ' ORDER BY value DESC) || '；线性回归系数依次为 '
+          || string_agg(format('{{:.1f}}', value), ', ' ORDER BY value DESC) AS conclusion FROM b WHERE value > 0""",
+    "geo_lookup": """WITH c AS (SELECT c_nationkey + 5 AS c_nationkey, count(*) AS value FROM customer GROUP BY 1)
+        SELECT c.c_nationkey, value, r_name AS feature, r_name IS NOT NULL AS matched FROM c
+        LEFT JOIN (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)
+          ON c_nationkey = n_nationkey""",
 }

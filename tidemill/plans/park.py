@@ -87,11 +87,12 @@ def cart_rules(spark, folder):
 
 
 def geo_lookup(spark, folder):
-    """Customers per nation with the region feature, and the nations the map lacks."""
+    """Customers per nation with the region feature; nation numbers are moved up so that the map lacks the last ones."""
     features = table(spark, folder, "nation").join(
-        table(spark, folder, "region").filter(F.col("r_name") != "EUROPE"), F.col("n_regionkey") == F.col("r_regionkey")
+        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     ).select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("feature"))
-    counts = table(spark, folder, "customer").groupBy("c_nationkey").agg(F.count("*").alias("value"))
+    moved = (F.col("c_nationkey") + 5).alias("c_nationkey")
+    counts = table(spark, folder, "customer").groupBy(moved).agg(F.count("*").alias("value"))
     found = left_lookup(counts, features, "c_nationkey", ["feature"])
     return found.withColumn("matched", F.col("feature").isNotNull())
 
