@@ -66,20 +66,34 @@ def passages():
     return [*rows, (70, None), (71, ""), (72, "ab" * 300), (73, "q" * 500), (74, rows[3][1])]
 
 
-@pytest.mark.parametrize(("length", "anchor", "crowd", "keep"), [(40, 8, 256, "none"), (40, 8, 2, "first"), (41, 41, 1, "none"), (50, 16, 256, "first")])
-def test_passages(spark, length, anchor, crowd, keep):
+@pytest.mark.parametrize(("length", "anchor", "crowd", "keep", "windows"), [
+    (40, 8, 256, "none", 20), (40, 8, 2, "first", 20_000), (41, 41, 1, "none", 20_000), (50, 16, 256, "first", 300)])
+def test_passages(spark, monkeypatch, length, anchor, crowd, keep, windows):
+    monkeypatch.setattr(suffix_dedup, "WINDOWS", windows)
     rows = passages()
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"start": F.lit(1), "anchor": F.lit(2), "spans": F.lit(3)})
     found = suffix_dedup.deduplicate(docs.repartition(3), length, keep, anchor=anchor, crowd=crowd)
     assert summary(found) == brute(rows, length, keep)
 
 
+def test_windows_sorted_in_pieces(monkeypatch):
+    draw = random.Random(8)
+    core = b"anchor in the middle of all"
+    texts = [draw.choice([b"left one ", b"left two "]) + core + draw.choice([b" right one", b" right two"]) for _ in range(40)]
+    reach = np.full(len(texts), 9)
+    whole = suffix_dedup.matched_windows(texts, reach, 30)
+    monkeypatch.setattr(suffix_dedup, "WINDOWS", 50)
+    assert len(list(suffix_dedup.pieces_of(reach[whole[0]] - whole[1]))) > 3
+    for a, b in zip(whole, suffix_dedup.matched_windows(texts, reach, 30), strict=True):
+        assert np.array_equal(a, b)
+
+
 def test_blocks(spark, monkeypatch):
     raw = np.frombuffer(b"".join(t.encode() for _, t in passages()[:30]), np.uint8)
     offsets = np.array([0, 700, len(raw)])
-    whole = {(t, w) for t, a, b, _, _ in suffix_dedup.anchored(raw, offsets, 40, 8) for t, x, y in zip(t, a, b, strict=True) for w in range(x, y + 1)}
+    whole = {(t, w) for t, a, b, *_ in suffix_dedup.anchored(raw, offsets, 40, 8) for t, x, y in zip(t, a, b, strict=True) for w in range(x, y + 1)}
     monkeypatch.setattr(suffix_dedup, "BLOCK", 100)
-    cut = {(t, w) for t, a, b, _, _ in suffix_dedup.anchored(raw, offsets, 40, 8) for t, x, y in zip(t, a, b, strict=True) for w in range(x, y + 1)}
+    cut = {(t, w) for t, a, b, *_ in suffix_dedup.anchored(raw, offsets, 40, 8) for t, x, y in zip(t, a, b, strict=True) for w in range(x, y + 1)}
     assert whole == cut == {(0, w) for w in range(661)} | {(1, w) for w in range(700, len(raw) - 39)}
 
 

@@ -30,15 +30,15 @@ from tidemill.session import written
 
 LENGTH = 400  # bytes of a repeated string
 ANCHOR = 64  # bytes of the strings whose hashes are compared
-CROWD = 256  # different snippets of an anchor that one task compares
-BLOCK = 1 << 20  # window starts looked at at once
-WINDOWS = 20_000  # windows sorted at once, unless one anchor has more
+CROWD = 16_384  # different snippets of an anchor that one task compares, some ten megabytes
+BLOCK = 1 << 18  # window starts looked at at once, so that the arrays stay small
+WINDOWS = 20_000  # windows sorted at once; more are sorted by their distance from the anchor, piece by piece
 PLACE = np.uint64((1 << 22) - 1)
 
 
 def anchored(raw: np.ndarray, offsets: np.ndarray, length: int, anchor: int
-             ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]]:
-    """(text number, first window, last window, anchor hash, snippet hash), block by block; places in all bytes."""
+             ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]]:
+    """(text number, first window, last window, anchor, its hash, snippet hash), block by block; places in all bytes."""
     width = length - anchor + 1
     for start in range(0, len(raw), BLOCK):
         part = raw[start: start + BLOCK + length - 1]
@@ -66,31 +66,34 @@ def anchored(raw: np.ndarray, offsets: np.ndarray, length: int, anchor: int
         low, high = inside[first], inside[np.append(first[1:], len(at)) - 1]
         data = part.tobytes()
         whole = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(low.tolist(), (high + length).tolist(), strict=True)]
-        yield text[first], low + start, high + start, hashes[at[first]], whole
+        yield text[first], low + start, high + start, at[first] + start, hashes[at[first]], whole
 
 
 def anchors(texts: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(doc_id, text_key, anchor, snippet, low, high): ranges of windows with one anchor, and their hashes."""
+    """(doc_id, text_key, anchor, snippet, low, high, reach): ranges of windows with one anchor, and their hashes.
+
+    ``reach`` is the distance from the first window to the anchor.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 * BLOCK):
             raw, offsets = text_bytes(batch.column("text"))
-            for text, low, high, hashes, whole in anchored(raw, offsets, length, anchor):
+            for text, low, high, at, hashes, whole in anchored(raw, offsets, length, anchor):
                 where = pa.array(text)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").take(where), batch.column("text_key").take(where),
                     pa.array(hashes.view(np.int64)), pa.array(np.array(whole, dtype=np.uint64).view(np.int64)),
-                    pa.array((low - offsets[text]).astype(np.int32)), pa.array((high - offsets[text]).astype(np.int32)),
-                ], ["doc_id", "text_key", "anchor", "snippet", "low", "high"])
+                    *[pa.array(x.astype(np.int32)) for x in (low - offsets[text], high - offsets[text], at - low)],
+                ], ["doc_id", "text_key", "anchor", "snippet", "low", "high", "reach"])
 
-    return texts.mapInArrow(run, "doc_id long, text_key long, anchor long, snippet long, low int, high int")
+    return texts.mapInArrow(run, "doc_id long, text_key long, anchor long, snippet long, low int, high int, reach int")
 
 
 def snippets(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of the wanted snippets, cut out by the tasks that read the texts."""
-    fields = ["anchor", "snippet", "low", "high", "crowded"]
+    fields = ["anchor", "snippet", "low", "high", "reach", "crowded"]
     per_text = written(wanted.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct(*fields)).alias("cuts")), "cuts")
     entries = per_text.agg(F.sum(F.size("cuts"))).first()[0] or 0
-    # An entry has 32 bytes; beyond the limit texts and cuts are shuffled by text.
+    # An entry has some 40 bytes; beyond the limit texts and cuts are shuffled by text.
     held = F.broadcast(per_text) if entries <= 5 * BROADCAST_LIMIT else per_text
     held = held.withColumnsRenamed({"doc_id": "doc_id__", "text_key": "text_key__"})
     same = F.col("doc_id").eqNullSafe(F.col("doc_id__")) & (F.col("text_key") == F.col("text_key__"))
@@ -110,11 +113,12 @@ def snippets(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             where = pa.array(text)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").take(where), batch.column("text_key").take(where),
-                *[cuts.field(f) for f in ("anchor", "low", "crowded")],
+                *[cuts.field(f) for f in ("anchor", "low", "reach", "crowded")],
                 pa.array([data[a:b] for a, b in zip(starts, ends, strict=True)], pa.binary()),
-            ], ["doc_id", "text_key", "anchor", "low", "crowded", "bytes"])
+            ], ["doc_id", "text_key", "anchor", "low", "reach", "crowded", "bytes"])
 
-    return joined.mapInArrow(run, "doc_id long, text_key long, anchor long, low int, crowded boolean, bytes binary")
+    return joined.mapInArrow(
+        run, "doc_id long, text_key long, anchor long, low int, reach int, crowded boolean, bytes binary")
 
 
 def previous_smaller(places: np.ndarray, lcp: np.ndarray) -> np.ndarray:
@@ -143,25 +147,46 @@ def longest_previous(places: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     return np.maximum(previous_smaller(places, lcp), previous_smaller(places[::-1], back)[::-1])
 
 
-def matched_windows(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, window, matches an earlier one, matches a later one) over all windows of texts in order."""
+def matched_windows(texts: list[bytes], reach: np.ndarray, length: int
+                    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, window, matches an earlier one, matches a later one) over all windows of texts in order.
+
+    Equal windows lie equally far from their anchors, so windows may be sorted distance by distance.
+    """
     raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
     sizes = np.array([len(t) for t in texts])
     counts = sizes - length + 1
     text = np.repeat(np.arange(len(texts)), counts)
     window = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    rows = np.lib.stride_tricks.sliding_window_view(raw, length)[(np.cumsum(sizes) - sizes)[text] + window]
-    order = np.argsort(rows.view(f"S{length}").ravel(), kind="stable")
-    ranked = rows[order]
-    differs = ranked[1:] != ranked[:-1]
-    lcp = np.zeros(len(order), dtype=np.int64)
-    lcp[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), length)
-    earlier, later = np.empty(len(order), dtype=bool), np.empty(len(order), dtype=bool)
-    earlier[order] = longest_previous(order, lcp) >= length
-    later[order] = longest_previous(len(order) - 1 - order, lcp) >= length
+    place = (np.cumsum(sizes) - sizes)[text] + window
+    views = np.lib.stride_tricks.sliding_window_view(raw, length)
+    earlier, later = np.empty(len(text), dtype=bool), np.empty(len(text), dtype=bool)
+    for piece in pieces_of(reach[text] - window):
+        rows = views[place[piece]]
+        order = np.argsort(rows.view(f"S{length}").ravel(), kind="stable")
+        ranked = rows[order]
+        differs = ranked[1:] != ranked[:-1]
+        lcp = np.zeros(len(order), dtype=np.int64)
+        lcp[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), length)
+        earlier[piece[order]] = longest_previous(order, lcp) >= length
+        later[piece[order]] = longest_previous(len(order) - 1 - order, lcp) >= length
     return text, window, earlier, later
 
 
+def pieces_of(distance: np.ndarray) -> Iterator[np.ndarray]:
+    """Windows in pieces of about ``WINDOWS``, all of one distance together, in their order."""
+    if len(distance) <= WINDOWS:
+        yield np.arange(len(distance))
+        return
+    order = np.argsort(distance, kind="stable")
+    edges = np.append(np.flatnonzero(np.diff(distance[order])) + 1, len(order))
+    start = 0
+    while start < len(order):
+        end = int(edges[max(np.searchsorted(edges, start + WINDOWS, side="right") - 1, np.searchsorted(edges, start, side="right"))])
+        yield order[start:end]
+        start = end
+
+
 def window_runs(text: np.ndarray, window: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of neighbouring flagged windows: (text number, first, last)."""
     at = np.flatnonzero(flags)
@@ -178,7 +203,8 @@ SPAN = "doc_id long, text_key long, start int, end int"
 def compared(held: DataFrame, length: int, keep: str) -> DataFrame:
     """Spans of the snippets whose windows match others with the same anchor."""
     def spans(rows: list[tuple]) -> pa.RecordBatch:
-        text, window, earlier, later = matched_windows([r[4] for r in rows], length)
+        reach = np.array([r[5] for r in rows], dtype=np.int64)
+        text, window, earlier, later = matched_windows([r[4] for r in rows], reach, length)
         text, first, last = window_runs(text, window, earlier if keep == "first" else earlier | later)
         low = np.array([r[3] for r in rows], dtype=np.int64)[text]
         return pa.RecordBatch.from_arrays([
@@ -190,7 +216,7 @@ def compared(held: DataFrame, length: int, keep: str) -> DataFrame:
         rows: list[tuple] = []
         windows = 0
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("anchor", "doc_id", "text_key", "low", "bytes")]
+            columns = [batch.column(c).to_pylist() for c in ("anchor", "doc_id", "text_key", "low", "bytes", "reach")]
             for row in zip(*columns, strict=True):
                 if windows >= WINDOWS and row[0] != rows[-1][0]:
                     yield spans(rows)
@@ -202,7 +228,7 @@ def compared(held: DataFrame, length: int, keep: str) -> DataFrame:
 
     # Bounded groups: at most CROWD snippets of less than two windows' length for each anchor.
     dealt = held.repartition("anchor").sortWithinPartitions("anchor", F.col("doc_id").asc_nulls_last(), "text_key", "low")
-    return dealt.select("anchor", "doc_id", "text_key", "low", "bytes").mapInArrow(run, SPAN)
+    return dealt.select("anchor", "doc_id", "text_key", "low", "bytes", "reach").mapInArrow(run, SPAN)
 
 
 def dealt_out(held: DataFrame, length: int, keep: str) -> DataFrame:
@@ -229,7 +255,7 @@ def dealt_out(held: DataFrame, length: int, keep: str) -> DataFrame:
 def repeated_spans(texts: DataFrame, length: int, keep: str, anchor: int = ANCHOR, crowd: int = CROWD) -> DataFrame:
     """(doc_id, text_key, spans): the maximal byte spans of each text that repeated strings cover."""
     listed = written(anchors(texts, length, anchor), "anchors")
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "low", "high")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "low", "high", "reach")
     different = written(listed.groupBy("anchor", "snippet").agg(F.count("*").alias("n"), F.min(place).alias("first")),
                         "snippets")
     per_anchor = different.groupBy("anchor").agg(F.sum("n").alias("total"), F.count("*").alias("n_different"))
@@ -237,7 +263,7 @@ def repeated_spans(texts: DataFrame, length: int, keep: str, anchor: int = ANCHO
 
     several = different.join(repeated.filter("n_different > 1"), "anchor")
     wanted = several.select("first.doc_id", "first.text_key", "anchor", "snippet", "first.low", "first.high",
-                            (F.col("n_different") > crowd).alias("crowded"))
+                            "first.reach", (F.col("n_different") > crowd).alias("crowded"))
     held = written(snippets(texts, wanted, length), "snippet-bytes")
     spans = compared(held.filter(~F.col("crowded")), length, keep)
     spans = spans.unionByName(dealt_out(held.filter("crowded"), length, keep))
