@@ -1,6 +1,16 @@
 """SQL for the insurance questions."""
 
 ORACLES = {
+    "ins_policy_table": """SELECT o_orderkey::INT AS PolicyNumber, o_custkey::INT AS CustomerID, NULL::INT AS ProductID,
+        o_orderstatus AS PolicyStatus, NULL::VARCHAR AS Beneficiary, NULL::VARCHAR AS Relationship,
+        o_orderdate::DATE AS PolicyStartDate, NULL::DATE AS PolicyEndDate, NULL::VARCHAR AS PremiumPaymentStatus,
+        NULL::DATE AS PaymentDate, o_orderpriority AS PaymentMethod, NULL::INT AS AgentID FROM orders""",
+    "ins_claim_table": """SELECT (l_orderkey * 10 + l_linenumber)::INT AS ClaimNumber, l_orderkey::INT AS PolicyNumber,
+        l_shipdate::DATE AS ClaimDate, l_returnflag AS ClaimType, l_extendedprice::DECIMAL(10,2) AS ClaimAmount,
+        l_linestatus AS ClaimStatus, NULL::VARCHAR AS ClaimDescription, NULL::INT AS BeneficiaryID,
+        NULL::VARCHAR AS MedicalRecords, NULL::VARCHAR AS AccidentReport, NULL::VARCHAR AS ClaimHandler,
+        NULL::DATE AS ReviewDate, NULL::VARCHAR AS PaymentMethod, NULL::DATE AS PaymentDate,
+        NULL::VARCHAR AS DenialReason FROM lineitem""",
     "ins_premium_by_type": """SELECT p_type, sum(p_retailprice::DECIMAL(18,2))::DOUBLE / count(p_retailprice) AS avg_premium,
         max(p_retailprice) AS max_premium, min(p_retailprice) AS min_premium FROM part GROUP BY 1""",
     "ins_policies_per_customer": """SELECT c_custkey, c_name, count(*) AS n_policies,

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.operators import aggregates as agg
-from tidemill.sources.tables import table
+from tidemill.sources.schemas import INSURANCE
+from tidemill.sources.tables import conformed, table
 
 AS_OF = "2001-08-01"
 
@@ -177,4 +178,22 @@ def ins_products_per_type(spark, folder):
     )
 
 
+def ins_policy_table(spark, folder):
+    """Orders as rows of the policy table; what orders do not know stays empty."""
+    rows = policies(spark, folder).selectExpr(
+        "o_orderkey AS PolicyNumber", "o_custkey AS CustomerID", "o_orderstatus AS PolicyStatus",
+        "o_orderdate AS PolicyStartDate", "o_orderpriority AS PaymentMethod", "o_totalprice",
+    )
+    return conformed(rows, INSURANCE["PolicyInfo"])
+
+
+def ins_claim_table(spark, folder):
+    """Line items as rows of the claim table."""
+    rows = claims(spark, folder).selectExpr(
+        "l_orderkey * 10 + l_linenumber AS ClaimNumber", "l_orderkey AS PolicyNumber", "l_shipdate AS ClaimDate",
+        "l_returnflag AS ClaimType", "l_extendedprice AS ClaimAmount", "l_linestatus AS ClaimStatus",
+    )
+    return conformed(rows, INSURANCE["ClaimInfo"])
+
+
 QUERIES = {name: fn for name, fn in globals().items() if name.startswith("ins_")}

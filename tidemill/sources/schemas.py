@@ -23,7 +23,7 @@ TABLES: dict[str, str] = {
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
-# Insurance business tables.
+# Insurance business tables.
 INSURANCE: dict[str, str] = {
     "CustomerInfo": "CustomerID int, Name string, Gender string, DateOfBirth date, IDNumber string, Address string, "
                     "PhoneNumber string, EmailAddress string, MaritalStatus string, Occupation string, "
@@ -51,32 +51,6 @@ INSURANCE: dict[str, str] = {
                     "EmployeeStatus string",
 }
 
-EPIDEMIC_DAILY = (
-    "report_date date, district string, new_cases bigint, cum_cases bigint, active_cases bigint, "
-    "new_recovered bigint, cum_recovered bigint, new_deaths bigint, cum_deaths bigint, rate_100k double, "
-    "population bigint, risk string"
-)
-BED_USAGE = (
-    "hospital_id string, hospital_name string, hospital_district string, department_id string, "
-    "department_name string, timestamp timestamp_ntz, occupancy_rate double"
-)
-TICKET_ORDERS = (
-    "order_time timestamp_ntz, account_id int, gov_id string, gender string, age int, province string, SKU string, "
-    "product_serial_no string, eco_main_order_id string, sales_channel string, status string, "
-    "order_value decimal(10,2), quantity int"
-)
-PARK_REVENUE = (
-    "date date, ticket_price decimal(10,2), operating_hours decimal(5,2), total_attendance int, ap_attendance int, "
-    "ticket_attendance int, promotional_ticket_attendance int, media_cost_index decimal(10,2), "
-    "marquee_event string, max_temperature decimal(5,2), min_temperature decimal(5,2), week_days string, "
-    "is_national_holiday boolean, beijing_guest_ratio decimal(5,2), "
-    + ", ".join(
-        f"age_group_{band} decimal(10,9)"
-        for band in ("0_3", "4_12", "13_16", "17_18", "19_25", "26_35", "36_45", "46_50", "51_65", "65_plus")
-    )
-    + ", total_fb_revenue decimal(10,2), rev_per_cap decimal(10,2)"
-)
-INVENTORY_OVERVIEW = "skuCode string, skuName string, quality string, qty bigint, occupied bigint"
 INVENTORY_PHYSICAL = (
     "skuCode string, skuName string, quality string, binCode string, areaCode string, areaName string, "
     "produceDate string, productionNo string, qty bigint, occupied bigint"
@@ -89,4 +63,3 @@ CHUNKED_DOCUMENT = (
     "struct<url:string, title:string, raw:array<struct<content:string, "
     "metadata:struct<source:string, title:string, chunk_id:int>, token:int>>>"
 )
-MESSAGE = "role string, content string, name string, function_call struct<name:string, arguments:string>"

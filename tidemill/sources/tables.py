@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.sources import schemas
 
@@ -39,6 +40,14 @@ def sql_scan(spark: SparkSession, query: str, **args: object) -> DataFrame:
     return spark.sql(query, args=args or None)
 
 
+def conformed(df: DataFrame, schema: str) -> DataFrame:
+    """The columns of a declared schema in its order and types; columns the frame lacks are null, others are left out."""
+    wanted = T.StructType.fromDDL(schema).fields
+    return df.select(*[
+        (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in wanted
+    ])
+
+
 def target_scan(df: DataFrame, columns: list[str], target: str, allowed: tuple[str, ...]) -> DataFrame:
     """Fixed columns plus one target column chosen at run time from a closed list."""
     if target not in allowed:
