@@ -23,6 +23,10 @@ STATE = "spark.sql.streaming.stateStore"
 SETTINGS = {
     f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     f"{STATE}.rocksdb.allowFAllocate": "false",  # no disk is set aside ahead of use, for each of many small stores
+    # All stores of an executor share one bounded cache, and none sets a large write buffer aside.
+    f"{STATE}.rocksdb.boundedMemoryUsage": "true",
+    f"{STATE}.rocksdb.maxMemoryUsageMB": "128",
+    f"{STATE}.rocksdb.writeBufferSizeMB": "4",
 }
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
