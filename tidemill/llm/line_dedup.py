@@ -2,8 +2,8 @@
 
 A line is the set of its words. Words are ordered by rarity, the rarest first; two sets as similar as asked share a word
 among the first few of each, so only those prefixes are joined. What remains after the length filter, the positional
-filter (the first common word leaves room for enough others) and a comparison of 64-bit word maps, which lie as far
-apart as the sets at most, is verified on the words themselves.
+filter (the first common word leaves room for enough others) and a comparison of parity maps is verified on the words
+themselves. A parity map flips one of its bits for every word, so two maps differ in no more bits than the sets in words.
 
 Equal sets enter the join once. A word that heads the prefixes of very many sets is joined in two steps: first every
 set with the earliest one, which finds nearly all members of a group of copies at the cost of one pair each, then only
@@ -20,15 +20,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import (BROADCAST_LIMIT, bounded_broadcast, documents_of, identified, mixed, slices,
-                                 text_bytes, word_spans)
+from tidemill.llm.common import (BROADCAST_LIMIT, ascii_lower, bounded_broadcast, documents_of, identified, mixed,
+                                 slices, text_bytes, word_spans)
 from tidemill.session import written
 
 SHARE = (4, 5)  # least Jaccard similarity, as a fraction
 RARITY_BITS = 18  # words are counted by so many bits of their hashes
 CROWD = 64  # sets that share one word of their prefixes
-STEP = 4 << 20
-BLOCK = 1 << 20
+STEP = 2 << 20
+BLOCK = 1 << 18
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -89,18 +89,19 @@ def line_sets(raw: np.ndarray, offsets: np.ndarray, ranks: np.ndarray, share: tu
     ends = np.cumsum(size)
     taken = np.repeat(first - (ends - size), size) + np.arange(ends[-1])
     spread = mixed(word)
+    one = np.uint64(1) << (spread & np.uint64(63))
     return {
         "text": text[first], "line": line[first] - np.searchsorted(breaks, offsets[text[first]]), "n": n,
         "set": np.add.reduceat(spread, first).view(np.int64),
-        "check": np.bitwise_xor.reduceat(mixed(spread ^ np.uint64(0x5851F42D4C957F2D)), first).view(np.int64),
-        "bits": np.bitwise_or.reduceat(np.uint64(1) << (spread & np.uint64(63)), first).view(np.int64),
+        **{name: np.bitwise_xor.reduceat(np.where(spread >> np.uint64(6) & np.uint64(1) == half, one, np.uint64(0)),
+                                         first).view(np.int64) for half, name in enumerate(("low", "high"))},
         "prefix": pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()),
                                            pa.array((word[taken] >> np.uint64(28)).astype(np.uint32).view(np.int32)
                                                     ^ word[taken].astype(np.uint32).view(np.int32))),
     }
 
 
-LINE = "doc_id long, text_key long, line int, n int, set long, check long, bits long, prefix array<int>"
+LINE = "doc_id long, text_key long, line int, n int, set long, low long, high long, prefix array<int>"
 
 
 def lines_of(texts: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -109,7 +110,7 @@ def lines_of(texts: DataFrame, share: tuple[int, int]) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(rarity_ranks(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text_key", "line", "n", "set", "check", "bits", "prefix"]
+        names = ["doc_id", "text_key", "line", "n", "set", "low", "high", "prefix"]
         for batch in slices(batches, "text", STEP):
             raw, offsets = text_bytes(batch.column("text"))
             breaks = np.concatenate([[0], np.cumsum(raw == 10)])
@@ -125,35 +126,38 @@ def lines_of(texts: DataFrame, share: tuple[int, int]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").take(where), batch.column("text_key").take(where),
                     pa.array(found["line"].astype(np.int32)), pa.array(found["n"].astype(np.int32)),
-                    *[pa.array(found[c]) for c in ("set", "check", "bits")], found["prefix"],
+                    *[pa.array(found[c]) for c in ("set", "low", "high")], found["prefix"],
                 ], names)
 
     return texts.mapInArrow(run, LINE)
 
 
-def overlap(a: str, b: str, share: tuple[int, int]) -> Column:
+def overlap(n_a: Column, n_b: Column, share: tuple[int, int]) -> Column:
     """Words two sets of these sizes share at least."""
     num, den = share
-    return F.expr(f"({num} * ({a} + {b}) + {num + den - 1}) div {num + den}")
+    return F.floor(((n_a + n_b) * num + (num + den - 1)) / (num + den))
 
 
 def alike(a: str, b: str, share: tuple[int, int]) -> Column:
-    """Length filter, positional filter and word maps."""
-    least = overlap(f"{a}.n", f"{b}.n", share)
-    n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
+    """Length filter, positional filter and parity maps."""
+    (n_a, i_a), (n_b, i_b) = ((F.shiftright(f"{x}.ni", 32), F.col(f"{x}.ni").bitwiseAND((1 << 32) - 1)) for x in (a, b))
+    least = overlap(n_a, n_b, share)
     sizes = F.least(n_a, n_b) * share[1] >= F.greatest(n_a, n_b) * share[0]
-    room = (F.col(f"{a}.i") <= n_a - least) & (F.col(f"{b}.i") <= n_b - least)
+    room = (i_a <= n_a - least) & (i_b <= n_b - least)
     apart = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
     return sizes & room & (apart <= n_a + n_b - 2 * least)
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    return sets.select("set", "n", "bits", F.posexplode_outer("prefix").alias("i", "word"))
+    """(id, bits, word, ni): the words that lead each set; set size and place share one number."""
+    led = F.transform("prefix", lambda w, i: F.struct(w.alias("word"), (F.col("n").cast("long") * (1 << 32) + i).alias("ni")))
+    # Both halves of the map as one; it still differs in no more bits than the sets in words.
+    return sets.select("id", F.col("low").bitwiseXOR(F.col("high")).alias("bits"), F.inline_outer(led))
 
 
 def line_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set, words): the distinct words of the lines that stand for the wanted sets."""
-    per_text = written(wanted.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("line", "set")).alias("cuts")), "cuts")
+    """(id, line): the lines that stand for the wanted sets."""
+    per_text = written(wanted.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("line", "id")).alias("cuts")), "cuts")
     entries = per_text.agg(F.sum(F.size("cuts"))).first()[0] or 0
     # An entry has 16 bytes; beyond the limit texts and cuts are shuffled by text.
     held = F.broadcast(per_text) if entries <= 5 * BROADCAST_LIMIT else per_text
@@ -161,53 +165,75 @@ def line_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("doc_id__")) & (F.col("text_key") == F.col("text_key__"))
     lines = texts.join(held, same).select("cuts", F.split("text", "\n").alias("lines"))
     each = lines.select(F.transform("cuts", lambda c: F.struct(
-        c["set"].alias("set"), F.element_at("lines", c["line"] + 1).alias("line"))).alias("cuts"))
-    listed = each.select(F.inline_outer("cuts"))
-    words = F.array_distinct(F.array_remove(F.split(F.translate(
-        F.col("line"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), WHITE_SPACE), ""))
-    return listed.select("set", words.alias("words")).dropDuplicates(["set"])
+        c["id"].alias("id"), F.element_at("lines", c["line"] + 1).alias("line"))).alias("cuts"))
+    return each.select(F.inline_outer("cuts")).dropDuplicates(["id"])
 
 
-def verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(a, b, later): the pairs whose words are as similar as asked, and which of both comes later."""
+def distinct_words(line: Column) -> Column:
+    return F.array_distinct(F.array_remove(F.split(ascii_lower(line), WHITE_SPACE), ""))
+
+
+def verified(pairs: DataFrame, lines: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(id): later sets of the pairs whose words are as similar as asked."""
+    one = lines.select(F.col("id").alias("later"), F.col("line").alias("line_a"))
+    two = lines.select(F.col("id").alias("earlier"), F.col("line").alias("line_b"))
+    met = pairs.join(two, "earlier").join(one, "later").select(
+        "later", distinct_words(F.col("line_a")).alias("a"), distinct_words(F.col("line_b")).alias("b"))
+    common = F.size(F.array_intersect("a", "b"))
+    similar = common * share[1] >= (F.size("a") + F.size("b") - common) * share[0]
+    return met.filter(similar).select(F.col("later").alias("id")).distinct()
+
+
+def settled(pairs: DataFrame, texts: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(id): those of the candidate pairs (a, b) that match an earlier set.
+
+    One match is enough for a line to go: of each set the likeliest earlier one is verified first, the others only
+    where that fails.
+    """
     pairs = written(pairs.distinct(), "pairs")
-    named = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    places = written(sets.join(named, "set", "left_semi").select("set", "first", "first.doc_id", "first.text_key", "first.line"),
-                     "places")
-    known = written(line_texts(texts, places).join(places.select("set", "first"), "set"), "line-words")
-    one = known.select(F.col("set").alias("a"), F.col("words").alias("words_a"), F.col("first").alias("first_a"))
-    two = known.select(F.col("set").alias("b"), F.col("words").alias("words_b"), F.col("first").alias("first_b"))
-    common = F.size(F.array_intersect("words_a", "words_b"))
-    similar = common * share[1] >= (F.size("words_a") + F.size("words_b") - common) * share[0]
-    later = F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a"))
-    return pairs.join(one, "a").join(two, "b").filter(similar).select("a", "b", later.alias("later"))
+    named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    sides = sets.join(named, "id", "left_semi").select("id", F.struct("first", "id", "n", "low", "high").alias("it"))
+    sides = written(sides, "sides")
+    one, two = (sides.select(F.col("id").alias(c), F.col("it").alias(f"it_{c}")) for c in ("a", "b"))
+    both = pairs.join(one, "a").join(two, "b")
+    apart = (F.bit_count(F.col("it_a.low").bitwiseXOR(F.col("it_b.low")))
+             + F.bit_count(F.col("it_a.high").bitwiseXOR(F.col("it_b.high"))))
+    near = both.withColumn("apart", apart).filter(
+        F.col("apart") <= F.col("it_a.n") + F.col("it_b.n") - 2 * overlap(F.col("it_a.n"), F.col("it_b.n"), share))
+    ends = near.select("apart", F.greatest("it_a", "it_b").alias("later"), F.least("it_a", "it_b").alias("earlier"))
+    placed = written(ends.select("apart", F.col("later.id").alias("later"), F.col("earlier.id").alias("earlier")), "placed")
+    wanted = placed.select(F.col("later").alias("id")).unionByName(placed.select(F.col("earlier").alias("id"))).distinct()
+    lines = written(line_texts(texts, sides.join(wanted, "id", "left_semi").select("id", "it.first.*")), "line-texts")
+    best = placed.groupBy("later").agg(F.min(F.struct("apart", "earlier"))["earlier"].alias("earlier"))
+    done = written(verified(best, lines, share), "done")
+    rest = placed.join(done.withColumnRenamed("id", "later"), "later", "left_anti").select("later", "earlier")
+    return done.unionByName(verified(rest, lines, share)).distinct()
+
+
+def candidates(left: DataFrame, right: DataFrame, share: tuple[int, int], which: Column) -> DataFrame:
+    """(a, b): pairs of sets that share a word of their prefixes and may be similar."""
+    met = left.alias("x").join(right.alias("y"), (F.col("x.word") == F.col("y.word")) & which & alike("x", "y", share))
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
 def later_matches(texts: DataFrame, sets: DataFrame, share: tuple[int, int], crowd: int) -> DataFrame:
-    """(set): sets with a similar one that occurs earlier."""
+    """(id): sets with a similar one that occurs earlier."""
     rows = prefixes(sets)
-    counts = rows.groupBy("word").agg(F.count("*").alias("n"))
-    crowded = written(counts.filter(F.col("n") > crowd).select("word"), "crowded")
+    crowded = written(rows.groupBy("word").count().filter(F.col("count") > crowd).select("word"), "crowded")
     # Words in more than ``crowd`` prefixes: at most one for every ``crowd`` rows.
     listed = bounded_broadcast(crowded)
     usual = rows.join(listed, "word", "left_anti")
-    pairs = usual.alias("x").join(usual.alias("y"), (F.col("x.word") == F.col("y.word")) & (F.col("x.set") < F.col("y.set"))
-                                  & alike("x", "y", share)).select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
+    pairs = candidates(usual, usual, share, F.col("x.id") < F.col("y.id"))
     if crowded.isEmpty():
-        return verified(pairs, texts, sets, share).select(F.col("later").alias("set")).distinct()
+        return settled(pairs, texts, sets, share)
 
-    busy = written(rows.join(listed, "word", "left_semi").join(sets.select("set", "first"), "set"), "busy")
-    heads = busy.groupBy("word").agg(F.min(F.struct("first", "set", "n", "bits", "i")).alias("head"))
+    busy = written(rows.join(listed, "word", "left_semi").join(sets.select("id", "first"), "id"), "busy")
+    heads = busy.groupBy("word").agg(F.min(F.struct("first", "id", "bits", "ni")).alias("head"))
     heads = written(heads.select("word", "head.*"), "heads")
-    led = busy.alias("x").join(heads.alias("y"), (F.col("x.word") == F.col("y.word")) & (F.col("x.set") != F.col("y.set"))
-                               & alike("x", "y", share)).select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
-    done = written(verified(led, texts, sets, share).select(F.col("later").alias("set")).distinct(), "led")
-    open_ = busy.join(bounded_broadcast(done), "set", "left_anti")
-    rest = open_.alias("x").join(busy.alias("y"), (F.col("x.word") == F.col("y.word")) & (F.col("y.first") < F.col("x.first"))
-                                 & (F.col("x.set") != F.col("y.set")) & alike("x", "y", share))
-    pairs = pairs.unionByName(rest.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")))
-    found = verified(pairs, texts, sets, share).select(F.col("later").alias("set"))
-    return found.unionByName(done).distinct()
+    done = written(settled(candidates(busy, heads, share, F.col("x.id") != F.col("y.id")), texts, sets, share), "led")
+    open_ = busy.join(bounded_broadcast(done), "id", "left_anti")
+    rest = candidates(open_, busy, share, (F.col("y.first") < F.col("x.first")) & (F.col("x.id") != F.col("y.id")))
+    return settled(pairs.unionByName(rest), texts, sets, share).unionByName(done).distinct()
 
 
 def deduplicate(docs: DataFrame, share: tuple[int, int] = SHARE, id_column: str = "doc_id", text_column: str = "text",
@@ -225,13 +251,13 @@ def deduplicate(docs: DataFrame, share: tuple[int, int] = SHARE, id_column: str
     lines = written(lines_of(texts, share), "lines")
     worded = lines.filter("line >= 0")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "line")
-    sets = written(worded.groupBy("set", "check").agg(
-        F.min(place).alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bits").alias("bits"),
-        F.first("prefix").alias("prefix"),
-    ), "sets")
+    sets = written(worded.groupBy("set").agg(
+        F.min(place).alias("first"), F.count("*").alias("copies"),
+        *[F.first(c).alias(c) for c in ("n", "low", "high", "prefix")],
+    ).withColumn("id", F.monotonically_increasing_id()), "sets")
     matched = written(later_matches(texts, sets, share, crowd), "matched").withColumn("goes", F.lit(True))
-    marks = sets.select("set", "check", "first", "copies").join(matched, "set", "left").filter("copies > 1 OR goes")
-    marked = worded.select("doc_id", "text_key", "line", "set", "check").join(marks, ["set", "check"])
+    marks = sets.select("id", "set", "first", "copies").join(matched, "id", "left").filter("copies > 1 OR goes").drop("id")
+    marked = worded.select("doc_id", "text_key", "line", "set").join(marks, "set")
     gone = marked.filter(F.col("goes") | (place != F.col("first"))).groupBy("doc_id", "text_key").agg(
         F.array_sort(F.collect_set("line")).alias("removed_lines")
     ).withColumnsRenamed({"doc_id": "doc_id__", "text_key": "text_key__"})
