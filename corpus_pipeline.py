@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm import exact_dedup, packing, quality, simhash, suffix_dedup
+from tidemill.llm.common import small_batches
 from tidemill.session import written
 
 PASSAGE = 250  # bytes; some fifty words, short of a long sentence that two authors may share
@@ -17,6 +18,7 @@ PASSAGE = 250  # bytes; some fifty words, short of a long sentence that two auth
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents the quality score does not reject."""
+    small_batches(spark)
     return quality.kept_documents(spark, docs, folder)
 
 
@@ -27,11 +29,13 @@ def without_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group linked by fingerprints at most two bits apart."""
+    small_batches(spark)
     return simhash.kept_documents(docs, simhash.SHINGLE)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, later copies of repeated passages cut out of their texts."""
+    small_batches(spark)
     return suffix_dedup.cleaned_documents(docs, PASSAGE)
 
 

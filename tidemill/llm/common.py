@@ -15,7 +15,18 @@ from tidemill.session import written
 BROADCAST_LIMIT = 200_000  # rows of a written table that may be sent to every task
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000  # some megabytes of text, held several times over on both sides of a Python worker
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to ``BATCH_ROWS`` rows; a smaller setting of its own stays."""
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, BATCH_ROWS)
+
+
 def documents_of(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
