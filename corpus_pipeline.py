@@ -14,6 +14,7 @@ from tidemill.llm.common import small_batches
 from tidemill.session import written
 
 PASSAGE = 250  # bytes; some fifty words, short of a long sentence that two authors may share
+PASSAGE_WORDS = 51  # words that make a passage in fewer bytes, too
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -36,7 +37,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> Da
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, later copies of repeated passages cut out of their texts."""
     small_batches(spark)
-    return suffix_dedup.cleaned_documents(docs, PASSAGE)
+    return suffix_dedup.cleaned_documents(docs, PASSAGE, words=PASSAGE_WORDS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

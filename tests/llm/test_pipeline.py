@@ -97,3 +97,26 @@ def test_no_rows(spark, small):
     for name, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, small), f"none-{name.replace(' ', '-')}")
     assert docs.count() == 0
+
+
+def test_passages_of_short_words(spark):
+    """51 words repeat in 101 to 203 bytes, whatever stands around them; 50 words stay."""
+    passage = {size: [" ".join(f"{(i * 7 + size) % 1000:03}"[:size] for i in range(n)) for n in (51, 50)] for size in (1, 2, 3)}
+    rows = [(0, " \n".join(p for pair in passage.values() for p in pair))]
+    rows += [(10 * size, f"before{size} {long} after{size}") for size, (long, _) in passage.items()]
+    rows += [(10 * size + 1, f"early{size} {short} late{size}") for size, (_, short) in passage.items()]
+    rows += [(50, f"{passage[3][0]}\t{passage[2][0]}"), (None, passage[1][0]), (60, None), (61, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
+    after = corpus_pipeline.without_repeated_passages(spark, docs.repartition(3), "")
+    found = {r.doc_id: r.text for r in after.collect()}
+    seen, expected = set(), {}
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+        places = [(m.start(), m.end()) for m in re.finditer(r"\S+", text or "")]
+        cover = [False] * len(text or "")
+        for (a, _), (_, b) in zip(places, places[50:], strict=False):
+            if text[a:b] in seen:
+                cover[a:b] = [True] * (b - a)
+            seen.add(text[a:b])
+        expected[doc_id] = None if text is None else "".join(c for c, x in zip(text, cover, strict=True) if not x)
+    assert found == expected
+    assert found[20] == "before2  after2" and found[21] == rows[5][1]

@@ -108,6 +108,19 @@ def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mixed((sums[ends] - sums[starts]) * powers(room(len(sums)))[1][starts])
 
 
+def word_edges(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words between ASCII white space and ends of texts."""
+    blank = SPACES[raw]
+    first = ~blank
+    first[1:] &= blank[:-1]
+    edges = offsets[(offsets > 0) & (offsets < len(raw))]
+    first[edges] = ~blank[edges]
+    last = ~blank
+    last[:-1] &= blank[1:]
+    last[edges - 1] = ~blank[edges - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
 def word_spans(raw: np.ndarray, offsets: np.ndarray, block: int
                ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Words between ASCII white space, block by block: (text number, start, end, 64-bit hash).

@@ -10,6 +10,8 @@ windows have equal anchors at equal offsets. Neighbouring windows with one ancho
    smaller position in that order give each window's longest earlier match, the mirrored ones its longest later match.
 4. An anchor with very many different snippets, as around a short passage that everybody quotes, has its windows
    dealt out by 128-bit hashes instead, so that no task holds such a group.
+5. Where passages count by words too, strings of so many words that are shorter than a window meet by 128-bit hashes;
+   longer ones consist of windows.
 
 Texts are read by the tasks that hold them; only anchors, and the bytes of differing snippets, are shuffled.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import (BROADCAST_LIMIT, bounded_broadcast, documents_of, identified, prefix_hash, slices,
-                                 span_hash, text_bytes)
+                                 span_hash, text_bytes, word_edges)
 from tidemill.session import written
 
 LENGTH = 400  # bytes of a repeated string
@@ -244,16 +246,48 @@ def dealt_out(held: DataFrame, length: int, keep: str) -> DataFrame:
 
     windows = written(held.select("doc_id", "text_key", "low", "bytes").mapInArrow(
         run, "doc_id long, text_key long, start int, digest binary"), "windows")
+    return met_again(windows.withColumn("end", F.col("start") + length), keep)
+
+
+def met_again(windows: DataFrame, keep: str) -> DataFrame:
+    """Spans of the written windows (doc_id, text_key, start, end, digest) whose digest occurs more than once."""
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "start")
     met = windows.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
     found = windows.join(met, "digest")
     if keep == "first":
         found = found.filter(place != F.col("first"))
-    return found.select("doc_id", "text_key", "start", (F.col("start") + length).alias("end"))
+    return found.select("doc_id", "text_key", "start", "end")
+
+
+def short_runs(texts: DataFrame, length: int, words: int) -> DataFrame:
+    """(doc_id, text_key, start, end, digest): runs of so many whole words in fewer than ``length`` bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", BLOCK):
+            raw, offsets = text_bytes(batch.column("text"))
+            starts, ends = word_edges(raw, offsets)
+            starts, ends = starts[: max(0, len(starts) - words + 1)], ends[words - 1:]
+            text = np.searchsorted(offsets, starts, side="right") - 1
+            short = np.flatnonzero((ends - starts < length) & (ends <= offsets[text + 1]))
+            if not len(short):
+                continue
+            starts, ends, text = starts[short], ends[short], text[short]
+            data, where = raw.tobytes(), pa.array(text)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id").take(where), batch.column("text_key").take(where),
+                *[pa.array((x - offsets[text]).astype(np.int32)) for x in (starts, ends)],
+                pa.array([xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)],
+                         pa.binary()),
+            ], ["doc_id", "text_key", "start", "end", "digest"])
 
+    return texts.mapInArrow(run, "doc_id long, text_key long, start int, end int, digest binary")
 
-def repeated_spans(texts: DataFrame, length: int, keep: str, anchor: int = ANCHOR, crowd: int = CROWD) -> DataFrame:
-    """(doc_id, text_key, spans): the maximal byte spans of each text that repeated strings cover."""
+
+def repeated_spans(texts: DataFrame, length: int, keep: str, anchor: int = ANCHOR, crowd: int = CROWD,
+                   words: int | None = None) -> DataFrame:
+    """(doc_id, text_key, spans): the maximal byte spans of each text that repeated strings cover.
+
+    Strings of ``length`` bytes count and, where ``words`` is given, strings of so many whole words of any length.
+    """
     listed = written(anchors(texts, length, anchor), "anchors")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "low", "high", "reach")
     different = written(listed.groupBy("anchor", "snippet").agg(F.count("*").alias("n"), F.min(place).alias("first")),
@@ -273,6 +307,8 @@ def repeated_spans(texts: DataFrame, length: int, keep: str, anchor: int = ANCHO
         copies = copies.filter(place != F.col("first"))
     spans = spans.unionByName(copies.select("doc_id", "text_key", F.col("low").alias("start"),
                                             (F.col("high") + length).alias("end")))
+    if words:
+        spans = spans.unionByName(met_again(written(short_runs(texts, length, words), "short-runs"), keep))
     return merged(spans)
 
 
@@ -340,13 +376,14 @@ SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
 def cleaned_documents(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text",
-                      size_column: str | None = "n_chars") -> DataFrame:
+                      size_column: str | None = "n_chars", words: int | None = None) -> DataFrame:
     """``docs`` with later copies of repeated passages cut out of the text, by whole characters.
 
+    Passages have ``length`` bytes or, where ``words`` is given, so many words between ASCII white space.
     All rows and columns stay; ``size_column``, where there is one, is set to the new number of characters.
     """
     names = docs.columns
-    marks = written(repeated_spans(keyed(docs, id_column, text_column), length, "first"), "spans")
+    marks = written(repeated_spans(keyed(docs, id_column, text_column), length, "first", words=words), "spans")
     marks = bounded_broadcast(marks).withColumnsRenamed({"doc_id": "doc_id__", "text_key": "key__", "spans": "spans__"})
     key = F.xxhash64(F.coalesce(F.col(f"`{text_column}`"), F.lit("")))
     same = F.col(f"`{id_column}`").cast("long").eqNullSafe(F.col("doc_id__")) & (key == F.col("key__"))
