@@ -5,10 +5,13 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidemill.llm import line_dedup
+from tidemill.llm.common import text_bytes, word_spans
 
 
 def brute(rows):
@@ -68,3 +71,28 @@ def test_repeated_rows_missing_ids_and_no_rows(spark):
     found = [(r.doc_id, r.n_lines, r.removed_lines) for r in line_dedup.deduplicate(docs).collect()]
     assert sorted(found, key=str) == [(1, 3, [2]), (1, 3, [2]), (None, 1, [0]), (None, 1, [])]
     assert line_dedup.deduplicate(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("block", [1, 7, 64, 1000])
+def test_words_have_one_hash_wherever_blocks_fall(block):
+    draw = random.Random(9)
+    texts = ["".join(draw.choice("ab \n") if draw.random() < 0.2 else "x" for _ in range(draw.choice([0, 3, 64, 90])))
+             for _ in range(40)]
+    raw, offsets = text_bytes(pa.array([*texts, "y" * block, "y" * block, "z" * (2 * block + 1), *texts]))
+    found = [np.concatenate(x).tolist() for x in zip(*word_spans(raw, offsets, block), strict=True)]
+    whole = [np.concatenate(x).tolist() for x in zip(*word_spans(raw, offsets, 1 << 20), strict=True)]
+    assert found == whole
+    words = [raw[a:b].tobytes() for a, b in zip(found[1], found[2], strict=True)]
+    assert words == [w for t in [*texts, "y" * block, "y" * block, "z" * (2 * block + 1), *texts] for w in t.encode().split()]
+    assert len(set(zip(words, found[3], strict=True))) == len(set(words)) == len(set(found[3]))
+
+
+def test_lines_without_spaces_longer_than_a_block(spark):
+    """Copies of one word go wherever they stand among others; short texts without spaces stay whole words."""
+    sizes = [line_dedup.BLOCK + d for d in (-1, 0, 1)] + [2 * line_dedup.BLOCK + 5]
+    rows = [(i, "q" * 1000 + str(i % 400)) for i in range(800)]
+    rows += [(1000 + 10 * i + k, ["", "lead word\n", "other\n"][k] + chr(97 + i) * size) for i, size in enumerate(sizes) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: (r.n_lines, r.removed_lines) for r in line_dedup.deduplicate(docs).collect()}
+    assert found == brute(rows)
+    assert sum(len(gone) for _, gone in found.values()) == 400 + 8 + 6

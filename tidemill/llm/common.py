@@ -123,29 +123,27 @@ def word_edges(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def word_spans(raw: np.ndarray, offsets: np.ndarray, block: int
                ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Words between ASCII white space, block by block: (text number, start, end, 64-bit hash).
+    """Words between ASCII white space and ends of texts, block by block: (text number, start, end, 64-bit hash).
 
-    A block ends at the last word that is whole within it, so a word is cut only where it is longer than a block.
+    A word comes with the block in which it ends. What a block holds of an unfinished word is carried into the next one,
+    so a word of any length has one hash, wherever the blocks fall.
     """
-    start = 0
-    while start < len(raw):
+    held = None  # start of the unfinished word and its hash so far, before mixing
+    for start in range(0, len(raw), block):
         part = raw[start: start + block]
-        if start + block < len(raw):
-            gaps = np.flatnonzero(SPACES[part])
-            part = part[: gaps[-1] + 1] if len(gaps) else part
         stop = start + len(part)
-        blank = SPACES[part]
-        first = ~blank
-        first[1:] &= blank[:-1]
-        edges = offsets[(offsets > start) & (offsets < stop)] - start
-        first[edges] = ~blank[edges]
-        last = ~blank
-        last[:-1] &= blank[1:]
-        last[edges - 1] = ~blank[edges - 1]
-        starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-        hashes = span_hash(prefix_hash(part), starts, ends)
-        yield np.searchsorted(offsets, starts + start, side="right") - 1, starts + start, ends + start, hashes
-        start = stop
+        starts, ends = word_edges(part, offsets - start)
+        sums = prefix_hash(part)
+        values = (sums[ends] - sums[starts]) * powers(room(len(sums)))[1][starts]
+        starts, ends = starts + start, ends + start
+        if held:
+            shift = pow(int(BASE), start - held[0], 1 << 64)
+            starts[0], values[0] = held[0], np.uint64((held[1] + shift * int(values[0])) % (1 << 64))
+            held = None
+        if stop < len(raw) and len(ends) and ends[-1] == stop and not SPACES[raw[stop]] and not (offsets == stop).any():
+            held = int(starts[-1]), int(values[-1])
+            starts, ends, values = starts[:-1], ends[:-1], values[:-1]
+        yield np.searchsorted(offsets, starts, side="right") - 1, starts, ends, mixed(values)
 
 
 def kept_rows(docs: DataFrame, decisions: DataFrame, content_key: Column, id_column: str = "doc_id") -> DataFrame:
