@@ -96,3 +96,24 @@ def test_lines_without_spaces_longer_than_a_block(spark):
     found = {r.doc_id: (r.n_lines, r.removed_lines) for r in line_dedup.deduplicate(docs).collect()}
     assert found == brute(rows)
     assert sum(len(gone) for _, gone in found.values()) == 400 + 8 + 6
+
+
+@pytest.mark.parametrize("crowd", [64, 2])
+def test_classes_and_all_their_links(spark, crowd):
+    rows = variants()
+    words = [f"common{i}" for i in range(30)]
+    rows += [(200 + i, " ".join(words[:i % 30] + [f"own{i}"] + words[i % 30 + 1:])) for i in range(90)]  # one word changed
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {}
+    for doc_id, text in rows:
+        for i, line in enumerate((text or "").split("\n")):
+            if line.split():
+                sets.setdefault(frozenset(line.encode().lower().split()), []).append((doc_id, i))
+    near = {a: sum(a != b and 5 * len(a & b) >= 4 * len(a | b) for b in sets) for a in sets}
+    expected = {place: (holders[0], near[a]) for a, holders in sets.items() for place in holders if len(holders) > 1 or near[a]}
+    found = [(r.doc_id, x.line, x["class"], x.links) for r in line_dedup.deduplicate(docs, crowd=crowd).collect() for x in r.line_classes]
+    first = {}
+    for doc_id, line, kind, _ in sorted(found):
+        first.setdefault(kind, (doc_id, line))
+    assert {(doc_id, line): (first[kind], n) for doc_id, line, kind, n in found} == expected
+    assert len(found) == len(expected) and max(near.values()) >= 89

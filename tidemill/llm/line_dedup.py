@@ -5,10 +5,9 @@ among the first few of each, so only those prefixes are joined. What remains aft
 filter (the first common word leaves room for enough others) and a comparison of parity maps is verified on the words
 themselves. A parity map flips one of its bits for every word, so two maps differ in no more bits than the sets in words.
 
-Equal sets enter the join once. A word that heads the prefixes of very many sets is joined in two steps: first every
-set with the earliest one, which finds nearly all members of a group of copies at the cost of one pair each, then only
-those without a match with all others. A line goes as soon as one earlier match is known, so no pair that could
-matter is left out.
+Equal sets enter the join once. The sets of a word that heads the prefixes of very many are cut into blocks, and the
+pairs of blocks are joined as cells of their own, so no task holds all pairs of such a word. Every pair that passes the
+filters is verified: a line goes for any earlier match, and the links of each class of equal sets are counted.
 """
 
 from __future__ import annotations
@@ -174,22 +173,18 @@ def distinct_words(line: Column) -> Column:
 
 
 def verified(pairs: DataFrame, lines: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(id): later sets of the pairs whose words are as similar as asked."""
+    """(later, earlier): those of the pairs whose words are as similar as asked."""
     one = lines.select(F.col("id").alias("later"), F.col("line").alias("line_a"))
     two = lines.select(F.col("id").alias("earlier"), F.col("line").alias("line_b"))
     met = pairs.join(two, "earlier").join(one, "later").select(
-        "later", distinct_words(F.col("line_a")).alias("a"), distinct_words(F.col("line_b")).alias("b"))
+        "later", "earlier", distinct_words(F.col("line_a")).alias("a"), distinct_words(F.col("line_b")).alias("b"))
     common = F.size(F.array_intersect("a", "b"))
     similar = common * share[1] >= (F.size("a") + F.size("b") - common) * share[0]
-    return met.filter(similar).select(F.col("later").alias("id")).distinct()
+    return met.filter(similar).select("later", "earlier")
 
 
 def settled(pairs: DataFrame, texts: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(id): those of the candidate pairs (a, b) that match an earlier set.
-
-    One match is enough for a line to go: of each set the likeliest earlier one is verified first, the others only
-    where that fails.
-    """
+    """(later, earlier): those of the candidate pairs (a, b) that are similar, each once and by place."""
     pairs = written(pairs.distinct(), "pairs")
     named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     sides = sets.join(named, "id", "left_semi").select("id", F.struct("first", "id", "n", "low", "high").alias("it"))
@@ -198,16 +193,13 @@ def settled(pairs: DataFrame, texts: DataFrame, sets: DataFrame, share: tuple[in
     both = pairs.join(one, "a").join(two, "b")
     apart = (F.bit_count(F.col("it_a.low").bitwiseXOR(F.col("it_b.low")))
              + F.bit_count(F.col("it_a.high").bitwiseXOR(F.col("it_b.high"))))
-    near = both.withColumn("apart", apart).filter(
-        F.col("apart") <= F.col("it_a.n") + F.col("it_b.n") - 2 * overlap(F.col("it_a.n"), F.col("it_b.n"), share))
-    ends = near.select("apart", F.greatest("it_a", "it_b").alias("later"), F.least("it_a", "it_b").alias("earlier"))
-    placed = written(ends.select("apart", F.col("later.id").alias("later"), F.col("earlier.id").alias("earlier")), "placed")
+    near = both.filter(
+        apart <= F.col("it_a.n") + F.col("it_b.n") - 2 * overlap(F.col("it_a.n"), F.col("it_b.n"), share))
+    ends = near.select(F.greatest("it_a", "it_b").alias("later"), F.least("it_a", "it_b").alias("earlier"))
+    placed = written(ends.select(F.col("later.id").alias("later"), F.col("earlier.id").alias("earlier")), "placed")
     wanted = placed.select(F.col("later").alias("id")).unionByName(placed.select(F.col("earlier").alias("id"))).distinct()
     lines = written(line_texts(texts, sides.join(wanted, "id", "left_semi").select("id", "it.first.*")), "line-texts")
-    best = placed.groupBy("later").agg(F.min(F.struct("apart", "earlier"))["earlier"].alias("earlier"))
-    done = written(verified(best, lines, share), "done")
-    rest = placed.join(done.withColumnRenamed("id", "later"), "later", "left_anti").select("later", "earlier")
-    return done.unionByName(verified(rest, lines, share)).distinct()
+    return verified(placed, lines, share)
 
 
 def candidates(left: DataFrame, right: DataFrame, share: tuple[int, int], which: Column) -> DataFrame:
@@ -216,29 +208,32 @@ def candidates(left: DataFrame, right: DataFrame, share: tuple[int, int], which:
     return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
-def later_matches(texts: DataFrame, sets: DataFrame, share: tuple[int, int], crowd: int) -> DataFrame:
-    """(id): sets with a similar one that occurs earlier."""
+def links(texts: DataFrame, sets: DataFrame, share: tuple[int, int], crowd: int) -> DataFrame:
+    """(later, earlier): all pairs of different sets that are similar."""
     rows = prefixes(sets)
-    crowded = written(rows.groupBy("word").count().filter(F.col("count") > crowd).select("word"), "crowded")
+    crowded = written(rows.groupBy("word").count().filter(F.col("count") > crowd), "crowded")
     # Words in more than ``crowd`` prefixes: at most one for every ``crowd`` rows.
     listed = bounded_broadcast(crowded)
     usual = rows.join(listed, "word", "left_anti")
-    pairs = candidates(usual, usual, share, F.col("x.id") < F.col("y.id"))
-    if crowded.isEmpty():
-        return settled(pairs, texts, sets, share)
-
-    busy = written(rows.join(listed, "word", "left_semi").join(sets.select("id", "first"), "id"), "busy")
-    heads = busy.groupBy("word").agg(F.min(F.struct("first", "id", "bits", "ni")).alias("head"))
-    heads = written(heads.select("word", "head.*"), "heads")
-    done = written(settled(candidates(busy, heads, share, F.col("x.id") != F.col("y.id")), texts, sets, share), "led")
-    open_ = busy.join(bounded_broadcast(done), "id", "left_anti")
-    rest = candidates(open_, busy, share, (F.col("y.first") < F.col("x.first")) & (F.col("x.id") != F.col("y.id")))
-    return settled(pairs.unionByName(rest), texts, sets, share).unionByName(done).distinct()
+    once = F.col("x.id") < F.col("y.id")
+    pairs = candidates(usual, usual, share, once)
+    if not crowded.isEmpty():
+        # The root of the size in blocks: each row is in as many cells of each side, and cells grow with the root.
+        blocks = F.ceil(F.sqrt(F.col("count") / crowd)).cast("int")
+        busy = rows.join(listed, "word").withColumns({
+            "own": F.pmod(F.xxhash64("id"), blocks).cast("int"), "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
+        cell = (F.col("x.own") == F.col("y.other")) & (F.col("x.other") == F.col("y.own"))
+        pairs = pairs.unionByName(candidates(busy, busy, share, cell & once))
+    return settled(pairs, texts, sets, share)
 
 
 def deduplicate(docs: DataFrame, share: tuple[int, int] = SHARE, id_column: str = "doc_id", text_column: str = "text",
                 crowd: int = CROWD) -> DataFrame:
-    """One row per document: doc_id, text_key, n_lines, n_removed, removed_lines (numbers from 0).
+    """One row per document: doc_id, text_key, n_lines, n_removed, removed_lines (numbers from 0), line_classes.
+
+    ``line_classes`` has (line, class, links) for every line that equals or resembles another: the class is the 64-bit
+    hash of its set of words, the same for equal sets in all documents, and links counts the other classes with a
+    similarity of at least ``share``, earlier or later. A line that is not listed is alone in its class, without links.
 
     A line is removed when an earlier line, of any document in the order of doc_id (missing ones last) and a hash of the
     text, has a set of words with a Jaccard similarity of at least ``share``; earlier lines count whether they go
@@ -255,17 +250,25 @@ def deduplicate(docs: DataFrame, share: tuple[int, int] = SHARE, id_column: str
         F.min(place).alias("first"), F.count("*").alias("copies"),
         *[F.first(c).alias(c) for c in ("n", "low", "high", "prefix")],
     ).withColumn("id", F.monotonically_increasing_id()), "sets")
-    matched = written(later_matches(texts, sets, share, crowd), "matched").withColumn("goes", F.lit(True))
-    marks = sets.select("id", "set", "first", "copies").join(matched, "id", "left").filter("copies > 1 OR goes").drop("id")
+    linked = written(links(texts, sets, share, crowd), "links")
+    ends = linked.select(F.col("later").alias("id"), F.lit(True).alias("goes")).unionByName(
+        linked.select(F.col("earlier").alias("id"), F.lit(False).alias("goes")))
+    counted = written(ends.groupBy("id").agg(F.count("*").alias("links"), F.max("goes").alias("goes")), "counted")
+    marks = sets.select("id", "set", "first", "copies").join(counted, "id", "left").filter("copies > 1 OR links > 0").drop("id")
     marked = worded.select("doc_id", "text_key", "line", "set").join(marks, "set")
-    gone = marked.filter(F.col("goes") | (place != F.col("first"))).groupBy("doc_id", "text_key").agg(
-        F.array_sort(F.collect_set("line")).alias("removed_lines")
-    ).withColumnsRenamed({"doc_id": "doc_id__", "text_key": "text_key__"})
+    goes = F.coalesce("goes", F.lit(False)) | (place != F.col("first"))
+    entry = F.struct("line", F.col("set").alias("class"), F.coalesce("links", F.lit(0).cast("long")).alias("links"), goes.alias("goes"))
+    found = marked.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(entry)).alias("found"))
+    found = found.withColumnsRenamed({"doc_id": "doc_id__", "text_key": "text_key__"})
     same = F.col("doc_id").eqNullSafe(F.col("doc_id__")) & (F.col("text_key") == F.col("text_key__"))
     per_text = lines.filter("line < 0").select("doc_id", "text_key", F.col("n").cast("long").alias("n_lines"))
-    removed = F.coalesce("removed_lines", F.array().cast("array<int>"))
-    return per_text.join(gone, same, "left").select(
-        "doc_id", "text_key", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed_lines"))
+    joined = per_text.join(found, same, "left").select(
+        "doc_id", "text_key", "n_lines",
+        F.coalesce("found", F.array().cast("array<struct<line:int,class:bigint,links:bigint,goes:boolean>>")).alias("found"))
+    removed = F.transform(F.filter("found", lambda x: x["goes"]), lambda x: x["line"])
+    classes = F.transform("found", lambda x: F.struct(x["line"].alias("line"), x["class"].alias("class"), x["links"].alias("links")))
+    return joined.select("doc_id", "text_key", "n_lines", F.size(removed).cast("long").alias("n_removed"),
+                         removed.alias("removed_lines"), classes.alias("line_classes"))
 
 
 def cleaned(docs: DataFrame, decided: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
