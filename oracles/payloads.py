@@ -59,6 +59,7 @@ ORACLES = {
         UNION ALL SELECT s_name, s_nationkey, NULL FROM supplier""",
     "latin1_roundtrip": r"""SELECT doc_id, regexp_replace(substring(text, 1, 60), '[ \t\r\n]', '_', 'g') AS begin
         FROM documents""",
+    "latin1_texts": "SELECT doc_id, length(text) AS n_chars, sha256(text) AS digest FROM documents",
     "csv_roundtrip": "SELECT * FROM customer",
     "merged_text": r"""SELECT count(*) AS n_lines, sum(length(regexp_replace(regexp_replace(regexp_replace(text, '(.|\n)',
         '\1 ', 'g'), '[\r\n]+', ' ', 'g'), '\s+$', '')))::BIGINT AS n_chars FROM conversations""",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill import session
 from tidemill.operators import models
+from tidemill.plans import payloads as payload_plans
 from tidemill.sources import files, payloads, schemas, sinks, tables
 from tidemill.streaming import daily
 
@@ -238,3 +239,11 @@ def test_word_vectors(spark):
     model = models.train_word_vectors(df, "t", dimension=8, min_count=1, partitions=2)
     assert model.getVectors().count() == 3
     assert all(-1.0 <= r["similarity"] <= 1.0001 for r in model.findSynonyms("a", 2).collect())
+
+
+def test_whole_texts_through_latin1(spark):
+    long = "x" * 60 + ' é "quoted", a\\ \\" and\r\nlines\rto the\n\nend ' + "ÿ" * 5000
+    rows = [(1, long), (2, '"'), (3, " lead and trail\t"), (4, ""), (5, "\n\r\n"), (6, "#,\\"), (7, None)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    for order in (texts.coalesce(1), texts.orderBy(F.desc("doc_id")).coalesce(1)):
+        assert sorted(map(tuple, payload_plans.through_latin1(spark, order).collect())) == rows

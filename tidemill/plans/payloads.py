@@ -171,13 +171,27 @@ def partial_append(spark, folder):
     return frames.append_partial(customers, table(spark, folder, "supplier").selectExpr("s_name AS name", "s_nationkey AS nation"))
 
 
-def latin1_roundtrip(spark, folder):
-    """The beginnings of texts written as CSV in ISO-8859-1 and read back."""
+def through_latin1(spark, texts):
+    """(doc_id, text): whole texts, line breaks and quotes included, written as CSV in ISO-8859-1 and read back."""
     path = scratch_path(spark, "latin1")
+    options = {"header": "true", "encoding": "ISO-8859-1", "quoteAll": "true", "escape": '"', "lineSep": "\n",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    # CSV does not tell an empty text from a missing one.
+    texts.select("doc_id", F.col("text").isNull().alias("missing"), "text").write.options(**options).csv(path)
+    read = files.read_csv(spark, path, "doc_id bigint, missing boolean, text string", line_sep="\n")
+    return read.select("doc_id", F.when(~F.col("missing"), F.coalesce("text", F.lit(""))).alias("text"))
+
+
+def latin1_roundtrip(spark, folder):
+    """How the texts begin after all of each went through ISO-8859-1."""
     begin = F.translate(F.substring("text", 1, 60), " \t\r\n", "____").alias("begin")
-    rows = table(spark, folder, "documents").select("doc_id", begin)
-    rows.write.option("header", "true").option("encoding", "ISO-8859-1").csv(path)
-    return files.read_csv(spark, path, "doc_id bigint, begin string")
+    return through_latin1(spark, table(spark, folder, "documents")).select("doc_id", begin)
+
+
+def latin1_texts(spark, folder):
+    """Length and digest of every whole text that went through ISO-8859-1."""
+    return through_latin1(spark, table(spark, folder, "documents")).select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("digest"))
 
 
 def csv_roundtrip(spark, folder):
@@ -264,6 +278,7 @@ QUERIES = {
     "sheet_roundtrip": sheet_roundtrip,
     "partial_append": partial_append,
     "latin1_roundtrip": latin1_roundtrip,
+    "latin1_texts": latin1_texts,
     "merged_text": merged_text,
     "positive_negative": positive_negative,
     "labelled_corpus": labelled_corpus,

@@ -91,13 +91,15 @@ def read_positive_negative(spark: SparkSession, positive: str, negative: str) ->
     return side(positive, [0, 1]).unionByName(side(negative, [1, 0]))
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "ISO-8859-1") -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "ISO-8859-1", line_sep: str | None = None) -> DataFrame:
     """A CSV file with quoted line breaks in a given character encoding.
 
-    ``multiLine`` makes every file one task; land large exports as many files.
+    ``multiLine`` makes every file one task; land large exports as many files. Without ``line_sep`` the reader guesses
+    the ends of rows, also from line breaks inside quotes, and may change those.
     """
+    reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
     return (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .option("header", "true")
         .option("encoding", encoding)
         .option("multiLine", "true")
