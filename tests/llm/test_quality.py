@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.llm import quality
-from tidemill.llm.common import text_bytes
+from tidemill.llm.common import identified, text_bytes
 
 
 @pytest.fixture(scope="module")
@@ -73,3 +73,12 @@ def test_one_label_or_none(spark):
     assert quality.fit(docs, none).scores(np.zeros((1, quality.WIDTH))).tolist() == [0.5]
     ones = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, quality int")
     assert {r.score for r in quality.score(docs, quality.fit(docs, ones)).collect()} == {1.0}
+
+
+def test_rarity_counts_all_documents(spark):
+    texts = ["plain words here", "other words there"] * 3 + ["zzz 123"] * 40 + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id long, quality int")
+    having = (quality.features(*text_bytes(pa.array([t or "" for t in texts]))) > 0).sum(axis=0)
+    expected = np.log((1 + len(texts)) / (1 + having)) + 0.1
+    assert np.array_equal(quality.fit(identified(docs), labels).rarity, expected)

@@ -1,7 +1,7 @@
 """A quality score by nearest-neighbour voting in a latent-semantic space.
 
 A text becomes counts of hashed byte trigrams, of hashed character-shape runs (case, digits, punctuation) and of
-immediate word repetitions. Weighted by rarity and projected on the leading singular directions of a labelled sample,
+immediate word repetitions. Weighted by rarity over all documents and projected on the leading singular directions of a labelled sample,
 it is compared by exact cosine with every labelled vector; the nearest labels vote with their similarity.
 
 The labelled vectors are a bounded sample (``PER_LABEL`` rows of each label), so what is sent to every task and the work
@@ -137,6 +137,22 @@ def counted(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, counts binary")
 
 
+def rarity_of(docs: DataFrame) -> np.ndarray:
+    """The weight of each feature by the number of all documents that have it; rows of ``WIDTH`` counts are collected."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, having = 0, np.zeros(WIDTH, dtype=np.int64)
+        for batch in slices(batches, "text", BLOCK, ROWS):
+            n += batch.num_rows
+            having += (features(*text_bytes(batch.column("text"))) > 0).sum(axis=0)
+        # The number of documents goes by the feature behind the last one.
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(WIDTH + 1, dtype=np.int32)), pa.array(np.append(having, n))],
+                                         ["feature", "n"])
+
+    found = docs.select("text").mapInArrow(run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
+    counts = found.sort_values("feature")["n"].to_numpy(dtype=np.int64)
+    return np.log((1 + counts[WIDTH]) / (1 + counts[:WIDTH])) + 0.1
+
+
 def labelled_sample(labels: DataFrame, label: str, per_label: int) -> pd.DataFrame:
     """At most ``per_label`` documents of each label, the same ones in every run; several labels are averaged."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -147,7 +163,7 @@ def labelled_sample(labels: DataFrame, label: str, per_label: int) -> pd.DataFra
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: int = PER_LABEL,
         dimensions: int = DIMENSIONS, neighbours: int = NEIGHBOURS) -> Model:
-    """Learns from at most ``per_label`` labelled documents of each label.
+    """Learns from at most ``per_label`` labelled documents of each label; the rarity of features is that in all ``docs``.
 
     ``labels`` holds doc_id and a label of 0 or 1; rows without either are passed over. Without any labelled text the
     model gives everything 0.5, with one label only that label's value.
@@ -164,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
     if not len(rows):
         return empty
     counts = np.frombuffer(b"".join(rows["counts"]), dtype=np.float32).reshape(-1, WIDTH).astype(np.float64)
-    rarity = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 0.1
+    rarity = rarity_of(docs)
     weights = weighted(counts, rarity)
     directions = leading_directions(weights, dimensions)
     y = rows["y"].to_numpy(dtype=np.float64)
