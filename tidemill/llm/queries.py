@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("line_dedup", "exact_dedup", "fingerprints", "license_scan", "simhash", "packing", "suffix_dedup",
-           "language_id", "byte_bpe", "quality")
+           "language_id", "byte_bpe", "quality", "token_alignment")
 
 
 def all_queries() -> dict:
