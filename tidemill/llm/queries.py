@@ -5,7 +5,8 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("line_dedup", "exact_dedup", "fingerprints", "license_scan", "simhash", "packing", "suffix_dedup",
-           "language_id", "byte_bpe", "quality", "token_alignment")
+           "language_id", "byte_bpe", "quality", "vector_approximation", "spelling_variants",
+           "token_alignment")
 
 
 def all_queries() -> dict:
