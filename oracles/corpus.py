@@ -107,6 +107,11 @@ ORACLES = {
               FROM q JOIN v a ON a.doc_id = q.query_id JOIN v b USING (term) WHERE b.doc_id <> q.query_id GROUP BY 1, 2),
         k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, doc_id)::INT AS rank FROM s)
         SELECT query_id, doc_id, round(cosine, 6) AS cosine, rank FROM k WHERE rank <= 10""",
+    "cosine_neighbours": f"""WITH {TFIDF}, s AS (
+          SELECT a.doc_id AS query_id, b.doc_id, round(sum(a.weight * b.weight), 9) AS cosine
+          FROM v a JOIN v b USING (term) WHERE a.doc_id % 50 = 0 AND b.doc_id <> a.doc_id GROUP BY 1, 2),
+        k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, doc_id)::INT AS rank FROM s)
+        SELECT query_id, doc_id, round(cosine, 6) AS cosine, rank FROM k WHERE rank <= 10""",
     "bm25_search": f"WITH {bm25('documents', 'doc_id')} {best('doc_id', 10)}",
     "bm25_search_join": f"WITH {bm25('documents', 'doc_id')} {best('doc_id', 10)}",
     "rerank_candidates": f"""WITH {bm25('documents', 'doc_id')}, c AS ({best('doc_id', 20)}),

@@ -7,7 +7,18 @@ L2 = f"""WITH {BASE}, s AS (SELECT q.vec_id AS query_id, e.vec_id AS id, list_di
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, id)::INT AS rank FROM s)
     SELECT query_id, id, round(d, 6) AS distance, rank FROM r WHERE rank <= 2"""
 
+
+
+def neighbours(score: str, order: str, name: str) -> str:
+    return f"""WITH {BASE}, s AS (SELECT q.vec_id AS query_id, e.vec_id AS id, {score} AS s
+        FROM e q JOIN e ON e.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {order}, id)::INT AS rank FROM s)
+        SELECT query_id, id, round(s, 6) AS {name}, rank FROM r WHERE rank <= 10"""
+
+
 ORACLES = {
+    "vector_neighbours_l2": neighbours("list_distance(q.v, e.v)", "s", "distance"),
+    "vector_neighbours_cosine": neighbours("list_cosine_similarity(q.v, e.v)", "s DESC", "cosine"),
     "vector_topk_l2": L2,
     "vector_topk_blocks": L2,
     "cosine_pair": f"""WITH {BASE} SELECT a.vec_id, proto_id, a.label, round(list_cosine_similarity(a.v, b.v), 6) AS cosine

@@ -100,6 +100,14 @@ def similar_documents(spark, folder):
     return best.select("query_id", "doc_id", F.round("cosine", 6).alias("cosine"), "rank")
 
 
+def cosine_neighbours(spark, folder):
+    """The ten documents most like each document whose number is divisible by 50."""
+    weights = document_weights(spark, folder)
+    asked = documents(spark, folder).filter(F.col("doc_id") % 50 == 0).select("doc_id")
+    best = corpus.cosine_topk(weights, asked, "doc_id", 10)
+    return best.select("query_id", "doc_id", F.round("cosine", 6).alias("cosine"), "rank")
+
+
 def bm25_search(spark, folder):
     return corpus.bm25(table(spark, folder, "benchmark"), shared_documents(spark, folder), "item_id", "doc_id", 10)
 
@@ -183,6 +191,7 @@ QUERIES = {
     "top_words": top_words,
     "tfidf_weights": tfidf_weights,
     "similar_documents": similar_documents,
+    "cosine_neighbours": cosine_neighbours,
     "bm25_search": bm25_search,
     "bm25_search_join": bm25_search_join,
     "rerank_candidates": rerank_candidates,

@@ -35,6 +35,22 @@ def vector_topk_blocks(spark, folder):
     return best.select("query_id", "id", F.round("score", 6).alias("distance"), "rank")
 
 
+def every_fiftieth(spark, folder):
+    return embeddings(spark, folder).filter(F.col("vec_id") % 50 == 0).select(
+        F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"), F.array("vec_id").alias("excluded"))
+
+
+def vector_neighbours_l2(spark, folder):
+    """The ten nearest vectors of each vector whose number is divisible by 50."""
+    best = vec.nearest(embeddings(spark, folder), every_fiftieth(spark, folder), 10)
+    return best.select("query_id", "id", F.round("score", 6).alias("distance"), "rank")
+
+
+def vector_neighbours_cosine(spark, folder):
+    best = vec.nearest(embeddings(spark, folder), every_fiftieth(spark, folder), 10, "cosine")
+    return best.select("query_id", "id", F.round("score", 6).alias("cosine"), "rank")
+
+
 def cosine_pair(spark, folder):
     """Cosine of every vector with the first vector of its label."""
     pairs = embeddings(spark, folder).select("vec_id", "label").join(prototypes(spark, folder), "label")
@@ -72,6 +88,8 @@ def first_components(spark, folder):
 QUERIES = {
     "vector_topk_l2": vector_topk_l2,
     "vector_topk_blocks": vector_topk_blocks,
+    "vector_neighbours_l2": vector_neighbours_l2,
+    "vector_neighbours_cosine": vector_neighbours_cosine,
     "cosine_pair": cosine_pair,
     "nearest_words": nearest_words,
     "analogy_vector": analogy_vector,
