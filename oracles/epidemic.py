@@ -20,6 +20,10 @@ def profile(column: str) -> str:
       round((count(*) - count({column})) / count(*)::DOUBLE, 4) * 100 AS null_pct FROM lineitem"""
 
 
+# Headers of the pivots: a view needs them named.
+RISKS = "'F', 'O', 'P'"
+MONTHS = ", ".join(f"'{year}-{month:02d}'" for year in range(1995, 2002) for month in range(1, 13) if (year, month) <= (2001, 8))
+
 ORACLES = {
     "daily_totals": """SELECT ts::DATE AS report_date, sum(value::DECIMAL(18,2))::DOUBLE AS new_value,
         max(event_id) AS cumulative FROM events GROUP BY 1""",
@@ -59,10 +63,10 @@ ORACLES = {
     "risk_value_counts": "SELECT o_orderpriority AS risk, count(*) AS n_rows FROM orders GROUP BY 1",
     "district_risk_counts": f"WITH {DISTRICT} SELECT district, risk, count(*) AS n_rows FROM d GROUP BY 1, 2",
     "district_risk_pivot": f"""WITH {DISTRICT} SELECT * FROM (
-        PIVOT d ON risk USING count(*) GROUP BY district)""",
+        PIVOT d ON risk IN ({RISKS}) USING count(*) GROUP BY district)""",
     "month_district_pivot": f"""WITH {DISTRICT}, m AS (
         SELECT district, strftime(report_date, '%Y-%m') AS month, count(*) AS n FROM d GROUP BY 1, 2)
-        SELECT * FROM (PIVOT m ON month USING sum(n)::BIGINT GROUP BY district)""",
+        SELECT * FROM (PIVOT m ON month IN ({MONTHS}) USING sum(n)::BIGINT GROUP BY district)""",
     "month_totals": f"""WITH {DISTRICT} SELECT strftime(report_date, '%Y-%m') AS month, district,
         sum(value)::DOUBLE AS value FROM d GROUP BY 1, 2""",
     "top_10_days": """SELECT ts::DATE AS report_date, sum(value::DECIMAL(18,2))::DOUBLE AS new_value FROM events

@@ -19,6 +19,9 @@ def box(key: str, value: str) -> str:
       FROM u JOIN q USING ({key}) GROUP BY 1"""
 
 
+# Headers of the pivots: a view needs them named.
+DISTRICTS = "'AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'"
+
 ORACLES = {
     "occupancy_by_hospital": f"""WITH {NAMED} SELECT hospital_id, hospital_name,
         round_even(avg(occupancy_rate), 2) AS mean_value, count(occupancy_rate) AS n_samples FROM u GROUP BY 1, 2""",
@@ -30,10 +33,10 @@ ORACLES = {
     "mean_std_by_dept": f"""WITH {NAMED} SELECT department_name, round_even(avg(occupancy_rate), 2) AS mean_value,
         round_even(stddev_samp(occupancy_rate), 2) AS std_value FROM u GROUP BY 1""",
     "dept_district_pivot": f"""WITH {NAMED} SELECT * FROM (
-        PIVOT u ON hospital_district USING round_even(avg(occupancy_rate), 2) GROUP BY department_name)""",
+        PIVOT u ON hospital_district IN ({DISTRICTS}) USING round_even(avg(occupancy_rate), 2) GROUP BY department_name)""",
     "time_trend": f"WITH {NAMED} SELECT timestamp, round(avg(occupancy_rate), 6) AS mean_rate FROM u GROUP BY 1",
     "trend_by_district": f"""WITH {NAMED} SELECT * FROM (
-        PIVOT u ON hospital_district USING round(avg(occupancy_rate), 6) GROUP BY timestamp)""",
+        PIVOT u ON hospital_district IN ({DISTRICTS}) USING round(avg(occupancy_rate), 6) GROUP BY timestamp)""",
     "boxplot_stats": box("hospital_district", "price"),
     "boxplot_by_hospital": box("hospital_id", "occupancy_rate"),
     "boxplot_outliers": """WITH u AS (SELECT *, pow(c_acctbal / 1000, 3) AS size FROM customer), q AS (
