@@ -72,18 +72,24 @@ def ols_conclusion(spark, folder):
     return models.conclusion(models.spend_drivers(park_days(spark, folder), 0))
 
 
+def rounded_factors(spark, folder, question):
+    found = models.influence_factors(park_days(spark, folder), question)
+    return found.select("feature", F.round("importance", 6).alias("importance"), F.round("mse", 3).alias("mse"))
+
+
 def cart_drivers(spark, folder):
-    return models.influence_factors(park_days(spark, folder), "总消费")
+    return rounded_factors(spark, folder, "总消费")
 
 
 def cart_drivers_per_head(spark, folder):
-    return models.influence_factors(park_days(spark, folder), "人均消费")
+    return rounded_factors(spark, folder, "人均消费")
 
 
 def cart_rules(spark, folder):
+    """The nodes of the tree for total revenue, with the split and the prediction of each."""
     target = "total_fb_revenue"
     model, _ = models.fit_tree(models.tree_features(park_days(spark, folder), target), target)
-    return models.tree_rules(model, spark)
+    return models.tree_rules(model, spark).withColumns({c: F.round(c, 6) for c in ("threshold", "prediction")})
 
 
 def geo_lookup(spark, folder):
