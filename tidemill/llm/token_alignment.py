@@ -30,8 +30,8 @@ from tidemill.llm.common import documents_of, identified, slices, text_bytes
 from tidemill.session import written
 
 VOCABULARIES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
-SLICE = 2 << 20  # bytes of text aligned at once; a longer text is a slice of its own
-LINKS_AT_ONCE = 1 << 20
+SLICE = 1 << 18  # bytes of text aligned at once; a longer text is a slice of its own
+LINKS_AT_ONCE = 1 << 18
 HELD_PAIRS = 1 << 20  # pairs a task adds up before it hands them on
 PART = 1 << 21  # counted pairs sent to all tasks at once, 16 bytes each
 SHIFT = 40  # a text's number stands above so many bits for a byte in it
