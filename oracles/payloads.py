@@ -15,6 +15,8 @@ COLUMNS = {
 LINES = """x AS (SELECT doc_id, string_split(text, chr(10)) AS t FROM documents),
   b AS (SELECT doc_id, unnest(t) AS line, generate_subscripts(t, 1) - 1 AS i FROM x)"""
 
+LATIN1 = "SELECT doc_id, length(text) AS n_chars, sha256(text) AS digest FROM documents"
+
 ORACLES = {
     "json_payload_extract": """SELECT event_id, CASE WHEN event_type <> 'signup' THEN user_id::VARCHAR END AS location_id,
         value AS temp, CASE WHEN event_type NOT IN ('signup', 'error') THEN event_type END AS city,
@@ -57,9 +59,9 @@ ORACLES = {
         UNION ALL SELECT 'supplier', count(*) FROM supplier""",
     "partial_append": """SELECT c_name AS name, c_nationkey AS nation, c_mktsegment AS segment FROM customer
         UNION ALL SELECT s_name, s_nationkey, NULL FROM supplier""",
-    "latin1_roundtrip": r"""SELECT doc_id, regexp_replace(substring(text, 1, 60), '[ \t\r\n]', '_', 'g') AS begin
-        FROM documents""",
-    "latin1_texts": "SELECT doc_id, length(text) AS n_chars, sha256(text) AS digest FROM documents",
+    "latin1_roundtrip": r"SELECT doc_id, regexp_replace(text, '[ \t\r\n]', '_', 'g') AS marked FROM documents",
+    "latin1_texts": LATIN1,
+    "latin1_ranges": LATIN1,
     "csv_roundtrip": "SELECT * FROM customer",
     "merged_text": r"""SELECT count(*) AS n_lines, sum(length(regexp_replace(regexp_replace(regexp_replace(text, '(.|\n)',
         '\1 ', 'g'), '[\r\n]+', ' ', 'g'), '\s+$', '')))::BIGINT AS n_chars FROM conversations""",

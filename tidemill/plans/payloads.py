@@ -9,6 +9,7 @@ from tidemill.functions.toolcalls import extract_tool_calls
 from tidemill.operators import frames, windows
 from tidemill.session import scratch_path
 from tidemill.sources import files, payloads, schemas, sinks, tables
+from tidemill.sources.csv_ranges import read_csv_ranges
 from tidemill.sources.tables import table
 from tidemill.streaming.daily import stream_daily_totals as run_stream
 
@@ -171,21 +172,22 @@ def partial_append(spark, folder):
     return frames.append_partial(customers, table(spark, folder, "supplier").selectExpr("s_name AS name", "s_nationkey AS nation"))
 
 
-def through_latin1(spark, texts):
+def through_latin1(spark, texts, read=None):
     """(doc_id, text): whole texts, line breaks and quotes included, written as CSV in ISO-8859-1 and read back."""
     path = scratch_path(spark, "latin1")
     options = {"header": "true", "encoding": "ISO-8859-1", "quoteAll": "true", "escape": '"', "lineSep": "\n",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     # CSV does not tell an empty text from a missing one.
     texts.select("doc_id", F.col("text").isNull().alias("missing"), "text").write.options(**options).csv(path)
-    read = files.read_csv(spark, path, "doc_id bigint, missing boolean, text string", line_sep="\n")
-    return read.select("doc_id", F.when(~F.col("missing"), F.coalesce("text", F.lit(""))).alias("text"))
+    schema = "doc_id bigint, missing boolean, text string"
+    rows = read(spark, path, schema) if read else files.read_csv(spark, path, schema, line_sep="\n")
+    return rows.select("doc_id", F.when(~F.col("missing"), F.coalesce("text", F.lit(""))).alias("text"))
 
 
 def latin1_roundtrip(spark, folder):
-    """How the texts begin after all of each went through ISO-8859-1."""
-    begin = F.translate(F.substring("text", 1, 60), " \t\r\n", "____").alias("begin")
-    return through_latin1(spark, table(spark, folder, "documents")).select("doc_id", begin)
+    """Whole texts after they went through ISO-8859-1, white space marked."""
+    marked = F.translate("text", " \t\r\n", "____").alias("marked")
+    return through_latin1(spark, table(spark, folder, "documents")).select("doc_id", marked)
 
 
 def latin1_texts(spark, folder):
@@ -194,6 +196,12 @@ def latin1_texts(spark, folder):
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("digest"))
 
 
+def latin1_ranges(spark, folder):
+    """The same read in byte ranges, so that a large file is many tasks."""
+    return through_latin1(spark, table(spark, folder, "documents"), read_csv_ranges).select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("digest"))
+
+
 def csv_roundtrip(spark, folder):
     """Customers written as CSV and read back under a declared schema."""
     path = scratch_path(spark, "csv")
@@ -279,6 +287,7 @@ QUERIES = {
     "partial_append": partial_append,
     "latin1_roundtrip": latin1_roundtrip,
     "latin1_texts": latin1_texts,
+    "latin1_ranges": latin1_ranges,
     "merged_text": merged_text,
     "positive_negative": positive_negative,
     "labelled_corpus": labelled_corpus,
