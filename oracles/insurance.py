@@ -1,6 +1,32 @@
 """SQL for the insurance questions."""
 
+
+def blank(names: str, kind: str = "VARCHAR") -> str:
+    return ", ".join(f"NULL::{kind} AS {n}" for n in names.split())
+
+
 ORACLES = {
+    "ins_customer_table": f"""SELECT c_custkey::INT AS CustomerID, c_name AS Name, min(o_orderdate)::DATE AS RegistrationDate,
+        c_mktsegment AS CustomerType, CASE WHEN c_acctbal < 0 THEN 'owing' ELSE 'active' END AS CustomerStatus,
+        {blank("Gender IDNumber Address PhoneNumber EmailAddress MaritalStatus Occupation HealthStatus SourceOfCustomer")},
+        {blank("DateOfBirth", "DATE")} FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name,
+        c_mktsegment, c_acctbal""",
+    "ins_beneficiary_table": f"""SELECT s_suppkey::INT AS BeneficiaryID, s_name AS Name, n_name AS Nationality,
+        {blank("Gender Address PhoneNumber EmailAddress")}, {blank("DateOfBirth", "DATE")}
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+    "ins_agent_table": f"""SELECT s_suppkey::INT AS AgentID, s_name AS Name, min(l_shipdate)::DATE AS LicenseIssueDate,
+        max(l_shipdate)::DATE AS LicenseExpirationDate,
+        {blank("Gender Address PhoneNumber EmailAddress CertificateNumber CommissionStructure")}, {blank("DateOfBirth", "DATE")}
+        FROM supplier JOIN lineitem ON s_suppkey = l_suppkey GROUP BY 1, 2""",
+    "ins_product_table": f"""SELECT p_partkey::INT AS ProductID, p_name AS ProductName, p_type AS ProductType,
+        p_brand AS ProductFeatures, p_size::INT AS CoverageTerm, p_retailprice::DECIMAL(10,2) AS Premium,
+        {blank("CoverageRange PaymentFrequency AgeLimit PremiumCalculation ClaimsProcess UnderwritingRequirements")},
+        {blank("SalesRegion ProductStatus")} FROM part""",
+    "ins_employee_table": f"""SELECT s_suppkey::INT AS EmployeeID, s_name AS Name, n_name AS Department,
+        s_acctbal::DECIMAL(10,2) AS Salary, r_name AS Location,
+        {blank("Gender Address PhoneNumber EmailAddress Position Supervisor EmployeeType EmployeeStatus")},
+        {blank("DateOfBirth HireDate", "DATE")} FROM supplier JOIN nation ON s_nationkey = n_nationkey
+        JOIN region ON n_regionkey = r_regionkey""",
     "ins_policy_table": """SELECT o_orderkey::INT AS PolicyNumber, o_custkey::INT AS CustomerID, NULL::INT AS ProductID,
         o_orderstatus AS PolicyStatus, NULL::VARCHAR AS Beneficiary, NULL::VARCHAR AS Relationship,
         o_orderdate::DATE AS PolicyStartDate, NULL::DATE AS PolicyEndDate, NULL::VARCHAR AS PremiumPaymentStatus,

@@ -12,29 +12,33 @@ DAYS = """d AS (SELECT ts::DATE AS date, count(*) AS total_attendance,
 DRIVERS = ("ap_attendance", "date_diff", "promotional_ticket_attendance", "ticket_attendance")
 
 
-def fitted() -> str:
+def fitted(drivers: tuple[str, ...] = DRIVERS, where: str = "marquee_event = 0", more: str = "") -> str:
     """CTEs ending in b(feature, value): the least squares coefficients of revenue on all drivers.
 
     For each driver the others are taken out of it and of revenue one after the other; what is left of revenue, divided
     by what is left of the driver, is the coefficient.
     """
-    parts = [DAYS, """e AS (SELECT *, datediff('day', DATE '2023-01-01', date) AS date_diff FROM d
-        WHERE marquee_event = 0)"""]
-    for f, driver in enumerate(DRIVERS):
-        others = [x for x in DRIVERS if x != driver]
+    parts = [DAYS, f"""e AS (SELECT *, datediff('day', DATE '2023-01-01', date) AS date_diff{more} FROM d
+        WHERE {where})"""]
+    for f, driver in enumerate(drivers):
+        others = [x for x in drivers if x != driver]
         columns = [*others, driver, "total_fb_revenue"]
-        parts.append(f"f{f}_0 AS (SELECT " + ", ".join(f"{c} - avg({c}) OVER () AS {c}" for c in columns) + " FROM e)")
+        parts.append(f"f{f}_0 AS MATERIALIZED (SELECT " + ", ".join(f"{c} - avg({c}) OVER () AS {c}" for c in columns) + " FROM e)")
         for i, out in enumerate(others):
             columns = columns[1:]
             left = ", ".join(f"{c} - {out} * sum({c} * {out}) OVER () / sum({out} * {out}) OVER () AS {c}" for c in columns)
-            parts.append(f"f{f}_{i + 1} AS (SELECT {left} FROM f{f}_{i})")
+            parts.append(f"f{f}_{i + 1} AS MATERIALIZED (SELECT {left} FROM f{f}_{i})")
     solved = " UNION ALL ".join(
-        f"SELECT '{driver}' AS feature, sum(total_fb_revenue * {driver}) / sum({driver} * {driver}) AS value FROM f{f}_{len(DRIVERS) - 1}"
-        for f, driver in enumerate(DRIVERS)
+        f"SELECT '{driver}' AS feature, sum(total_fb_revenue * {driver}) / sum({driver} * {driver}) AS value FROM f{f}_{len(drivers) - 1}"
+        for f, driver in enumerate(drivers)
     )
     return ", ".join([*parts, f"b AS ({solved})"])
 
 
+WEEKDAYS = ("Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+DAY_NAMES = "".join(f", (dayname(date) = '{day}')::INT AS {day}" for day in WEEKDAYS)
+
+
 TREE_FEATURES = ("week_days", "Att", "Pass Revisit %", "Max Temp", "POO outside BJ", "Park Hrs", "date_diff")
 DEPTH = 4
 
@@ -104,6 +108,9 @@ ORACLES = {
         round(regr_intercept(total_fb_revenue, total_attendance), 4) AS intercept, count(*) AS n_rows FROM d GROUP BY 1""",
     "ols_drivers": f"WITH {fitted()} SELECT feature, round(value, 3) AS value, round(value / (SELECT max(value) FROM b)"
         " * 100, 3) AS relative FROM b",
+    "ols_weekdays": f"""WITH {fitted(("total_attendance", "date_diff", *WEEKDAYS), "true", DAY_NAMES)}
+        SELECT CASE WHEN feature IN ('total_attendance', 'date_diff') THEN feature ELSE 'week_days=' || feature END AS feature,
+          round(value, 3) AS value FROM b""",
     "ols_drivers_of_type": f"""WITH {fitted()} SELECT feature, round(value, 3) AS value FROM b
         WHERE feature IN ('ap_attendance', 'date_diff')""",
     "ols_important": f"""WITH {fitted()}, r AS (SELECT feature, round(value, 3) AS value,

@@ -49,9 +49,22 @@ ORACLES = {
         for t, names in COLUMNS.items() for c in names.split()
     ),
     "table_columns": " UNION ALL ".join(
-        f"SELECT {i}::INT AS position, '{c}' AS column_name, count(*) AS n_rows FROM lineitem"
-        for i, c in enumerate(COLUMNS["lineitem"].split())
+        f"""SELECT {i}::INT AS position, '{c}' AS column_name, CASE any_value(typeof({c})) WHEN 'VARCHAR' THEN 'string'
+          WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(any_value(typeof({c}))) END AS data_type,
+          count(*) AS n_rows FROM lineitem""" for i, c in enumerate(COLUMNS["lineitem"].split())
     ),
+    "catalog_sketches": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(DISTINCT {c}) AS n_values, true AS near FROM {t}"
+        for t in ("customer", "orders", "lineitem") for c in COLUMNS[t].split()
+    ),
+    "variant_payloads": """SELECT event_id AS id, CASE WHEN event_id % 5 <> 0 THEN event_type END AS kind,
+        CASE WHEN event_id % 5 <> 0 THEN (props->>'k')::INT END AS k, CASE WHEN event_id % 5 <> 0 THEN event_type END AS first_tag,
+        CASE WHEN event_id % 5 <> 0 THEN event_id END AS tag_number FROM events
+        WHERE event_id % 11 <> 0 AND (props IS NOT NULL OR event_id % 5 = 0)""",
+    "variant_quarantine": """WITH w AS (SELECT '{"id":' || event_id || ',"kind":"' || event_type || '","props":' || props
+          || ',"tags":["' || event_type || '",' || event_id || ']}' AS whole FROM events WHERE event_id % 11 = 0)
+        SELECT substr(whole, 1, length(whole) - 3) AS raw FROM w WHERE whole IS NOT NULL""",
+    "named_file": "SELECT n_name AS nation FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'",
     "sheet_counts": "SELECT 'orders' AS sheet, count(*) AS n_rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem",
     "file_listing": "SELECT DISTINCT 'lang=' || lang AS folder, 'parquet' AS suffix FROM documents",
     "file_count": "SELECT count(DISTINCT lang) AS n_files FROM documents",

@@ -196,4 +196,44 @@ def ins_claim_table(spark, folder):
     return conformed(rows, INSURANCE["ClaimInfo"])
 
 
+def ins_customer_table(spark, folder):
+    """Customers as rows of the customer table, registered with their first order."""
+    since = policies(spark, folder).groupBy("o_custkey").agg(F.min("o_orderdate").alias("since"))
+    rows = customers(spark, folder).join(since, F.col("c_custkey") == F.col("o_custkey"), "left").selectExpr(
+        "c_custkey AS CustomerID", "c_name AS Name", "since AS RegistrationDate", "c_mktsegment AS CustomerType",
+        "if(c_acctbal < 0, 'owing', 'active') AS CustomerStatus")
+    return conformed(rows, INSURANCE["CustomerInfo"])
+
+
+def ins_beneficiary_table(spark, folder):
+    """Suppliers as rows of the beneficiary table."""
+    rows = agents(spark, folder).join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
+        "s_suppkey AS BeneficiaryID", "s_name AS Name", "n_name AS Nationality")
+    return conformed(rows, INSURANCE["BeneficiaryInfo"])
+
+
+def ins_agent_table(spark, folder):
+    """Suppliers as rows of the agent table; a licence runs from the first to the last shipment."""
+    terms = claims(spark, folder).groupBy("l_suppkey").agg(F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"))
+    rows = agents(spark, folder).join(terms, F.col("s_suppkey") == F.col("l_suppkey")).selectExpr(
+        "s_suppkey AS AgentID", "s_name AS Name", "first AS LicenseIssueDate", "last AS LicenseExpirationDate")
+    return conformed(rows, INSURANCE["AgentInfo"])
+
+
+def ins_product_table(spark, folder):
+    """Parts as rows of the product table."""
+    rows = products(spark, folder).selectExpr(
+        "p_partkey AS ProductID", "p_name AS ProductName", "p_type AS ProductType", "p_brand AS ProductFeatures",
+        "p_size AS CoverageTerm", "p_retailprice AS Premium")
+    return conformed(rows, INSURANCE["ProductInfo"])
+
+
+def ins_employee_table(spark, folder):
+    """Suppliers as rows of the employee table: their nation the department, their region the place of work."""
+    rows = agents(spark, folder).join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(
+        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+        "s_suppkey AS EmployeeID", "s_name AS Name", "n_name AS Department", "s_acctbal AS Salary", "r_name AS Location")
+    return conformed(rows, INSURANCE["EmployeeInfo"])
+
+
 QUERIES = {name: fn for name, fn in globals().items() if name.startswith("ins_")}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemill.functions.values import event_code
+from tidemill.functions.values import days_since, event_code
 from tidemill.operators import models
 from tidemill.operators.joins import left_lookup
 from tidemill.sources.tables import sql_scan, table
@@ -58,6 +58,16 @@ def ols_drivers(spark, folder):
     return models.relative_importance(fitted).withColumns({c: F.round(c, 3) for c in ("value", "relative")})
 
 
+WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+
+
+def ols_weekdays(spark, folder):
+    """Revenue against visitors, the day number and the weekday by its name; Monday is the base."""
+    days = park_days(spark, folder).withColumn("date_diff", days_since(F.col("date")))
+    fitted = models.ols_with_strings(days, ["total_attendance", "date_diff"], {"week_days": WEEKDAYS}, "total_fb_revenue")
+    return fitted.withColumn("value", F.round("value", 3))
+
+
 def ols_drivers_of_type(spark, folder):
     return models.spend_drivers(park_days(spark, folder), 0, ["ap_attendance"]).withColumn(
         "value", F.round("value", 3)
@@ -108,6 +118,7 @@ QUERIES = {
     "tree_features": tree_features,
     "ols_slope": ols_slope,
     "ols_drivers": ols_drivers,
+    "ols_weekdays": ols_weekdays,
     "ols_drivers_of_type": ols_drivers_of_type,
     "ols_important": ols_important,
     "ols_conclusion": ols_conclusion,

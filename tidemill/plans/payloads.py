@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import url_quote
 from tidemill.functions.toolcalls import extract_tool_calls
 from tidemill.operators import frames, windows
-from tidemill.session import scratch_path
+from tidemill.session import scratch_path, written
 from tidemill.sources import files, payloads, schemas, sinks, tables
 from tidemill.sources.csv_ranges import read_csv_ranges
 from tidemill.sources.tables import table
@@ -35,6 +38,54 @@ def json_payload_extract(spark, folder):
     )
 
 
+def landed_variants(spark, folder):
+    """Event payloads landed as files of JSON lines, some of other shapes and every eleventh one broken off."""
+    number = F.col("event_id")
+    whole = F.concat(F.lit('{"id":'), number.cast("string"), F.lit(',"kind":"'), F.col("event_type"), F.lit('","props":'),
+                     F.col("props"), F.lit(',"tags":["'), F.col("event_type"), F.lit('",'), number.cast("string"), F.lit("]}"))
+    line = (F.when(number % 11 == 0, F.expr("substring(whole, 1, length(whole) - 3)"))
+            .when(number % 5 == 0, F.concat(F.lit('{"id":"'), number.cast("string"), F.lit('","props":[]}'))).otherwise(F.col("whole")))
+    path = scratch_path(spark, "json-lines")
+    table(spark, folder, "events").withColumn("whole", whole).select(line.alias("value")).write.text(path)
+    return payloads.read_variants(spark, path)
+
+
+def variant_payloads(spark, folder):
+    """Fields of payloads without a declared schema, read from files."""
+    return payloads.variant_fields(landed_variants(spark, folder), {
+        "id": ("$.id", "bigint"), "kind": ("$.kind", "string"), "k": ("$.props.k", "int"), "first_tag": ("$.tags[0]", "string"),
+        "tag_number": ("$.tags[1]", "bigint")})
+
+
+def variant_quarantine(spark, folder):
+    """Lines that are no JSON."""
+    return payloads.quarantined(landed_variants(spark, folder)).select("raw")
+
+
+def named_file(spark, folder):
+    """The lines of the first file, by its name, of a folder of text files."""
+    path = scratch_path(spark, "named")
+    asia = table(spark, folder, "nation").join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    asia.filter("r_name = 'ASIA'").select("n_name").coalesce(1).write.text(path)
+    name = files.list_files(spark, path, "txt").agg(F.min("file_name")).first()[0]
+    content = files.read_file(spark, path, name)
+    return content.select(F.explode(F.split(F.rtrim("content"), "\n")).alias("nation")).filter("nation <> ''")
+
+
+def catalog_sketches(spark, folder):
+    """Different values per column, from sketches of each half of the rows, merged; and whether the estimate is near."""
+    merged = []
+    for name in ("customer", "orders", "lineitem"):
+        rows = table(spark, folder, name)
+        halves = rows.withColumn("half__", F.monotonically_increasing_id() % 2)
+        stored = tables.column_sketches(halves.filter("half__ = 0").drop("half__"), name).unionByName(
+            tables.column_sketches(halves.filter("half__ = 1").drop("half__"), name))
+        exact = tables.exact_cardinalities(rows, name)
+        merged.append(tables.merged_cardinalities(written(stored, "sketches")).join(exact, ["table_name", "column_name"]))
+    near = F.abs(F.col("estimate") - F.col("n_values")) <= tables.SKETCH_ERROR * F.col("n_values")
+    return reduce(DataFrame.unionByName, merged).select("table_name", "column_name", "n_values", near.alias("near"))
+
+
 def props_extract(spark, folder):
     parsed = F.from_json("props", "k int")
     return table(spark, folder, "events").groupBy("event_type").agg(F.count(parsed["k"]).alias("n_k"),
@@ -126,7 +177,7 @@ def catalog_cardinality(spark, folder):
 
 
 def table_columns(spark, folder):
-    return frames.describe_columns(table(spark, folder, "lineitem")).select("position", "column_name", "n_rows")
+    return frames.describe_columns(table(spark, folder, "lineitem")).select("position", "column_name", "data_type", "n_rows")
 
 
 def sheet_counts(spark, folder):
@@ -277,6 +328,10 @@ QUERIES = {
     "url_quoted": url_quoted,
     "catalog_snapshot": catalog_snapshot,
     "catalog_cardinality": catalog_cardinality,
+    "catalog_sketches": catalog_sketches,
+    "variant_payloads": variant_payloads,
+    "variant_quarantine": variant_quarantine,
+    "named_file": named_file,
     "table_columns": table_columns,
     "sheet_counts": sheet_counts,
     "file_listing": file_listing,

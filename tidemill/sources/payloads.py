@@ -36,6 +36,24 @@ def parse_payloads(df: DataFrame, column: str = "payload", schema: str = PAYLOAD
     })
 
 
+def read_variants(spark: SparkSession, path: str) -> DataFrame:
+    """(file, raw, payload): files of one JSON text per line, of any shape. A line that is no JSON has no payload."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw"),
+                        F.try_parse_json("value").alias("payload"))
+
+
+def quarantined(variants: DataFrame) -> DataFrame:
+    """(file, raw): the lines that are no JSON, as they came."""
+    return variants.filter(F.col("payload").isNull()).select("file", "raw")
+
+
+def variant_fields(variants: DataFrame, fields: dict[str, tuple[str, str]], *keep: str) -> DataFrame:
+    """One column for each of {name: (path, type)}; what a payload lacks, or holds in another type, is missing."""
+    good = variants.filter(F.col("payload").isNotNull())
+    return good.select(*keep, *[F.try_variant_get("payload", path, kind).alias(name) for name, (path, kind) in fields.items()])
+
+
 def read_parsed_documents(spark: SparkSession, path: str) -> DataFrame:
     """Files holding one JSON list of pages each."""
     raw = spark.read.text(path, wholetext=True)

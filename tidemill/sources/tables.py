@@ -82,6 +82,34 @@ def profile_table(df: DataFrame, name: str, cardinality: bool = True) -> DataFra
                               ).withColumn("null_rate", F.expr("coalesce(round(try_divide(n_null, n_rows), 6), 0D)"))
 
 
+SKETCH_BITS = 14
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)  # three standard errors
+
+
+def column_sketches(df: DataFrame, name: str) -> DataFrame:
+    """(table_name, column_name, sketch): one mergeable sketch of the different values of each column.
+
+    Store them with each set of files; merging them costs nothing that grows with the rows.
+    """
+    sketches = df.agg(*[F.hll_sketch_agg(F.col(f"`{f.name}`").cast("string"), SKETCH_BITS).alias(f.name) for f in df.schema])
+    rows = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("sketch")) for f in df.schema])
+    return sketches.select(F.lit(name).alias("table_name"), F.inline(rows))
+
+
+def merged_cardinalities(sketches: DataFrame) -> DataFrame:
+    """(table_name, column_name, estimate) over all sketches of a column; off by more than ``SKETCH_ERROR`` of the number
+    of values in one case of some hundreds."""
+    merged = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return sketches.groupBy("table_name", "column_name").agg(merged.alias("estimate"))
+
+
+def exact_cardinalities(df: DataFrame, name: str) -> DataFrame:
+    """(table_name, column_name, n_values): counted column by column."""
+    counts = df.agg(*[F.count_distinct(F.col(f"`{f.name}`")).alias(f.name) for f in df.schema])
+    rows = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("n_values")) for f in df.schema])
+    return counts.select(F.lit(name).alias("table_name"), F.inline(rows))
+
+
 def catalog_profile(frames: dict[str, DataFrame], cardinality: bool = True) -> DataFrame:
     """The profile of many tables as one long frame."""
     return reduce(DataFrame.unionByName, [profile_table(df, name, cardinality) for name, df in frames.items()])
