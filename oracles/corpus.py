@@ -80,7 +80,48 @@ RETRIEVED = f"""{CHUNKS}, ch AS (SELECT doc_id * 1000000 + chunk_no AS chunk_id,
   o AS (SELECT item_id, rank, chunk_id, doc_id, page::VARCHAR AS page, length(text)::INT AS n_chars
         FROM b JOIN ch USING (chunk_id) JOIN sp USING (doc_id) WHERE start >= page_start AND start < page_end)"""
 
+WORDS = f"""rn AS (SELECT doc_id, unnest(regexp_extract_all({CJK}, '[一-鿿]+')) AS run,
+      unnest(range(len(regexp_extract_all({CJK}, '[一-鿿]+')))) AS run_no FROM documents),
+  dr AS MATERIALIZED (SELECT run, count(*) AS times FROM rn GROUP BY 1),
+  pc AS (SELECT run, times, unnest(range(1, length(run) + 1)) AS i FROM dr),
+  gr AS MATERIALIZED (SELECT substr(run, i, k) AS gram, sum(times)::BIGINT AS n FROM pc, range(1, 6) r(k)
+         WHERE i + k - 1 <= length(run) GROUP BY 1),
+  tt AS (SELECT sum(n)::DOUBLE AS total FROM gr WHERE length(gram) = 1),
+  oft AS (SELECT gram, n FROM gr WHERE n >= 5 AND length(gram) BETWEEN 2 AND 4),
+  coh AS (SELECT o.gram, min(o.n::DOUBLE * total / (h.n::DOUBLE * t.n)) AS cohesion FROM oft o, range(1, 4) c(i), tt
+          JOIN gr h ON h.gram = substr(o.gram, 1, i) JOIN gr t ON t.gram = substr(o.gram, i + 1)
+          WHERE i < length(o.gram) GROUP BY 1),
+  rgt AS (SELECT substr(gram, 1, length(gram) - 1) AS gram, sum(n) AS inside, sum(n * ln(n)) AS logs FROM gr WHERE length(gram) > 1 GROUP BY 1),
+  lft AS (SELECT substr(gram, 2) AS gram, sum(n) AS inside, sum(n * ln(n)) AS logs FROM gr WHERE length(gram) > 1 GROUP BY 1),
+  ent AS (SELECT gram, n, round(ln(n) - (coalesce(r.logs, 0) + CASE WHEN n > coalesce(r.inside, 0)
+            THEN (n - coalesce(r.inside, 0)) * ln(n - coalesce(r.inside, 0)) ELSE 0 END) / n, 9) AS e_right,
+          round(ln(n) - (coalesce(l.logs, 0) + CASE WHEN n > coalesce(l.inside, 0)
+            THEN (n - coalesce(l.inside, 0)) * ln(n - coalesce(l.inside, 0)) ELSE 0 END) / n, 9) AS e_left
+          FROM oft LEFT JOIN rgt r USING (gram) LEFT JOIN lft l USING (gram)),
+  dic AS MATERIALIZED (SELECT gram AS word, n, cohesion, least(e_left, e_right) AS entropy,
+          round(ln(n / total) * 1000000)::BIGINT AS weight FROM ent JOIN coh USING (gram), tt
+          WHERE cohesion >= 1.5 AND least(e_left, e_right) >= 0.3
+          UNION ALL SELECT gram, n, NULL, NULL, round(ln(n / total) * 1000000)::BIGINT FROM gr, tt WHERE length(gram) = 1)"""
+
 ORACLES = {
+    "corpus_words": f"""WITH {WORDS} SELECT word, n, round(cohesion, 6) AS cohesion, round(entropy, 6) AS entropy, weight
+        FROM dic WHERE cohesion IS NOT NULL""",
+    # w holds the weight of the word of each place and length; each step adds the best way to reach the next place.
+    "segmented_words": f"""WITH RECURSIVE {WORDS},
+        pl AS (SELECT run, (i - 1) * 4 + k AS slot, CASE WHEN i + k - 1 <= length(run) THEN substr(run, i, k) END AS word
+               FROM pc, range(1, 5) r(k)),
+        w AS MATERIALIZED (SELECT run, list(weight ORDER BY slot) AS w FROM pl LEFT JOIN dic USING (word) GROUP BY 1),
+        dp AS (SELECT run, w, 0 AS e, [0::BIGINT] AS scores, []::INT[] AS sizes FROM w
+          UNION ALL SELECT run, w, e + 1, list_append(scores, best.s), list_append(sizes, best.k) FROM (
+            SELECT *, list_max(list_filter(list_transform(range(1, least(4, e + 1) + 1), lambda k:
+              {{'s': scores[e + 2 - k] + w[(e + 1 - k) * 4 + k], 'k': k::INT}}), lambda x: x.s IS NOT NULL)) AS best
+            FROM dp WHERE e < length(run))),
+        bt AS (SELECT run, sizes, length(run) AS e, []::VARCHAR[] AS words FROM dp WHERE e = length(run)
+          UNION ALL SELECT run, sizes, e - sizes[e], list_prepend(substr(run, e - sizes[e] + 1, sizes[e]), words) FROM bt WHERE e > 0),
+        fin AS MATERIALIZED (SELECT run, words FROM bt WHERE e = 0),
+        al AS (SELECT doc_id, flatten(list(words ORDER BY run_no)) AS words FROM rn JOIN fin USING (run) GROUP BY 1)
+        SELECT doc_id, coalesce(len(words), 0)::INT AS n_words, coalesce(array_to_string(words, ' '), '') AS words
+        FROM documents LEFT JOIN al USING (doc_id)""",
     "clean_text": f"SELECT doc_id, {CLEAN} AS clean FROM documents",
     "clean_lines": r"""SELECT doc_id, array_to_string(list_filter(list_transform(string_split_regex(text, '\r?\n'),
         lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> ''), chr(10)) AS content FROM documents""",

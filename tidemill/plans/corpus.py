@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.functions import text as tx
-from tidemill.operators import chunking, corpus
+from tidemill.operators import chunking, corpus, segmentation
 from tidemill.operators.frames import spread
 from tidemill.operators.windows import top_k
 from tidemill.session import written
@@ -71,6 +71,28 @@ def char_tokens(spark, folder):
     )
 
 
+def chinese_documents(spark, folder):
+    return documents(spark, folder).select("doc_id", chinese_text().alias("text"))
+
+
+def found_words(spark, folder):
+    """Ten characters vary less than thousands do, so the bounds are lower than usual."""
+    return segmentation.corpus_dictionary(chinese_documents(spark, folder), "doc_id", "text", min_cohesion=1.5, min_entropy=0.3)
+
+
+def corpus_words(spark, folder):
+    """Words of two to four characters that the corpus itself shows."""
+    words = found_words(spark, folder)
+    return words.filter("cohesion IS NOT NULL").select("word", "n", *[F.round(c, 6).alias(c) for c in ("cohesion", "entropy")], "weight")
+
+
+def segmented_words(spark, folder):
+    """Every text cut into the words of that dictionary."""
+    rows = chinese_documents(spark, folder)
+    cut = segmentation.segment(rows, "doc_id", "text", found_words(spark, folder))
+    return cut.select("doc_id", F.size("words").alias("n_words"), F.array_join("words", " ").alias("words"))
+
+
 def top_ngrams(spark, folder):
     return corpus.top_ngrams(shared_documents(spark, folder), "text", 3, 20)
 
@@ -187,6 +209,8 @@ QUERIES = {
     "labelled_line_cleaning": labelled_line_cleaning,
     "page_line_numbers": page_line_numbers,
     "char_tokens": char_tokens,
+    "corpus_words": corpus_words,
+    "segmented_words": segmented_words,
     "top_ngrams": top_ngrams,
     "top_words": top_words,
     "tfidf_weights": tfidf_weights,
