@@ -63,5 +63,35 @@ def test_state_goes_on_where_it_stopped(spark, tmp_path):
     assert sorted((r.first.doc_id, r.n) for r in held) == [(i, 2) for i in range(5)]
 
 
+CALLS = [[(5, "a b"), (6, "c"), (7, "a one"), (None, "only")], [(3, "a\tb"), (8, "a two"), (9, "new"), (10, "c")],
+         [(1, "a two"), (2, "a three"), (11, "a one"), (12, "new"), (13, "only")], []]
+
+
+@pytest.mark.parametrize("digest", [exact_dedup.sha256_digest, weak_digest])
+def test_several_calls_with_one_state(spark, tmp_path, digest):
+    state, seen = str(tmp_path / "state"), {}
+    for number, rows in enumerate(CALLS):
+        path = str(tmp_path / f"call {number}")
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+        docs = spark.read.parquet(path)
+        if number == 1:  # a call that stopped before its state was written
+            with pytest.raises(RuntimeError), pytest.MonkeyPatch.context() as patch:
+                def fails(*args):
+                    raise RuntimeError
+
+                patch.setattr(exact_dedup, "add_to_state", fails)
+                exact_dedup.deduplicate(docs, digest=digest, state=state)
+        found = exact_dedup.deduplicate(docs, digest=digest, state=state, call=number if number == 1 else None).collect()
+        groups = {}
+        for doc_id, text in rows:
+            groups.setdefault(re.sub(r"\s+", " ", text), []).append(doc_id)
+        expected = []
+        for text, ids in groups.items():
+            keep, n = seen.get(text, (min(ids, key=lambda i: (i is None, i)), 0))
+            expected += [(i, keep, n + len(ids), text not in seen and i == keep) for i in ids]
+            seen[text] = (keep, n + len(ids))
+        assert sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in found), key=str) == sorted(expected, key=str)
+
+
 def test_no_rows(docs):
     assert exact_dedup.deduplicate(docs.limit(0)).collect() == []

@@ -34,6 +34,17 @@ def brute(rows, length, keep):
     return found
 
 
+def rest_of_characters(text, spans):
+    """The characters of which some byte lies outside all spans."""
+    at, kept = 0, []
+    for c in text or "":
+        size = len(c.encode())
+        if not any(s.start <= at and at + size <= s.end for s in spans):
+            kept.append(c)
+        at += size
+    return "".join(kept)
+
+
 def summary(found):
     return {r.doc_id: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest())
             for r in found.collect()}
@@ -74,6 +85,8 @@ def test_passages(spark, monkeypatch, length, anchor, crowd, keep, windows):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"start": F.lit(1), "anchor": F.lit(2), "spans": F.lit(3)})
     found = suffix_dedup.deduplicate(docs.repartition(3), length, keep, anchor=anchor, crowd=crowd)
     assert summary(found) == brute(rows, length, keep)
+    texts = dict(rows)
+    assert all(r.text == rest_of_characters(texts[r.doc_id], r.spans) for r in found.collect())
 
 
 def test_windows_sorted_in_pieces(monkeypatch):
@@ -99,8 +112,11 @@ def test_blocks(spark, monkeypatch):
 
 def test_query(spark, small):
     rows = sorted(map(tuple, spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()))
-    found = {r[0]: tuple(r)[1:] for r in suffix_dedup.op7_suffix_dedup(spark, small).collect()}
+    result = suffix_dedup.op7_suffix_dedup(spark, small)
+    assert result.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
+    found = {r[0]: tuple(r)[1:5] for r in result.collect()}
     assert found == brute(rows, 400, "none")
+    assert all(len(r.text.encode()) >= r.n_bytes - r.n_removed for r in result.collect())
 
 
 def test_cleaned_documents_stay_readable(spark):

@@ -15,14 +15,16 @@ from tidemill.session import written
 BROADCAST_LIMIT = 200_000  # rows of a written table that may be sent to every task
 
 
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_ROWS, ARROW_BYTES = (f"spark.sql.execution.arrow.{name}" for name in ("maxRecordsPerBatch", "maxBytesPerBatch"))
 BATCH_ROWS = 1000  # some megabytes of text, held several times over on both sides of a Python worker
+BATCH_BYTES = 8 << 20  # a batch of long texts ends with the row that passes so many bytes
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to ``BATCH_ROWS`` rows; a smaller setting of its own stays."""
+    """Bounds the session's Arrow batches by ``BATCH_ROWS``, unless it has fewer rows set, and by ``BATCH_BYTES``."""
     if not 0 < int(spark.conf.get(ARROW_ROWS)) <= BATCH_ROWS:
         spark.conf.set(ARROW_ROWS, BATCH_ROWS)
+    spark.conf.set(ARROW_BYTES, BATCH_BYTES)
 
 
 def documents_of(spark: SparkSession, folder: str) -> DataFrame:

@@ -92,15 +92,14 @@ def line_sets(raw: np.ndarray, offsets: np.ndarray, ranks: np.ndarray, share: tu
     return {
         "text": text[first], "line": line[first] - np.searchsorted(breaks, offsets[text[first]]), "n": n,
         "set": np.add.reduceat(spread, first).view(np.int64),
-        **{name: np.bitwise_xor.reduceat(np.where(spread >> np.uint64(6) & np.uint64(1) == half, one, np.uint64(0)),
-                                         first).view(np.int64) for half, name in enumerate(("low", "high"))},
+        "bits": np.bitwise_xor.reduceat(one, first).view(np.int64),
         "prefix": pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()),
                                            pa.array((word[taken] >> np.uint64(28)).astype(np.uint32).view(np.int32)
                                                     ^ word[taken].astype(np.uint32).view(np.int32))),
     }
 
 
-LINE = "doc_id long, text_key long, line int, n int, set long, low long, high long, prefix array<int>"
+LINE = "doc_id long, text_key long, line int, n int, set long, bits long, prefix array<int>"
 
 
 def lines_of(texts: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -109,7 +108,7 @@ def lines_of(texts: DataFrame, share: tuple[int, int]) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(rarity_ranks(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text_key", "line", "n", "set", "low", "high", "prefix"]
+        names = ["doc_id", "text_key", "line", "n", "set", "bits", "prefix"]
         for batch in slices(batches, "text", STEP):
             raw, offsets = text_bytes(batch.column("text"))
             breaks = np.concatenate([[0], np.cumsum(raw == 10)])
@@ -117,7 +116,7 @@ def lines_of(texts: DataFrame, share: tuple[int, int]) -> DataFrame:
             none = pa.nulls(batch.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_key"), pa.array(np.full(batch.num_rows, -1, np.int32)),
-                pa.array(counts.astype(np.int32)), none, none, none, pa.nulls(batch.num_rows, pa.list_(pa.int32())),
+                pa.array(counts.astype(np.int32)), none, none, pa.nulls(batch.num_rows, pa.list_(pa.int32())),
             ], names)
             found = line_sets(raw, offsets, shared.value, share)
             if found:
@@ -125,7 +124,7 @@ def lines_of(texts: DataFrame, share: tuple[int, int]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").take(where), batch.column("text_key").take(where),
                     pa.array(found["line"].astype(np.int32)), pa.array(found["n"].astype(np.int32)),
-                    *[pa.array(found[c]) for c in ("set", "low", "high")], found["prefix"],
+                    *[pa.array(found[c]) for c in ("set", "bits")], found["prefix"],
                 ], names)
 
     return texts.mapInArrow(run, LINE)
@@ -150,56 +149,82 @@ def alike(a: str, b: str, share: tuple[int, int]) -> Column:
 def prefixes(sets: DataFrame) -> DataFrame:
     """(id, bits, word, ni): the words that lead each set; set size and place share one number."""
     led = F.transform("prefix", lambda w, i: F.struct(w.alias("word"), (F.col("n").cast("long") * (1 << 32) + i).alias("ni")))
-    # Both halves of the map as one; it still differs in no more bits than the sets in words.
-    return sets.select("id", F.col("low").bitwiseXOR(F.col("high")).alias("bits"), F.inline_outer(led))
+    return sets.select("id", "bits", F.inline_outer(led))
 
 
-def line_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, line): the lines that stand for the wanted sets."""
+def distinct_words(line: Column) -> Column:
+    return F.array_distinct(F.array_remove(F.split(ascii_lower(line), WHITE_SPACE), ""))
+
+
+def line_words(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, first, words), written: the place and the words of the lines that stand for the wanted sets."""
     per_text = written(wanted.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("line", "id")).alias("cuts")), "cuts")
     entries = per_text.agg(F.sum(F.size("cuts"))).first()[0] or 0
     # An entry has 16 bytes; beyond the limit texts and cuts are shuffled by text.
     held = F.broadcast(per_text) if entries <= 5 * BROADCAST_LIMIT else per_text
     held = held.withColumnsRenamed({"doc_id": "doc_id__", "text_key": "text_key__"})
     same = F.col("doc_id").eqNullSafe(F.col("doc_id__")) & (F.col("text_key") == F.col("text_key__"))
-    lines = texts.join(held, same).select("cuts", F.split("text", "\n").alias("lines"))
-    each = lines.select(F.transform("cuts", lambda c: F.struct(
-        c["id"].alias("id"), F.element_at("lines", c["line"] + 1).alias("line"))).alias("cuts"))
-    return each.select(F.inline_outer("cuts")).dropDuplicates(["id"])
-
-
-def distinct_words(line: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(ascii_lower(line), WHITE_SPACE), ""))
+    lines = texts.join(held, same).select("doc_id", "text_key", "cuts", F.split("text", "\n").alias("lines"))
+    each = lines.select("doc_id", "text_key", F.transform("cuts", lambda c: F.struct(
+        c["id"].alias("id"), c["line"].alias("line"), F.element_at("lines", c["line"] + 1).alias("content"))).alias("cuts"))
+    each = each.select("doc_id", "text_key", F.inline_outer("cuts")).dropDuplicates(["id"])
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "line")
+    return written(each.select("id", place.alias("first"), distinct_words(F.col("content")).alias("words")), "line-words")
 
 
 def verified(pairs: DataFrame, lines: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(later, earlier): those of the pairs whose words are as similar as asked."""
-    one = lines.select(F.col("id").alias("later"), F.col("line").alias("line_a"))
-    two = lines.select(F.col("id").alias("earlier"), F.col("line").alias("line_b"))
-    met = pairs.join(two, "earlier").join(one, "later").select(
-        "later", "earlier", distinct_words(F.col("line_a")).alias("a"), distinct_words(F.col("line_b")).alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    similar = common * share[1] >= (F.size("a") + F.size("b") - common) * share[0]
-    return met.filter(similar).select("later", "earlier")
+    """(later, earlier): those of the pairs (a, b) whose words are as similar as asked, by place."""
+    one, two = (lines.select(F.col("id").alias(x), F.struct("first", "id").alias(f"at_{x}"), F.col("words").alias(f"words_{x}"))
+                for x in ("a", "b"))
+    met = pairs.join(one, "a").join(two, "b")
+    common = F.size(F.array_intersect("words_a", "words_b"))
+    similar = common * share[1] >= (F.size("words_a") + F.size("words_b") - common) * share[0]
+    return met.filter(similar).select(F.greatest("at_a", "at_b")["id"].alias("later"), F.least("at_a", "at_b")["id"].alias("earlier"))
 
 
 def settled(pairs: DataFrame, texts: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     """(later, earlier): those of the candidate pairs (a, b) that are similar, each once and by place."""
     pairs = written(pairs.distinct(), "pairs")
-    named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sides = sets.join(named, "id", "left_semi").select("id", F.struct("first", "id", "n", "low", "high").alias("it"))
-    sides = written(sides, "sides")
-    one, two = (sides.select(F.col("id").alias(c), F.col("it").alias(f"it_{c}")) for c in ("a", "b"))
-    both = pairs.join(one, "a").join(two, "b")
-    apart = (F.bit_count(F.col("it_a.low").bitwiseXOR(F.col("it_b.low")))
-             + F.bit_count(F.col("it_a.high").bitwiseXOR(F.col("it_b.high"))))
-    near = both.filter(
-        apart <= F.col("it_a.n") + F.col("it_b.n") - 2 * overlap(F.col("it_a.n"), F.col("it_b.n"), share))
-    ends = near.select(F.greatest("it_a", "it_b").alias("later"), F.least("it_a", "it_b").alias("earlier"))
-    placed = written(ends.select(F.col("later.id").alias("later"), F.col("earlier.id").alias("earlier")), "placed")
-    wanted = placed.select(F.col("later").alias("id")).unionByName(placed.select(F.col("earlier").alias("id"))).distinct()
-    lines = written(line_texts(texts, sides.join(wanted, "id", "left_semi").select("id", "it.first.*")), "line-texts")
-    return verified(placed, lines, share)
+    named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = sets.join(named, "id", "left_semi").select("id", "first.doc_id", "first.text_key", "first.line")
+    return verified(pairs, line_words(texts, wanted), share)
+
+
+def pairs_of_words(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(a, b): pairs of sets that share a word and may be similar; the rows of every word lie together and are few."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            words = table.column("word").to_numpy()
+            # The last word may go on in the next batch.
+            cut = int(np.searchsorted(words, words[-1])) if len(words) else 0
+            held = table.slice(cut)
+            yield from may_be_similar(table.slice(0, cut))
+        if held is not None:
+            yield from may_be_similar(held)
+
+    def may_be_similar(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        word, id_, bits, ni = (table.column(c).to_numpy() for c in ("word", "id", "bits", "ni"))
+        size, place = ni >> 32, ni & 0xFFFFFFFF
+        left, apart = np.arange(len(word)), 0
+        while len(left):  # rows one, two, three … places apart within their word
+            apart += 1
+            left = left[left + apart < len(word)]
+            left = left[word[left] == word[left + apart]]
+            right = left + apart
+            total = size[left] + size[right]
+            least = -(-total * share[0] // (share[0] + share[1]))
+            near = np.minimum(size[left], size[right]) * share[1] >= np.maximum(size[left], size[right]) * share[0]
+            near &= (place[left] <= size[left] - least) & (place[right] <= size[right] - least)
+            x, y, most = left[near], right[near], (total - 2 * least)[near]
+            close = np.bitwise_count(bits[x].view(np.uint64) ^ bits[y].view(np.uint64)) <= most
+            a, b = id_[x[close]], id_[y[close]]
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return rows.repartition("word").sortWithinPartitions("word").mapInArrow(run, "a long, b long")
 
 
 def candidates(left: DataFrame, right: DataFrame, share: tuple[int, int], which: Column) -> DataFrame:
@@ -215,15 +240,14 @@ def links(texts: DataFrame, sets: DataFrame, share: tuple[int, int], crowd: int)
     # Words in more than ``crowd`` prefixes: at most one for every ``crowd`` rows.
     listed = bounded_broadcast(crowded)
     usual = rows.join(listed, "word", "left_anti")
-    once = F.col("x.id") < F.col("y.id")
-    pairs = candidates(usual, usual, share, once)
+    pairs = pairs_of_words(usual, share)
     if not crowded.isEmpty():
         # The root of the size in blocks: each row is in as many cells of each side, and cells grow with the root.
         blocks = F.ceil(F.sqrt(F.col("count") / crowd)).cast("int")
         busy = rows.join(listed, "word").withColumns({
             "own": F.pmod(F.xxhash64("id"), blocks).cast("int"), "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
         cell = (F.col("x.own") == F.col("y.other")) & (F.col("x.other") == F.col("y.own"))
-        pairs = pairs.unionByName(candidates(busy, busy, share, cell & once))
+        pairs = pairs.unionByName(candidates(busy, busy, share, cell & (F.col("x.id") < F.col("y.id"))))
     return settled(pairs, texts, sets, share)
 
 
@@ -248,11 +272,11 @@ def deduplicate(docs: DataFrame, share: tuple[int, int] = SHARE, id_column: str
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "line")
     sets = written(worded.groupBy("set").agg(
         F.min(place).alias("first"), F.count("*").alias("copies"),
-        *[F.first(c).alias(c) for c in ("n", "low", "high", "prefix")],
+        *[F.first(c).alias(c) for c in ("n", "bits", "prefix")],
     ).withColumn("id", F.monotonically_increasing_id()), "sets")
-    linked = written(links(texts, sets, share, crowd), "links")
-    ends = linked.select(F.col("later").alias("id"), F.lit(True).alias("goes")).unionByName(
-        linked.select(F.col("earlier").alias("id"), F.lit(False).alias("goes")))
+    both = F.array(F.struct(F.col("later").alias("id"), F.lit(True).alias("goes")),
+                   F.struct(F.col("earlier").alias("id"), F.lit(False).alias("goes")))
+    ends = links(texts, sets, share, crowd).select(F.inline(both))
     counted = written(ends.groupBy("id").agg(F.count("*").alias("links"), F.max("goes").alias("goes")), "counted")
     marks = sets.select("id", "set", "first", "copies").join(counted, "id", "left").filter("copies > 1 OR links > 0").drop("id")
     marked = worded.select("doc_id", "text_key", "line", "set").join(marks, "set")

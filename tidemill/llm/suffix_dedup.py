@@ -22,7 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -236,33 +238,97 @@ def compared(held: DataFrame, length: int, keep: str) -> DataFrame:
 def dealt_out(held: DataFrame, length: int, keep: str) -> DataFrame:
     """The same for snippets of crowded anchors: their windows meet by 128-bit hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "bytes", 1 << 16):
-            rows = zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text_key", "low", "bytes")], strict=True)
-            listed = [(d, k, low + i, xxhash.xxh3_128_digest(data[i: i + length]))
-                      for d, k, low, data in rows for i in range(len(data) - length + 1)]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*listed, strict=True), kinds, strict=True)],
-                                             ["doc_id", "text_key", "start", "digest"])
-
-    windows = written(held.select("doc_id", "text_key", "low", "bytes").mapInArrow(
-        run, "doc_id long, text_key long, start int, digest binary"), "windows")
-    return met_again(windows.withColumn("end", F.col("start") + length), keep)
+        for number, batch in enumerate(slices(batches, "bytes", 1 << 16)):
+            counts, digests = [], []
+            for data in batch.column("bytes").to_pylist():
+                counts.append(len(data) - length + 1)
+                digests += [xxhash.xxh3_128_digest(data[i: i + length]) for i in range(counts[-1])]
+            row = np.repeat(np.arange(batch.num_rows), counts)
+            start = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + batch.column("low").to_numpy()[row]
+            yield by_digest(number, batch, row, start, start + length, digests)
+
+    return met_again(written(held.select("doc_id", "text_key", "low", "bytes").mapInArrow(run, WINDOWS_OF), "windows"), keep)
+
+
+PLACES = "array<struct<doc_id: long, text_key: long, start: int, end: int>>"
+WINDOWS_OF = f"slice long, digest binary, places {PLACES}"
+
+
+def by_digest(number: int, batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray, end: np.ndarray,
+              digests: list[bytes]) -> pa.RecordBatch:
+    """(slice, digest, places): the windows of a slice of a task's texts, equal ones together, smallest place first."""
+    doc_id, text_key = (batch.column(c).take(pa.array(row)) for c in ("doc_id", "text_key"))
+    halves = np.frombuffer(b"".join(digests), dtype=np.uint64).reshape(-1, 2)
+    named = doc_id.fill_null(0).to_numpy(zero_copy_only=False), doc_id.is_null().to_numpy(zero_copy_only=False)
+    order = np.lexsort((start, text_key.to_numpy(), *named, halves[:, 1], halves[:, 0]))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (halves[order[1:]] != halves[order[:-1]]).any(axis=1)
+    first = np.flatnonzero(new)
+    places = pa.StructArray.from_arrays([
+        doc_id.take(pa.array(order)), text_key.take(pa.array(order)),
+        *[pa.array(x[order].astype(np.int32)) for x in (start, end)]], ["doc_id", "text_key", "start", "end"])
+    task = TaskContext.get().partitionId()
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(len(first), task << 32 | number)), pa.array([digests[i] for i in order[first].tolist()], pa.binary()),
+        pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), places)], ["slice", "digest", "places"])
 
 
 def met_again(windows: DataFrame, keep: str) -> DataFrame:
-    """Spans of the written windows (doc_id, text_key, start, end, digest) whose digest occurs more than once."""
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "start")
-    met = windows.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
-    found = windows.join(met, "digest")
-    if keep == "first":
-        found = found.filter(place != F.col("first"))
-    return found.select("doc_id", "text_key", "start", "end")
+    """Spans of the written windows (slice, digest, places) whose digest occurs more than once.
+
+    A digest is one row for each slice of a task's texts, however often it occurs there. What is found comes back to its
+    slice, whose size is bounded, and is one span wherever windows overlap.
+    """
+    least = F.col("places")[0]
+    place = F.struct(least["doc_id"].isNull().alias("unnamed"), least["doc_id"].alias("doc_id"),
+                     least["text_key"].alias("text_key"), least["start"].alias("start"))
+    met = windows.groupBy("digest").agg(F.sum(F.size("places")).alias("n"), F.min(place).alias("first")).filter("n > 1")
+    found = windows.join(met, "digest").groupBy("slice").agg(F.collect_list(F.struct("first", "places")).alias("found"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                entries = batch.column("found").slice(i, 1).flatten()
+                places = entries.field("places").flatten()
+                owner = pc.list_parent_indices(entries.field("places"))
+                if keep == "first":
+                    of = entries.field("first").take(owner)
+                    same = pc.and_(pc.equal(of.field("text_key"), places.field("text_key")), pc.equal(of.field("start"), places.field("start")))
+                    known = pc.equal(pc.is_null(of.field("doc_id")), pc.is_null(places.field("doc_id")))
+                    named = pc.equal(of.field("doc_id"), places.field("doc_id")).fill_null(True)
+                    places = places.filter(pc.invert(pc.and_(same, pc.and_(known, named))))
+                if len(places):
+                    yield joined_spans(places)
+
+    return found.mapInArrow(run, SPAN)
+
+
+def joined_spans(places: pa.StructArray) -> pa.RecordBatch:
+    """Overlapping and touching windows of a text as one span."""
+    doc_id, text_key = places.field("doc_id"), places.field("text_key").to_numpy()
+    start, end = (places.field(c).to_numpy().astype(np.int64) for c in ("start", "end"))
+    number, unnamed = doc_id.fill_null(0).to_numpy(zero_copy_only=False), doc_id.is_null().to_numpy(zero_copy_only=False)
+    order = np.lexsort((start, text_key, number, unnamed))
+    other = np.zeros(len(order), dtype=bool)
+    for x in (text_key, number, unnamed):
+        other[1:] |= x[order[1:]] != x[order[:-1]]
+    base = np.cumsum(other) << 32  # places of different texts lie apart
+    begins = base + start[order]
+    reach = np.maximum.accumulate(base + end[order])
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = begins[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(order)) - 1
+    where = pa.array(order[first])
+    return pa.RecordBatch.from_arrays([
+        doc_id.take(where), places.field("text_key").take(where),
+        *[pa.array((x - base[first]).astype(np.int32)) for x in (begins[first], reach[last])]], ["doc_id", "text_key", "start", "end"])
 
 
 def short_runs(texts: DataFrame, length: int, words: int) -> DataFrame:
-    """(doc_id, text_key, start, end, digest): runs of so many whole words in fewer than ``length`` bytes."""
+    """(slice, digest, places): runs of so many whole words in fewer than ``length`` bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", BLOCK):
+        for number, batch in enumerate(slices(batches, "text", BLOCK)):
             raw, offsets = text_bytes(batch.column("text"))
             starts, ends = word_edges(raw, offsets)
             starts, ends = starts[: max(0, len(starts) - words + 1)], ends[words - 1:]
@@ -271,15 +337,11 @@ def short_runs(texts: DataFrame, length: int, words: int) -> DataFrame:
             if not len(short):
                 continue
             starts, ends, text = starts[short], ends[short], text[short]
-            data, where = raw.tobytes(), pa.array(text)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(where), batch.column("text_key").take(where),
-                *[pa.array((x - offsets[text]).astype(np.int32)) for x in (starts, ends)],
-                pa.array([xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)],
-                         pa.binary()),
-            ], ["doc_id", "text_key", "start", "end", "digest"])
+            data = raw.tobytes()
+            digests = [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            yield by_digest(number, batch, text, starts - offsets[text], ends - offsets[text], digests)
 
-    return texts.mapInArrow(run, "doc_id long, text_key long, start int, end int, digest binary")
+    return texts.mapInArrow(run, WINDOWS_OF)
 
 
 def repeated_spans(texts: DataFrame, length: int, keep: str, anchor: int = ANCHOR, crowd: int = CROWD,
@@ -342,7 +404,9 @@ def without(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def deduplicate(docs: DataFrame, length: int = LENGTH, keep: str = "first", id_column: str = "doc_id",
                 text_column: str = "text", anchor: int = ANCHOR, crowd: int = CROWD) -> DataFrame:
-    """One row per document: doc_id, text_key, n_bytes, spans, kept (the bytes that remain).
+    """One row per document: doc_id, text_key, n_bytes, spans, kept (the bytes that remain), text (the same as text).
+
+    Of a character that a span cuts in two, ``text`` holds all, ``kept`` the bytes outside the span.
 
     ``keep="first"`` removes what matches an earlier place in the order of doc_id (missing ones last), a hash of the
     text, and byte; ``keep="none"`` removes the first copy too. Matches are strings of ``length`` UTF-8 bytes, may
@@ -362,14 +426,16 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, keep: str = "first", id_c
         for batch in slices(batches, "text", BLOCK):
             found = [[(s["start"], s["end"]) for s in x or ()] for x in batch.column("spans").to_pylist()]
             texts = [t.as_buffer().to_pybytes() for t in batch.column("text")]
+            whole = [without(t, [whole_characters(t, a, b) for a, b in x]) for t, x in zip(texts, found, strict=True)]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_key"), pa.array(map(len, texts), pa.int64()),
                 pa.array([[{"start": a, "end": b} for a, b in x] for x in found], SPANS),
                 pa.array([without(t, x) for t, x in zip(texts, found, strict=True)], pa.binary()),
-            ], ["doc_id", "text_key", "n_bytes", "spans", "kept"])
+                pa.array(whole, pa.binary()).cast(pa.string()),
+            ], ["doc_id", "text_key", "n_bytes", "spans", "kept", "text"])
 
     return joined.mapInArrow(
-        run, "doc_id long, text_key long, n_bytes long, spans array<struct<start: int, end: int>>, kept binary")
+        run, "doc_id long, text_key long, n_bytes long, spans array<struct<start: int, end: int>>, kept binary, text string")
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -412,7 +478,7 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = deduplicate(documents_of(spark, folder), LENGTH, "none")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                       F.sha2("kept", 256).alias("kept_sha256"))
+                       F.sha2("kept", 256).alias("kept_sha256"), "text")
 
 
 QUERIES = {"op7_suffix_dedup": op7_suffix_dedup}
