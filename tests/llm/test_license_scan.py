@@ -48,5 +48,22 @@ def test_phrases_with_words_put_in(found):
     assert by_id[7].labels == "" and by_id[11].base_labels == ""
 
 
+def test_whole_license_texts(spark):
+    label, text = license_scan.TEMPLATES[0]
+    assert len(words(text)) > 150
+    bent = words(text)
+    bent[20:20], bent[90] = ["kindly", "do"], "wares"
+    half = words(text)[:60]
+    rows = [(1, f"Copyright somebody.\n\n{text.upper()}\n\nint main() {{}}"), (2, "x " * 500 + " ".join(bent)), (3, " ".join(half)),
+            (4, " ".join(reversed(words(text)))), (5, text + " and " + license_scan.TEMPLATES[2][1])]
+    found = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert label in found[1].labels.split(",") and found[1].score == 1
+    whole = [s for s in found[1].spans if s.end - s.start == len(words(text))]
+    assert [(s.label, s.start) for s in whole] == [(label, 2)]
+    assert label in found[2].labels.split(",") and any(s.start == 500 and s.end > 650 for s in found[2].spans)
+    assert not any(s.end - s.start > 100 for s in [*found[3].spans, *found[4].spans])
+    assert {"mit", "bsd"} <= set(found[5].labels.split(","))
+
+
 def test_no_rows(spark):
     assert license_scan.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
