@@ -93,6 +93,33 @@ def test_query(spark, small):
     assert np.mean([r.near_edited for r in long]) > 0.4 > 0.1 > np.mean([r.near_next for r in long])
 
 
+@pytest.mark.parametrize(("low", "high"), [(24, 47), (48, 63), (64, 95), (96, 200), (200, 1000)])
+def test_short_texts_resemble_their_edited_forms(low, high):
+    draw = random.Random(low)
+    words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(3, 9))) for _ in range(500)]
+    texts = []
+    while len(texts) < 60:
+        text = " ".join(draw.choices(words, k=draw.randint(3, 160)))
+        texts += [text] if low <= len(text) <= high else []
+    ranks = fingerprints.ranks_of(fingerprints.class_counts([t.encode() for t in texts]))
+    after = [*texts[1:], texts[0]]
+    edited = [t[: len(t) - len(t) // 4] + a[: len(t) // 4] for t, a in zip(texts, after, strict=True)]
+    own, other, following = (fingerprints.digests([t.encode() for t in x], ranks) for x in (texts, edited, after))
+    near = [fingerprints.likeness(a, b) for a, b in zip(own, other, strict=True)]
+    far = [fingerprints.likeness(a, b) for a, b in zip(own, following, strict=True)]
+    assert min(near) > 0.15 and np.mean(near) > 0.4 and np.mean(far) < 0.1
+    assert sum(a > b for a, b in zip(near, far, strict=True)) == len(texts)
+
+
+def test_very_long_text(spark):
+    draw = random.Random(9)
+    text = "".join(draw.choices("abcdefgh ", k=300_000))
+    found = fingerprints.fingerprint(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string")).collect()
+    row = next(r for r in found if r.doc_id == 1)
+    assert row.n_chars == 300_000 and row.edited_sha256 == hashlib.sha256((text[:225_000] + "x").encode()).hexdigest()
+    assert row.near_edited > 0.5
+
+
 def test_repeated_rows_and_no_rows(spark):
     docs = spark.createDataFrame([(3, "ab"), (3, "ab")], "doc_id long, text string")
     assert [(r.doc_id, r.near_next) for r in fingerprints.fingerprint(docs).collect()] == [(3, 1.0), (3, 1.0)]

@@ -29,6 +29,9 @@ LEAST = 100  # classes below are all but constant bytes, never features
 AROUND = 64  # a feature ranks lowest in ``AGREED`` runs of so many windows
 AGREED = 16
 SPAN = AROUND + AGREED - 1
+# Texts too short for many features add all their windows of fewer bytes: (bytes of a window, least and most bytes of a
+# text). The sizes overlap, so that a text and its edited form share a kind of window.
+SMALL_WINDOWS = ((16, 48, 1024), (4, 4, 96))
 PER_FILTER = 160
 BITS = 2048
 CORE = 1 << 16  # bytes ranked at once, small enough for a processor's cache
@@ -137,16 +140,32 @@ def window_hashes(x: np.ndarray, places: np.ndarray) -> np.ndarray:
     return h
 
 
+def small_windows(x: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text number, hash) of all small windows of the texts that are short enough for them."""
+    for size, least, most in SMALL_WINDOWS:
+        short = np.flatnonzero((sizes >= least) & (sizes < most))
+        n = sizes[short] - size + 1
+        owner = np.repeat(short, n)
+        places = np.repeat(starts[short] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        words = np.ndarray(len(x) - 3, dtype="<u4", buffer=x, strides=(1,))
+        h = np.full(len(places), size, dtype=np.uint64)
+        for i in range(0, size, 4):
+            h = mixed(h ^ words[places + i].astype(np.uint64))
+        yield owner, h
+
+
 def digests(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
     """One chain of Bloom filters per text, as rows of ``BITS`` bits.
 
-    A text without features, being shorter than a window or all but constant, has itself as its only feature; an empty
-    text has none and an empty chain.
+    Texts of fewer than a thousand bytes also have their small windows as features. A text without features, being
+    shorter than any window or long and all but constant, has itself as its only feature; an empty text has none and an
+    empty chain.
     """
     x, starts, sizes = joined(texts)
     places = chosen(x, window_places(starts, sizes, len(x)), ranks)
-    owner = np.searchsorted(starts, places, side="right") - 1
-    hashes = window_hashes(x, places)
+    small = list(small_windows(x, starts, sizes))
+    owner = np.concatenate([np.searchsorted(starts, places, side="right") - 1, *[o for o, _ in small]])
+    hashes = np.concatenate([window_hashes(x, places), *[h for _, h in small]])
     bare = np.flatnonzero((np.bincount(owner, minlength=len(texts)) == 0) & (sizes > 0))
     own = [int.from_bytes(hashlib.sha256(texts[i]).digest()[:8], "little") for i in bare]
     owner = np.concatenate([owner, bare])
@@ -265,8 +284,9 @@ def fingerprint(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     The edited text has its last quarter replaced by the beginning of the next document in the order of doc_id; the
     last is followed by the first. Missing doc_ids come first, equal ones in the order of a hash of their texts. A
-    missing text counts as empty. Equal texts have equal digests. Two empty digests have the likeness 1, an empty and a
-    filled one 0. No rows give no rows.
+    missing text counts as empty; texts may be of any length. Equal texts have equal digests. Two empty digests have the
+    likeness 1, an empty and a filled one 0. Repeated rows have a row each, and one may follow the other. Other columns
+    are left out, whatever their names. No rows give no rows.
     """
     texts = identified(docs, id_column, text_column)
     # About a thousand numbers, whatever the size of the collection.
