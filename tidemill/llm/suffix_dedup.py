@@ -19,6 +19,7 @@ Texts are read by the tasks that hold them; only anchors, and the bytes of diffe
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -73,23 +74,52 @@ def anchored(raw: np.ndarray, offsets: np.ndarray, length: int, anchor: int
         yield text[first], low + start, high + start, at[first] + start, hashes[at[first]], whole
 
 
+PLACES = "array<struct<doc_id: long, text_key: long, start: int, end: int, reach: int>>"
+STRINGS = f"slice long, one long, two long, places {PLACES}"
+
+
+def by_content(number: int, batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray, end: np.ndarray, reach: np.ndarray,
+               content: np.ndarray) -> pa.RecordBatch:
+    """(slice, one, two, places): strings of a slice of a task's texts, equal ones together, the smallest place first.
+
+    Strings are equal when both numbers of their ``content`` are.
+    """
+    doc_id, text_key = (batch.column(c).take(pa.array(row)) for c in ("doc_id", "text_key"))
+    named = doc_id.fill_null(0).to_numpy(zero_copy_only=False), doc_id.is_null().to_numpy(zero_copy_only=False)
+    order = np.lexsort((start, text_key.to_numpy(), *named, content[:, 1], content[:, 0]))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (content[order[1:]] != content[order[:-1]]).any(axis=1)
+    first = np.flatnonzero(new)
+    places = pa.StructArray.from_arrays([
+        doc_id.take(pa.array(order)), text_key.take(pa.array(order)),
+        *[pa.array(x[order].astype(np.int32)) for x in (start, end, reach)]], ["doc_id", "text_key", "start", "end", "reach"])
+    task = TaskContext.get().partitionId()
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(len(first), task << 32 | number)), *[pa.array(content[order[first], i].view(np.int64)) for i in (0, 1)],
+        pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), places)], ["slice", "one", "two", "places"])
+
+
+def met(strings: DataFrame) -> DataFrame:
+    """(one, two, n, first): how often each string occurs, and its first place."""
+    least = F.col("places")[0]
+    place = F.struct(least["doc_id"].isNull().alias("unnamed"), *[least[c].alias(c) for c in ("doc_id", "text_key", "start", "end", "reach")])
+    return strings.groupBy("one", "two").agg(F.sum(F.size("places")).alias("n"), F.min(place).alias("first"))
+
+
 def anchors(texts: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(doc_id, text_key, anchor, snippet, low, high, reach): ranges of windows with one anchor, and their hashes.
+    """``STRINGS`` whose contents are an anchor and its snippet: ranges of windows with one anchor.
 
     ``reach`` is the distance from the first window to the anchor.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = count()
         for batch in slices(batches, "text", 4 * BLOCK):
             raw, offsets = text_bytes(batch.column("text"))
             for text, low, high, at, hashes, whole in anchored(raw, offsets, length, anchor):
-                where = pa.array(text)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").take(where), batch.column("text_key").take(where),
-                    pa.array(hashes.view(np.int64)), pa.array(np.array(whole, dtype=np.uint64).view(np.int64)),
-                    *[pa.array(x.astype(np.int32)) for x in (low - offsets[text], high - offsets[text], at - low)],
-                ], ["doc_id", "text_key", "anchor", "snippet", "low", "high", "reach"])
+                content = np.stack([hashes, np.array(whole, dtype=np.uint64)], axis=1)
+                yield by_content(next(numbers), batch, text, low - offsets[text], high + length - offsets[text], at - low, content)
 
-    return texts.mapInArrow(run, "doc_id long, text_key long, anchor long, snippet long, low int, high int, reach int")
+    return texts.mapInArrow(run, STRINGS)
 
 
 def snippets(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -235,6 +265,11 @@ def compared(held: DataFrame, length: int, keep: str) -> DataFrame:
     return dealt.select("anchor", "doc_id", "text_key", "low", "bytes", "reach").mapInArrow(run, SPAN)
 
 
+def halves(digests: list[bytes]) -> np.ndarray:
+    """128-bit digests as pairs of numbers."""
+    return np.frombuffer(b"".join(digests), dtype=np.uint64).reshape(-1, 2)
+
+
 def dealt_out(held: DataFrame, length: int, keep: str) -> DataFrame:
     """The same for snippets of crowded anchors: their windows meet by 128-bit hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,54 +280,28 @@ def dealt_out(held: DataFrame, length: int, keep: str) -> DataFrame:
                 digests += [xxhash.xxh3_128_digest(data[i: i + length]) for i in range(counts[-1])]
             row = np.repeat(np.arange(batch.num_rows), counts)
             start = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + batch.column("low").to_numpy()[row]
-            yield by_digest(number, batch, row, start, start + length, digests)
-
-    return met_again(written(held.select("doc_id", "text_key", "low", "bytes").mapInArrow(run, WINDOWS_OF), "windows"), keep)
-
+            yield by_content(number, batch, row, start, start + length, np.zeros(len(row)), halves(digests))
 
-PLACES = "array<struct<doc_id: long, text_key: long, start: int, end: int>>"
-WINDOWS_OF = f"slice long, digest binary, places {PLACES}"
-
-
-def by_digest(number: int, batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray, end: np.ndarray,
-              digests: list[bytes]) -> pa.RecordBatch:
-    """(slice, digest, places): the windows of a slice of a task's texts, equal ones together, smallest place first."""
-    doc_id, text_key = (batch.column(c).take(pa.array(row)) for c in ("doc_id", "text_key"))
-    halves = np.frombuffer(b"".join(digests), dtype=np.uint64).reshape(-1, 2)
-    named = doc_id.fill_null(0).to_numpy(zero_copy_only=False), doc_id.is_null().to_numpy(zero_copy_only=False)
-    order = np.lexsort((start, text_key.to_numpy(), *named, halves[:, 1], halves[:, 0]))
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (halves[order[1:]] != halves[order[:-1]]).any(axis=1)
-    first = np.flatnonzero(new)
-    places = pa.StructArray.from_arrays([
-        doc_id.take(pa.array(order)), text_key.take(pa.array(order)),
-        *[pa.array(x[order].astype(np.int32)) for x in (start, end)]], ["doc_id", "text_key", "start", "end"])
-    task = TaskContext.get().partitionId()
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.full(len(first), task << 32 | number)), pa.array([digests[i] for i in order[first].tolist()], pa.binary()),
-        pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), places)], ["slice", "digest", "places"])
+    windows = written(held.select("doc_id", "text_key", "low", "bytes").mapInArrow(run, STRINGS), "windows")
+    return met_again(windows, met(windows), keep)
 
 
-def met_again(windows: DataFrame, keep: str) -> DataFrame:
-    """Spans of the written windows (slice, digest, places) whose digest occurs more than once.
+def met_again(strings: DataFrame, found: DataFrame, keep: str) -> DataFrame:
+    """Spans of the written ``strings`` that occur more than once, given what ``met`` found of them.
 
-    A digest is one row for each slice of a task's texts, however often it occurs there. What is found comes back to its
-    slice, whose size is bounded, and is one span wherever windows overlap.
+    A string is one row for each slice of a task's texts, however often it occurs there. What is found comes back to its
+    slice, whose size is bounded, and is one span wherever strings overlap.
     """
-    least = F.col("places")[0]
-    place = F.struct(least["doc_id"].isNull().alias("unnamed"), least["doc_id"].alias("doc_id"),
-                     least["text_key"].alias("text_key"), least["start"].alias("start"))
-    met = windows.groupBy("digest").agg(F.sum(F.size("places")).alias("n"), F.min(place).alias("first")).filter("n > 1")
-    found = windows.join(met, "digest").groupBy("slice").agg(F.collect_list(F.struct("first", "places")).alias("found"))
+    several = found.filter("n > 1").select("one", "two", "first")
+    per_slice = strings.join(several, ["one", "two"]).groupBy("slice").agg(F.collect_list(F.struct("first", "places")).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 entries = batch.column("found").slice(i, 1).flatten()
                 places = entries.field("places").flatten()
-                owner = pc.list_parent_indices(entries.field("places"))
                 if keep == "first":
-                    of = entries.field("first").take(owner)
+                    of = entries.field("first").take(pc.list_parent_indices(entries.field("places")))
                     same = pc.and_(pc.equal(of.field("text_key"), places.field("text_key")), pc.equal(of.field("start"), places.field("start")))
                     known = pc.equal(pc.is_null(of.field("doc_id")), pc.is_null(places.field("doc_id")))
                     named = pc.equal(of.field("doc_id"), places.field("doc_id")).fill_null(True)
@@ -300,7 +309,7 @@ def met_again(windows: DataFrame, keep: str) -> DataFrame:
                 if len(places):
                     yield joined_spans(places)
 
-    return found.mapInArrow(run, SPAN)
+    return per_slice.mapInArrow(run, SPAN)
 
 
 def joined_spans(places: pa.StructArray) -> pa.RecordBatch:
@@ -326,7 +335,7 @@ def joined_spans(places: pa.StructArray) -> pa.RecordBatch:
 
 
 def short_runs(texts: DataFrame, length: int, words: int) -> DataFrame:
-    """(slice, digest, places): runs of so many whole words in fewer than ``length`` bytes."""
+    """``STRINGS``: runs of so many whole words in fewer than ``length`` bytes, their contents 128-bit hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in enumerate(slices(batches, "text", BLOCK)):
             raw, offsets = text_bytes(batch.column("text"))
@@ -339,9 +348,9 @@ def short_runs(texts: DataFrame, length: int, words: int) -> DataFrame:
             starts, ends, text = starts[short], ends[short], text[short]
             data = raw.tobytes()
             digests = [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            yield by_digest(number, batch, text, starts - offsets[text], ends - offsets[text], digests)
+            yield by_content(number, batch, text, starts - offsets[text], ends - offsets[text], np.zeros(len(text)), halves(digests))
 
-    return texts.mapInArrow(run, WINDOWS_OF)
+    return texts.mapInArrow(run, STRINGS)
 
 
 def repeated_spans(texts: DataFrame, length: int, keep: str, anchor: int = ANCHOR, crowd: int = CROWD,
@@ -351,26 +360,21 @@ def repeated_spans(texts: DataFrame, length: int, keep: str, anchor: int = ANCHO
     Strings of ``length`` bytes count and, where ``words`` is given, strings of so many whole words of any length.
     """
     listed = written(anchors(texts, length, anchor), "anchors")
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "low", "high", "reach")
-    different = written(listed.groupBy("anchor", "snippet").agg(F.count("*").alias("n"), F.min(place).alias("first")),
-                        "snippets")
-    per_anchor = different.groupBy("anchor").agg(F.sum("n").alias("total"), F.count("*").alias("n_different"))
+    different = written(met(listed), "snippets")
+    per_anchor = different.groupBy("one").agg(F.sum("n").alias("total"), F.count("*").alias("n_different"))
     repeated = written(per_anchor.filter("total > 1"), "repeated")
 
-    several = different.join(repeated.filter("n_different > 1"), "anchor")
-    wanted = several.select("first.doc_id", "first.text_key", "anchor", "snippet", "first.low", "first.high",
-                            "first.reach", (F.col("n_different") > crowd).alias("crowded"))
+    several = different.join(repeated.filter("n_different > 1"), "one")
+    wanted = several.select("first.doc_id", "first.text_key", F.col("one").alias("anchor"), F.col("two").alias("snippet"),
+                            F.col("first.start").alias("low"), (F.col("first.end") - length).alias("high"), "first.reach",
+                            (F.col("n_different") > crowd).alias("crowded"))
     held = written(snippets(texts, wanted, length), "snippet-bytes")
     spans = compared(held.filter(~F.col("crowded")), length, keep)
     spans = spans.unionByName(dealt_out(held.filter("crowded"), length, keep))
-
-    copies = listed.join(different.filter("n > 1").select("anchor", "snippet", "first"), ["anchor", "snippet"])
-    if keep == "first":
-        copies = copies.filter(place != F.col("first"))
-    spans = spans.unionByName(copies.select("doc_id", "text_key", F.col("low").alias("start"),
-                                            (F.col("high") + length).alias("end")))
+    spans = spans.unionByName(met_again(listed, different, keep))
     if words:
-        spans = spans.unionByName(met_again(written(short_runs(texts, length, words), "short-runs"), keep))
+        runs = written(short_runs(texts, length, words), "short-runs")
+        spans = spans.unionByName(met_again(runs, met(runs), keep))
     return merged(spans)
 
 
