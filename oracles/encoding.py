@@ -19,6 +19,14 @@ def index_rows(value: str, padding: str, name: str) -> str:
 
 
 ORACLES = {
+    "ppmi_weights": f"""WITH {TOKENS}, often AS (SELECT word FROM c WHERE n >= 50),
+        l AS (SELECT a.word, b.word AS context, count(*) AS n FROM e a JOIN e b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i + 1 AND a.i + 5
+              WHERE a.word IN (FROM often) AND b.word IN (FROM often) GROUP BY 1, 2),
+        m AS (SELECT word, context, sum(n)::BIGINT AS n FROM (FROM l UNION ALL SELECT context, word, n FROM l) GROUP BY 1, 2),
+        s AS (SELECT word, sum(n) AS n_word FROM m GROUP BY 1), z AS (SELECT sum(n_word)::DOUBLE AS total FROM s),
+        w AS (SELECT m.word, context, n, ln(n * total / (x.n_word::DOUBLE * y.n_word)) AS ppmi
+              FROM m JOIN s x ON x.word = m.word JOIN s y ON y.word = context, z)
+        SELECT word, context, n, round(ppmi, 6) AS ppmi FROM w WHERE ppmi > 0""",
     "label_encode": f"SELECT doc_id, {CODE}::INT AS code FROM documents",
     "label_decode": "SELECT doc_id, CASE WHEN lang IN ('de', 'en', 'fr') THEN lang ELSE 'unknow' END AS label FROM documents",
     "one_hot": """SELECT doc_id, (lang = 'de')::INT::VARCHAR || (lang = 'en')::INT::VARCHAR || (lang = 'fr')::INT::VARCHAR

@@ -84,7 +84,7 @@ def word_tokens(text: Column, pattern: str = WORD_PATTERN, lower: bool = True) -
 def segment(text: Column, kind: str | None = "word", stop_words: Sequence[str] = ()) -> Column:
     """Word tokens or character tokens without stop words.
 
-    A dictionary segmenter is not part of the library; pass the output of one through ``remove_stop_words``.
+    Words of texts without spaces come from ``operators.segmentation``; pass them through ``remove_stop_words``.
     """
     if kind in (None, "word"):
         return remove_stop_words(word_tokens(text, lower=False), stop_words)

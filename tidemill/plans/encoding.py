@@ -11,7 +11,7 @@ from tidemill.functions.text import word_tokens
 from tidemill.functions.values import decode_label, encode_label, hash_order, in_fraction, one_hot
 from tidemill.operators import frames
 from tidemill.operators import vocabulary as voc
-from tidemill.operators import windows
+from tidemill.operators import windows, wordvectors
 from tidemill.operators.models import train_word_vectors
 from tidemill.operators.vectors import nearest_or_unknown
 from tidemill.session import scratch_path, written
@@ -165,7 +165,30 @@ def word2vec_synonyms(spark, folder):
     )
 
 
+def association(spark, folder):
+    """Words that occur at least fifty times and stand within five places of each other more often than by chance."""
+    return wordvectors.positive_association(wordvectors.cooccurrences(tokens(spark, folder), "tokens", 5, 50))
+
+
+def ppmi_weights(spark, folder):
+    return association(spark, folder).withColumn("ppmi", F.round("ppmi", 6))
+
+
+def svd_synonyms(spark, folder):
+    """The five words nearest to each of the ten most frequent words, by vectors from counts."""
+    vectors = wordvectors.svd_vectors(association(spark, folder))
+    numbered = written(words(spark, folder).select("word", F.col("index").alias("vec_id")), "words")
+    known = vectors.join(numbered, "word").withColumnRenamed("vector", "embedding")
+    best = nearest_or_unknown(numbered.filter("vec_id < 10").select("vec_id"), known, 5)
+    names = numbered.select(F.col("vec_id").alias("id"), F.col("word").alias("neighbour"))
+    asked = numbered.select(F.col("vec_id").alias("query_id"), "word")
+    return best.join(names, "id", "left").join(asked, "query_id").select(
+        "word", "neighbour", F.round("score", 4).alias("cosine"), "rank", "status")
+
+
 QUERIES = {
+    "ppmi_weights": ppmi_weights,
+    "svd_synonyms": svd_synonyms,
     "label_encode": label_encode,
     "label_decode": label_decode,
     "one_hot": one_hot_labels,
