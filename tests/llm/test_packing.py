@@ -32,7 +32,7 @@ def check(rows, texts, max_length, buckets, budget):
         spans[r.doc_id].append((r.piece, r.first_token, r.n_tokens))
         batches[r.batch_id].append(r)
     for doc_id, text in texts.items():
-        total = len((text or "").encode().split())
+        total = sum(-(-len(w) // 8) for w in (text or "").encode().split())
         ends = [(i, i * max_length, min(max_length, total - i * max_length)) for i in range(max(1, -(-total // max_length)))]
         assert sorted(spans[doc_id]) == ends
     assert sorted(batches) == list(range(len(batches)))
@@ -52,7 +52,7 @@ def check(rows, texts, max_length, buckets, budget):
 def test_batches(spark):
     draw = random.Random(3)
     texts = {i: " ".join("w" for _ in range(draw.choice([0, 1, 3, 10, 25, 60]))) for i in range(150)}
-    texts |= {900: None, 901: "", None: "a b", 902: "w " * 50_000}
+    texts |= {900: None, 901: "", None: "a b", 902: "w " * 50_000, 903: "字" * 999, 904: "x" * 17 + " y"}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumns({"piece": F.lit(1), "index": F.lit(2)})
     check(packing.pack(docs, 20, 4, 100).collect(), texts, 20, 4, 100)
 

@@ -271,7 +271,8 @@ def encode(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_col
     """(doc_id, ids, places) per row: the token ids of the text and the byte at which each token starts.
 
     ``vocabulary`` is the path of a rank file on the driver; its tokens, some tens of thousands, are sent to all tasks.
-    An empty or missing text has no tokens. Repeated rows are encoded each for itself; no rows give no rows.
+    An empty or missing text has no tokens. Repeated rows are encoded each for itself, rows without doc_id too; texts may
+    be of any length; other columns are left out, whatever their names; no rows give no rows.
     """
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(load_tokens(vocabulary))

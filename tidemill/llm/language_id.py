@@ -162,7 +162,7 @@ def identify(pages: DataFrame, docs: DataFrame, page_id: str = "page_id", url: s
     the languages are null. A page without visible text is decided by its other evidence, without any at all by what
     all pages are; ties go to the language first in the alphabet. Missing addresses have the empty host, missing
     declarations count as a declaration of their own. Repeated rows are each reported and each vote; no pages give no
-    rows. ``evidence`` holds the logarithms of all four sources per language, in alphabetical order of the languages.
+    rows. Pages and texts may be of any length. Other columns are left out, whatever their names. ``evidence`` holds the logarithms of all four sources per language, in alphabetical order of the languages.
     """
     names, table = likelihoods(docs, language, text)
     if not names:

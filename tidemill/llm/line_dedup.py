@@ -264,7 +264,8 @@ def deduplicate(docs: DataFrame, share: tuple[int, int] = SHARE, id_column: str
     themselves or not. Words stand between ASCII white space, A-Z lower-cased; lines end at line feeds. Lines without
     words stay. A missing text counts as empty and has one line. Rows repeated with one doc_id and text are one document
     and cut alike. Words are told apart by 64-bit hashes in the search, and by themselves before a line goes for a
-    similar one. No rows give no rows.
+    similar one; words, lines and texts may be of any length. Other columns are left out, whatever their names. No rows
+    give no rows.
     """
     texts = identified(docs, id_column, text_column).withColumn("text_key", F.xxhash64("text"))
     lines = written(lines_of(texts, share), "lines")

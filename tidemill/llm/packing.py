@@ -23,9 +23,16 @@ TOKEN_BUDGET = 16384  # of a batch, padding included
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
-def word_count(text):
-    """Words between ASCII white space."""
-    return F.size(F.array_remove(F.split(text, WHITE_SPACE), "")).cast("long")
+TOKEN_BYTES = 8
+
+
+def token_count(text):
+    """One token for each begun ``TOKEN_BYTES`` bytes of each word between ASCII white space.
+
+    Most words are one token; text without spaces, as in Chinese or in encoded data, is as many as its bytes ask for.
+    """
+    words = F.array_remove(F.split(text, WHITE_SPACE), "")
+    return F.aggregate(words, F.lit(0).cast("long"), lambda n, w: n + F.ceil(F.octet_length(w) / TOKEN_BYTES))
 
 
 def best_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
@@ -62,7 +69,7 @@ def best_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[i
     return bounds[::-1]
 
 
-def pieces(docs: DataFrame, max_length: int, length=word_count) -> DataFrame:
+def pieces(docs: DataFrame, max_length: int, length=token_count) -> DataFrame:
     """(doc_id, text_key, piece, first_token, n_tokens): consecutive stretches of at most ``max_length`` tokens."""
     sized = docs.select("doc_id", F.xxhash64("text").alias("text_key"), length(F.col("text")).alias("total"))
     last = F.greatest(F.expr(f"(total - 1) div {max_length}"), F.lit(0))
@@ -73,13 +80,14 @@ def pieces(docs: DataFrame, max_length: int, length=word_count) -> DataFrame:
 
 
 def pack(docs: DataFrame, max_length: int = MAX_LENGTH, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET,
-         id_column: str = "doc_id", text_column: str = "text", length=word_count) -> DataFrame:
+         id_column: str = "doc_id", text_column: str = "text", length=token_count) -> DataFrame:
     """One row per piece: doc_id, piece, first_token, n_tokens, bucket, padded_length, batch_id, slot.
 
     A text longer than ``max_length`` is cut, none of its tokens is lost. A text without tokens, empty or missing, is
     one piece of length 0. Every batch holds pieces of one bucket and at most ``budget`` tokens with padding, one
     piece at least. Pieces of a bucket follow in the order of doc_id, missing ones first, then of a hash of the text.
-    ``length`` gives the number of tokens of a text column. No rows give no rows.
+    Repeated rows are packed each for itself. ``length`` gives the number of tokens of a text column. Other columns are
+    left out, whatever their names. No rows give no rows.
     """
     rows = written(pieces(identified(docs, id_column, text_column), max_length, length), "pieces")
     # At most max_length + 1 rows, whatever the number of documents.

@@ -175,8 +175,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
         return empty
     ids = spark.createDataFrame([(int(i),) for i in wanted["doc_id"]], "doc_id long")
     # A sample of bounded size: at most twice ``per_label`` ids and their texts' counts.
-    rows = counted(docs.join(F.broadcast(ids), "doc_id", "left_semi")).dropDuplicates(["doc_id"]).toPandas()
-    rows = rows.merge(wanted, on="doc_id").sort_values("doc_id")
+    # Of several texts with one doc_id the one with the smallest hash is learned, whatever the plan.
+    known = docs.join(F.broadcast(ids), "doc_id", "left_semi").withColumn("text_key", F.xxhash64("text"))
+    one = known.groupBy("doc_id").agg(F.min_by("text", "text_key").alias("text"))
+    rows = counted(one).toPandas().merge(wanted, on="doc_id").sort_values("doc_id")
     if not len(rows):
         return empty
     counts = np.frombuffer(b"".join(rows["counts"]), dtype=np.float32).reshape(-1, WIDTH).astype(np.float64)
@@ -192,7 +194,8 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     """(doc_id, score) per row, the score between 0 and 1.
 
     Only the text is looked at. An empty or missing text has a vector of its own length alone and is scored like any
-    other. Repeated rows get equal scores; no rows give no rows.
+    other, a text of any length as a whole. Repeated rows get equal scores, rows without doc_id a score like others. Other
+    columns are left out, whatever their names. No rows give no rows.
     """
     # The model is bounded by its parameters: a few megabytes, whatever the number of documents.
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -220,7 +223,11 @@ def fitted(spark: SparkSession, docs: DataFrame, folder: str) -> Model:
 
 
 def kept_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The rows of ``docs`` whose text scores at least one half, all columns as they were."""
+    """The rows of ``docs`` whose text scores at least one half, all columns as they were.
+
+    Missing and empty texts are scored like any other, so are long ones; equal texts, repeated rows among them, stay or
+    go together. A score of exactly one half stays. No rows give no rows.
+    """
     model = fitted(spark, docs, folder)
     shared = spark.sparkContext.broadcast(model)
     schema = docs.schema

@@ -128,7 +128,8 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, id_column: str = "doc_id"
     component_id its smallest doc_id. A text without words, empty or missing, has the fingerprint zero and is linked
     like any other; a text of fewer words than a shingle is one shingle. Missing doc_ids come last and name a component
     only if it has no other. The row that names the component is kept, of several with its doc_id the one with the
-    smallest content_key; rows repeated in the table are all marked alike. An empty table gives an empty result.
+    smallest content_key; rows repeated in the table are all marked alike. Texts may be of any length. Other columns are
+    left out, whatever their names. An empty table gives an empty result.
     """
     rows = written(fingerprints(docs, k, id_column, text_column), "fingerprints")
     entry = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "content_key")
@@ -144,7 +145,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, id_column: str = "doc_id"
 
 
 def kept_documents(docs: DataFrame, k: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row of every component, all columns as they were."""
+    """One row of every component, all columns as they were.
+
+    Texts without words, missing texts and doc_ids, ties and long texts are treated as by ``near_duplicates``; of rows
+    repeated in the table one stays. No rows give no rows.
+    """
     decided = written(near_duplicates(docs, k, id_column, text_column), "near")
     key = F.xxhash64(F.coalesce(F.col(f"`{text_column}`"), F.lit("")))
     return kept_rows(docs, decided, key, id_column)

@@ -416,7 +416,8 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, keep: str = "first", id_c
     text, and byte; ``keep="none"`` removes the first copy too. Matches are strings of ``length`` UTF-8 bytes, may
     overlap, and are judged on the texts as they came. A missing text counts as empty; texts shorter than ``length``
     stay whole. Rows repeated with one doc_id and text are all cut alike: they count as copies of each other with
-    "none", and as one document with "first". No rows give no rows. Spans are (start, end) in bytes.
+    "none", and as one document with "first". Texts may be of any length. Other columns are left out, whatever their
+    names. No rows give no rows. Spans are (start, end) in bytes.
     """
     if keep not in ("first", "none") or not 0 < anchor <= length:
         raise ValueError("keep must be 'first' or 'none', and anchors no longer than the strings")
@@ -450,7 +451,9 @@ def cleaned_documents(docs: DataFrame, length: int = LENGTH, id_column: str = "d
     """``docs`` with later copies of repeated passages cut out of the text, by whole characters.
 
     Passages have ``length`` bytes or, where ``words`` is given, so many words between ASCII white space.
-    All rows and columns stay; ``size_column``, where there is one, is set to the new number of characters.
+    All rows and columns stay; ``size_column``, where there is one, is set to the new number of characters. A missing text
+    stays missing. Missing doc_ids come last, equal ones follow a hash of their texts; repeated rows are cut alike, as one
+    document. Texts may be of any length. No rows give no rows.
     """
     names = docs.columns
     marks = written(repeated_spans(keyed(docs, id_column, text_column), length, "first", words=words), "spans")
