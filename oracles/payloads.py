@@ -86,6 +86,10 @@ ORACLES = {
         JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
     "vector_store": """SELECT (label + 1)::INT AS page, count(*) AS n_chunks, sum(len(embedding))::BIGINT AS n_values,
         sum(length(text))::BIGINT AS n_chars FROM embeddings JOIN documents ON doc_id = vec_id GROUP BY 1""",
+    "stream_moving_averages": """WITH d AS (SELECT event_type AS series, ts::DATE AS day, count(*) AS n FROM events GROUP BY 1, 2)
+        SELECT series, day, n, round(CASE WHEN count(*) OVER w = 7 THEN avg(n) OVER w END, 6) AS moving_avg,
+          round((n / lag(n) OVER (PARTITION BY series ORDER BY day)::DOUBLE - 1) * 100, 6) AS growth_pct
+        FROM d WINDOW w AS (PARTITION BY series ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
     "stream_daily_totals": """SELECT ts::DATE AS day, count(*) AS n_events, sum(value::DECIMAL(18,2))::DOUBLE
         AS total_value, max(event_id) AS last_event FROM events GROUP BY 1""",
 }

@@ -14,6 +14,7 @@ from tidemill.session import scratch_path, written
 from tidemill.sources import files, payloads, schemas, sinks, tables
 from tidemill.sources.csv_ranges import read_csv_ranges
 from tidemill.sources.tables import table
+from tidemill.streaming import averages
 from tidemill.streaming.daily import stream_daily_totals as run_stream
 
 
@@ -313,6 +314,12 @@ def vector_store(spark, folder):
                                       F.sum(F.length("text")).alias("n_chars"))
 
 
+def stream_moving_averages(spark, folder):
+    """Daily events of every type with their seven-row average and growth, kept while files with all days come in."""
+    kept = averages.stream_moving_averages(spark, table(spark, folder, "events"))
+    return kept.withColumns({c: F.round(c, 6) for c in ("moving_avg", "growth_pct")})
+
+
 def stream_daily_totals(spark, folder):
     return run_stream(spark, folder).withColumn("total_value", F.col("total_value").cast("double"))
 
@@ -348,5 +355,6 @@ QUERIES = {
     "labelled_corpus": labelled_corpus,
     "report_lines": report_lines,
     "vector_store": vector_store,
+    "stream_moving_averages": stream_moving_averages,
     "stream_daily_totals": stream_daily_totals,
 }
