@@ -48,3 +48,17 @@ def test_cosine_search_in_blocks_of_any_size(spark, monkeypatch, rows):
     weights = spark.createDataFrame([(d, f"t{t}", 0.5) for d in range(8) for t in range(d, d + 4)], "d bigint, term string, weight double")
     found = corpus.cosine_topk(weights, spark.createDataFrame([(0,)], "d bigint"), "d", 10).collect()
     assert [(r.d, r.cosine) for r in sorted(found, key=lambda r: r["rank"])] == [(1, 0.75), (2, 0.5), (3, 0.25)]
+
+
+def test_only_grams_of_frequent_words_are_counted(spark):
+    """Rare words and what holds them end in their task; lists of words serve like texts."""
+    texts = [(d, f"common words always r{d} x{d} y{d} z{d} common words") for d in range(50)] + [(50, None), (51, "")]
+    df = spark.createDataFrame(texts, "d bigint, text string")
+    lists = corpus.word_lists(df, "text", "d")
+    pairs = corpus.gram_documents(lists, ["always", "common", "words"], []).collect()
+    assert {(r.code, r.df) for r in pairs} == {(0 * 3 + 1, 0), (1 * 3 + 2, 50), (2 * 3 + 0, 50)} - {(1, 0)}
+    terms = corpus.fit_terms(lists, "words", min_share=0.5)
+    assert sorted(r.term for r in terms.collect()) == ["always", "common", "common words", "common words always", "words", "words always"]
+    found = {(r.d, r.term): r.weight for r in corpus.tfidf(lists, "d", "words", terms).collect()}
+    assert found == {(r.d, r.term): r.weight for r in corpus.tfidf(df, "d", "text", terms).collect()}
+    assert len(found) == 300
