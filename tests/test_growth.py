@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.operators import corpus
+from tidemill.operators import corpus, vectors
 from tidemill.session import written
 
 
@@ -62,3 +63,16 @@ def test_only_grams_of_frequent_words_are_counted(spark):
     found = {(r.d, r.term): r.weight for r in corpus.tfidf(lists, "d", "words", terms).collect()}
     assert found == {(r.d, r.term): r.weight for r in corpus.tfidf(df, "d", "text", terms).collect()}
     assert len(found) == 300
+
+
+def test_blocks_of_vectors_are_full(spark):
+    """However many tasks read the vectors, a cell is as few blocks as it can be."""
+    rows = spark.range(0, 600, 1, 12).select("id", F.array(F.col("id") % 3 * 10.0, F.lit(1.0)).alias("vector"))
+    pivots = np.array([[0.0, 1.0], [10.0, 1.0], [20.0, 1.0]])
+    blocks = vectors.cells_of(rows, pivots, "l2").select("cell", F.size("ids").alias("n")).collect()
+    # A border between two ranges may cut a cell.
+    assert len(blocks) <= 3 + blocks_cut(spark) and sum(r.n for r in blocks) == 600
+
+
+def blocks_cut(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions")) - 1
