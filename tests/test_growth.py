@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.operators import corpus, vectors
+from tidemill.functions.splitting import SEPARATORS, chunks_of
+from tidemill.operators import chunking, corpus, vectors
 from tidemill.session import written
 
 
@@ -76,3 +78,13 @@ def test_blocks_of_vectors_are_full(spark):
 
 def blocks_cut(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions")) - 1
+
+
+def test_chunks_leave_memory_as_they_are_made(monkeypatch):
+    monkeypatch.setattr(chunking, "CHUNK_BATCH", 5000)
+    texts = [None, "", "a b " * 900, "x" * 2500, "one. two " * 700] * 6
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(texts)], ["d", "whole"])
+    made = list(chunking.chunk_batches(batch, 1000, 200, SEPARATORS))
+    assert len(made) > 6 and all(sum(map(len, b.column(3).to_pylist())) < 5000 + 10_000 for b in made)
+    found = [tuple(r.values()) for b in made for r in b.to_pylist()]
+    assert found == [(i, n, c["start"], c["text"]) for i, t in enumerate(texts) for n, c in enumerate(chunks_of(t))]

@@ -2,30 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.splitting import CHUNK_OVERLAP, CHUNK_SIZE, SEPARATORS, chunks_of
 from tidemill.operators.frames import numbered_entries
 from tidemill.operators.joins import interval_lookup
+from tidemill.session import small_batches
 
 
 def recursive_chunks(df: DataFrame, key: str, text: str = "text", size: int = CHUNK_SIZE,
                      overlap: int = CHUNK_OVERLAP, separators: Sequence[str] = SEPARATORS) -> DataFrame:
     """(key, chunk_no, start, text): chunks that end at paragraph, line, sentence or word borders."""
     separators = tuple(separators)
+    small_batches(df.sparkSession)
+    fields = T.StructType([df.schema[key], *T.StructType.fromDDL("chunk_no int, start int, text string").fields])
 
-    @F.pandas_udf("array<struct<start:int,text:string>>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: chunks_of(t, size, overlap, separators))
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from chunk_batches(batch, size, overlap, separators)
 
-    parts = df.select(key, split(F.col(text)).alias("chunks"))
-    return numbered_entries(parts, "chunks", "chunk_no", "chunk", key).select(
-        key, "chunk_no", "chunk.start", "chunk.text"
-    )
+    return df.select(key, F.col(text).alias("whole")).mapInArrow(split, fields)
+
+
+CHUNK_BATCH = 4 << 20  # characters of text whose chunks are held at once
+
+
+def chunk_batches(batch: pa.RecordBatch, size: int, overlap: int, separators: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """The chunks of a batch (key, whole), handed on whenever those of ``CHUNK_BATCH`` characters are made."""
+    names = [batch.schema.names[0], "chunk_no", "start", "text"]
+    rows, numbers, starts, texts, held = [], [], [], [], 0
+
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            batch.column(0).take(pa.array(rows, pa.int64())), pa.array(numbers, pa.int32()), pa.array(starts, pa.int32()),
+            pa.array(texts, pa.string())], names)
+
+    for i in range(batch.num_rows):
+        found = chunks_of(batch.column(1)[i].as_py(), size, overlap, separators)
+        rows += [i] * len(found)
+        numbers += range(len(found))
+        starts += [c["start"] for c in found]
+        texts += [c["text"] for c in found]
+        held += sum(len(c["text"]) for c in found)
+        if held >= CHUNK_BATCH:
+            yield made()
+            rows, numbers, starts, texts, held = [], [], [], [], 0
+    if rows:
+        yield made()
 
 
 def chunk_flags(chunks: DataFrame, documents: DataFrame, key: str, text: str = "text", size: int = CHUNK_SIZE,
