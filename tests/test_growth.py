@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions.splitting import SEPARATORS, chunks_of
-from tidemill.operators import chunking, corpus, vectors
+from tidemill.operators import chunking, corpus, vectors, wordvectors
 from tidemill.session import written
 
 
@@ -88,3 +88,20 @@ def test_chunks_leave_memory_as_they_are_made(monkeypatch):
     assert len(made) > 6 and all(sum(map(len, b.column(3).to_pylist())) < 5000 + 10_000 for b in made)
     found = [tuple(r.values()) for b in made for r in b.to_pylist()]
     assert found == [(i, n, c["start"], c["text"]) for i, t in enumerate(texts) for n, c in enumerate(chunks_of(t))]
+
+
+def test_only_frequent_words_make_pairs(spark, monkeypatch):
+    """What is counted and shuffled for pairs grows with the frequent words; rare ones keep their places."""
+    counted = []
+    keep = wordvectors.pair_counts
+
+    def noted(located, window):
+        found = keep(located, window)
+        counted.append(found.count())
+        return found
+
+    monkeypatch.setattr(wordvectors, "pair_counts", noted)
+    df = spark.createDataFrame([(["a", f"r{i}", "b", "b", f"x{i}", f"y{i}", "a"],) for i in range(40)] + [(None,), ([],)], "t array<string>")
+    found = {(r.word, r.context): r.n for r in wordvectors.cooccurrences(df, "t", 3, 2).collect()}
+    assert found == {("a", "b"): 120, ("b", "a"): 120, ("b", "b"): 80} | {("a", "b"): 40 * 3, ("b", "a"): 40 * 3}
+    assert counted == [2]

@@ -6,36 +6,77 @@ the vectors have dimensions, never the vocabulary.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.frames import entries
-from tidemill.session import written
+from tidemill.operators.windows import ordered_index
+from tidemill.session import small_batches, written
+
 
+PAIRS_HELD = 1 << 22  # pairs a task counts at once
 
-def neighbours(tokens: Column, window: int) -> Column:
-    """(word, context) for every two words at most ``window`` places apart, the earlier one first."""
-    def at_distance(d: Column) -> Column:
-        n = F.greatest(F.size(tokens) - d, F.lit(0))
-        return F.zip_with(F.slice(tokens, F.lit(1), n), F.slice(tokens, d + 1, n), lambda a, b: F.struct(a.alias("word"), b.alias("context")))
 
-    return F.flatten(F.transform(F.sequence(F.lit(1), F.lit(window)), at_distance))
+def pair_counts(located: DataFrame, window: int) -> DataFrame:
+    """(code, n): how often two numbered words stand within ``window`` places of each other.
+
+    ``located`` has (doc, words), lists of (place, number). The code is the smaller number times 2^32 and the larger one.
+    """
+    def counted(codes: list[np.ndarray]) -> pa.RecordBatch:
+        code, n = np.unique(np.concatenate(codes), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], ["code", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes: list[np.ndarray] = []
+        for batch in batches:
+            lists = batch.column("words")
+            entry = lists.flatten()
+            row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            place, number = (entry.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("place", "number"))
+            order = np.lexsort((place, row))
+            row, place, number = row[order], place[order], number[order]
+            for step in range(1, window + 1):
+                near = (row[:-step] == row[step:]) & (place[step:] - place[:-step] <= window)
+                one, other = number[:-step][near], number[step:][near]
+                codes.append(np.minimum(one, other) << 32 | np.maximum(one, other))
+                if sum(map(len, codes)) >= PAIRS_HELD:
+                    yield counted(codes)
+                    codes = []
+        if codes:
+            yield counted(codes)
+
+    return located.select("words").mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def cooccurrences(df: DataFrame, tokens: str, window: int = 5, min_count: int = 2) -> DataFrame:
     """(word, context, n), written: how often two words stand within ``window`` places, either one first.
 
-    Words that occur less than ``min_count`` times are left out; they keep their places in the texts. Counts are combined
-    in each task before they are shuffled. Rows without tokens have none.
+    Words that occur less than ``min_count`` times are left out before any pair is made; they keep their places in the
+    texts. The others are numbered, so that what is shuffled for a pair is two numbers, once for both directions, and
+    pairs are counted in each task first. Rows without tokens have none.
     """
-    often = entries(df, tokens, "word").groupBy("word").agg(F.count("*").alias("times")).filter(F.col("times") >= min_count)
-    often = written(often.select("word"), "often")
-    pairs = entries(df.filter(F.size(tokens) > 1), neighbours(F.col(tokens), window), "pair").select("pair.*")
-    counted = pairs.groupBy("word", "context").agg(F.count("*").alias("n"))
-    known = counted.join(often, "word", "left_semi").join(often.withColumnRenamed("word", "context"), "context", "left_semi")
-    both = known.select("word", "context", "n").unionByName(known.select(F.col("context").alias("word"), F.col("word").alias("context"), "n"))
-    return written(both.groupBy("word", "context").agg(F.sum("n").alias("n")), "cooccurrences")
+    small_batches(df.sparkSession)
+    counts = entries(df, tokens, "word").groupBy("word").agg(F.count("*").alias("times")).filter(F.col("times") >= min_count)
+    numbered = ordered_index(counts, F.desc("times"), F.col("word")).select("word", F.col("index").cast("int").alias("number"))
+    often = written(numbered, "often")
+    # Numbered before the lists are taken apart, else each word gets a number.
+    held = df.filter(F.size(tokens) > 1).select(F.monotonically_increasing_id().alias("doc"), F.col(tokens).alias("held"))
+    placed = held.select("doc", F.posexplode_outer("held").alias("place", "word"))
+    located = placed.join(often, "word").groupBy("doc").agg(F.collect_list(F.struct("place", "number")).alias("words"))
+    low, high = F.shiftright("code", 32).cast("int"), F.col("code").bitwiseAND((1 << 32) - 1).cast("int")
+    pairs = pair_counts(located, window).select(low.alias("low"), high.alias("high"), "n")
+    # A word beside itself counts once for each direction.
+    ways = F.when(F.col("low") == F.col("high"), F.array(F.struct("low", "high", (2 * F.col("n")).alias("n")))).otherwise(
+        F.array(F.struct("low", "high", "n"), F.struct(F.col("high").alias("low"), F.col("low").alias("high"), "n")))
+    both = pairs.select(F.explode(ways).alias("way")).select("way.*")
+    named = both.join(often.withColumnRenamed("number", "low"), "low").join(
+        often.withColumnsRenamed({"word": "context", "number": "high"}), "high")
+    return written(named.select("word", "context", "n"), "cooccurrences")
 
 
 def positive_association(counts: DataFrame) -> DataFrame:
