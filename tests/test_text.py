@@ -92,6 +92,29 @@ def test_vocabulary_and_index_rows(spark, tokens):
     assert voc.words_of_indexes(odd, "k", "idx", vocabulary, 3).first()["words"] == ["b", "<PAD>", "<PAD>"]
 
 
+@pytest.mark.parametrize("held", [0, 2, 100])
+def test_index_rows_of_words_no_task_keeps(spark, held):
+    """However few words a task keeps, only words it lacks are rows of a join."""
+    rows = [(i, [f"w{(i * j) % 9}" for j in range(i % 7)] + [None, "rare"][: i % 3]) for i in range(40)] + [(40, None), (7, ["w1", "w2"])]
+    lists = spark.createDataFrame(rows, "k int, t array<string>")
+    vocabulary = voc.build_vocabulary(lists.filter("k < 40"), "t", 2)
+    index = {r["word"]: r["index"] for r in vocabulary.collect()}
+    word = {i: w for w, i in index.items()}
+    matrix = voc.index_matrix(lists, "k", "t", vocabulary, 6, held=held)
+    got = {r["k"]: r["idx"] for r in matrix.collect()}
+    for k, words in rows:
+        if k != 7:
+            found = [index.get(w, 0) for w in (words or [])[:6]]
+            assert got[k] == found + [0] * (6 - len(found))
+    assert len(got) == 41 and sorted(got[7]) == sorted([index["w1"], index["w2"], 0, 0, 0, 0])
+    back = voc.words_of_indexes(spark.createDataFrame([(k, [*x, -1, 99, None]) for k, x in got.items()], "k int, idx array<int>"),
+                                "k", "idx", vocabulary, 9, held=held)
+    for r in back.collect():
+        assert r["words"] == [word[i] for i in got[r["k"]]] + ["<PAD>"] * 3
+    plan = matrix._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate posexplode" not in plan
+
+
 def test_unknown_key_has_a_zero_vector(spark):
     keys = spark.createDataFrame([(1,), (2,)], "k int")
     vectors = spark.createDataFrame([(1, [1.0, 2.0])], "k int, v array<float>")
