@@ -247,3 +247,13 @@ def test_whole_texts_through_latin1(spark):
     texts = spark.createDataFrame(rows, "doc_id long, text string")
     for order in (texts.coalesce(1), texts.orderBy(F.desc("doc_id")).coalesce(1)):
         assert sorted(map(tuple, payload_plans.through_latin1(spark, order).collect())) == rows
+
+
+def test_matrix_folders_hold_one_file(spark, tmp_path):
+    """Rows of a folder meet before they are written, however many tasks hold them."""
+    rows = spark.createDataFrame([(i, i % 3, [i, 0], "train", i % 5) for i in range(200)],
+                                 "doc_id bigint, label int, idx array<int>, split string, batch_id bigint").repartition(8)
+    path = str(tmp_path / "matrix")
+    sinks.write_matrix(rows, path)
+    assert len(list((tmp_path / "matrix").rglob("*.parquet"))) == 5
+    assert sorted(r.doc_id for r in spark.read.parquet(path).collect()) == list(range(200))

@@ -39,8 +39,12 @@ def write_token_batches(df: DataFrame, tokens: str, batch: str, path: str) -> No
 
 def write_matrix(df: DataFrame, path: str, partition: tuple[str, ...] = ("split", "batch_id"),
                  rows_per_file: int = 20_000) -> None:
-    """Label and padded index rows as parquet, at most ``rows_per_file`` documents in a file."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy(*partition).parquet(path)
+    """Label and padded index rows as parquet, at most ``rows_per_file`` documents in a file.
+
+    Rows of a folder meet before they are written, else every task has a file in every folder; a large one is still
+    several tasks.
+    """
+    df.hint("rebalance", *partition).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy(*partition).parquet(path)
 
 
 def write_vector_store(chunks: DataFrame, path: str) -> None:
