@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 import random
 
+import pytest
+
 from tidemill.operators import segmentation as sg
 
 
@@ -63,3 +65,14 @@ def test_no_text(spark):
     docs = spark.createDataFrame([], "d int, text string")
     assert sg.corpus_dictionary(docs, "d", "text").collect() == []
     assert sg.segment(docs, "d", "text", spark.createDataFrame([], "word string, weight long")).collect() == []
+
+
+@pytest.mark.parametrize("held", [0, 1, 3])
+def test_words_and_runs_no_task_keeps(spark, held):
+    """However few words and runs a task keeps, the cuts are the same; nothing is a row of its own that a task keeps."""
+    table = spark.createDataFrame([("天", -9 * sg.UNIT), ("地", -9 * sg.UNIT), ("天地", -7 * sg.UNIT), ("人", -5 * sg.UNIT), ("地人", -8 * sg.UNIT)],
+                                  "word string, weight long")
+    docs = spark.createDataFrame([(1, "天地人 x 人人"), (2, "龙天地"), (3, "none"), (4, None), (5, "人人, 天地人, 地人 人人")], "d int, text string")
+    found = {r.d: r.words for r in sg.segment(docs, "d", "text", table, held=held).collect()}
+    assert found == {1: ["天地", "人", "人", "人"], 2: ["龙", "天地"], 3: [], 4: [], 5: ["人", "人", "天地", "人", "地人", "人", "人"]}
+    assert found == {r.d: r.words for r in sg.segment(docs, "d", "text", table).collect()}

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.frames import entries
+from tidemill.operators.vocabulary import HELD_ENTRIES, looked_up
 from tidemill.session import written
 
 RUN = "[一-鿿]+"
@@ -112,27 +113,34 @@ def words_on_path(run: Column, sizes: Column) -> Column:
     return F.aggregate(F.reverse(F.sequence(F.lit(1), F.length(run))), start, step, lambda s: s["words"])
 
 
-def segment_runs(runs: DataFrame, dictionary: DataFrame, longest: int = MAX_WORD) -> DataFrame:
-    """(run, words): each different run cut where the sum of weights is largest."""
-    distinct = written(runs.select("run").distinct(), "runs")
-    places = F.flatten(F.transform(F.sequence(F.lit(1), F.length("run")), lambda i: F.transform(
-        F.sequence(F.lit(1), F.lit(longest)), lambda n: F.struct(((i - 1) * longest + n).alias("at"), F.when(
-            i + n - 1 <= F.length("run"), F.substring(F.col("run"), i, n)).alias("word"), n.alias("size")))))
-    grams = distinct.select("run", F.explode(places).alias("place")).select("run", "place.*")
-    weighed = grams.join(dictionary.select("word", "weight"), "word", "left").withColumn(
-        "weight", F.coalesce("weight", F.when((F.col("size") == 1) & F.col("word").isNotNull(), UNKNOWN)))
+def segment_runs(runs: DataFrame, dictionary: DataFrame, longest: int = MAX_WORD, held: int = HELD_ENTRIES) -> DataFrame:
+    """(run, words): each different run cut where the sum of weights is largest.
+
+    ``runs`` has a row for each different run. The ``held`` words of largest weight are looked up where a run is
+    read, so that only rarer pieces of a run are rows of a join.
+    """
+    pieces_there = F.flatten(F.transform(F.sequence(F.lit(1), F.length("run")), lambda i: F.transform(
+        F.sequence(F.lit(1), F.lit(longest)), lambda n: F.when(i + n - 1 <= F.length("run"), F.substring(F.col("run"), i, n)))))
+    table = dictionary.select(F.col("word").alias("entry"), F.col("weight").alias("found"))
+    first = table.orderBy(F.desc("found"), "entry").limit(held)
+    found = looked_up(runs, "run", pieces_there, table, first, None, "found", unique=True)
     # As many entries as the run has places, so bounded by the run.
-    held = weighed.groupBy("run").agg(F.array_sort(F.collect_list(F.struct("at", "weight"))).alias("listed"))
-    listed = held.select("run", F.transform("listed", lambda x: x["weight"]).alias("weights"))
-    paths = listed.select("run", best_path(longest).alias("sizes"))
+    weighed = F.transform("found", lambda w, at: F.coalesce(w, F.when(at % longest == 0, F.lit(UNKNOWN).cast("bigint"))))
+    paths = found.select("run", weighed.alias("weights")).select("run", best_path(longest).alias("sizes"))
     return paths.select("run", words_on_path(F.col("run"), F.col("sizes")).alias("words"))
 
 
-def segment(df: DataFrame, key: str, text: str, dictionary: DataFrame, longest: int = MAX_WORD) -> DataFrame:
-    """(key, words): the words of each text's runs in their order; a text without runs has none."""
-    runs = runs_of(df, key, text)
-    cut = runs.join(written(segment_runs(runs, dictionary, longest), "segmented"), "run")
-    listed = cut.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("run_no", "words"))).alias("runs"))
-    words = F.flatten(F.transform("runs", lambda r: r["words"]))
+def segment(df: DataFrame, key: str, text: str, dictionary: DataFrame, longest: int = MAX_WORD, held: int = HELD_ENTRIES) -> DataFrame:
+    """(key, words): the words of each text's runs in their order; a text without runs has none.
+
+    Each different run is cut once; the ``held`` most frequent ones are looked up where a text is read, others by a join.
+    """
+    counted = written(runs_of(df, key, text).groupBy("run").agg(F.count("*").alias("n")), "runs")
+    cut = segment_runs(counted.select("run"), dictionary, longest, held)
+    table = written(cut.select(F.col("run").alias("entry"), F.array_join("words", " ").alias("found")), "segmented")
+    often = counted.orderBy(F.desc("n"), "run").limit(held).select(F.col("run").alias("entry"))
+    runs = F.regexp_extract_all(F.col(text), F.lit(RUN), 0)
+    listed = looked_up(df, key, runs, table, table.join(written(often, "often"), "entry", "left_semi"), None, "runs")
+    words = F.when(F.size("runs") > 0, F.split(F.array_join("runs", " "), " "))
     return df.select(key).join(listed.select(key, words.alias("words")), key, "left").withColumn(
         "words", F.coalesce("words", F.array().cast("array<string>")))
