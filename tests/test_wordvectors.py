@@ -62,6 +62,25 @@ def test_decomposition(counts):
     assert np.abs(vectors @ vectors.T - expected).max() < 0.05 * np.abs(expected).max()
 
 
+@pytest.mark.parametrize("cell", [40, 1 << 19])
+def test_products_of_cells(spark, counts, monkeypatch, cell):
+    monkeypatch.setattr(wv, "CELL", cell)
+    monkeypatch.setattr(wv, "STEP", 7)
+    table = wv.positive_association(counts)
+    numbered, cells, width = wv.grid(table)
+    number = {r.word: r.number for r in numbered.collect()}
+    assert sorted(number.values()) == list(range(len(number)))
+    n_blocks = -(-len(number) // width)
+    assert cells.count() <= n_blocks * (n_blocks + 1) // 2 and (n_blocks > 1) == (cell == 40)
+    matrix = np.zeros((len(number), len(number)))
+    for r in table.collect():
+        matrix[number[r.word], number[r.context]] = r.ppmi
+    rows = np.random.default_rng(3).normal(size=(len(number), 3))
+    given = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rows)], "number long, row array<double>")
+    found = {r.number: r.row for r in wv.applied(cells, given, width, 3).collect()}
+    assert np.allclose([found[i] for i in range(len(rows))], matrix @ rows)
+
+
 def test_planted_synonyms_are_neighbours(spark, counts):
     vectors = wv.svd_vectors(wv.positive_association(counts), dimension=8)
     names = {r.word: i for i, r in enumerate(vectors.select("word").orderBy("word").collect())}

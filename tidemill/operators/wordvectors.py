@@ -6,6 +6,7 @@ the vectors have dimensions, never the vocabulary.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -95,16 +96,130 @@ def signs(word: Column, size: int, seed: int) -> Column:
     return F.array(*[F.when(F.xxhash64(word, F.lit(seed), F.lit(j)) > 0, 1.0).otherwise(-1.0) for j in range(size)])
 
 
-def applied(matrix: DataFrame, rows: DataFrame, size: int) -> DataFrame:
-    """(word, row), written: the product of a sparse matrix (word, context, ppmi) and rows (word, row)."""
-    met = matrix.join(rows.withColumnsRenamed({"word": "context"}), "context")
-    sums = met.groupBy("word").agg(*[F.sum(F.col("ppmi") * F.col("row")[j]).alias(f"s{j}") for j in range(size)])
-    return written(sums.select("word", F.array(*[f"s{j}" for j in range(size)]).alias("row")), "rows")
+CELL = 1 << 19  # weights of a cell on average
+
+
+def grid(association: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(word, number), written; (cell, starts, columns, weights), written; and how many words a block has.
+
+    Words are numbered in an order that says nothing of them and cut into blocks; a cell holds the weights of the words of
+    one block beside those of the same or a later one, each pair once, as rows one after the other.
+    """
+    small_batches(association.sparkSession)
+    words = ordered_index(association.select("word").distinct(), F.xxhash64("word"), F.col("word"))
+    numbered = written(words.select("word", F.col("index").alias("number")), "numbers")
+    n_words, n_weights = numbered.count(), association.count()
+    width = -(-n_words // max(1, math.isqrt(n_weights // CELL)))
+    placed = association.select("word", "context", "ppmi").join(numbered, "word").join(
+        numbered.withColumnsRenamed({"word": "context", "number": "other"}), "context").filter("number <= other")
+    block = lambda c: F.floor(F.col(c) / width)
+    weights = placed.select((F.shiftleft(block("number"), 32) + block("other")).alias("cell"), F.expr(f"number % {width}").alias("one"),
+                            F.expr(f"other % {width}").alias("two"), "ppmi")
+
+    def cell_of(cell: int, parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        one, two, weight = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(one * width + two)
+        starts = np.searchsorted(one[order], np.arange(width + 1))
+        held = [x.tobytes() for x in (starts.astype(np.int32), two[order].astype(np.int32), weight[order])]
+        return pa.RecordBatch.from_arrays([pa.array([cell], pa.int64()), *[pa.array([x], pa.binary()) for x in held]],
+                                          ["cell", "starts", "columns", "weights"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, ...]] = []
+        at = -1
+        for batch in batches:
+            cell, *values = (batch.column(c).to_numpy() for c in ("cell", "one", "two", "ppmi"))
+            edges = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+            for low, high in zip(edges, np.append(edges[1:], len(cell)), strict=True):
+                if cell[low] != at and parts:
+                    yield cell_of(at, parts)
+                    parts = []
+                at = int(cell[low])
+                parts.append(tuple(x[low:high] for x in values))
+        if parts:
+            yield cell_of(at, parts)
+
+    cells = weights.repartition("cell").sortWithinPartitions("cell").mapInArrow(
+        run, "cell long, starts binary, columns binary, weights binary")
+    return numbered, written(cells, "cells"), width
+
+
+STEP = 1 << 15  # weights multiplied at once
+
+
+def row_sums(starts: np.ndarray, columns: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the rows that have weights, and for each the sum of its weights times the rows of its columns."""
+    used = np.flatnonzero(np.diff(starts))
+    begins, total = starts[used], np.empty((len(used), rows.shape[1]))
+    low = 0
+    while low < len(used):  # whole rows, some STEP weights of them
+        high = max(low + 1, int(np.searchsorted(begins, begins[low] + STEP)))
+        first, last = begins[low], begins[high] if high < len(used) else len(columns)
+        total[low:high] = np.add.reduceat(weights[first:last, None] * rows[columns[first:last]], begins[low:high] - first, axis=0)
+        low = high
+    return used, total
+
+
+def applied(cells: DataFrame, rows: DataFrame, width: int, size: int) -> DataFrame:
+    """(number, row), written: the product of the symmetric matrix in cells and rows (number, row).
+
+    A block of rows goes to the cells of its words, where it is multiplied; no row is written for a weight.
+    """
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts = -1, []
+        for batch in batches:
+            number = batch.column("number").to_numpy()
+            row = batch.column("row").flatten().to_numpy().reshape(len(number), size)
+            for one in np.unique(number // width):
+                if one != block and parts:
+                    yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([b"".join(parts)])], ["block", "rows"])
+                    parts = []
+                block = int(one)
+                parts.append(row[number // width == one].tobytes())
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([b"".join(parts)])], ["block", "rows"])
+
+    def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, first = (), np.zeros((0, size))
+
+        def sums(block: int, found: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+            used, total = found
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(used) + 1) * size, pa.int32()), pa.array(total.ravel()))
+            return pa.RecordBatch.from_arrays([pa.array(block * width + used), lists], ["number", "row"])
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["side"] == 0:
+                    cell = tuple(np.frombuffer(r[c], t) for c, t in (("starts", np.int32), ("columns", np.int32), ("weights", float)))
+                    continue
+                here = np.frombuffer(r["rows"], float).reshape(-1, size)
+                one, two = r["cell"] >> 32, r["cell"] & 0xFFFFFFFF
+                if r["side"] == 1:
+                    first = here
+                if r["side"] == 2 or one == two:
+                    yield sums(one, row_sums(*cell, here))
+                    starts, columns, weights = cell
+                    line = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+                    order = np.argsort(columns, kind="stable")
+                    if one == two:
+                        order = order[line[order] != columns[order]]
+                    turned_starts = np.searchsorted(columns[order], np.arange(width + 1))
+                    yield sums(two, row_sums(turned_starts, line[order], weights[order], first))
+
+    block = F.floor(F.col("number") / width)
+    blocks = rows.select("number", "row").repartition(block).sortWithinPartitions("number").mapInArrow(packed, "block long, rows binary")
+    places = cells.select("cell", F.shiftright("cell", 32).alias("one"), F.col("cell").bitwiseAND((1 << 32) - 1).alias("two"))
+    sides = F.array(F.struct(F.col("one").alias("block"), F.lit(1).alias("side")), F.struct(F.col("two").alias("block"), F.lit(2).alias("side")))
+    wanted = places.select("cell", F.inline(F.when(F.col("one") == F.col("two"), F.slice(sides, 1, 1)).otherwise(sides)))
+    met = cells.withColumn("side", F.lit(0)).unionByName(wanted.join(blocks, "block").drop("block"), allowMissingColumns=True)
+    sums = met.repartition("cell").sortWithinPartitions("cell", "side").mapInArrow(multiplied, "number long, row array<double>")
+    added = sums.groupBy("number").agg(*[F.sum(F.col("row")[j]).alias(f"s{j}") for j in range(size)])
+    return written(added.select("number", F.array(*[f"s{j}" for j in range(size)]).alias("row")), "rows")
 
 
 def products(a: DataFrame, b: DataFrame, size: int) -> np.ndarray:
     """The inner products of all columns of two tables of rows, of which there are few."""
-    both = a.join(b.withColumnRenamed("row", "other"), "word")
+    both = a.join(b.withColumnRenamed("row", "other"), "number") if a is not b else a.withColumn("other", F.col("row"))
     found = both.select(F.posexplode("row").alias("i", "x"), "other").groupBy("i").agg(
         *[F.sum(F.col("x") * F.col("other")[j]).alias(f"s{j}") for j in range(size)]).orderBy("i").collect()
     return np.array([list(r)[1:] for r in found], dtype=float).reshape(-1, size)
@@ -114,7 +229,7 @@ def turned(rows: DataFrame, matrix: np.ndarray) -> DataFrame:
     """Each row times a small matrix."""
     columns = [F.array(*[F.lit(float(x)) for x in column]) for column in matrix.T]
     total = [F.aggregate(F.zip_with("row", c, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x) for c in columns]
-    return rows.select("word", F.array(*total).alias("row"))
+    return rows.select("number", F.array(*total).alias("row"))
 
 
 def orthonormal(rows: DataFrame, size: int) -> DataFrame:
@@ -135,14 +250,15 @@ def svd_vectors(association: DataFrame, dimension: int = 32, more: int = 8, roun
     if association.isEmpty():
         return association.select("word", F.array().cast("array<double>").alias("vector"))
     size = dimension + more
-    words = association.select("word").distinct()
-    basis = words.select("word", signs(F.col("word"), size, seed).alias("row"))
+    numbered, cells, width = grid(association)
+    basis = numbered.select("number", signs(F.col("word"), size, seed).alias("row"))
     for _ in range(rounds + 1):
-        image = applied(association, basis, size)
+        image = applied(cells, basis, width, size)
         basis = orthonormal(image, size)
         size = len(basis.first()["row"])
-    small = products(basis, applied(association, basis, size), size)
+    small = products(basis, applied(cells, basis, width, size), size)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     main = np.argsort(-np.abs(values))[:dimension]
     scaled = vectors[:, main] * np.sqrt(np.abs(values[main]))
-    return written(turned(basis, scaled).withColumnRenamed("row", "vector"), "word-vectors")
+    vectors = turned(basis, scaled).join(numbered, "number").select("word", F.col("row").alias("vector"))
+    return written(vectors, "word-vectors")
