@@ -117,3 +117,23 @@ def test_classes_and_all_their_links(spark, crowd):
         first.setdefault(kind, (doc_id, line))
     assert {(doc_id, line): (first[kind], n) for doc_id, line, kind, n in found} == expected
     assert len(found) == len(expected) and max(near.values()) >= 89
+
+
+def test_long_lines_meet_only_where_they_share_enough_rare_words(spark, monkeypatch):
+    """Lines of 150 words that share one rare word are no candidates, similar ones are; cells of few lines find the same."""
+    draw = random.Random(11)
+    usual = [f"u{i}" for i in range(140)]
+    base = [draw.sample(usual, 120) + [f"rare{i // 2}"] + [f"own{i}_{k}" for k in range(29)] for i in range(60)]
+    near = [[w if draw.random() > 0.05 else f"new{i}_{k}" for k, w in enumerate(words)] for i, words in enumerate(base)]
+    rows = [(i, " ".join(words)) for i, words in enumerate(base + near)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_key", F.xxhash64("text"))
+    sets = line_dedup.lines_of(texts, line_dedup.SHARE).filter("line >= 0").withColumns(
+        {"id": F.col("doc_id"), "first": F.struct(F.lit(False).alias("unnamed"), "doc_id", "text_key", "line")})
+    monkeypatch.setattr(line_dedup, "LINES", 7)
+    met = line_dedup.prefixes(sets).withColumns({"cell": F.lit(0).cast("long"), "own": F.lit(0)})
+    found = {(r.a, r.b) for r in line_dedup.pairs_of_words(met, line_dedup.SHARE).collect()}
+    words = [set(w) for w in base + near]
+    similar = {(a, b) for b in range(120) for a in range(b) if 5 * len(words[a] & words[b]) >= 4 * len(words[a] | words[b])}
+    assert len(similar) >= 55 and similar <= found and len(found) <= len(similar) + 5
+    linked = line_dedup.links(texts, sets, line_dedup.SHARE, 3).collect()
+    assert sorted((r.earlier, r.later) for r in linked) == sorted(similar)

@@ -1,13 +1,14 @@
 """Near-duplicate lines by an exact set-similarity join.
 
 A line is the set of its words. Words are ordered by rarity, the rarest first; two sets as similar as asked share a word
-among the first few of each, so only those prefixes are joined. What remains after the length filter, the positional
-filter (the first common word leaves room for enough others) and a comparison of parity maps is verified on the words
-themselves. A parity map flips one of its bits for every word, so two maps differ in no more bits than the sets in words.
-
-Equal sets enter the join once. The sets of a word that heads the prefixes of very many are cut into blocks, and the
-pairs of blocks are joined as cells of their own, so no task holds all pairs of such a word. Every pair that passes the
-filters is verified: a line goes for any earlier match, and the links of each class of equal sets are counted.
+among the first few of each, large ones several, so only those prefixes are joined. What remains after the length filter,
+the positional filter (the first common words leave room for enough others), a comparison of parity maps and a count of
+the common words of both prefixes is verified on the words themselves. A parity map flips one of its bits for every word, so two maps differ in no more bits than the sets in words.
+
+Equal sets enter the join once, and those that share a word meet by size. The sets of a word that heads the prefixes of
+very many are cut into blocks, and the pairs of blocks are cells of their own, so no task holds all pairs of such a word.
+Every pair that passes the filters is verified, in cells that hold the words of a line once for many pairs: a line goes
+for any earlier match, and the links of each class of equal sets are counted.
 """
 
 from __future__ import annotations
@@ -16,16 +17,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import (BROADCAST_LIMIT, ascii_lower, bounded_broadcast, documents_of, identified, mixed,
                                  slices, text_bytes, word_spans)
+from tidemill.operators.windows import ordered_index
 from tidemill.session import written
 
 SHARE = (4, 5)  # least Jaccard similarity, as a fraction
 RARITY_BITS = 18  # words are counted by so many bits of their hashes
-CROWD = 64  # sets that share one word of their prefixes
+CROWD = 2048  # sets that share one word of their prefixes
+MORE = 32  # words of a set for each further word that its prefix shares with a similar one's
+ROWS = 1 << 16  # prefix rows looked at once
+PAIRS = 1 << 20  # pairs of them
+LINES = 512  # lines of a block whose words are compared
 STEP = 2 << 20
 BLOCK = 1 << 18
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -58,8 +65,8 @@ def rarity_ranks(texts: DataFrame) -> np.ndarray:
 
 
 def prefix_sizes(n: np.ndarray, share: tuple[int, int]) -> np.ndarray:
-    """How many of a set's rarest words every similar set shares one of."""
-    return n - -(-n * share[0] // share[1]) + 1
+    """How many of a set's rarest words every similar set shares one of; or several, one more for each ``MORE`` words."""
+    return n - -(-n * share[0] // share[1]) + 1 + n // MORE
 
 
 def line_sets(raw: np.ndarray, offsets: np.ndarray, ranks: np.ndarray, share: tuple[int, int]) -> dict:
@@ -130,22 +137,6 @@ def lines_of(texts: DataFrame, share: tuple[int, int]) -> DataFrame:
     return texts.mapInArrow(run, LINE)
 
 
-def overlap(n_a: Column, n_b: Column, share: tuple[int, int]) -> Column:
-    """Words two sets of these sizes share at least."""
-    num, den = share
-    return F.floor(((n_a + n_b) * num + (num + den - 1)) / (num + den))
-
-
-def alike(a: str, b: str, share: tuple[int, int]) -> Column:
-    """Length filter, positional filter and parity maps."""
-    (n_a, i_a), (n_b, i_b) = ((F.shiftright(f"{x}.ni", 32), F.col(f"{x}.ni").bitwiseAND((1 << 32) - 1)) for x in (a, b))
-    least = overlap(n_a, n_b, share)
-    sizes = F.least(n_a, n_b) * share[1] >= F.greatest(n_a, n_b) * share[0]
-    room = (i_a <= n_a - least) & (i_b <= n_b - least)
-    apart = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
-    return sizes & room & (apart <= n_a + n_b - 2 * least)
-
-
 def prefixes(sets: DataFrame) -> DataFrame:
     """(id, bits, word, ni): the words that lead each set; set size and place share one number."""
     led = F.transform("prefix", lambda w, i: F.struct(w.alias("word"), (F.col("n").cast("long") * (1 << 32) + i).alias("ni")))
@@ -173,64 +164,135 @@ def line_words(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, lines: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(later, earlier): those of the pairs (a, b) whose words are as similar as asked, by place."""
-    one, two = (lines.select(F.col("id").alias(x), F.struct("first", "id").alias(f"at_{x}"), F.col("words").alias(f"words_{x}"))
-                for x in ("a", "b"))
-    met = pairs.join(one, "a").join(two, "b")
-    common = F.size(F.array_intersect("words_a", "words_b"))
-    similar = common * share[1] >= (F.size("words_a") + F.size("words_b") - common) * share[0]
-    return met.filter(similar).select(F.greatest("at_a", "at_b")["id"].alias("later"), F.least("at_a", "at_b")["id"].alias("earlier"))
+    """(later, earlier): those of the pairs (a, b) whose words are as similar as asked, by place.
+
+    Lines are put in the order of the least line they may resemble, which brings groups together, and cut into blocks. A
+    line goes to each cell of two blocks that has a pair of it, once and not for every pair.
+    """
+    ends = F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")), F.struct(F.col("b").alias("id"), F.col("a").alias("other")))
+    near = pairs.select(F.inline(ends)).groupBy("id").agg(F.least(F.min("other"), "id").alias("near"))
+    order = ordered_index(near, F.col("near"), F.col("id")).select("id", F.floor(F.col("index") / LINES).alias("block"))
+    blocks = bounded_broadcast(written(order, "blocks"))
+    one, two = (blocks.select(F.col("id").alias(x), F.col("block").alias(f"block_{x}")) for x in ("a", "b"))
+    cell = F.shiftleft(F.least("block_a", "block_b"), 32) + F.greatest("block_a", "block_b")
+    placed = written(pairs.join(one, "a").join(two, "b").select(cell.alias("cell"), "a", "b"), "cells")
+    wanted = placed.select("cell", F.explode(F.array("a", "b")).alias("id")).distinct()
+    held = wanted.join(lines, "id").select("cell", F.lit(0).alias("side"), "id", "first.*", "words")
+    met = held.unionByName(placed.withColumn("side", F.lit(1)), allowMissingColumns=True)
+
+    def similar(lines: list[pa.RecordBatch], pairs: pa.RecordBatch) -> pa.RecordBatch:
+        id_, later, bits, sizes = cell_words(lines)
+        a, b = (np.searchsorted(id_, pairs.column(c).to_numpy()) for c in ("a", "b"))
+        common = np.empty(len(a), dtype=np.int64)
+        step = max(1, (1 << 20) // max(1, bits.shape[1]))
+        for low in range(0, len(a), step):
+            x, y = a[low: low + step], b[low: low + step]
+            common[low: low + step] = np.bitwise_count(bits[x] & bits[y]).sum(axis=1, dtype=np.int64)
+        kept = common * share[1] >= (sizes[a] + sizes[b] - common) * share[0]
+        a, b = a[kept], b[kept]
+        turned = later[a] > later[b]
+        return pa.RecordBatch.from_arrays([pa.array(id_[np.where(turned, a, b)]), pa.array(id_[np.where(turned, b, a)])], ["later", "earlier"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines: list[pa.RecordBatch] = []
+        closed = False  # the last cell has had pairs
+        for batch in batches:
+            cell, side = (batch.column(c).to_numpy() for c in ("cell", "side"))
+            code = cell * 2 + side
+            edges = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+            for low, high in zip(edges, np.append(edges[1:], len(code)), strict=True):
+                part = batch.slice(low, high - low)
+                if side[low]:
+                    yield similar(lines, part)
+                    closed = True
+                else:
+                    lines, closed = ([] if closed else lines) + [part], False
+
+    return met.repartition("cell").sortWithinPartitions("cell", "side").mapInArrow(run, "later long, earlier long")
+
+
+def cell_words(lines: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """By ascending id: ids, ranks by place, the words that several lines have as bits, and numbers of words."""
+    table = pa.Table.from_batches(lines)
+    table = table.take(pc.array_sort_indices(table.column("id").combine_chunks()))
+    id_, named = table.column("id").to_numpy(), table.column("unnamed").to_numpy()
+    doc_id = pc.fill_null(table.column("doc_id"), 0).to_numpy()
+    later = np.empty(len(id_), dtype=np.int64)
+    later[np.lexsort((id_, table.column("line").to_numpy(), table.column("text_key").to_numpy(), doc_id, named))] = np.arange(len(id_))
+    lists = table.column("words").combine_chunks()
+    sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    coded = lists.flatten().dictionary_encode().indices.to_numpy().astype(np.int64)
+    several = np.bincount(coded, minlength=1) > 1
+    place = np.cumsum(several) - 1
+    used = several[coded]
+    line, word = np.repeat(np.arange(len(id_)), sizes)[used], place[coded[used]]
+    bits = np.zeros((len(id_), -(-max(1, int(several.sum())) // 64)), dtype=np.uint64)
+    np.bitwise_or.at(bits, (line, word >> 6), np.uint64(1) << (word & 63).astype(np.uint64))
+    return id_, later, bits, sizes
 
 
 def settled(pairs: DataFrame, texts: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(later, earlier): those of the candidate pairs (a, b) that are similar, each once and by place."""
-    pairs = written(pairs.distinct(), "pairs")
+    """(later, earlier): those of the candidate pairs (a, b), each there once, that are similar, by place."""
+    pairs = written(pairs, "pairs")
     named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = sets.join(named, "id", "left_semi").select("id", "first.doc_id", "first.text_key", "first.line")
     return verified(pairs, line_words(texts, wanted), share)
 
 
 def pairs_of_words(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(a, b): pairs of sets that share a word and may be similar; the rows of every word lie together and are few."""
+    """(a, b): pairs of sets that may be similar; the rows of a word's cell lie together and are few.
+
+    Similar sets of sizes m and n with o common words have the first k of them, of any k up to o, among their first
+    m - o + k and n - o + k words. So a pair that meets at less than k such words is none.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([held, table]) if held is not None else table
-            words = table.column("word").to_numpy()
-            # The last word may go on in the next batch.
-            cut = int(np.searchsorted(words, words[-1])) if len(words) else 0
-            held = table.slice(cut)
-            yield from may_be_similar(table.slice(0, cut))
-        if held is not None:
-            yield from may_be_similar(held)
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= ROWS:
+                table = pa.Table.from_batches(held)
+                word, cell = table.column("word").to_numpy(), table.column("cell").to_numpy()
+                # The last cell may go on in the next batch.
+                other = np.flatnonzero((word != word[-1]) | (cell != cell[-1]))
+                cut = int(other[-1]) + 1 if len(other) else 0
+                yield from may_be_similar(table.slice(0, cut))
+                held = table.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield from may_be_similar(pa.Table.from_batches(held))
 
     def may_be_similar(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        word, id_, bits, ni = (table.column(c).to_numpy() for c in ("word", "id", "bits", "ni"))
+        word, cell, own, id_, bits, ni = (table.column(c).to_numpy() for c in ("word", "cell", "own", "id", "bits", "ni"))
         size, place = ni >> 32, ni & 0xFFFFFFFF
-        left, apart = np.arange(len(word)), 0
-        while len(left):  # rows one, two, three … places apart within their word
-            apart += 1
-            left = left[left + apart < len(word)]
-            left = left[word[left] == word[left + apart]]
-            right = left + apart
+        if not len(word):
+            return
+        new = np.concatenate([[True], (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])])
+        group = np.cumsum(new) << 32
+        # Sizes ascend within a cell: each row meets those that follow, as far as they are not too large for it.
+        counts = np.searchsorted(group | size, group | size * share[1] // share[0], side="right") - np.arange(len(size)) - 1
+        ends = np.cumsum(counts)
+        low = 0
+        while low < len(counts):
+            done = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, done + PAIRS, side="right")))
+            left = np.repeat(np.arange(low, high), counts[low:high])
+            right = left + 1 + np.arange(len(left)) - np.repeat(ends[low:high] - counts[low:high] - done, counts[low:high])
+            low = high
             total = size[left] + size[right]
             least = -(-total * share[0] // (share[0] + share[1]))
-            near = np.minimum(size[left], size[right]) * share[1] >= np.maximum(size[left], size[right]) * share[0]
-            near &= (place[left] <= size[left] - least) & (place[right] <= size[right] - least)
+            further = size[left] // MORE  # sizes ascend, so of the smaller set
+            near = (place[left] <= size[left] - least + further) & (place[right] <= size[right] - least + further)
             x, y, most = left[near], right[near], (total - 2 * least)[near]
             close = np.bitwise_count(bits[x].view(np.uint64) ^ bits[y].view(np.uint64)) <= most
-            a, b = id_[x[close]], id_[y[close]]
+            # A cell of two blocks has the pairs between them; a set that meets itself is no pair.
+            close &= ((cell[x] <= 0) | (own[x] != own[y])) & (id_[x] != id_[y])
+            a, b, needed = id_[x[close]], id_[y[close]], further[near][close] + 1
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    return rows.repartition("word").sortWithinPartitions("word").mapInArrow(run, "a long, b long")
-
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(needed)], ["a", "b", "needed"])
 
-def candidates(left: DataFrame, right: DataFrame, share: tuple[int, int], which: Column) -> DataFrame:
-    """(a, b): pairs of sets that share a word of their prefixes and may be similar."""
-    met = left.alias("x").join(right.alias("y"), (F.col("x.word") == F.col("y.word")) & which & alike("x", "y", share))
-    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    met = rows.repartition("word", "cell").sortWithinPartitions("word", "cell", "ni")
+    shared = met.mapInArrow(run, "a long, b long, needed long").groupBy("a", "b").agg(F.count("*").alias("n"), F.max("needed").alias("needed"))
+    return shared.filter("n >= needed").select("a", "b")
 
 
 def links(texts: DataFrame, sets: DataFrame, share: tuple[int, int], crowd: int) -> DataFrame:
@@ -239,16 +301,14 @@ def links(texts: DataFrame, sets: DataFrame, share: tuple[int, int], crowd: int)
     crowded = written(rows.groupBy("word").count().filter(F.col("count") > crowd), "crowded")
     # Words in more than ``crowd`` prefixes: at most one for every ``crowd`` rows.
     listed = bounded_broadcast(crowded)
-    usual = rows.join(listed, "word", "left_anti")
-    pairs = pairs_of_words(usual, share)
-    if not crowded.isEmpty():
-        # The root of the size in blocks: each row is in as many cells of each side, and cells grow with the root.
-        blocks = F.ceil(F.sqrt(F.col("count") / crowd)).cast("int")
-        busy = rows.join(listed, "word").withColumns({
-            "own": F.pmod(F.xxhash64("id"), blocks).cast("int"), "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
-        cell = (F.col("x.own") == F.col("y.other")) & (F.col("x.other") == F.col("y.own"))
-        pairs = pairs.unionByName(candidates(busy, busy, share, cell & (F.col("x.id") < F.col("y.id"))))
-    return settled(pairs, texts, sets, share)
+    # The root of the size in blocks: each row is in as many cells, and cells grow with the root.
+    blocks = F.coalesce(F.ceil(F.sqrt(F.col("count") / crowd)).cast("int"), F.lit(1))
+    dealt = rows.join(listed, "word", "left").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    each = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # A block alone, told from others by a negative number, or 0 where there is one; or two of them.
+    pair = F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")
+    cell = F.when(F.col("blocks") == 1, 0).when(F.col("own") == F.col("other"), -1 - F.col("own")).otherwise(pair)
+    return settled(pairs_of_words(each.select("word", cell.cast("long").alias("cell"), "own", "id", "bits", "ni"), share), texts, sets, share)
 
 
 def deduplicate(docs: DataFrame, share: tuple[int, int] = SHARE, id_column: str = "doc_id", text_column: str = "text",
