@@ -82,7 +82,12 @@ def line_sets(raw: np.ndarray, offsets: np.ndarray, ranks: np.ndarray, share: tu
     rest = np.uint64(64 - RARITY_BITS)
     word = ranks[(hashes >> rest).astype(np.int64)] << rest | hashes & ((np.uint64(1) << rest) - np.uint64(1))
     where = line + text  # different for lines of different texts, ascending
-    order = np.lexsort((word, where))
+    # The line and the leading bits of the word in one number; where words differ in later bits only, both are sorted.
+    bits = int(where[-1]).bit_length()
+    key = where.astype(np.uint64) << np.uint64(64 - bits) | word >> np.uint64(bits) if bits else word
+    order = np.argsort(key)
+    if np.any((key[order[1:]] == key[order[:-1]]) & (word[order[1:]] != word[order[:-1]])):
+        order = np.lexsort((word, where))
     word, where, text, line = word[order], where[order], text[order], line[order]
     new = np.ones(len(word), dtype=bool)
     new[1:] = (word[1:] != word[:-1]) | (where[1:] != where[:-1])
@@ -139,8 +144,8 @@ def lines_of(texts: DataFrame, share: tuple[int, int]) -> DataFrame:
 
 def prefixes(sets: DataFrame) -> DataFrame:
     """(id, bits, word, ni): the words that lead each set; set size and place share one number."""
-    led = F.transform("prefix", lambda w, i: F.struct(w.alias("word"), (F.col("n").cast("long") * (1 << 32) + i).alias("ni")))
-    return sets.select("id", "bits", F.inline_outer(led))
+    place = sets.select("id", "bits", "n", F.posexplode("prefix").alias("place", "word"))
+    return place.select("id", "bits", "word", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("place")).alias("ni"))
 
 
 def distinct_words(line: Column) -> Column:
@@ -163,20 +168,19 @@ def line_words(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return written(each.select("id", place.alias("first"), distinct_words(F.col("content")).alias("words")), "line-words")
 
 
-def verified(pairs: DataFrame, lines: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(later, earlier): those of the pairs (a, b) whose words are as similar as asked, by place.
+def verified(pairs: DataFrame, near: DataFrame, lines: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(id, links, goes): by the pairs (a, b) whose words are as similar as asked, how many a line has and whether one is
+    with an earlier line. Pairs are counted where their words are compared.
 
     Lines are put in the order of the least line they may resemble, which brings groups together, and cut into blocks. A
     line goes to each cell of two blocks that has a pair of it, once and not for every pair.
     """
-    ends = F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")), F.struct(F.col("b").alias("id"), F.col("a").alias("other")))
-    near = pairs.select(F.inline(ends)).groupBy("id").agg(F.least(F.min("other"), "id").alias("near"))
     order = ordered_index(near, F.col("near"), F.col("id")).select("id", F.floor(F.col("index") / LINES).alias("block"))
     blocks = bounded_broadcast(written(order, "blocks"))
     one, two = (blocks.select(F.col("id").alias(x), F.col("block").alias(f"block_{x}")) for x in ("a", "b"))
     cell = F.shiftleft(F.least("block_a", "block_b"), 32) + F.greatest("block_a", "block_b")
     placed = written(pairs.join(one, "a").join(two, "b").select(cell.alias("cell"), "a", "b"), "cells")
-    wanted = placed.select("cell", F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = ends_of(placed, "cell").select("cell", "id").distinct()
     held = wanted.join(lines, "id").select("cell", F.lit(0).alias("side"), "id", "first.*", "words")
     met = held.unionByName(placed.withColumn("side", F.lit(1)), allowMissingColumns=True)
 
@@ -190,8 +194,11 @@ def verified(pairs: DataFrame, lines: DataFrame, share: tuple[int, int]) -> Data
             common[low: low + step] = np.bitwise_count(bits[x] & bits[y]).sum(axis=1, dtype=np.int64)
         kept = common * share[1] >= (sizes[a] + sizes[b] - common) * share[0]
         a, b = a[kept], b[kept]
-        turned = later[a] > later[b]
-        return pa.RecordBatch.from_arrays([pa.array(id_[np.where(turned, a, b)]), pa.array(id_[np.where(turned, b, a)])], ["later", "earlier"])
+        n = np.bincount(np.concatenate([a, b]), minlength=len(id_))
+        goes = np.zeros(len(id_), dtype=bool)
+        goes[np.where(later[a] > later[b], a, b)] = True
+        at = np.flatnonzero(n)
+        return pa.RecordBatch.from_arrays([pa.array(id_[at]), pa.array(n[at]), pa.array(goes[at])], ["id", "links", "goes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines: list[pa.RecordBatch] = []
@@ -208,7 +215,35 @@ def verified(pairs: DataFrame, lines: DataFrame, share: tuple[int, int]) -> Data
                 else:
                     lines, closed = ([] if closed else lines) + [part], False
 
-    return met.repartition("cell").sortWithinPartitions("cell", "side").mapInArrow(run, "later long, earlier long")
+    return met.repartition("cell").sortWithinPartitions("cell", "side").mapInArrow(
+        run, "id long, links long, goes boolean").groupBy("id").agg(F.sum("links").alias("links"), F.max("goes").alias("goes"))
+
+
+def ends_of(pairs: DataFrame, cell: str) -> DataFrame:
+    """(cell, id, near): the sets of each cell's pairs, and the least set among one and those it is paired with; once for
+    up to ``PAIRS`` pairs of a task."""
+    def gathered(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        where, a, b = (np.concatenate([x.column(c).to_numpy() for x in held]) for c in (cell, "a", "b"))
+        where, id_, near = np.tile(where, 2), np.concatenate([a, b]), np.tile(np.minimum(a, b), 2)
+        order = np.lexsort((near, id_, where))
+        where, id_, near = where[order], id_[order], near[order]
+        first = np.ones(len(id_), dtype=bool)
+        first[1:] = (id_[1:] != id_[:-1]) | (where[1:] != where[:-1])
+        return pa.RecordBatch.from_arrays([pa.array(x[first]) for x in (where, id_, near)], ["cell", "id", "near"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        n = 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= PAIRS:
+                yield gathered(held)
+                held, n = [], 0
+        if held:
+            yield gathered(held)
+
+    return pairs.select(cell, "a", "b").mapInArrow(run, "cell long, id long, near long")
 
 
 def cell_words(lines: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -232,15 +267,17 @@ def cell_words(lines: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def settled(pairs: DataFrame, texts: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(later, earlier): those of the candidate pairs (a, b), each there once, that are similar, by place."""
+    """(id, links, goes) by those of the candidate pairs (a, b), each there once, that are similar."""
     pairs = written(pairs, "pairs")
-    named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = sets.join(named, "id", "left_semi").select("id", "first.doc_id", "first.text_key", "first.line")
-    return verified(pairs, line_words(texts, wanted), share)
+    near = written(ends_of(pairs.withColumn("cell", F.lit(0).cast("long")), "cell").groupBy("id").agg(F.min("near").alias("near")), "near")
+    wanted = sets.join(near, "id", "left_semi").select("id", "first.doc_id", "first.text_key", "first.line")
+    return verified(pairs, near, line_words(texts, wanted), share)
 
 
 def pairs_of_words(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(a, b): pairs of sets that may be similar; the rows of a word's cell lie together and are few.
+    """(a, b): pairs of sets that may be similar; the rows of a word's cell have one ``key`` and are few.
+
+    Where ``own`` is not -1 a cell has the pairs of sets that differ in it.
 
     Similar sets of sizes m and n with o common words have the first k of them, of any k up to o, among their first
     m - o + k and n - o + k words. So a pair that meets at less than k such words is none.
@@ -251,9 +288,9 @@ def pairs_of_words(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
             held.append(batch)
             if sum(b.num_rows for b in held) >= ROWS:
                 table = pa.Table.from_batches(held)
-                word, cell = table.column("word").to_numpy(), table.column("cell").to_numpy()
+                key = table.column("key").to_numpy()
                 # The last cell may go on in the next batch.
-                other = np.flatnonzero((word != word[-1]) | (cell != cell[-1]))
+                other = np.flatnonzero(key != key[-1])
                 cut = int(other[-1]) + 1 if len(other) else 0
                 yield from may_be_similar(table.slice(0, cut))
                 held = table.slice(cut).combine_chunks().to_batches()
@@ -261,12 +298,13 @@ def pairs_of_words(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
             yield from may_be_similar(pa.Table.from_batches(held))
 
     def may_be_similar(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        word, cell, own, id_, bits, ni = (table.column(c).to_numpy() for c in ("word", "cell", "own", "id", "bits", "ni"))
-        size, place = ni >> 32, ni & 0xFFFFFFFF
-        if not len(word):
+        key, own, id_, bits, ni = (table.column(c).to_numpy() for c in ("key", "own", "id", "bits", "ni"))
+        if not len(key):
             return
-        new = np.concatenate([[True], (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])])
-        group = np.cumsum(new) << 32
+        group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) << 32
+        order = np.argsort(group | ni >> 32)
+        own, id_, bits, ni = own[order], id_[order], bits[order], ni[order]  # groups stay where they are
+        size, place = ni >> 32, ni & 0xFFFFFFFF
         # Sizes ascend within a cell: each row meets those that follow, as far as they are not too large for it.
         counts = np.searchsorted(group | size, group | size * share[1] // share[0], side="right") - np.arange(len(size)) - 1
         ends = np.cumsum(counts)
@@ -283,32 +321,35 @@ def pairs_of_words(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
             near = (place[left] <= size[left] - least + further) & (place[right] <= size[right] - least + further)
             x, y, most = left[near], right[near], (total - 2 * least)[near]
             close = np.bitwise_count(bits[x].view(np.uint64) ^ bits[y].view(np.uint64)) <= most
-            # A cell of two blocks has the pairs between them; a set that meets itself is no pair.
-            close &= ((cell[x] <= 0) | (own[x] != own[y])) & (id_[x] != id_[y])
+            # A set that meets itself is no pair.
+            close &= ((own[x] == -1) | (own[x] != own[y])) & (id_[x] != id_[y])
             a, b, needed = id_[x[close]], id_[y[close]], further[near][close] + 1
             if len(a):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(needed)], ["a", "b", "needed"])
 
-    met = rows.repartition("word", "cell").sortWithinPartitions("word", "cell", "ni")
+    met = rows.select("key", "own", "id", "bits", "ni").repartition("key").sortWithinPartitions("key")
     shared = met.mapInArrow(run, "a long, b long, needed long").groupBy("a", "b").agg(F.count("*").alias("n"), F.max("needed").alias("needed"))
     return shared.filter("n >= needed").select("a", "b")
 
 
 def links(texts: DataFrame, sets: DataFrame, share: tuple[int, int], crowd: int) -> DataFrame:
-    """(later, earlier): all pairs of different sets that are similar."""
+    """(id, links, goes): for the sets that are similar to others, to how many, and whether to an earlier one."""
     rows = prefixes(sets)
-    crowded = written(rows.groupBy("word").count().filter(F.col("count") > crowd), "crowded")
+    counts = sets.select(F.explode("prefix").alias("word")).groupBy("word").count()
+    crowded = written(counts.filter(F.col("count") > crowd), "crowded")
     # Words in more than ``crowd`` prefixes: at most one for every ``crowd`` rows.
     listed = bounded_broadcast(crowded)
-    # The root of the size in blocks: each row is in as many cells, and cells grow with the root.
-    blocks = F.coalesce(F.ceil(F.sqrt(F.col("count") / crowd)).cast("int"), F.lit(1))
-    dealt = rows.join(listed, "word", "left").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    usual = rows.join(listed, "word", "left_anti").select(F.col("word").cast("long").alias("key"), F.lit(-1).alias("own"), "id", "bits", "ni")
+    if crowded.isEmpty():
+        return settled(pairs_of_words(usual, share), texts, sets, share)
+    # The root of the size in blocks: each row is in as many cells, of its block alone or of two, and cells grow with the root.
+    blocks = F.ceil(F.sqrt(F.col("count") / crowd)).cast("int")
+    dealt = rows.join(listed, "word").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     each = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # A block alone, told from others by a negative number, or 0 where there is one; or two of them.
-    pair = F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")
-    cell = F.when(F.col("blocks") == 1, 0).when(F.col("own") == F.col("other"), -1 - F.col("own")).otherwise(pair)
-    return settled(pairs_of_words(each.select("word", cell.cast("long").alias("cell"), "own", "id", "bits", "ni"), share), texts, sets, share)
+    busy = each.select(F.xxhash64("word", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
+                       F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("own"), "id", "bits", "ni")
+    return settled(pairs_of_words(usual.unionByName(busy), share), texts, sets, share)
 
 
 def deduplicate(docs: DataFrame, share: tuple[int, int] = SHARE, id_column: str = "doc_id", text_column: str = "text",
@@ -335,10 +376,7 @@ def deduplicate(docs: DataFrame, share: tuple[int, int] = SHARE, id_column: str
         F.min(place).alias("first"), F.count("*").alias("copies"),
         *[F.first(c).alias(c) for c in ("n", "bits", "prefix")],
     ).withColumn("id", F.monotonically_increasing_id()), "sets")
-    both = F.array(F.struct(F.col("later").alias("id"), F.lit(True).alias("goes")),
-                   F.struct(F.col("earlier").alias("id"), F.lit(False).alias("goes")))
-    ends = links(texts, sets, share, crowd).select(F.inline(both))
-    counted = written(ends.groupBy("id").agg(F.count("*").alias("links"), F.max("goes").alias("goes")), "counted")
+    counted = written(links(texts, sets, share, crowd), "counted")
     marks = sets.select("id", "set", "first", "copies").join(counted, "id", "left").filter("copies > 1 OR links > 0").drop("id")
     marked = worded.select("doc_id", "text_key", "line", "set").join(marks, "set")
     goes = F.coalesce("goes", F.lit(False)) | (place != F.col("first"))
