@@ -138,3 +138,11 @@ def test_long_lines_meet_only_where_they_share_enough_rare_words(spark, monkeypa
     linked = line_dedup.links(texts, sets, line_dedup.SHARE, 3).collect()
     expected = {i: (sum(i in pair for pair in similar), any(i == b for _, b in similar)) for pair in similar for i in pair}
     assert {r.id: (r.links, r.goes) for r in linked} == expected
+
+
+def test_a_set_never_meets_itself(spark):
+    """Two words of a set may have one 32-bit number."""
+    rows = [(1, 0, [5, 5, 7]), (2, 0, [9]), (3, 0, [9])]
+    sets = spark.createDataFrame([(i, bits, 10, prefix) for i, bits, prefix in rows], "id long, bits long, n int, prefix array<int>")
+    met = line_dedup.prefixes(sets).withColumns({"key": F.col("word").cast("long"), "own": F.lit(-1)})
+    assert [tuple(r) for r in line_dedup.pairs_of_words(met, line_dedup.SHARE).collect()] == [(2, 3)]
