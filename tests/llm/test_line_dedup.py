@@ -146,3 +146,21 @@ def test_a_set_never_meets_itself(spark):
     sets = spark.createDataFrame([(i, bits, 10, prefix) for i, bits, prefix in rows], "id long, bits long, n int, prefix array<int>")
     met = line_dedup.prefixes(sets).withColumns({"key": F.col("word").cast("long"), "own": F.lit(-1)})
     assert [tuple(r) for r in line_dedup.pairs_of_words(met, line_dedup.SHARE).collect()] == [(2, 3)]
+
+
+def test_no_row_for_a_pair_of_near_copies(spark, monkeypatch):
+    """Every table written on the way has some rows for a line, also where all lines resemble each other."""
+    base = [f"base{k}" for k in range(30)]
+    rows = [(i, " ".join([*base[:i % 31], f"own{i}", *base[i % 31:]])) for i in range(400)]
+    counts, write = {}, line_dedup.written
+
+    def counting(df, name):
+        table = write(df, name)
+        counts[name] = table.count()
+        return table
+
+    monkeypatch.setattr(line_dedup, "written", counting)
+    monkeypatch.setattr(line_dedup, "LINES", 64)
+    found = line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), crowd=100).collect()
+    assert {x.links for r in found for x in r.line_classes} == {399} and sum(r.n_removed for r in found) == 399
+    assert max(counts.values()) <= 40 * len(rows)

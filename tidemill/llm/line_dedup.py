@@ -14,6 +14,7 @@ for any earlier match, and the links of each class of equal sets are counted.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,44 +22,72 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import (BROADCAST_LIMIT, ascii_lower, bounded_broadcast, documents_of, identified, mixed,
+from tidemill.llm.common import (ARROW_ROWS, BROADCAST_LIMIT, bounded_broadcast, documents_of, identified, mixed,
                                  slices, text_bytes, word_spans)
 from tidemill.operators.windows import ordered_index
 from tidemill.session import written
 
 SHARE = (4, 5)  # least Jaccard similarity, as a fraction
 RARITY_BITS = 18  # words are counted by so many bits of their hashes
+COUNTS = 1 << 10  # of them are a row of what a task has counted
+CROWD_BITS = 20  # words of prefixes are counted by so many of theirs
 CROWD = 2048  # sets that share one word of their prefixes
 MORE = 32  # words of a set for each further word that its prefix shares with a similar one's
+NUMBERS = 10_000  # rows of an Arrow batch of numbers, which are short
 ROWS = 1 << 16  # prefix rows looked at once
 PAIRS = 1 << 20  # pairs of them
 LINES = 512  # lines of a block whose words are compared
 STEP = 2 << 20
 BLOCK = 1 << 18
-WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+PARTS = "part int, counts binary"
+
+
+def parts_of(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What a task has counted, ``COUNTS`` numbers a row."""
+    parts = counts.reshape(-1, COUNTS)
+    at = np.flatnonzero(parts.any(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([parts[i].tobytes() for i in at], pa.binary())], ["part", "counts"])
+
+
+def added_up(parts: DataFrame, bits: int) -> np.ndarray:
+    """The sums of all tasks' counts, of which there are 2^bits."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                total[part] = total.get(part, 0) + np.frombuffer(counts, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
+                                         ["part", "counts"])
+
+    counts = np.zeros(1 << bits, dtype=np.int64).reshape(-1, COUNTS)
+    for r in parts.repartition("part").mapInArrow(run, PARTS).collect():
+        counts[r["part"]] = np.frombuffer(r["counts"], np.int64)
+    return counts.ravel()
+
+
 def rarity_ranks(texts: DataFrame) -> np.ndarray:
     """For each hash prefix its rank by how often its words occur in all texts.
 
     The collected counts are bounded by ``RARITY_BITS``. Any order of words gives the same result; a good one makes the
     prefixes selective.
     """
+    rest = np.uint64(64 - RARITY_BITS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << RARITY_BITS, dtype=np.int64)
         for batch in slices(batches, "text", STEP):
             raw, offsets = text_bytes(batch.column("text"))
-            for _, _, _, hashes in word_spans(LOWER[raw], offsets, BLOCK):
-                counts += np.bincount((hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=len(counts))
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["bucket", "n"])
-
-    found = texts.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(1 << RARITY_BITS, dtype=np.int64)
-    counts[found["bucket"].to_numpy(dtype=np.int64)] = found["n"]
+            hashes = [h for _, _, _, h in word_spans(LOWER[raw], offsets, BLOCK)]
+            if hashes:
+                counts += np.bincount((np.concatenate(hashes) >> rest).astype(np.int64), minlength=len(counts))
+        yield from parts_of(counts)
+
+    counts = added_up(texts.select("text").mapInArrow(run, PARTS), RARITY_BITS)
     ranks = np.empty(len(counts), dtype=np.uint64)
     ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
     return ranks
@@ -142,214 +171,338 @@ def lines_of(texts: DataFrame, share: tuple[int, int]) -> DataFrame:
     return texts.mapInArrow(run, LINE)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for what is run inside."""
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
 def prefixes(sets: DataFrame) -> DataFrame:
     """(id, bits, word, ni): the words that lead each set; set size and place share one number."""
     place = sets.select("id", "bits", "n", F.posexplode("prefix").alias("place", "word"))
     return place.select("id", "bits", "word", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("place")).alias("ni"))
 
 
-def distinct_words(line: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(ascii_lower(line), WHITE_SPACE), ""))
+def place_of() -> Column:
+    """Where a line stands, in the order of lines."""
+    return F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "line")
 
 
-def line_words(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, first, words), written: the place and the words of the lines that stand for the wanted sets."""
-    per_text = written(wanted.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("line", "id")).alias("cuts")), "cuts")
-    entries = per_text.agg(F.sum(F.size("cuts"))).first()[0] or 0
-    # An entry has 16 bytes; beyond the limit texts and cuts are shuffled by text.
-    held = F.broadcast(per_text) if entries <= 5 * BROADCAST_LIMIT else per_text
+def line_contents(texts: DataFrame, placed: DataFrame) -> DataFrame:
+    """(cell, side, id, first, content): the place and the text of the line that stands for a set, once for each of its
+    cells; ``side`` tells the lines of the second block."""
+    cut = F.struct("line", "id", "block", "others")
+    per_text = written(placed.groupBy("doc_id", "text_key").agg(F.collect_list(cut).alias("cuts")), "cuts")
+    entries = per_text.agg(F.sum(F.aggregate("cuts", F.lit(0), lambda n, c: n + 2 + F.size(c["others"])))).first()[0] or 0
+    # An entry has some 16 bytes; beyond the limit texts and cuts are shuffled by text.
+    held = F.broadcast(per_text) if entries <= 10 * BROADCAST_LIMIT else per_text
     held = held.withColumnsRenamed({"doc_id": "doc_id__", "text_key": "text_key__"})
     same = F.col("doc_id").eqNullSafe(F.col("doc_id__")) & (F.col("text_key") == F.col("text_key__"))
     lines = texts.join(held, same).select("doc_id", "text_key", "cuts", F.split("text", "\n").alias("lines"))
-    each = lines.select("doc_id", "text_key", F.transform("cuts", lambda c: F.struct(
-        c["id"].alias("id"), c["line"].alias("line"), F.element_at("lines", c["line"] + 1).alias("content"))).alias("cuts"))
-    each = each.select("doc_id", "text_key", F.inline_outer("cuts")).dropDuplicates(["id"])
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "line")
-    return written(each.select("id", place.alias("first"), distinct_words(F.col("content")).alias("words")), "line-words")
+    each = lines.select("doc_id", "text_key", F.transform("cuts", lambda c: c.withField("content", F.element_at("lines", c["line"] + 1))).alias("cuts"))
+    each = each.select("doc_id", "text_key", F.inline_outer("cuts"))
+    dealt = each.select("id", place_of().alias("first"), "content", "block", F.explode_outer("others").alias("other"))
+    cell = F.shiftleft(F.least("block", F.col("other").cast("long")), 32) + F.greatest("block", F.col("other").cast("long"))
+    return dealt.select(cell.alias("cell"), (F.col("block") > F.col("other")).alias("side"), "id", "first", "content")
 
 
-def verified(pairs: DataFrame, near: DataFrame, lines: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(id, links, goes): by the pairs (a, b) whose words are as similar as asked, how many a line has and whether one is
-    with an earlier line. Pairs are counted where their words are compared.
+def verified(lines: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(id, links, goes): by the pairs in the cells whose words are as similar as asked, how many a line has and whether one
+    is with an earlier line.
 
-    Lines are put in the order of the least line they may resemble, which brings groups together, and cut into blocks. A
-    line goes to each cell of two blocks that has a pair of it, once and not for every pair.
+    A cell holds lines of two blocks, and every line of one meets every line of the other
+    in the task; a cell of one block has the pairs of its lines. A pair is in one cell, and no row is written for it.
     """
-    order = ordered_index(near, F.col("near"), F.col("id")).select("id", F.floor(F.col("index") / LINES).alias("block"))
-    blocks = bounded_broadcast(written(order, "blocks"))
-    one, two = (blocks.select(F.col("id").alias(x), F.col("block").alias(f"block_{x}")) for x in ("a", "b"))
-    cell = F.shiftleft(F.least("block_a", "block_b"), 32) + F.greatest("block_a", "block_b")
-    placed = written(pairs.join(one, "a").join(two, "b").select(cell.alias("cell"), "a", "b"), "cells")
-    wanted = ends_of(placed, "cell").select("cell", "id").distinct()
-    held = wanted.join(lines, "id").select("cell", F.lit(0).alias("side"), "id", "first.*", "words")
-    met = held.unionByName(placed.withColumn("side", F.lit(1)), allowMissingColumns=True)
-
-    def similar(lines: list[pa.RecordBatch], pairs: pa.RecordBatch) -> pa.RecordBatch:
-        id_, later, bits, sizes = cell_words(lines)
-        a, b = (np.searchsorted(id_, pairs.column(c).to_numpy()) for c in ("a", "b"))
-        common = np.empty(len(a), dtype=np.int64)
-        step = max(1, (1 << 20) // max(1, bits.shape[1]))
-        for low in range(0, len(a), step):
-            x, y = a[low: low + step], b[low: low + step]
-            common[low: low + step] = np.bitwise_count(bits[x] & bits[y]).sum(axis=1, dtype=np.int64)
-        kept = common * share[1] >= (sizes[a] + sizes[b] - common) * share[0]
-        a, b = a[kept], b[kept]
-        n = np.bincount(np.concatenate([a, b]), minlength=len(id_))
-        goes = np.zeros(len(id_), dtype=bool)
-        goes[np.where(later[a] > later[b], a, b)] = True
+    held = lines.select("cell", "side", "id", "first.*", "content")
+
+    def similar(table: pa.Table) -> pa.RecordBatch:
+        id_, later, bits, sizes = cell_words(table)
+        cell, side = (table.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "side"))
+        at = np.arange(len(cell))
+        edge = np.concatenate([[True], cell[1:] != cell[:-1]])
+        ends = np.append(np.flatnonzero(edge)[1:], len(cell))[np.cumsum(edge) - 1]
+        # The lines of the first block come first and meet those of the second, or those that follow where it is the same.
+        begins = np.where((cell >> 32) == (cell & 0xFFFFFFFF), at + 1, ends - np.bincount(np.cumsum(edge) - 1, side).astype(np.int64)[np.cumsum(edge) - 1])
+        counts = np.where(side, 0, ends - begins)
+        n, goes = np.zeros(len(cell), dtype=np.int64), np.zeros(len(cell), dtype=bool)
+        for x, y in followers(begins, counts, max(1, (1 << 20) // bits.shape[1])):
+            enough = np.minimum(sizes[x], sizes[y]) * share[1] >= np.maximum(sizes[x], sizes[y]) * share[0]
+            x, y = x[enough], y[enough]
+            common = np.bitwise_count(bits[x] & bits[y]).sum(axis=1, dtype=np.int64)
+            kept = common * share[1] >= (sizes[x] + sizes[y] - common) * share[0]
+            x, y = x[kept], y[kept]
+            n += np.bincount(np.concatenate([x, y]), minlength=len(n))
+            goes[np.where(later[x] > later[y], x, y)] = True
         at = np.flatnonzero(n)
         return pa.RecordBatch.from_arrays([pa.array(id_[at]), pa.array(n[at]), pa.array(goes[at])], ["id", "links", "goes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lines: list[pa.RecordBatch] = []
-        closed = False  # the last cell has had pairs
-        for batch in batches:
-            cell, side = (batch.column(c).to_numpy() for c in ("cell", "side"))
-            code = cell * 2 + side
-            edges = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-            for low, high in zip(edges, np.append(edges[1:], len(code)), strict=True):
-                part = batch.slice(low, high - low)
-                if side[low]:
-                    yield similar(lines, part)
-                    closed = True
-                else:
-                    lines, closed = ([] if closed else lines) + [part], False
-
-    return met.repartition("cell").sortWithinPartitions("cell", "side").mapInArrow(
-        run, "id long, links long, goes boolean").groupBy("id").agg(F.sum("links").alias("links"), F.max("goes").alias("goes"))
+        for table in whole_keys(batches, "cell", LINES):
+            yield similar(table)
 
+    return held.repartition("cell").sortWithinPartitions("cell", "side", "id").mapInArrow(
+        run, "id long, links long, goes boolean").groupBy("id").agg(F.sum("links").alias("links"), F.max("goes").alias("goes"))
 
-def ends_of(pairs: DataFrame, cell: str) -> DataFrame:
-    """(cell, id, near): the sets of each cell's pairs, and the least set among one and those it is paired with; once for
-    up to ``PAIRS`` pairs of a task."""
-    def gathered(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        where, a, b = (np.concatenate([x.column(c).to_numpy() for x in held]) for c in (cell, "a", "b"))
-        where, id_, near = np.tile(where, 2), np.concatenate([a, b]), np.tile(np.minimum(a, b), 2)
-        order = np.lexsort((near, id_, where))
-        where, id_, near = where[order], id_[order], near[order]
-        first = np.ones(len(id_), dtype=bool)
-        first[1:] = (id_[1:] != id_[:-1]) | (where[1:] != where[:-1])
-        return pa.RecordBatch.from_arrays([pa.array(x[first]) for x in (where, id_, near)], ["cell", "id", "near"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        n = 0
-        for batch in batches:
-            held.append(batch)
-            n += batch.num_rows
-            if n >= PAIRS:
-                yield gathered(held)
-                held, n = [], 0
-        if held:
-            yield gathered(held)
-
-    return pairs.select(cell, "a", "b").mapInArrow(run, "cell long, id long, near long")
+def followers(begins: np.ndarray, counts: np.ndarray, step: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of row numbers: each row with so many rows from its begin on; whole rows, about ``step`` pairs at once."""
+    ends = np.cumsum(counts)
+    low = 0
+    while low < len(counts):
+        done = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + step, side="right")))
+        left = np.repeat(np.arange(low, high), counts[low:high])
+        yield left, begins[left] + np.arange(len(left)) - np.repeat(ends[low:high] - counts[low:high] - done, counts[low:high])
+        low = high
+
+
+def whole_keys(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[pa.Table]:
+    """Tables of some ``rows`` rows with all rows of their keys, from batches in the order of the key."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            table = pa.Table.from_batches(held)
+            value = table.column(key).to_numpy()
+            # The last key may go on in the next batch.
+            other = np.flatnonzero(value != value[-1])
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield table.slice(0, cut).combine_chunks()
+                held = table.slice(cut).combine_chunks().to_batches()
+                n -= cut
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
-def cell_words(lines: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """By ascending id: ids, ranks by place, the words that several lines have as bits, and numbers of words."""
-    table = pa.Table.from_batches(lines)
-    table = table.take(pc.array_sort_indices(table.column("id").combine_chunks()))
+def cell_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of lines: ids, ranks by place, the words that several lines have as bits, and numbers of words."""
     id_, named = table.column("id").to_numpy(), table.column("unnamed").to_numpy()
     doc_id = pc.fill_null(table.column("doc_id"), 0).to_numpy()
     later = np.empty(len(id_), dtype=np.int64)
     later[np.lexsort((id_, table.column("line").to_numpy(), table.column("text_key").to_numpy(), doc_id, named))] = np.arange(len(id_))
-    lists = table.column("words").combine_chunks()
-    sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
-    coded = lists.flatten().dictionary_encode().indices.to_numpy().astype(np.int64)
+    # The kernels for ASCII change A-Z alone, split at the six characters of white space and leave other bytes as they are.
+    # Lower-cased first: Arrow 23 takes wrong bytes for a slice that was cast before.
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(table.column("content")).cast(pa.large_string())).combine_chunks()
+    line, words = np.repeat(np.arange(len(id_)), pc.list_value_length(lists).to_numpy()), lists.flatten()
+    full = pc.binary_length(words).to_numpy() > 0
+    each = np.unique(line[full] << 32 | words.dictionary_encode().indices.to_numpy()[full])  # a word of a line once
+    line, coded = each >> 32, each & 0xFFFFFFFF
+    sizes = np.bincount(line, minlength=len(id_))
     several = np.bincount(coded, minlength=1) > 1
     place = np.cumsum(several) - 1
     used = several[coded]
-    line, word = np.repeat(np.arange(len(id_)), sizes)[used], place[coded[used]]
+    line, word = line[used], place[coded[used]]
     bits = np.zeros((len(id_), -(-max(1, int(several.sum())) // 64)), dtype=np.uint64)
     np.bitwise_or.at(bits, (line, word >> 6), np.uint64(1) << (word & 63).astype(np.uint64))
     return id_, later, bits, sizes
 
 
-def settled(pairs: DataFrame, texts: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(id, links, goes) by those of the candidate pairs (a, b), each there once, that are similar."""
-    pairs = written(pairs, "pairs")
-    near = written(ends_of(pairs.withColumn("cell", F.lit(0).cast("long")), "cell").groupBy("id").agg(F.min("near").alias("near")), "near")
-    wanted = sets.join(near, "id", "left_semi").select("id", "first.doc_id", "first.text_key", "first.line")
-    return verified(pairs, near, line_words(texts, wanted), share)
+def by_size(table: pa.Table) -> dict[str, np.ndarray]:
+    """The columns of whole cells, each cell by ascending size, and ``group``, which ascends from cell to cell."""
+    columns = {c: table.column(c).to_numpy() for c in table.column_names}
+    key = columns["key"]
+    group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) << 32
+    order = np.argsort(group | columns["ni"] >> 32)
+    return {c: x[order] for c, x in columns.items()} | {"group": group}  # groups stay where they are
 
 
-def pairs_of_words(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(a, b): pairs of sets that may be similar; the rows of a word's cell have one ``key`` and are few.
+def close_pairs(rows: dict[str, np.ndarray], share: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of the pairs of each cell that may be similar, up to some ``PAIRS`` compared at once.
 
     Where ``own`` is not -1 a cell has the pairs of sets that differ in it.
 
     Similar sets of sizes m and n with o common words have the first k of them, of any k up to o, among their first
-    m - o + k and n - o + k words. So a pair that meets at less than k such words is none.
+    m - o + k and n - o + k words.
+    """
+    own, id_, bits, group = (rows[c] for c in ("own", "id", "bits", "group"))
+    size, place = rows["ni"] >> 32, rows["ni"] & 0xFFFFFFFF
+    # Sizes ascend within a cell: each row meets those that follow, as far as they are not too large for it.
+    after = np.arange(len(size)) + 1
+    counts = np.searchsorted(group | size, group | size * share[1] // share[0], side="right") - after
+    for left, right in followers(after, counts, PAIRS):
+        total = size[left] + size[right]
+        least = -(-total * share[0] // (share[0] + share[1]))
+        further = size[left] // MORE  # sizes ascend, so of the smaller set
+        near = (place[left] <= size[left] - least + further) & (place[right] <= size[right] - least + further)
+        x, y, most = left[near], right[near], (total - 2 * least)[near]
+        close = np.bitwise_count(bits[x].view(np.uint64) ^ bits[y].view(np.uint64)) <= most
+        # A set that meets itself is no pair.
+        close &= ((own[x] == -1) | (own[x] != own[y])) & (id_[x] != id_[y])
+        yield x[close], y[close]
+
+
+ROW = ["key", "own", "id", "bits", "ni"]
+
+
+def dealt_by_key(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select(*ROW, *more).repartition("key").sortWithinPartitions("key")
+
+
+def pairs_of_words(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(a, b): pairs of sets that may be similar; the rows of a word's cell have one ``key`` and are few.
+
+    A pair that meets at less words than the smaller set's size asks for is none. The pairs of a large group are very
+    many: ``links`` does its work without this table.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) >= ROWS:
-                table = pa.Table.from_batches(held)
-                key = table.column("key").to_numpy()
-                # The last cell may go on in the next batch.
-                other = np.flatnonzero(key != key[-1])
-                cut = int(other[-1]) + 1 if len(other) else 0
-                yield from may_be_similar(table.slice(0, cut))
-                held = table.slice(cut).combine_chunks().to_batches()
-        if held:
-            yield from may_be_similar(pa.Table.from_batches(held))
-
-    def may_be_similar(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, own, id_, bits, ni = (table.column(c).to_numpy() for c in ("key", "own", "id", "bits", "ni"))
-        if not len(key):
-            return
-        group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) << 32
-        order = np.argsort(group | ni >> 32)
-        own, id_, bits, ni = own[order], id_[order], bits[order], ni[order]  # groups stay where they are
-        size, place = ni >> 32, ni & 0xFFFFFFFF
-        # Sizes ascend within a cell: each row meets those that follow, as far as they are not too large for it.
-        counts = np.searchsorted(group | size, group | size * share[1] // share[0], side="right") - np.arange(len(size)) - 1
-        ends = np.cumsum(counts)
-        low = 0
-        while low < len(counts):
-            done = ends[low - 1] if low else 0
-            high = max(low + 1, int(np.searchsorted(ends, done + PAIRS, side="right")))
-            left = np.repeat(np.arange(low, high), counts[low:high])
-            right = left + 1 + np.arange(len(left)) - np.repeat(ends[low:high] - counts[low:high] - done, counts[low:high])
-            low = high
-            total = size[left] + size[right]
-            least = -(-total * share[0] // (share[0] + share[1]))
-            further = size[left] // MORE  # sizes ascend, so of the smaller set
-            near = (place[left] <= size[left] - least + further) & (place[right] <= size[right] - least + further)
-            x, y, most = left[near], right[near], (total - 2 * least)[near]
-            close = np.bitwise_count(bits[x].view(np.uint64) ^ bits[y].view(np.uint64)) <= most
-            # A set that meets itself is no pair.
-            close &= ((own[x] == -1) | (own[x] != own[y])) & (id_[x] != id_[y])
-            a, b, needed = id_[x[close]], id_[y[close]], further[near][close] + 1
-            if len(a):
+        for table in whole_keys(batches, "key", ROWS):
+            found = by_size(table)
+            id_, size = found["id"], found["ni"] >> 32
+            for x, y in close_pairs(found, share):
+                a, b, needed = id_[x], id_[y], size[x] // MORE + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(needed)], ["a", "b", "needed"])
 
-    met = rows.select("key", "own", "id", "bits", "ni").repartition("key").sortWithinPartitions("key")
-    shared = met.mapInArrow(run, "a long, b long, needed long").groupBy("a", "b").agg(F.count("*").alias("n"), F.max("needed").alias("needed"))
+    shared = dealt_by_key(rows).mapInArrow(run, "a long, b long, needed long").groupBy("a", "b").agg(
+        F.count("*").alias("n"), F.max("needed").alias("needed"))
     return shared.filter("n >= needed").select("a", "b")
 
 
+def needed_words(size: Column, share: tuple[int, int]) -> Column:
+    """At how many words a set meets each similar one at least; that one has ``share`` of its size or more."""
+    least = F.ceil(size * share[0] / share[1])
+    return F.floor(least / MORE) + 1
+
+
+def rows_that_meet(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The rows of words' cells that may be similar to another of their cell, with ``near``, the least set among them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_keys(batches, "key", ROWS):
+            found = by_size(table)
+            id_ = found["id"]
+            near = id_.copy()
+            met = np.zeros(len(id_), dtype=bool)
+            for x, y in close_pairs(found, share):
+                met[x] = met[y] = True
+                np.minimum.at(near, x, id_[y])
+                np.minimum.at(near, y, id_[x])
+            at = np.flatnonzero(met)
+            ni = found["ni"][at]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(x[at]) for x in (*(found[c] for c in ("key", "own", "id", "bits")), near)],
+                 pa.array((ni >> 32).astype(np.int32)), pa.array((ni & 0xFFFFFFFF).astype(np.int32))],
+                ["key", "own", "id", "bits", "near", "n", "place"])
+
+    return dealt_by_key(rows).mapInArrow(run, "key long, own int, id long, bits long, near long, n int, place int")
+
+
+def cells_of(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(id, block, others): each set's block and those with which it has a cell, its own among them where that has pairs.
+
+    A row of a word's cell says in which blocks there are sets that may be similar to it. A set goes where it has met
+    others at as many words as it needs.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_keys(batches, "key", ROWS):
+            found = by_size(table)
+            block = found["block"]
+            for x, y in close_pairs(found, share):
+                code = np.unique(np.concatenate([x << 32 | block[y], y << 32 | block[x]]))
+                row, other = code >> 32, code & 0xFFFFFFFF
+                first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else row
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(row)), pa.int32()), pa.array(other.astype(np.int32)))
+                row = row[first]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found["id"][row]), pa.array(block[row] << 32 | found["ni"][row] >> 32), lists], ["id", "block_n", "others"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_keys(batches, "id", ROWS):
+            id_, both = (table.column(c).to_numpy() for c in ("id", "block_n"))
+            block, n = both >> 32, both & 0xFFFFFFFF
+            first = np.flatnonzero(np.concatenate([[True], id_[1:] != id_[:-1]]))
+            lists = table.column("others").combine_chunks()
+            which = np.repeat(np.repeat(np.arange(len(first)), np.diff(np.append(first, len(id_)))), pc.list_value_length(lists).to_numpy())
+            code, words = np.unique(which << 32 | lists.flatten().to_numpy(), return_counts=True)
+            row, other = first[code >> 32], code & 0xFFFFFFFF
+            kept = words >= -(-n[row] * share[0] // share[1]) // MORE + 1
+            row, other = row[kept], other[kept]
+            first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else row
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(row)), pa.int32()), pa.array(other.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([pa.array(id_[row[first]]), pa.array(block[row[first]]), lists], ["id", "block", "others"])
+
+    met = dealt_by_key(rows, "block").mapInArrow(run, "id long, block_n long, others array<int>")
+    return met.repartition("id").sortWithinPartitions("id").mapInArrow(counted, "id long, block long, others array<int>")
+
+
+def settled(rows: DataFrame, texts: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(id, links, goes, set, first) by the rows of words' cells.
+
+    Sets are put in the order of the least set they may resemble, which brings groups together, and cut into blocks.
+    """
+    with batch_rows(texts.sparkSession, NUMBERS):
+        met = written(rows_that_meet(rows, share), "met")
+    each = met.groupBy("id").agg(F.min("near").alias("near"), F.count("*").alias("words"), *[F.first(c).alias(c) for c in ("n", "bits")])
+    near = written(each.filter(F.col("words") >= needed_words(F.col("n"), share)).drop("words"), "near")
+    order = ordered_index(near, F.col("near"), F.col("id")).select("id", "n", "bits", F.floor(F.col("index") / LINES).alias("block"))
+    blocks = written(order, "blocks")
+    rows = met.select("id", "key", "own", "place").join(blocks, "id").withColumn("ni", F.shiftleft(F.col("n").cast("long"), 32) + F.col("place"))
+    with batch_rows(texts.sparkSession, NUMBERS):
+        wanted = written(cells_of(rows, share), "cells")
+    places = sets.select("id", "set", "first.doc_id", "first.text_key", "first.line")
+    placed = written(places.join(wanted, "id"), "placed")
+    found = verified(line_contents(texts, placed), share)
+    return found.join(placed.select("id", "set", place_of().alias("first")), "id")
+
+
+def frequent_words(sets: DataFrame, crowd: int) -> DataFrame:
+    """(word): the words of prefixes, as often as they occur, but for most that occur ``crowd`` times at most.
+
+    Words are counted by ``CROWD_BITS`` bits first; a word cannot occur more often than all words with its bits.
+    """
+    bits = (1 << CROWD_BITS) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << CROWD_BITS, dtype=np.int64)
+        for batch in batches:
+            counts += np.bincount(batch.column("prefix").flatten().to_numpy() & bits, minlength=len(counts))
+        yield from parts_of(counts)
+
+    prefix = sets.select("prefix")
+    with batch_rows(sets.sparkSession, NUMBERS):
+        many = added_up(prefix.mapInArrow(run, PARTS), CROWD_BITS) > crowd
+    if not many.any():
+        return prefix.select(F.explode("prefix").alias("word")).limit(0)
+    shared = sets.sparkSession.sparkContext.broadcast(many)  # 2^20 bytes
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word = batch.column("prefix").flatten().to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(word[shared.value[word & bits]])], ["word"])
+
+    return prefix.mapInArrow(listed, "word int")
+
+
 def links(texts: DataFrame, sets: DataFrame, share: tuple[int, int], crowd: int) -> DataFrame:
-    """(id, links, goes): for the sets that are similar to others, to how many, and whether to an earlier one."""
+    """(id, links, goes): for the sets that are similar to others, to how many, and whether to an earlier one.
+
+    ``texts`` has each doc_id and text_key once.
+    """
     rows = prefixes(sets)
-    counts = sets.select(F.explode("prefix").alias("word")).groupBy("word").count()
+    counts = frequent_words(sets, crowd).groupBy("word").count()
     crowded = written(counts.filter(F.col("count") > crowd), "crowded")
+    if crowded.isEmpty():
+        usual = rows.select(F.col("word").cast("long").alias("key"), F.lit(-1).alias("own"), "id", "bits", "ni")
+        return settled(usual, texts, sets, share)
     # Words in more than ``crowd`` prefixes: at most one for every ``crowd`` rows.
     listed = bounded_broadcast(crowded)
     usual = rows.join(listed, "word", "left_anti").select(F.col("word").cast("long").alias("key"), F.lit(-1).alias("own"), "id", "bits", "ni")
-    if crowded.isEmpty():
-        return settled(pairs_of_words(usual, share), texts, sets, share)
     # The root of the size in blocks: each row is in as many cells, of its block alone or of two, and cells grow with the root.
     blocks = F.ceil(F.sqrt(F.col("count") / crowd)).cast("int")
     dealt = rows.join(listed, "word").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     each = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     busy = each.select(F.xxhash64("word", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
                        F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("own"), "id", "bits", "ni")
-    return settled(pairs_of_words(usual.unionByName(busy), share), texts, sets, share)
+    return settled(usual.unionByName(busy), texts, sets, share)
 
 
 def deduplicate(docs: DataFrame, share: tuple[int, int] = SHARE, id_column: str = "doc_id", text_column: str = "text",
@@ -371,13 +524,16 @@ def deduplicate(docs: DataFrame, share: tuple[int, int] = SHARE, id_column: str
     texts = identified(docs, id_column, text_column).withColumn("text_key", F.xxhash64("text"))
     lines = written(lines_of(texts, share), "lines")
     worded = lines.filter("line >= 0")
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "line")
+    place = place_of()
     sets = written(worded.groupBy("set").agg(
         F.min(place).alias("first"), F.count("*").alias("copies"),
         *[F.first(c).alias(c) for c in ("n", "bits", "prefix")],
     ).withColumn("id", F.monotonically_increasing_id()), "sets")
-    counted = written(links(texts, sets, share, crowd), "counted")
-    marks = sets.select("id", "set", "first", "copies").join(counted, "id", "left").filter("copies > 1 OR links > 0").drop("id")
+    repeated = lines.filter("line < 0").groupBy("doc_id", "text_key").count().filter("count > 1")
+    once = texts if repeated.isEmpty() else texts.dropDuplicates(["doc_id", "text_key"])
+    linked = written(links(once, sets, share, crowd).select("id", "set", "first", "links", "goes"), "linked")
+    copied = sets.filter("copies > 1").join(linked, "id", "left_anti").select("set", "first")
+    marks = linked.drop("id").unionByName(copied, allowMissingColumns=True)
     marked = worded.select("doc_id", "text_key", "line", "set").join(marks, "set")
     goes = F.coalesce("goes", F.lit(False)) | (place != F.col("first"))
     entry = F.struct("line", F.col("set").alias("class"), F.coalesce("links", F.lit(0).cast("long")).alias("links"), goes.alias("goes"))
