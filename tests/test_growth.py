@@ -53,6 +53,31 @@ def test_cosine_search_in_blocks_of_any_size(spark, monkeypatch, rows):
     assert [(r.d, r.cosine) for r in sorted(found, key=lambda r: r["rank"])] == [(1, 0.75), (2, 0.5), (3, 0.25)]
 
 
+@pytest.mark.parametrize(("share", "held"), [(1e-9, 1 << 17), (2.0, 1), (2.0, 1 << 17), (1 / 200, 50)])
+def test_products_of_blocks(monkeypatch, share, held):
+    """Rare terms are no columns of a matrix of all vectors; the result is the same whichever way a term goes."""
+    monkeypatch.setattr(corpus, "FULL_SHARE", share)
+    monkeypatch.setattr(corpus, "HITS_HELD", held)
+    draw = np.random.default_rng(4)
+    columns = []
+    keep = corpus.dense
+    monkeypatch.setattr(corpus, "dense", lambda block, at: (columns.append(len(at)), keep(block, at))[1])
+
+    def block(n, first):
+        rows = np.where(draw.random((n, 500)) < np.where(np.arange(500) < 5, 0.9, 0.01), draw.random((n, 500)), 0.0)
+        rows[0] = 0.0
+        terms, owners = np.nonzero(rows.T)
+        held_terms, starts = np.unique(terms, return_index=True)
+        return rows, (np.arange(first, first + n), held_terms, np.append(starts, len(terms)), owners, rows.T[terms, owners])
+
+    (a, one), (b, two) = block(60, 0), block(80, 60)
+    found = corpus.block_products(one, two)
+    assert np.allclose(found, a @ b.T) and ((found == 0) == (a @ b.T == 0)).all()
+    assert sum(columns) == {1e-9: 2 * len(np.intersect1d(one[1], two[1])), 2.0: 0, 1 / 200: 10}[share]
+    for k in (1, 7, 80, 100):
+        assert ((found >= corpus.kth_reached(found, k)[:, None]).sum(axis=1) >= min(k, 80)).all()
+
+
 def test_only_grams_of_frequent_words_are_counted(spark):
     """Rare words and what holds them end in their task; lists of words serve like texts."""
     texts = [(d, f"common words always r{d} x{d} y{d} z{d} common words") for d in range(50)] + [(50, None), (51, "")]
