@@ -81,6 +81,41 @@ def test_products_of_cells(spark, counts, monkeypatch, cell):
     assert np.allclose([found[i] for i in range(len(rows))], matrix @ rows)
 
 
+def test_numbers_stand_for_words(spark, counts, monkeypatch):
+    """Pairs as numbers, once each and met as arrays, give the same counts, weights and vectors as pairs of words."""
+    expected = {(r.word, r.context): r.n for r in counts.collect()}
+    table = wv.positive_association(counts)
+    weights = {(r.word, r.context): r.ppmi for r in table.collect()}
+    vectors = {r.word: r.vector for r in wv.svd_vectors(table, dimension=6, more=20).collect()}
+    # Few words are kept by the tasks, arrays are short and cells small; one frequent word is in no pair.
+    for name, few in (("HELD_WORDS", 5), ("PAIRS_HELD", 50), ("BUCKETS", 16), ("WEIGHTS_HELD", 100), ("CELL", 40)):
+        monkeypatch.setattr(wv, name, few)
+    times = Counter(w for t in texts() if t for w in t) | {"never near": 9}
+    often = wv.often_words(spark.createDataFrame(list(times.items()), "word string, times long"), 2)
+    name = {r.number: r.word for r in often.collect()}
+    assert sorted(name) == list(range(len(name))) and set(name.values()) == {w for w, n in times.items() if n >= 2}
+    pairs = wv.cooccurrences(spark.createDataFrame([(t,) for t in texts()], "t array<string>"), "t", 3, 2, often)
+    found = {(r.word, r.context): r.n for r in pairs.collect()}
+    assert len(found) == pairs.count() and all(a <= b for a, b in found)
+    assert {(name[i], name[j]): n for a, b in found for n in [found[a, b]] for i, j in ((a, b), (b, a))} == expected
+    weighed = wv.positive_association(pairs, once=True)
+    assert {(name[i], name[j]): r.ppmi for r in weighed.collect() for i, j in ((r.word, r.context), (r.context, r.word))} == pytest.approx(weights)
+    placed = {r.word: r.vector for r in wv.svd_vectors(weighed, dimension=6, more=20, often=often).collect()}
+    assert placed.keys() == vectors.keys()
+    words = sorted(vectors)
+    one, other = (np.array([x[w] for w in words]) for x in (vectors, placed))
+    assert np.allclose(one @ one.T, other @ other.T, atol=1e-6 * np.abs(one @ one.T).max())
+
+
+def test_no_row_is_shuffled_for_a_pair(spark):
+    """Counts of pairs meet as arrays: a row for each part and task is shuffled, and Spark keeps no entry for a pair."""
+    lists = spark.createDataFrame([(list(range(i, i + 3000)),) for i in range(2)], "words array<int>").coalesce(1)
+    pairs = wv.pair_counts(lists, 5)
+    assert pairs.count() == 5 * 3001 - 15
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(bucket" in plan and "hashpartitioning(code" not in plan and "Aggregate" not in plan
+
+
 def test_planted_synonyms_are_neighbours(spark, counts):
     vectors = wv.svd_vectors(wv.positive_association(counts), dimension=8)
     names = {r.word: i for i, r in enumerate(vectors.select("word").orderBy("word").collect())}
